@@ -38,7 +38,7 @@ FOREIGN_KEYS = {
 # Arguments of the queries that take one.
 CUSTOMER = 7
 QUERY_VECTOR = 7
-MIN_SCORE = 0.5
+MIN_SCORE = 0.4
 CLUSTERS = 5
 
 _staged: dict[tuple[str, str, str], str] = {}
@@ -97,7 +97,7 @@ def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = items(spark, sf_dir).groupBy("product_id", "supplier_id").agg(
         F.ceil(F.avg("quantity")).cast("int").alias("reorder_level"))
     part = read(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"), F.col("p_brand").alias("category_id"),
         F.col("p_size").alias("quantity_on_hand"), (F.col("p_type") == "PROMO").alias("discontinued"))
     return ordered.join(part, "product_id")
 
@@ -112,7 +112,8 @@ def top_selling_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _money(retail.customer_order_history(orders(spark, sf_dir), items(spark, sf_dir), CUSTOMER), "order_total")
+    history = retail.customer_order_history(orders(spark, sf_dir), items(spark, sf_dir), CUSTOMER)
+    return _money(history, "order_total").withColumn("order_date", F.col("order_date").cast("string"))
 
 
 def monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,12 +135,18 @@ def restock_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql_function(call: str, *money: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stocked = stock(spark, sf_dir)
+        if not call.startswith("low_stock"):  # one row per product where stock plays no part
+            sold = products(spark, sf_dir)
+            stocked = sold.select("*", *[
+                F.lit(None).cast(f.dataType).alias(f.name) for f in stocked.schema if f.name not in sold.columns])
         retail.register_sql_functions(spark, {
-            "order_items": items(spark, sf_dir), "orders": orders(spark, sf_dir), "categories": categories(spark, sf_dir),
-            "suppliers": suppliers(spark, sf_dir), "products": products(spark, sf_dir).join(stock(spark, sf_dir).drop("product_name"), "product_id")
-            if call.startswith("low") else products(spark, sf_dir).selectExpr(
-                "*", "0L AS supplier_id", "0 AS quantity_on_hand", "0 AS reorder_level", "false AS discontinued")})
-        return _money(spark.sql(f"SELECT * FROM {call}"), *money)
+            "order_items": items(spark, sf_dir), "orders": orders(spark, sf_dir), "products": stocked,
+            "categories": categories(spark, sf_dir), "suppliers": suppliers(spark, sf_dir)})
+        rows = spark.sql(f"SELECT * FROM {call}")
+        if "order_date" in rows.columns:
+            rows = rows.withColumn("order_date", F.col("order_date").cast("string"))
+        return _money(rows, *money)
 
     return run
 
@@ -304,7 +311,8 @@ def _exported(spark: SparkSession, sf_dir: str, table: str, df: DataFrame) -> st
     key = (spark.sparkContext.applicationId, sf_dir, f"csv {table}")
     if key not in _staged:
         path = shared_dir(spark, "csv")
-        df.toDF(*[f" {c.replace('_', ' ').title()}! " for c in df.columns]).write.csv(
+        renamed = df.toDF(*[f" {c.replace('_', ' ').title()}! " for c in df.columns])
+        renamed.write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(
             path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         _staged[key] = path
     return _staged[key]
@@ -475,13 +483,14 @@ def generate_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vector table after two arrivals of chunks: those of all documents, then those of
-    the English ones again in upper case."""
+    the English ones again, revised."""
     chunked = document_chunks(spark, sf_dir)
     english = read(spark, sf_dir, "documents").where(F.col("lang") == "en").select(
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("source_file"))
     folder = shared_dir(spark, "sync")
     source, index, checkpoint = (f"{folder}/{name}" for name in ("source", "index", "checkpoint"))
-    arrivals = (chunked, chunked.join(english, "source_file", "left_semi").withColumn("content", F.upper("content")))
+    arrivals = (chunked, chunked.join(english, "source_file", "left_semi").withColumn(
+        "content", F.concat("content", F.lit(" (revised)"))))
     for arrival in arrivals:
         arrival.select(*chunked.columns).write.mode("append").parquet(source)
         sync.start_sync(spark, source, chunked.schema, index, checkpoint).awaitTermination()
