@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as
 
 from tallyloom.functions.identifiers import RESCUED_COLUMN, id_like
 from tallyloom.functions.scalars import percent
+from tallyloom.session import at_once
 
 # When a text column counts as a category, and how many values it lists.
 CATEGORY_LIMIT = 50
@@ -283,7 +284,10 @@ def profile_table(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
 
 
 def profile_tables(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:
-    return reduce(DataFrame.unionByName, [profile_table(df, name, exact) for name, df in sorted(tables.items())])
+    """The profiles of several tables. They look ahead side by side."""
+    named = sorted(tables.items())
+    parts = at_once(named[0][1].sparkSession, lambda item: profile_table(item[1], item[0], exact), named)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _mark_inferred_key(profile: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from tallyloom.session import at_once
+
 # Starts of the clustering, and the fewest groups it makes.
 STARTS = 10
 MIN_CLUSTERS = 2
@@ -30,11 +32,13 @@ def project(model: PipelineModel, vectors: DataFrame, vector: str = "embedding")
 
 
 def cluster(vectors: DataFrame, clusters: int, vector: str = "embedding", seed: int = 0, starts: int = STARTS) -> DataFrame:
-    """Add ``cluster``: the best of several k-means runs. The runs share one cached input."""
+    """Add ``cluster``: the best of several k-means runs. The runs share one cached input and
+    go side by side."""
     k = max(MIN_CLUSTERS, min(clusters, vectors.count()))
     rows = vectors.select(array_to_vector(F.col(vector)).alias("vector")).persist()
     try:
-        models = [KMeans(k=k, seed=seed + i, featuresCol="vector", predictionCol="cluster").fit(rows) for i in range(starts)]
+        models = at_once(rows.sparkSession, lambda i: KMeans(
+            k=k, seed=seed + i, featuresCol="vector", predictionCol="cluster").fit(rows), range(starts))
     finally:
         rows.unpersist()
     best = min(models, key=lambda m: m.summary.trainingCost)
