@@ -7,6 +7,8 @@ split; all others are read by as many tasks as they have splits.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyloom.functions.identifiers import rename_clean, unique_identifiers
@@ -24,14 +26,17 @@ C1_CHARS = "".join(c for c, meaning in _C1.items() if meaning)
 C1_MEANINGS = "".join(_C1.values())
 
 
+def literal(path: str) -> str:
+    """A path that means itself, whatever pattern characters its name holds."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def list_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     """(path, file, size_mb) of the files in a folder whose name ends in the suffix, in
     either case. File contents are not read."""
     found = spark.read.format("binaryFile").load(folder).select("path", "length")
-    name = F.regexp_extract("path", "([^/]+)$", 1)
     return found.select(
-        "path", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("file"),
-        (F.col("length") / MEGABYTE).alias("size_mb")
+        "path", F.regexp_extract("path", "([^/]+)$", 1).alias("file"), (F.col("length") / MEGABYTE).alias("size_mb")
     ).where(F.lower("file").endswith(suffix))
 
 
@@ -44,7 +49,7 @@ def discover_files(spark: SparkSession, folder: str, explicit: list[str] | None
     if explicit:
         return files.where(F.col("file").isin(explicit)).select(
             "*", F.lit(True).alias("kept"), F.lit(None).cast("string").alias("reason")).orderBy("file")
-    word = F.array_compact(F.array(*[F.when(F.contains(F.lower("file"), F.lit(w)), F.lit(w)) for w in SKIP_WORDS]))[0]
+    word = F.coalesce(*[F.when(F.contains(F.lower("file"), F.lit(w)), F.lit(w)) for w in SKIP_WORDS])
     by_name = F.concat(F.lit("name looks non-tabular (matched '"), word, F.lit("')"))
     by_size = F.format_string(f"%.1f MB is over the cap of {max_mb:g} MB", "size_mb")
     reason = F.when(word.isNotNull(), by_name).when((F.col("size_mb") > max_mb) & F.lit(not include_large), by_size)
@@ -58,8 +63,9 @@ def sniff(spark: SparkSession, paths: list[str]) -> DataFrame:
     raw = F.col("value").cast("binary")
     as_latin1 = F.decode(raw, "ISO-8859-1")
     quotes = F.length(as_latin1) - F.length(F.replace(as_latin1, F.lit('"'), F.lit("")))
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("utf8"),
+    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    lines = spark.read.text([literal(p) for p in paths]).select(
+        path.alias("path"), F.is_valid_utf8("value").alias("utf8"),
         as_latin1.rlike(f"[{UNDEFINED_IN_CP1252}]").alias("undefined"), (quotes % 2 == 1).alias("odd"),
         (F.trim(as_latin1) != "").alias("filled"))
     encoding = F.when(F.bool_and("utf8"), UTF8).when(F.bool_or("undefined"), LATIN1).otherwise(CP1252)
@@ -75,7 +81,7 @@ def read_csv(spark: SparkSession, path: str, encoding: str = UTF8, multi_line: b
              infer: bool = True) -> DataFrame:
     """A CSV file with a header. Doubled quotes inside quoted values are part of the value."""
     df = spark.read.csv(
-        path, header=True, inferSchema=infer, multiLine=multi_line, quote='"', escape='"',
+        literal(path), header=True, inferSchema=infer, multiLine=multi_line, quote='"', escape='"',
         encoding="UTF-8" if encoding == UTF8 else "ISO-8859-1")
     if encoding != CP1252:
         return df
@@ -95,9 +101,12 @@ def count_csv_rows(spark: SparkSession, path: str, facts) -> int:
 
 def sniffed(spark: SparkSession, paths: list[str]) -> dict[str, T.Row]:
     """The facts of each file, one row per file."""
-    facts = {r.path: r for r in sniff(spark, paths).collect()}
+    def plain(path: str) -> str:
+        return re.sub("^file:/+", "/", path)
+
+    facts = {plain(r.path): r for r in sniff(spark, paths).collect()}
     blank = T.Row(encoding=UTF8, multi_line=False, lines=0)
-    return {p: facts.get(p) or facts.get(p.replace("file:///", "file:/")) or blank for p in paths}
+    return {p: facts.get(plain(p), blank) for p in paths}
 
 
 def table_names(files: list[str]) -> list[str]:
@@ -141,15 +150,14 @@ def load_csv_folder(spark: SparkSession, discovered: DataFrame) -> dict[str, tup
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType, blank_as_null: set[str] = frozenset()) -> DataFrame:
     """A CSV file under a declared schema. Blank means null only in the listed columns;
     booleans are true for the word true in any case, and false for everything else."""
-    header = spark.read.csv(path, header=True, inferSchema=False).columns
-    text = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(
-        path, header=True, quote='"', escape='"', multiLine=True, nullValue="\0", emptyValue="")
+    multi_line = sniffed(spark, [path])[path].multi_line
+    text = read_csv(spark, path, multi_line=multi_line, infer=False)
 
     def coerced(field: T.StructField) -> Column:
         value = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.BooleanType):
             return F.coalesce(F.lower(F.trim(value)) == "true", F.lit(False))
-        value = F.nullif(value, F.lit("")) if field.name in blank_as_null else value
+        value = F.nullif(value, F.lit("")) if field.name in blank_as_null else F.coalesce(value, F.lit(""))
         return value.cast(field.dataType)
 
     return text.select(*[coerced(f).alias(f.name) for f in schema.fields])
