@@ -37,7 +37,6 @@ class Generator(Protocol):
     def generate(self, prompts: list[list[dict]], max_tokens: int) -> list[str]: ...
 
 
-@lru_cache(maxsize=1 << 18)
 def word_bucket(word: str, dim: int) -> int:
     return int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
 
@@ -47,11 +46,12 @@ class HashingEncoder:
 
     def __init__(self, dim: int = DEFAULT_DIM):
         self.dim = dim
+        self.bucket = lru_cache(maxsize=1 << 18)(word_bucket)
 
     def encode(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.dim))
         for row, text in zip(out, texts):
-            buckets = [word_bucket(w, self.dim) for w in WORD.findall((text or "").lower())]
+            buckets = [self.bucket(w, self.dim) for w in WORD.findall((text or "").lower())]
             np.add.at(row, buckets, 1.0)
         length = np.linalg.norm(out, axis=1, keepdims=True)
         return (out / np.where(length == 0, 1.0, length)).astype(np.float32)
