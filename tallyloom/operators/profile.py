@@ -280,7 +280,7 @@ def profile_table(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
         F.when(many, note).alias("note"),
         F.when(categorical & ~many, F.coalesce(F.col("value_counts"), F.array().cast(VALUE_COUNTS)))
         .alias("value_counts"))
-    return _mark_inferred_key(profile)
+    return _mark_inferred_key(profile, exact)
 
 
 def profile_tables(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:
@@ -290,9 +290,12 @@ def profile_tables(tables: dict[str, DataFrame], exact: bool = True) -> DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
-def _mark_inferred_key(profile: DataFrame) -> DataFrame:
+def _mark_inferred_key(profile: DataFrame, exact: bool) -> DataFrame:
     """Flag the column that could serve as primary key: never null, never repeated, an
-    id-like name first, then the leftmost. The window holds a row per column."""
+    id-like name first, then the leftmost. The window holds a row per column. Estimates
+    cannot tell that a column never repeats, so they infer no key."""
+    if not exact:
+        return profile.withColumn("is_inferred_primary_key", F.lit(False))
     unique = (F.col("row_count") > 0) & (F.col("null_count") == 0) & (F.col("distinct_count") == F.col("row_count"))
     best_first = Window.partitionBy("table_name").orderBy(
         F.desc(unique), F.desc(id_like(F.col("column_name"))), "ordinal")

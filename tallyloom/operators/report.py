@@ -34,6 +34,10 @@ def value_counts(df: DataFrame, column: str, n: int = 10) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(n))
 
 
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    return df.select(column).distinct().orderBy(column)
+
+
 def monthly_trend(df: DataFrame, column: str) -> DataFrame:
     """Row count per calendar month. Rows without a date form the null period."""
     return df.groupBy(month_of(F.col(column)).alias("period")).agg(F.count(F.lit(1)).alias("n")).orderBy("period")

@@ -21,8 +21,10 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tallyloom.functions.models import Encoder, HashingEncoder
 from tallyloom.functions.scalars import preview
 from tallyloom.functions.vectors import NORM_GUARD, SCORE_DIGITS, cosine, dot, unit
+from tallyloom.operators.joins import SENT_ROWS
 from tallyloom.session import materialize
 
 # Fixed value: hits per question unless asked otherwise.
@@ -41,6 +43,17 @@ def top_hits(vectors: DataFrame, query: list[float], k: int = TOP_K, vector: str
     return vectors.withColumn("score", score).orderBy(F.desc("score"), tie).limit(k)
 
 
+def similarity_search(index: DataFrame, columns: list[str], text: str | None = None, vector: list[float] | None = None,
+                      k: int = TOP_K, encoder: Encoder | None = None, tie: str = "chunk_id", approximate: bool = False) -> DataFrame:
+    """The chosen columns and the score of the k best rows for a text or a vector."""
+    if (text is None) == (vector is None):
+        raise ValueError("give either a text or a vector")
+    if vector is None:
+        vector = [float(x) for x in (encoder or HashingEncoder()).encode([text])[0]]
+    rank = approximate_hits if approximate else top_hits
+    return rank(index, vector, k, tie=tie).select(*columns, "score")
+
+
 def _unit_rows(vectors: pa.Array) -> np.ndarray:
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     rows = flat.reshape(len(vectors), -1)
@@ -77,9 +90,11 @@ def batch_hits(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, vector: s
     else:
         found = _meet_in_blocks(index, asked, size.n, k, schema)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "hit_id")
-    return (
+    hits = (
         found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         .select("query_id", "rank", "hit_id", "score"))
+    # There are at most k hits per question, so their number is known before they are found.
+    return F.broadcast(hits) if size.n * k <= SENT_ROWS else hits
 
 
 def _send_queries(index: DataFrame, asked: DataFrame, k: int, schema: str) -> DataFrame:
@@ -154,6 +169,12 @@ def label_votes(hits: DataFrame, labelled: DataFrame, label: str = "label", id_c
     return counted.withColumn("place", F.row_number().over(first)).where(F.col("place") == 1).drop("place")
 
 
+def labelled_hits(hits: DataFrame, labelled: DataFrame, label: str, text: str, id_column: str) -> DataFrame:
+    """(query_id, rank, score, label, text): what each question is closest to."""
+    known = labelled.select(F.col(id_column).alias("hit_id"), F.col(label).alias("label"), F.col(text).alias("text"))
+    return hits.join(known, "hit_id").select("query_id", "rank", "score", "label", "text")
+
+
 def score_pairs(pairs: DataFrame, vectors: DataFrame, vector: str = "embedding", id_column: str = "vec_id") -> DataFrame:
     """(left_id, right_id, score) for given pairs of ids."""
     def side(name: str) -> DataFrame:

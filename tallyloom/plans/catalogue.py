@@ -227,6 +227,10 @@ def top_values_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         "table_name", "column_name", (F.col("at") + 1).alias("place"), "v.value", "v.n")
 
 
+def distinct_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.distinct_values(read(spark, sf_dir, "embeddings"), "label")
+
+
 def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.value_counts(read(spark, sf_dir, "lineitem"), "l_quantity")
 
@@ -391,7 +395,7 @@ def _query_vector(spark: SparkSession, sf_dir: str) -> list[float]:
 
 def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = retrieval.top_hits(read(spark, sf_dir, "embeddings"), _query_vector(spark, sf_dir))
-    return hits.select("vec_id", "label", F.round("score", 6).alias("score"))
+    return hits.select("vec_id", "label", "score")
 
 
 def _label_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -405,16 +409,15 @@ def _batch_hits(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
 
 
 def cosine_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _batch_hits(spark, sf_dir, retrieval.TOP_K).withColumn("score", F.round("score", 6))
+    return _batch_hits(spark, sf_dir, retrieval.TOP_K)
 
 
 def label_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    votes = retrieval.label_votes(_batch_hits(spark, sf_dir, 9), read(spark, sf_dir, "embeddings"))
-    return votes.withColumn("best_score", F.round("best_score", 6))
+    return retrieval.label_votes(_batch_hits(spark, sf_dir, 9), read(spark, sf_dir, "embeddings"))
 
 
 def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.similar_pairs(read(spark, sf_dir, "embeddings"), MIN_SCORE).withColumn("score", F.round("score", 6))
+    return retrieval.similar_pairs(read(spark, sf_dir, "embeddings"), MIN_SCORE)
 
 
 def score_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -422,12 +425,12 @@ def score_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     pairs = vectors.join(_label_queries(spark, sf_dir).select("label", "query_id"), "label").select(
         F.col("query_id").alias("left_id"), F.col("vec_id").alias("right_id"))
-    return retrieval.score_pairs(pairs, vectors).withColumn("score", F.round("score", 6))
+    return retrieval.score_pairs(pairs, vectors)
 
 
 def ann_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = retrieval.approximate_hits(read(spark, sf_dir, "embeddings"), _query_vector(spark, sf_dir))
-    return hits.select("vec_id", "label", F.round("score", 6).alias("score"))
+    return hits.select("vec_id", "label", "score")
 
 
 def pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,7 +455,7 @@ def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _found(spark, sf_dir).select(
-        "query_id", "rank", F.round("score", 6).alias("score"), "source_file", "page_number", "chunk_index", "preview")
+        "query_id", "rank", "score", "source_file", "page_number", "chunk_index", "preview")
 
 
 def distinct_page_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -481,6 +484,15 @@ def generate_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context.answer(prompts(spark, sf_dir))
 
 
+def labelled_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three turns of conversation closest to each question, with who spoke."""
+    turns = spread(read(spark, sf_dir, "conversations")).select(
+        F.concat_ws(":", "conv_id", "turn").alias("turn_id"), "role", "text")
+    asked = questions(spark, sf_dir).withColumn("embedding", models.embed(F.col("text")))
+    hits = retrieval.batch_hits(turns.withColumn("embedding", models.embed(F.col("text"))), asked, 3, id_column="turn_id")
+    return retrieval.labelled_hits(hits, turns, "role", "text", "turn_id")
+
+
 def incremental_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vector table after two arrivals of chunks: those of all documents, then those of
     the English ones again, revised."""
@@ -507,7 +519,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         clean_names, csv_reload, row_count_reconciliation, page_metadata, page_chunks, spaced_chunks,
         chunk_length_histogram, source_count, hash_embed, cosine_topk, cosine_topk_batch, label_vote, similar_pairs,
         score_pairs, ann_topk, pca_2d, kmeans_labels, search_documents, distinct_page_hits, context_assembly,
-        search_text, prompt_rows, generate_answer, incremental_sync)}
+        search_text, prompt_rows, generate_answer, incremental_sync, distinct_labels, labelled_ranking)}
     named["chunk_documents"] = document_chunks
     for agg, metric in (("sum", "o_totalprice"), ("avg", "o_totalprice"), ("count", "o_orderkey"),
                         ("min", "o_totalprice"), ("max", "o_totalprice")):

@@ -6,6 +6,7 @@ DataFrames of ``catalogue``.
 
 from __future__ import annotations
 
+from tallyloom.functions.vectors import NORM_GUARD, SCORE_DIGITS
 from tallyloom.operators import context
 from tallyloom.plans import catalogue
 from tallyloom.sources import pages
@@ -363,10 +364,10 @@ SELECT id AS doc_id, bucket, round(w, 5) AS weight FROM vec"""
 SEARCH = f"""{chunks_sql(DOCUMENTS)},
 {vectors_sql('cv', 'SELECT chunk_id AS id, content FROM chunks')},
 {vectors_sql('qv', 'SELECT item_id AS id, text AS content FROM benchmark')},
-cn AS (SELECT id, sqrt(SUM(w * w)) + 1e-10 AS norm FROM cv GROUP BY id),
-qn AS (SELECT id, sqrt(SUM(w * w)) + 1e-10 AS norm FROM qv GROUP BY id),
+cn AS (SELECT id, sqrt(SUM(w * w)) + {NORM_GUARD} AS norm FROM cv GROUP BY id),
+qn AS (SELECT id, sqrt(SUM(w * w)) + {NORM_GUARD} AS norm FROM qv GROUP BY id),
 scored AS (
-  SELECT qv.id AS query_id, cv.id AS chunk_id, round(SUM(cv.w * qv.w) / any_value(cn.norm) / any_value(qn.norm), 9) AS score
+  SELECT qv.id AS query_id, cv.id AS chunk_id, round(SUM(cv.w * qv.w) / any_value(cn.norm) / any_value(qn.norm), {SCORE_DIGITS}) AS score
   FROM qv JOIN cv ON cv.bucket = qv.bucket JOIN cn ON cn.id = cv.id JOIN qn ON qn.id = qv.id GROUP BY 1, 2),
 hits AS (
   SELECT query_id, CAST(rank AS INTEGER) AS rank, score, chunks.* FROM (
@@ -374,7 +375,7 @@ hits AS (
   JOIN chunks USING (chunk_id) WHERE rank <= 4)"""
 
 SEARCH_DOCUMENTS = f"""WITH RECURSIVE {SEARCH}
-SELECT query_id, rank, round(score, 6) AS score, source_file, page_number, chunk_index, substr(content, 1, 160) || '...' AS preview
+SELECT query_id, rank, score, source_file, page_number, chunk_index, substr(content, 1, 160) || '...' AS preview
 FROM hits"""
 
 DISTINCT_PAGES = f"""WITH RECURSIVE {SEARCH},
@@ -401,35 +402,53 @@ SYNCED = f"""WITH RECURSIVE {chunks_sql(DOCUMENTS)}
 SELECT chunk_id, source_file, chunk_index, CASE WHEN lang = 'en' THEN content || ' (revised)' ELSE content END AS content, 384 AS width
 FROM chunks JOIN documents ON source_file = 'doc_' || doc_id"""
 
+def _score(a: str, b: str) -> str:
+    def length(v: str) -> str:
+        return f"(sqrt(list_dot_product({v}, {v})) + {NORM_GUARD})"
+
+    return f"round(list_dot_product({a}, {b}) / {length(a)} / {length(b)}, {SCORE_DIGITS})"
+
+
+LABELLED = f"""WITH turns AS (SELECT conv_id || ':' || turn AS turn_id, role, text FROM conversations),
+{vectors_sql('cv', 'SELECT turn_id AS id, text AS content FROM turns')},
+{vectors_sql('qv', 'SELECT item_id AS id, text AS content FROM benchmark')},
+cn AS (SELECT id, sqrt(SUM(w * w)) + {NORM_GUARD} AS norm FROM cv GROUP BY id),
+qn AS (SELECT id, sqrt(SUM(w * w)) + {NORM_GUARD} AS norm FROM qv GROUP BY id),
+scored AS (
+  SELECT qv.id AS query_id, cv.id AS turn_id, round(SUM(cv.w * qv.w) / any_value(cn.norm) / any_value(qn.norm), {SCORE_DIGITS}) AS score
+  FROM qv JOIN cv ON cv.bucket = qv.bucket JOIN cn ON cn.id = cv.id JOIN qn ON qn.id = qv.id GROUP BY 1, 2),
+hits AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, turn_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, score, role AS label, text FROM hits JOIN turns USING (turn_id) WHERE rank <= 3"""
+
 VECTORS = "vecs AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)"
 FIRSTS = "firsts AS (SELECT label, MIN(vec_id) AS query_id, arg_min(v, vec_id) AS q FROM vecs GROUP BY label)"
 
 COSINE_TOPK = f"""WITH {VECTORS}
-SELECT a.vec_id, a.label, round(list_cosine_similarity(a.v, b.v), 6) AS score
-FROM vecs a JOIN vecs b ON b.vec_id = {catalogue.QUERY_VECTOR}
-ORDER BY round(list_cosine_similarity(a.v, b.v), 9) DESC, a.vec_id LIMIT 4"""
+SELECT a.vec_id, a.label, {_score('a.v', 'b.v')} AS score
+FROM vecs a JOIN vecs b ON b.vec_id = {catalogue.QUERY_VECTOR} ORDER BY score DESC, a.vec_id LIMIT 4"""
 
 
 def _batch(k: int) -> str:
     return f"""{VECTORS}, {FIRSTS},
-scored AS (SELECT query_id, vec_id AS hit_id, vecs.label, round(list_cosine_similarity(v, q), 9) AS score FROM vecs CROSS JOIN firsts),
+scored AS (SELECT query_id, vec_id AS hit_id, vecs.label, {_score('v', 'q')} AS score FROM vecs CROSS JOIN firsts),
 hits AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, hit_id) AS rank FROM scored QUALIFY rank <= {k})"""
 
 
-COSINE_BATCH = f"WITH {_batch(4)}\nSELECT query_id, CAST(rank AS INTEGER) AS rank, hit_id, round(score, 6) AS score FROM hits"
+COSINE_BATCH = f"WITH {_batch(4)}\nSELECT query_id, CAST(rank AS INTEGER) AS rank, hit_id, score FROM hits"
 
 LABEL_VOTE = f"""WITH {_batch(9)},
 votes AS (SELECT query_id, label, COUNT(*) AS votes, MAX(score) AS best_score FROM hits GROUP BY ALL)
-SELECT query_id, label, votes, round(best_score, 6) AS best_score FROM votes
+SELECT query_id, label, votes, best_score FROM votes
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, best_score DESC, label) = 1"""
 
 SIMILAR_PAIRS = f"""WITH vecs AS (SELECT MIN(vec_id) AS id, COUNT(*) AS copies, embedding::DOUBLE[] AS v FROM embeddings GROUP BY embedding)
-SELECT a.id AS left_id, b.id AS right_id, round(list_cosine_similarity(a.v, b.v), 6) AS score,
-  a.copies AS left_copies, b.copies AS right_copies
-FROM vecs a JOIN vecs b ON a.id < b.id WHERE list_cosine_similarity(a.v, b.v) >= {catalogue.MIN_SCORE}"""
+SELECT * FROM (
+  SELECT a.id AS left_id, b.id AS right_id, {_score('a.v', 'b.v')} AS score, a.copies AS left_copies, b.copies AS right_copies
+  FROM vecs a JOIN vecs b ON a.id < b.id)
+WHERE score >= {catalogue.MIN_SCORE}"""
 
 SCORE_PAIRS = f"""WITH {VECTORS}, {FIRSTS}
-SELECT query_id AS left_id, vec_id AS right_id, round(list_cosine_similarity(q, v), 6) AS score FROM vecs JOIN firsts USING (label)"""
+SELECT query_id AS left_id, vec_id AS right_id, {_score('q', 'v')} AS score FROM vecs JOIN firsts USING (label)"""
 
 
 def _top_n(agg: str, metric: str) -> str:
@@ -460,7 +479,8 @@ def all_oracles() -> dict[str, str]:
         "chunk_length_histogram": HISTOGRAM,
         "source_count": f"WITH RECURSIVE {chunks_sql(DOCUMENTS)}\nSELECT COUNT(*) AS chunks, COUNT(DISTINCT source_file) AS source_files FROM chunks",
         "hash_embed": HASH_EMBED, "cosine_topk": COSINE_TOPK, "cosine_topk_batch": COSINE_BATCH, "label_vote": LABEL_VOTE,
-        "similar_pairs": SIMILAR_PAIRS, "score_pairs": SCORE_PAIRS, "search_documents": SEARCH_DOCUMENTS,
+        "similar_pairs": SIMILAR_PAIRS, "score_pairs": SCORE_PAIRS, "labelled_ranking": LABELLED,
+        "distinct_labels": "SELECT DISTINCT label FROM embeddings", "search_documents": SEARCH_DOCUMENTS,
         "distinct_page_hits": DISTINCT_PAGES, "context_assembly": CONTEXT, "search_text": SEARCH_TEXT,
         "prompt_rows": PROMPTS, "incremental_sync": SYNCED,
         "top_n_group_by_sum": _top_n("SUM", price), "top_n_group_by_avg": _top_n("AVG", price),

@@ -2,8 +2,9 @@
 
 Item rows are summed per product or per order before any join. That first sum combines
 on the map side, so one product or order holding a third of all items shrinks to a row
-per task before it is shuffled. Joins carry no broadcast hint: Spark broadcasts a side
-only when its size, estimated or measured at run time, is below the session threshold.
+per task before it is shuffled. Joins with whole tables carry no broadcast hint: Spark
+broadcasts a side only when its size, estimated or measured at run time, is below the
+session threshold.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.scalars import line_amount, month_of
+from tallyloom.operators.joins import sent_if_few
 
 # The labels of the restocking classification.
 URGENCY = ("urgent", "monitor", "ok")
@@ -36,10 +38,11 @@ def top_selling_products(items: DataFrame, products: DataFrame, categories: Data
 
 
 def customer_order_history(orders: DataFrame, items: DataFrame, customer_id) -> DataFrame:
-    """The orders of one customer that have items, with item count and total, by date."""
-    mine = orders.where(F.col("customer_id") == F.lit(customer_id))
+    """The orders of one customer that have items, with item count and total, by date. The
+    items are not shuffled before the join unless the customer has very many orders."""
+    mine = orders.where(F.col("customer_id") == F.lit(customer_id)).select("order_id", "order_date", "status")
     return (
-        mine.select("order_id", "order_date", "status").join(items, "order_id")
+        items.join(sent_if_few(mine), "order_id")
         .groupBy("order_id", "order_date", "status")
         .agg(F.count("order_item_id").alias("item_count"), F.sum(_amount()).alias("order_total"))
         .orderBy("order_date", "order_id")

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.functions.models import Encoder, HashingEncoder, embed
+from tallyloom.operators.joins import sent_if_few
+from tallyloom.session import materialize
 
 BATCH = "sync_batch"
 DELETED = "deleted"
@@ -41,14 +43,13 @@ def start_sync(spark: SparkSession, source: str, schema, index: str, checkpoint:
 
 def read_index(spark: SparkSession, index: str) -> DataFrame:
     """The current chunks with their vectors. Which chunks came in more than one batch is
-    found on keys alone; only those keys meet the rows again, so texts and vectors are not
-    shuffled while updates are few enough to broadcast."""
+    found on keys alone and written down; those keys meet the rows again, so texts and
+    vectors are not shuffled while the updated chunks are few."""
     rows = spark.read.parquet(index)
     repeated = rows.groupBy("chunk_id").agg(F.max(BATCH).alias("latest"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = sent_if_few(materialize(repeated.drop("n"), "updated-chunks"))
     current = F.col("latest").isNull() | (F.col(BATCH) == F.col("latest"))
-    return (
-        rows.join(repeated.drop("n"), "chunk_id", "left").where(current & ~F.col(DELETED))
-        .drop("latest", DELETED, BATCH))
+    return rows.join(repeated, "chunk_id", "left").where(current & ~F.col(DELETED)).drop("latest", DELETED, BATCH)
 
 
 def compact(spark: SparkSession, index: str, target: str) -> None:

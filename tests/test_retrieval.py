@@ -2,10 +2,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.functions import models
 from tallyloom.functions.vectors import cosine, norm, unit
 from tallyloom.operators import retrieval
+from tallyloom.operators.joins import sent_if_few
 from tallyloom.operators.retrieval import (approximate_hits, batch_hits, hit_rows, label_votes, one_per_page, score_pairs, similar_pairs,
-                                           top_hits)
+                                           similarity_search, top_hits)
 
 SCHEMA = "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT"
 
@@ -95,6 +97,24 @@ def test_pairs_votes_and_pages(spark, clustered):
     assert [(r["rank"], r.chunk_id) for r in one_per_page(rows).orderBy("rank").collect()] == [(1, 0), (2, 3)]
 
 
+def test_search_by_text_or_vector(spark):
+    texts = ["the dog plays in the park", "a puppy in the park", "stocks fell today"]
+    index = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "chunk_id STRING, content STRING").withColumn(
+        "embedding", models.embed(F.col("content")))
+    best = similarity_search(index, ["content"], text="dog in the park", k=2).collect()
+    assert [r.content for r in best] == texts[:2]
+    query = [float(x) for x in models.HashingEncoder().encode([texts[2]])[0]]
+    for approximate in (False, True):
+        assert similarity_search(index, ["chunk_id"], vector=query, k=1, approximate=approximate).first().chunk_id == "2"
+    with pytest.raises(ValueError):
+        similarity_search(index, ["chunk_id"])
+
+
+def test_few_rows_are_sent_and_many_are_not(spark):
+    assert "broadcast" in sent_if_few(spark.range(10), 10)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in sent_if_few(spark.range(11), 10)._jdf.queryExecution().analyzed().toString()
+
+
 def test_approximate_recall(spark, clustered):
     df = vectors(spark, clustered)
     query = [float(x) for x in clustered[0]]

@@ -41,6 +41,16 @@ def test_only_new_files_are_read_and_the_latest_row_counts(spark, store, tmp_pat
     assert {r.chunk_id for r in read_index(spark, target).collect()} == {"a", "c"}
 
 
+def test_running_on_at_an_interval(spark, store, tmp_path):
+    store.arrive(("a", "one", False))
+    query = start_sync(spark, str(tmp_path / "source"), SCHEMA, store.index, str(tmp_path / "checkpoint"), every="1 second")
+    query.processAllAvailable()
+    store.arrive(("b", "two", False), ("b", "two", False))
+    query.processAllAvailable()
+    query.stop()
+    assert store.read() == {"a": "one", "b": "two"} and read_index(spark, store.index).count() == 2
+
+
 def test_a_replayed_batch_overwrites_itself(spark, store):
     store.arrive(("a", "one", False))
     store.sync()
