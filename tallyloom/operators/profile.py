@@ -1,17 +1,19 @@
 """Column profiles: one row per (table, column) with counts, statistics and top values.
 
-Two scans per table, however many columns it has:
-
-1. a look ahead, one aggregate that sketches where each median lies and how many distinct
-   words each text column has. Its single row comes to the driver;
-2. the columns, grouped by storage type, turned into (column, value) rows and counted per
-   distinct value. Each column is read once. The counting combines on the map side, so a
-   value held by a third of all rows crosses the shuffle once per task. Counts, extremes, mean, spread, the exact median and the top
-   values are all folded from this one frequency table, in one chain of aggregates.
-
-What the sketches say only decides which values are kept apart for ranking (a few in ten
-thousand around a median, the words of a column with few of them); every number reported
-is counted exactly. ``exact=False`` reports the sketches themselves instead.
+A table is looked at ahead, and then counted:
+
+1. The look ahead counts rows, sketches how many distinct words each text column has, and
+   brackets each median from a sample. One row per column comes to the driver.
+2. The columns, grouped by storage type, are turned into (column, value) rows and counted
+   per distinct value. Each column is read once. The counting combines on the map side, so
+   a value held by a third of all rows crosses the shuffle once per task. Counts, extremes,
+   mean, spread, median and top values are all folded from this one frequency table, in
+   one chain of aggregates.
+
+The look ahead only decides which values are kept apart for ranking (those around a median,
+the words of a column with few of them). Every number reported is counted exactly, and a
+median that fell outside its bracket, which the counts tell, is bracketed anew from all
+rows. ``exact=False`` reports estimates instead and shuffles next to nothing.
 """
 
 from __future__ import annotations
@@ -34,9 +36,13 @@ TOP_VALUES = 10
 COLUMNS_PER_SCAN = 48
 # Longer text is counted by its SHA-256 digest instead of being shuffled whole.
 LONG_TEXT = 200
-# percentile_approx is off by at most 1/ACCURACY of the rows; the bracket is wider.
+# percentile_approx is off by at most 1/ACCURACY of the rows.
 ACCURACY = 10000
-BRACKET = 4 / ACCURACY
+# Rows that bracket the medians: at least this many, and one in SAMPLE_SHARE of a large
+# table, so that few values lie within a bracket. It is this many standard errors wide.
+SAMPLE_ROWS = 200_000
+SAMPLE_SHARE = 500
+SAMPLE_ERRORS = 6
 # Text columns with up to this many words by estimate may turn out to be categories.
 MAYBE_CATEGORY = 2 * CATEGORY_LIMIT
 
@@ -111,19 +117,39 @@ def _batches(columns: list[ProfiledColumn]) -> Iterator[list[ProfiledColumn]]:
         yield columns[start:start + COLUMNS_PER_SCAN]
 
 
-def _look_ahead(df: DataFrame, columns: list[ProfiledColumn], points: list[float], counts: bool) -> Row:
-    """One row: the row count, percentiles per number column, estimated distinct counts per
-    text column (or, with ``counts``, per column)."""
+def _sketches(df: DataFrame, columns: list[ProfiledColumn], points: list[float] = (), distinct: bool = False) -> Row:
+    """One row: the row count, and per column the percentiles of a number, the count of its
+    values, or with ``distinct`` an estimate of how many differ."""
     aggregates = [F.count(F.lit(1)).alias("row_count")]
     for c in columns:
-        if c.kind == "numerical":
+        if points and c.kind == "numerical":
             aggregates.append(F.percentile_approx(c.ref.cast("double"), points, ACCURACY).alias(f"at_{c.ordinal}"))
-        if counts or c.kind == "categorical":
+            aggregates.append(F.count(c.ref).alias(f"held_{c.ordinal}"))
+        if distinct:
             value = c.text if c.kind == "categorical" else c.ref
             aggregates.append(F.approx_count_distinct(value).alias(f"distinct_{c.ordinal}"))
     return df.agg(*aggregates).first()
 
 
+Brackets = dict[int, tuple[float, float]]
+
+
+def _brackets(df: DataFrame, columns: list[ProfiledColumn], row_count: int, whole: bool = False) -> Brackets:
+    """A lower and an upper bound for the median of every number column that has values."""
+    numbers = [c for c in columns if c.kind == "numerical"]
+    if not numbers or not row_count:
+        return {}
+    rows = max(SAMPLE_ROWS, row_count // SAMPLE_SHARE)
+    whole = whole or 2 * rows > row_count
+    # Half of the sampled rows may be null in a column before its error grows beyond this.
+    margin = 2 / ACCURACY + (0 if whole else SAMPLE_ERRORS * 0.5 / (rows / 2) ** 0.5)
+    looked = df if whole else df.sample(rows / row_count, seed=0)
+    found = _sketches(looked, numbers, [0.5 - margin, 0.5 + margin])
+    sparse = [] if whole else [c for c in numbers if found[f"held_{c.ordinal}"] < rows / 2]
+    known = {c.ordinal: tuple(found[f"at_{c.ordinal}"]) for c in numbers if c not in sparse and found[f"at_{c.ordinal}"]}
+    return known | _brackets(df, sparse, row_count, whole=True)
+
+
 def _frequencies(df: DataFrame, columns: list[ProfiledColumn], lane: str, listed: set[int]) -> DataFrame:
     """(ordinal, value, n) for the columns of one lane. Each lane scans its own columns only,
     and the narrow typed keys keep the counting in generated code."""
@@ -135,10 +161,9 @@ def _frequencies(df: DataFrame, columns: list[ProfiledColumn], lane: str, listed
         *[(F.col("value") if name == lane else F.lit(None).cast(dtype)).alias(name) for name, dtype in LANES.items()])
 
 
-def _count_values(df: DataFrame, columns: list[ProfiledColumn], ahead: Row) -> DataFrame:
-    """One row per column, folded from the frequencies of their values."""
-    listed = {c.ordinal for c in columns
-              if c.kind == "categorical" and ahead[f"distinct_{c.ordinal}"] <= MAYBE_CATEGORY}
+def _count_values(df: DataFrame, columns: list[ProfiledColumn], brackets: Brackets, listed: set[int]) -> DataFrame:
+    """One row per column, folded from the frequencies of its values. Medians are ranked
+    within ``brackets``, and the words of the ``listed`` columns are kept."""
     of_lane = {lane: [c for c in columns if c.lane == lane] for lane in LANES}
     freq = reduce(DataFrame.union, [_frequencies(df, cs, lane, listed) for lane, cs in of_lane.items() if cs])
 
@@ -146,9 +171,8 @@ def _count_values(df: DataFrame, columns: list[ProfiledColumn], ahead: Row) -> D
         slots = [F.lit(values.get(i)).cast(dtype) for i in range(max(c.ordinal for c in columns) + 1)]
         return F.array(*slots)[F.col("ordinal")]
 
-    brackets = {c.ordinal: ahead[f"at_{c.ordinal}"] for c in columns if c.kind == "numerical"}
-    low = per_column({i: b[0] for i, b in brackets.items() if b}, "double")
-    high = per_column({i: b[1] for i, b in brackets.items() if b}, "double")
+    low = per_column({i: b[0] for i, b in brackets.items()}, "double")
+    high = per_column({i: b[1] for i, b in brackets.items()}, "double")
     number = F.coalesce(F.col("whole").cast("double"), F.col("fraction"), F.col("word").try_cast("double"))
     # Only number columns have a bracket, so dates, times and words yield null here.
     freq = freq.withColumn("low", low).withColumn("high", high).withColumn(
@@ -189,8 +213,7 @@ def _count_values(df: DataFrame, columns: list[ProfiledColumn], ahead: Row) -> D
     return folded.select(
         "ordinal", "held", "distinct_count", "min_number", "max_number",
         (F.col("low") + F.col("off") / F.col("held")).alias("mean"),
-        F.when(F.col("low").isNotNull() & F.col("median").isNull(), F.raise_error(
-            F.lit("median outside its bracket")).cast("double")).otherwise(F.col("median")).alias("median"),
+        "median",
         F.when(F.col("low").isNotNull() & (F.col("held") > 1), F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("stddev"),
         _time_text(columns, "min").alias("min_time"), _time_text(columns, "max").alias("max_time"),
         F.transform("top", lambda v: F.struct(v["value"].alias("value"), v["n"].alias("n"))).alias("value_counts"))
@@ -208,60 +231,71 @@ def _time_text(columns: list[ProfiledColumn], end: str) -> Column:
     return F.coalesce(out, F.col(f"{end}_moment").cast("string"))
 
 
-def _estimate_values(df: DataFrame, columns: list[ProfiledColumn], ahead: Row) -> DataFrame:
-    """One row per column from aggregates alone: estimated distinct counts and medians.
-    Only words of columns that have few of them are counted one by one."""
-    spark = df.sparkSession
-    aggregates = []
+def _count_exactly(df: DataFrame, columns: list[ProfiledColumn], row_count: int) -> list[Row]:
+    """The statistics per column, one row each."""
+    words = [c for c in columns if c.kind == "categorical"]
+    listed = _maybe_categories(words, _sketches(df, words, distinct=True)) if words else set()
+    rows = {r.ordinal: r for r in _count_values(df, columns, _brackets(df, columns, row_count), listed).collect()}
+    missed = [c for c in columns if c.kind == "numerical" and c.ordinal in rows and rows[c.ordinal].median is None]
+    if missed:
+        again = _count_values(df, missed, _brackets(df, missed, row_count, whole=True), set())
+        rows |= {r.ordinal: r for r in again.collect()}
+    return list(rows.values())
+
+
+def _maybe_categories(words: list[ProfiledColumn], sketched: Row) -> set[int]:
+    return {c.ordinal for c in words if sketched[f"distinct_{c.ordinal}"] <= MAYBE_CATEGORY}
+
+
+def _estimate(df: DataFrame, columns: list[ProfiledColumn]) -> list[Row]:
+    """The statistics per column from aggregates alone: estimated distinct counts and
+    medians. Only the words of columns that have few of them are counted one by one."""
+    sketched = _sketches(df, columns, [0.5], distinct=True)
+    aggregates = [F.count(c.ref).alias(f"held_{c.ordinal}") for c in columns]
     for c in columns:
-        aggregates.append(F.count(c.ref).alias(f"held_{c.ordinal}"))
         if c.kind == "numerical":
             number = c.ref.cast("double")
             aggregates += [f(number).alias(f"{f.__name__}_{c.ordinal}") for f in (F.min, F.max, F.avg, F.stddev_samp)]
         elif c.kind == "temporal":
             aggregates += [f(c.ref).cast("string").alias(f"{f.__name__}_{c.ordinal}") for f in (F.min, F.max)]
     plain = df.agg(*aggregates).first().asDict()
+    words = [c for c in columns if c.kind == "categorical"]
+    few = _maybe_categories(words, sketched)
+    counted = {r.ordinal: r for r in _count_values(df, [c for c in words if c.ordinal in few], {}, few).collect()} if few else {}
 
     def of(c: ProfiledColumn, name: str, kind: str):
         return plain[f"{name}_{c.ordinal}"] if c.kind == kind else None
 
-    estimates = [(
-        c.ordinal, plain[f"held_{c.ordinal}"], ahead[f"distinct_{c.ordinal}"],
-        of(c, "min", "numerical"), of(c, "max", "numerical"), of(c, "avg", "numerical"),
-        ahead[f"at_{c.ordinal}"][0] if c.kind == "numerical" and ahead[f"at_{c.ordinal}"] else None,
-        of(c, "stddev_samp", "numerical"), of(c, "min", "temporal"), of(c, "max", "temporal")) for c in columns]
-    rows = spark.createDataFrame(
-        estimates, "ordinal INT, held BIGINT, estimate BIGINT, min_number DOUBLE, max_number DOUBLE, mean DOUBLE,"
-                   "median DOUBLE, stddev DOUBLE, min_time STRING, max_time STRING")
-    few = [c for c in columns if c.kind == "categorical" and 0 < ahead[f"distinct_{c.ordinal}"] <= MAYBE_CATEGORY]
-    if not few:
-        return rows.withColumnRenamed("estimate", "distinct_count").withColumn(
-            "value_counts", F.lit(None).cast(VALUE_COUNTS))
-    # One row per column on the right, which bounds the broadcast.
-    counted = _count_values(df, few, ahead).select("ordinal", "distinct_count", "value_counts")
-    return rows.join(F.broadcast(counted), "ordinal", "left").withColumn(
-        "distinct_count", F.coalesce("distinct_count", "estimate")).drop("estimate")
-
-
-def _profile_columns(df: DataFrame, columns: list[ProfiledColumn], exact: bool) -> tuple[DataFrame, int]:
-    """The statistics of one batch of columns, and the number of rows of the table."""
-    if exact:
-        ahead = _look_ahead(df, columns, [0.5 - BRACKET, 0.5 + BRACKET], counts=False)
-        return _count_values(df, columns, ahead), ahead.row_count
-    ahead = _look_ahead(df, columns, [0.5], counts=True)
-    return _estimate_values(df, columns, ahead), ahead.row_count
+    rows = []
+    for c in columns:
+        exact, middle = counted.get(c.ordinal), sketched[f"at_{c.ordinal}"] if c.kind == "numerical" else None
+        rows.append(Row(
+            ordinal=c.ordinal, held=plain[f"held_{c.ordinal}"],
+            distinct_count=exact.distinct_count if exact else sketched[f"distinct_{c.ordinal}"],
+            min_number=of(c, "min", "numerical"), max_number=of(c, "max", "numerical"), mean=of(c, "avg", "numerical"),
+            median=middle[0] if middle else None, stddev=of(c, "stddev_samp", "numerical"),
+            min_time=of(c, "min", "temporal"), max_time=of(c, "max", "temporal"),
+            value_counts=exact.value_counts if exact else None))
+    return rows
+
+
+STATISTICS = ("ordinal INT, held BIGINT, distinct_count BIGINT, min_number DOUBLE, max_number DOUBLE, mean DOUBLE,"
+              "median DOUBLE, stddev DOUBLE, min_time STRING, max_time STRING, value_counts " + VALUE_COUNTS)
 
 
 def profile_table(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
-    """The profile of one table. ``exact=False`` estimates distinct counts and medians, so
-    that no value is shuffled except those of columns with few of them."""
-    columns = profiled_columns(df)
-    described = df.sparkSession.createDataFrame(
+    """The profile of one table. It is computed here and now, and what is returned holds a
+    row per column, so it may be used many times over. ``exact=False`` estimates distinct
+    counts and medians, so that no value is shuffled except those of columns with few."""
+    spark, columns = df.sparkSession, profiled_columns(df)
+    described = spark.createDataFrame(
         [(c.ordinal, c.name, _base_type(c.type), c.kind) for c in columns],
         "ordinal INT, column_name STRING, data_type STRING, kind STRING")
-    parts = [_profile_columns(df, batch, exact) for batch in _batches(columns)]
-    stats = reduce(DataFrame.unionByName, [frame for frame, _ in parts])
-    row_count = F.lit(parts[0][1])
+    count = df.count()
+    found = []
+    for batch in _batches(columns):
+        found += _count_exactly(df, batch, count) if exact else _estimate(df, batch)
+    stats, row_count = spark.createDataFrame([tuple(r) for r in found], STATISTICS), F.lit(count)
     categorical = F.col("kind") == "categorical"
     nulls = row_count - F.coalesce(F.col("held"), F.lit(0))
     distinct = F.coalesce(F.col("distinct_count"), F.lit(0))
@@ -284,7 +318,7 @@ def profile_table(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
 
 
 def profile_tables(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:
-    """The profiles of several tables. They look ahead side by side."""
+    """The profiles of several tables, taken side by side."""
     named = sorted(tables.items())
     parts = at_once(named[0][1].sparkSession, lambda item: profile_table(item[1], item[0], exact), named)
     return reduce(DataFrame.unionByName, parts)

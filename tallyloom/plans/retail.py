@@ -27,9 +27,13 @@ def top_selling_products(items: DataFrame, products: DataFrame, categories: Data
     category count as one."""
     sold = items.groupBy("product_id").agg(
         F.sum("quantity").alias("units"), F.sum(_amount()).alias("amount"))
-    return (
+    # Summed once more before the categories join in, since one may hold most products.
+    named = (
         sold.join(products.select("product_id", "product_name", "category_id"), "product_id")
-        .join(categories.select("category_id", "category_name"), "category_id")
+        .groupBy("product_name", "category_id")
+        .agg(F.sum("units").alias("units"), F.sum("amount").alias("amount")))
+    return (
+        named.join(categories.select("category_id", "category_name"), "category_id")
         .groupBy("product_name", "category_name")
         .agg(F.sum("units").alias("units_sold"), F.sum("amount").alias("revenue"))
         .orderBy(F.desc("revenue"), "product_name", "category_name")
@@ -107,11 +111,13 @@ SQL_FUNCTIONS = (
         SELECT product_id, SUM(quantity) AS units, SUM(quantity * unit_price) AS amount
         FROM order_items GROUP BY product_id),
       named AS (
+        SELECT product_name, category_id, SUM(units) AS units, SUM(amount) AS amount
+        FROM sold JOIN products USING (product_id) GROUP BY product_name, category_id),
+      grouped AS (
         SELECT product_name, category_name, SUM(units) AS units_sold, SUM(amount) AS revenue
-        FROM sold JOIN products USING (product_id) JOIN categories USING (category_id)
-        GROUP BY product_name, category_name),
+        FROM named JOIN categories USING (category_id) GROUP BY product_name, category_name),
       placed AS (
-        SELECT *, ROW_NUMBER() OVER (ORDER BY revenue DESC, product_name, category_name) AS place FROM named)
+        SELECT *, ROW_NUMBER() OVER (ORDER BY revenue DESC, product_name, category_name) AS place FROM grouped)
       SELECT product_name, category_name, units_sold, revenue FROM placed WHERE place <= n
     """,
     """

@@ -72,6 +72,20 @@ def test_statistics_against_brute_force(spark):
         assert got[name].stddev == pytest.approx(statistics.stdev(data), rel=1e-9)
 
 
+@pytest.mark.parametrize("errors", [6, 0, -1])
+def test_sampled_brackets(spark, monkeypatch, errors):
+    """Too narrow a bracket misses some medians: they are found from all rows instead."""
+    monkeypatch.setattr(profiles, "SAMPLE_ROWS", 500)
+    monkeypatch.setattr(profiles, "SAMPLE_ERRORS", errors)
+    rng = random.Random(9)
+    rows = [(rng.gauss(0, 1), rng.choice([3, 3, 3, 9, rng.randrange(1000)]), rng.random() if i % 400 == 0 else None) for i in range(20001)]
+    got = columns(profile_table(spark.createDataFrame(rows, "x DOUBLE, hot INT, sparse DOUBLE").repartition(5), "t"))
+    for i, name in enumerate(("x", "hot", "sparse")):
+        values = [r[i] for r in rows if r[i] is not None]
+        assert got[name].median == statistics.median_low(values)
+        assert (got[name].distinct_count, got[name].null_count) == (len(set(values)), len(rows) - len(values))
+
+
 def test_spread_far_from_zero_keeps_its_digits(spark):
     df = spark.createDataFrame([(1e12 + i,) for i in range(5)], "x DOUBLE")
     assert columns(profile_table(df, "t"))["x"].stddev == 1.5811
