@@ -32,6 +32,8 @@ TOP_K = 4
 
 # Questions are sent to every task only up to this many numbers (64 MB as doubles).
 SENT_NUMBERS = 8_000_000
+# Scores that a task holds at a time.
+HELD_SCORES = 4_000_000
 # Rows per block when vectors meet in a task.
 BLOCK_ROWS = 2048
 
@@ -104,13 +106,14 @@ def _send_queries(index: DataFrame, asked: DataFrame, k: int, schema: str) -> Da
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = sent.value
+        step = max(k, HELD_SCORES // len(ids))
         held = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            scores = np.round(_unit_rows(batch["v"]) @ matrix.T, SCORE_DIGITS)
-            hits = _best(scores, pd.Index(batch["hit_id"].to_pandas()), ids, k)
-            held = hits if held is None else _cut(pd.concat([held, hits]), k)
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                scores = np.round(_unit_rows(part["v"]) @ matrix.T, SCORE_DIGITS)
+                hits = _best(scores, pd.Index(part["hit_id"].to_pandas()), ids, k)
+                held = hits if held is None else _cut(pd.concat([held, hits]), k)
         if held is not None:
             yield pa.RecordBatch.from_pandas(held, preserve_index=False)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.models import ExtractiveAnswer
 from tallyloom.operators import context, profile as profiles, report
+from tallyloom.session import at_once
 from tallyloom.sources import catalog, files, writers
 
 # The steps of onboarding, in order.
@@ -54,8 +55,7 @@ def onboard(spark: SparkSession, dataset: Dataset, skip: tuple[str, ...] = (), d
             return done
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{dataset.database}`")
         loaded = files.load_csv_folder(spark, found)
-        for table, (df, _) in loaded.items():
-            writers.save_table(df, f"{dataset.database}.{table}")
+        at_once(spark, lambda item: writers.save_table(item[1][0], f"{dataset.database}.{item[0]}"), loaded.items())
         done.results["ingest"] = writers.reconcile(
             {t: spark.table(f"{dataset.database}.{t}") for t in loaded}, {t: n for t, (_, n) in loaded.items()})
     if dry_run:

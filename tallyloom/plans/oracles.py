@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from tallyloom.functions.vectors import NORM_GUARD, SCORE_DIGITS
 from tallyloom.operators import context
-from tallyloom.plans import catalogue
+from tallyloom.plans import catalogue, retail
 from tallyloom.sources import pages
 
 # The given tables: column -> type, in order.
@@ -420,6 +420,19 @@ scored AS (
 hits AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, turn_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, score, role AS label, text FROM hits JOIN turns USING (turn_id) WHERE rank <= 3"""
 
+CLASSIFIED = f"""{STOCK},
+rows_in AS (
+  SELECT *, 'Product: ' || product_name || ', quantity on hand: ' || quantity_on_hand || ', reorder level: ' || reorder_level AS text
+  FROM stock),
+{vectors_sql('tv', 'SELECT DISTINCT text AS id, text AS content FROM rows_in')},
+labels_in AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{label}')" for i, label in enumerate(retail.URGENCY))}) AS l(place, label)),
+{vectors_sql('lv', 'SELECT label AS id, label AS content FROM labels_in')},
+scored AS (
+  SELECT texts.id, place, label, COALESCE((SELECT SUM(tv.w * lv.w) FROM tv JOIN lv USING (bucket) WHERE tv.id = texts.id AND lv.id = label), 0) AS score
+  FROM (SELECT DISTINCT id FROM tv) AS texts CROSS JOIN labels_in),
+best AS (SELECT id, arg_max(label, (score, -place)) AS restock_urgency FROM scored GROUP BY id)
+SELECT product_name, quantity_on_hand, reorder_level, text, restock_urgency FROM rows_in JOIN best ON id = text"""
+
 VECTORS = "vecs AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)"
 FIRSTS = "firsts AS (SELECT label, MIN(vec_id) AS query_id, arg_min(v, vec_id) AS q FROM vecs GROUP BY label)"
 
@@ -462,7 +475,7 @@ def all_oracles() -> dict[str, str]:
         "top_selling_products": TOP_SELLING, "sql_top_selling_products": TOP_SELLING,
         "customer_order_history": ORDER_HISTORY, "sql_customer_order_history": ORDER_HISTORY,
         "monthly_revenue": MONTHLY_REVENUE, "sql_monthly_revenue": MONTHLY_REVENUE,
-        "low_stock_products": LOW_STOCK, "sql_low_stock_products": LOW_STOCK, "restock_urgency": URGENCY,
+        "low_stock_products": LOW_STOCK, "sql_low_stock_products": LOW_STOCK, "restock_urgency": URGENCY, "restock_classified": CLASSIFIED,
         "filter_by_threshold": "SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM lineitem "
                                "WHERE l_extendedprice >= 100000 ORDER BY ALL LIMIT 100",
         "readonly_sql": catalogue.READONLY_QUERY.strip().rstrip(";"),

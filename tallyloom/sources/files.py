@@ -12,6 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyloom.functions.identifiers import rename_clean, unique_identifiers
+from tallyloom.session import at_once
 
 # Which files of a folder hold no table.
 SKIP_WORDS = ("dictionary", "readme", "background", "logo", "data_dict")
@@ -139,12 +140,12 @@ def load_csv_folder(spark: SparkSession, discovered: DataFrame) -> dict[str, tup
     if not files:
         raise ValueError("No CSV files to load")
     facts = sniffed(spark, [f.path for f in files])
-    out = {}
-    for file, table in zip(files, table_names([f.file for f in files])):
+
+    def load(file) -> tuple[DataFrame, int]:
         fact = facts[file.path]
-        df = rename_clean(read_csv(spark, file.path, fact.encoding, fact.multi_line))
-        out[table] = (df, count_csv_rows(spark, file.path, fact))
-    return out
+        return rename_clean(read_csv(spark, file.path, fact.encoding, fact.multi_line)), count_csv_rows(spark, file.path, fact)
+
+    return dict(zip(table_names([f.file for f in files]), at_once(spark, load, files)))
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType, blank_as_null: set[str] = frozenset()) -> DataFrame:

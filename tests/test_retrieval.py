@@ -43,6 +43,7 @@ def test_expressions(spark):
 def test_batch_hits(spark, clustered, monkeypatch, sent):
     monkeypatch.setattr(retrieval, "SENT_NUMBERS", sent)  # 0: questions and vectors meet in blocks
     monkeypatch.setattr(retrieval, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(retrieval, "HELD_SCORES", 500)
     data = np.concatenate([clustered, clustered[:100]])  # copies tie, the smaller id wins
     df = vectors(spark, data).repartition(5)
     asked = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(clustered[:30])], "query_id INT, embedding ARRAY<FLOAT>")
