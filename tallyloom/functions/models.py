@@ -52,7 +52,8 @@ class HashingEncoder:
         out = np.zeros((len(texts), self.dim))
         for row, text in zip(out, texts):
             buckets = [self.bucket(w, self.dim) for w in WORD.findall((text or "").lower())]
-            np.add.at(row, buckets, 1.0)
+            if buckets:
+                row += np.bincount(buckets, minlength=self.dim)
         length = np.linalg.norm(out, axis=1, keepdims=True)
         return (out / np.where(length == 0, 1.0, length)).astype(np.float32)
 

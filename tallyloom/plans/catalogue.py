@@ -310,13 +310,14 @@ def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         identifiers.id_like(identifiers.identifier(F.col("raw"))).alias("id_like"))
 
 
-def _exported(spark: SparkSession, sf_dir: str, table: str, df: DataFrame) -> str:
-    """A table as a folder of CSV files with headers to be cleaned."""
-    key = (spark.sparkContext.applicationId, sf_dir, f"csv {table}")
+def _exported(spark: SparkSession, sf_dir: str, table: str, plain: bool = False) -> str:
+    """A table as a folder of CSV files, with headers to be cleaned unless plain."""
+    key = (spark.sparkContext.applicationId, sf_dir, f"csv {table} {plain}")
     if key not in _staged:
         path = shared_dir(spark, "csv")
-        renamed = df.toDF(*[f" {c.replace('_', ' ').title()}! " for c in df.columns])
-        renamed.write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(
+        df = read(spark, sf_dir, table)
+        names = df.columns if plain else [f" {c.replace('_', ' ').title()}! " for c in df.columns]
+        df.toDF(*names).write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(
             path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         _staged[key] = path
     return _staged[key]
@@ -324,7 +325,7 @@ def _exported(spark: SparkSession, sf_dir: str, table: str, df: DataFrame) -> st
 
 def csv_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events written as CSV and read back under cleaned names, with inferred types."""
-    path = _exported(spark, sf_dir, "events", read(spark, sf_dir, "events"))
+    path = _exported(spark, sf_dir, "events")
     df = identifiers.rename_clean(files.read_csv(spark, path))
     return df.withColumn("ts", F.col("ts").cast("timestamp_ntz").cast("string"))
 
@@ -333,16 +334,27 @@ def row_count_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables written as CSV and loaded again, against the rows counted in the raw files."""
     loaded, source = {}, {}
     for table in ("customer", "orders", "lineitem", "events", "conversations"):
-        path = _exported(spark, sf_dir, table, read(spark, sf_dir, table))
-        facts = files.sniff(spark, [path]).agg(F.bool_or("multi_line").alias("multi_line"), F.sum("lines").alias("lines"),
-                                               F.count(F.lit(1)).alias("files")).first()
-        multi_line = bool(facts.multi_line)
-        loaded[table] = identifiers.rename_clean(files.read_csv(spark, path, multi_line=multi_line))
-        source[table] = (files.read_csv(spark, path, multi_line=True, infer=False).count() if multi_line
-                         else facts.lines - facts.files)
+        path = _exported(spark, sf_dir, table)
+        facts = files.sniff_folder(spark, path)
+        loaded[table] = identifiers.rename_clean(files.read_csv(spark, path, facts.encoding, facts.multi_line))
+        source[table] = files.count_csv_rows(spark, path, facts)
     return writers.reconcile(loaded, source)
 
 
+def csv_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load of the exported conversations would do, over all their files."""
+    found = files.discover_files(spark, _exported(spark, sf_dir, "conversations"))
+    return files.preview(spark, found).groupBy("position", "source_column", "clean_column").agg(
+        F.sum("row_count").alias("row_count"))
+
+
+def typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as CSV and read back under their declared schema."""
+    schema = read(spark, sf_dir, "orders").schema
+    df = files.read_typed_csv(spark, _exported(spark, sf_dir, "orders", plain=True), schema, {"o_orderpriority"})
+    return df.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+
+
 # Documents and vectors ---------------------------------------------------------------
 
 def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -447,7 +459,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = chunk_vectors(spark, sf_dir)
+    vectors = catalog.not_empty(chunk_vectors(spark, sf_dir), "The chunk table")
     asked = questions(spark, sf_dir).withColumn("embedding", models.embed(F.col("text")))
     hits = retrieval.batch_hits(vectors, asked, id_column="chunk_id")
     return retrieval.hit_rows(hits, vectors)
@@ -516,7 +528,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         restock_classified, filter_by_threshold, readonly_sql, table_inventory, table_profile, inferred_keys,
         declared_keys, top_values_all_columns, value_counts, monthly_trend, chart_columns, report_datasets,
         question_columns, example_questions, schema_text, data_dictionary, fk_violations, pk_violations, snapshot_diff,
-        clean_names, csv_reload, row_count_reconciliation, page_metadata, page_chunks, spaced_chunks,
+        clean_names, csv_reload, csv_preview, typed_csv, row_count_reconciliation, page_metadata, page_chunks, spaced_chunks,
         chunk_length_histogram, source_count, hash_embed, cosine_topk, cosine_topk_batch, label_vote, similar_pairs,
         score_pairs, ann_topk, pca_2d, kmeans_labels, search_documents, distinct_page_hits, context_assembly,
         search_text, prompt_rows, generate_answer, incremental_sync, distinct_labels, labelled_ranking)}

@@ -292,6 +292,10 @@ SELECT raw, identifier, {_identifier('stem')} AS table_name,
 CSV_RELOAD = """SELECT CAST(event_id AS INTEGER) AS event_id, CAST(ts AS VARCHAR) AS ts, CAST(user_id AS INTEGER) AS user_id,
   event_type, value, props FROM events"""
 
+CSV_PREVIEW = _union([
+    f"SELECT {i} AS position, ' {name.replace('_', ' ').title()}! ' AS source_column, '{name}' AS clean_column, COUNT(*) AS row_count FROM conversations"
+    for i, name, _, _ in _columns("conversations")])
+
 RECONCILIATION = _union([
     f"SELECT '{t}' AS table_name, COUNT(*) AS loaded_rows, COUNT(*) AS source_rows, 'OK' AS status FROM {t}"
     for t in ("customer", "orders", "lineitem", "events", "conversations")])
@@ -486,7 +490,8 @@ def all_oracles() -> dict[str, str]:
         "question_columns": f"WITH {QUESTIONS}\nSELECT * FROM picked", "example_questions": EXAMPLE_QUESTIONS,
         "schema_text": SCHEMA_TEXT, "data_dictionary": DATA_DICTIONARY, "fk_violations": FK_VIOLATIONS,
         "pk_violations": PK_VIOLATIONS, "snapshot_diff": SNAPSHOT_DIFF, "clean_names": CLEAN_NAMES,
-        "csv_reload": CSV_RELOAD, "row_count_reconciliation": RECONCILIATION, "page_metadata": METADATA,
+        "csv_reload": CSV_RELOAD, "csv_preview": CSV_PREVIEW,
+        "typed_csv": "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders", "row_count_reconciliation": RECONCILIATION, "page_metadata": METADATA,
         "chunk_documents": CHUNKS, "page_chunks": f"WITH RECURSIVE {chunks_sql(PAGES)}\nSELECT * FROM chunks",
         "spaced_chunks": f"WITH RECURSIVE {chunks_sql(DOCUMENTS, min_advance=True)}\nSELECT * FROM chunks",
         "chunk_length_histogram": HISTOGRAM,

@@ -71,7 +71,16 @@ def sniff(spark: SparkSession, paths: list[str]) -> DataFrame:
         (F.trim(as_latin1) != "").alias("filled"))
     encoding = F.when(F.bool_and("utf8"), UTF8).when(F.bool_or("undefined"), LATIN1).otherwise(CP1252)
     return lines.groupBy("path").agg(
-        encoding.alias("encoding"), F.bool_or("odd").alias("multi_line"), F.count_if("filled").alias("lines"))
+        encoding.alias("encoding"), F.bool_or("odd").alias("multi_line"), F.count_if("filled").alias("lines"), F.lit(1).alias("files"))
+
+
+def sniff_folder(spark: SparkSession, path: str) -> T.Row:
+    """The facts of a file, or of a folder of files that make up one table: encoding,
+    multi_line, lines and files."""
+    facts = sniff(spark, [path]).agg(
+        F.max_by("encoding", F.col("encoding") != UTF8).alias("encoding"), F.bool_or("multi_line").alias("multi_line"),
+        F.sum("lines").alias("lines"), F.count(F.lit(1)).alias("files")).first()
+    return facts if facts.files else T.Row(encoding=UTF8, multi_line=False, lines=0, files=0)
 
 
 def _from_c1(text: Column) -> Column:
@@ -93,10 +102,10 @@ def read_csv(spark: SparkSession, path: str, encoding: str = UTF8, multi_line: b
 
 
 def count_csv_rows(spark: SparkSession, path: str, facts) -> int:
-    """Data rows of a file, counted apart from the typed load: its filled lines less the
-    header, or parsed as text where values span lines."""
+    """Data rows of a file or folder, counted apart from the typed load: its filled lines
+    less the headers, or parsed as text where values span lines."""
     if not facts.multi_line:
-        return max(facts.lines - 1, 0)
+        return max(facts.lines - facts.files, 0)
     return read_csv(spark, path, facts.encoding, True, infer=False).count()
 
 
@@ -106,7 +115,7 @@ def sniffed(spark: SparkSession, paths: list[str]) -> dict[str, T.Row]:
         return re.sub("^file:/+", "/", path)
 
     facts = {plain(r.path): r for r in sniff(spark, paths).collect()}
-    blank = T.Row(encoding=UTF8, multi_line=False, lines=0)
+    blank = T.Row(encoding=UTF8, multi_line=False, lines=0, files=1)
     return {p: facts.get(plain(p), blank) for p in paths}
 
 
@@ -149,10 +158,10 @@ def load_csv_folder(spark: SparkSession, discovered: DataFrame) -> dict[str, tup
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType, blank_as_null: set[str] = frozenset()) -> DataFrame:
-    """A CSV file under a declared schema. Blank means null only in the listed columns;
+    """A CSV file, or a folder of them, under a declared schema. Blank means null only in the listed columns;
     booleans are true for the word true in any case, and false for everything else."""
-    multi_line = sniffed(spark, [path])[path].multi_line
-    text = read_csv(spark, path, multi_line=multi_line, infer=False)
+    facts = sniff_folder(spark, path)
+    text = read_csv(spark, path, facts.encoding, facts.multi_line, infer=False)
 
     def coerced(field: T.StructField) -> Column:
         value = F.col(f"`{field.name}`")
