@@ -38,7 +38,7 @@ def chunk_pages(pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_O
 
         for batch in batches:
             for file, page, text in zip(*(column.to_pylist() for column in batch.columns)):
-                chunks = (text[a:b].strip(" ") for a, b in cut_spans(text, size, overlap, min_advance))
+                chunks = (text[a:b].strip(" ") for a, b in cut_spans(text or "", size, overlap, min_advance))
                 for index, chunk in enumerate(c for c in chunks if c):
                     out.append((file, page, index, chunk))
                     held += len(chunk)
@@ -48,9 +48,8 @@ def chunk_pages(pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_O
         if out:
             yield flush()
 
-    filled = pages.select("source_file", "page_number", collapse_whitespace(F.col("text")).alias("text")).where(
-        F.col("text") != "")
-    rows = filled.mapInArrow(cut, "source_file STRING, page_number INT, chunk_index INT, content STRING")
+    rows = pages.select("source_file", "page_number", collapse_whitespace(F.col("text")).alias("text")).mapInArrow(
+        cut, "source_file STRING, page_number INT, chunk_index INT, content STRING")
     key = chunk_key(F.col("source_file"), F.col("page_number"), F.col("chunk_index"))
     return rows.select(key.alias("chunk_id"), *names)
 

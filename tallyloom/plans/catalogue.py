@@ -295,11 +295,11 @@ def pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as they stood at the start of 2001, against those kept since 1996 with open
     ones since closed."""
-    table = read(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
-    old = table.where(F.col("o_orderdate") < "2001")
-    new = table.where(F.col("o_orderdate") >= "1996").withColumn(
+    table, date = read(spark, sf_dir, "orders"), F.col("o_orderdate")
+    old = table.where(date < F.lit("2001-01-01").cast("timestamp_ntz"))
+    new = table.where(date >= F.lit("1996-01-01").cast("timestamp_ntz")).withColumn(
         "o_orderstatus", F.when(F.col("o_orderstatus") == "O", "F").otherwise(F.col("o_orderstatus")))
-    return constraints.snapshot_diff(old, new, ["o_orderkey"])
+    return constraints.snapshot_diff(old, new, ["o_orderkey"]).withColumn("o_orderdate", date.cast("string"))
 
 
 def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
