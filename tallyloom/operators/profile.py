@@ -279,51 +279,55 @@ def _estimate(df: DataFrame, columns: list[ProfiledColumn]) -> list[Row]:
     return rows
 
 
-STATISTICS = ("ordinal INT, held BIGINT, distinct_count BIGINT, min_number DOUBLE, max_number DOUBLE, mean DOUBLE,"
-              "median DOUBLE, stddev DOUBLE, min_time STRING, max_time STRING, value_counts " + VALUE_COUNTS)
+STATISTICS = ("held BIGINT, distinct_count BIGINT, min_number DOUBLE, max_number DOUBLE, mean DOUBLE, median DOUBLE,"
+              "stddev DOUBLE, min_time STRING, max_time STRING, value_counts " + VALUE_COUNTS)
+NO_VALUES = (0, 0, *[None] * 8)
+COLLECTED = ("table_name STRING, ordinal INT, column_name STRING, data_type STRING, kind STRING, row_count BIGINT,"
+             "column_count INT," + STATISTICS)
+
+
+def _collected(df: DataFrame, table: str, exact: bool) -> list[tuple]:
+    """What is known of each column of a table, one row per column. A column without a single
+    value has no statistics."""
+    columns, count = profiled_columns(df), df.count()
+    found = {}
+    for batch in _batches(columns):
+        rows = _count_exactly(df, batch, count) if exact else _estimate(df, batch)
+        found |= {r.ordinal: tuple(r)[1:] for r in rows}
+    return [
+        (table, c.ordinal, c.name, _base_type(c.type), c.kind, count, len(columns), *found.get(c.ordinal, NO_VALUES))
+        for c in columns]
 
 
 def profile_table(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
     """The profile of one table. It is computed here and now, and what is returned holds a
     row per column, so it may be used many times over. ``exact=False`` estimates distinct
     counts and medians, so that no value is shuffled except those of columns with few."""
-    spark, columns = df.sparkSession, profiled_columns(df)
-    described = spark.createDataFrame(
-        [(c.ordinal, c.name, _base_type(c.type), c.kind) for c in columns],
-        "ordinal INT, column_name STRING, data_type STRING, kind STRING")
-    count = df.count()
-    found = []
-    for batch in _batches(columns):
-        found += _count_exactly(df, batch, count) if exact else _estimate(df, batch)
-    stats, row_count = spark.createDataFrame([tuple(r) for r in found], STATISTICS), F.lit(count)
-    categorical = F.col("kind") == "categorical"
-    nulls = row_count - F.coalesce(F.col("held"), F.lit(0))
-    distinct = F.coalesce(F.col("distinct_count"), F.lit(0))
+    return profile_tables({table: df}, exact)
+
+
+def profile_tables(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:
+    """The profiles of several tables, taken side by side."""
+    named = sorted(tables.items())
+    spark = named[0][1].sparkSession
+    rows = [row for part in at_once(spark, lambda item: _collected(item[1], item[0], exact), named) for row in part]
+    categorical, distinct = F.col("kind") == "categorical", F.col("distinct_count")
+    nulls = F.col("row_count") - F.col("held")
     many = categorical & (distinct > CATEGORY_LIMIT)
     note = F.concat(
-        distinct.cast("string"), F.lit(" unique values across "), row_count.cast("string"),
+        distinct.cast("string"), F.lit(" unique values across "), F.col("row_count").cast("string"),
         F.lit(" rows; too many to list (an identifier or free text)"))
-    # A row per column on either side. A column without a single value has no row in stats.
-    profile = described.join(F.broadcast(stats), "ordinal", "left").select(
-        F.lit(table).alias("table_name"), "ordinal", "column_name", "data_type", "kind",
-        row_count.cast("bigint").alias("row_count"), F.lit(len(columns)).alias("column_count"),
-        nulls.alias("null_count"), percent(nulls, row_count).alias("null_pct"), distinct.alias("distinct_count"),
+    listed = F.coalesce(F.col("value_counts"), F.array().cast(VALUE_COUNTS))
+    profile = spark.createDataFrame(rows, COLLECTED).select(
+        "table_name", "ordinal", "column_name", "data_type", "kind", "row_count", "column_count",
+        nulls.alias("null_count"), percent(nulls, F.col("row_count")).alias("null_pct"), "distinct_count",
         "min_number", "max_number", F.round("mean", 4).alias("mean"), "median",
         F.round("stddev", 4).alias("stddev"), "min_time", "max_time",
-        F.when(categorical, many).alias("high_cardinality"),
-        F.when(many, note).alias("note"),
-        F.when(categorical & ~many, F.coalesce(F.col("value_counts"), F.array().cast(VALUE_COUNTS)))
-        .alias("value_counts"))
+        F.when(categorical, many).alias("high_cardinality"), F.when(many, note).alias("note"),
+        F.when(categorical & ~many, listed).alias("value_counts"))
     return _mark_inferred_key(profile, exact)
 
 
-def profile_tables(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:
-    """The profiles of several tables, taken side by side."""
-    named = sorted(tables.items())
-    parts = at_once(named[0][1].sparkSession, lambda item: profile_table(item[1], item[0], exact), named)
-    return reduce(DataFrame.unionByName, parts)
-
-
 def _mark_inferred_key(profile: DataFrame, exact: bool) -> DataFrame:
     """Flag the column that could serve as primary key: never null, never repeated, an
     id-like name first, then the leftmost. The window holds a row per column. Estimates
