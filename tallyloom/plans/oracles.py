@@ -148,7 +148,7 @@ FROM profile LEFT JOIN keys ON t = table_name AND c = column_name"""
 
 def _all_top_values() -> str:
     parts = [
-        f"""SELECT '{t}' AS table_name, '{name}' AS column_name, row_number() OVER (ORDER BY n DESC, value) AS place, value, n
+        f"""SELECT '{t}' AS table_name, '{name}' AS column_name, CAST(row_number() OVER (ORDER BY n DESC, value) AS INTEGER) AS place, value, n
 FROM ({_top_values(t, name)}) WHERE (SELECT COUNT(DISTINCT {name}) <= 50 FROM {t})"""
         for t in sorted(COLUMNS) for _, name, _, kind in _columns(t) if kind == "categorical"]
     return _union(parts)
@@ -168,7 +168,7 @@ MONTHLY_TREND = _union([
 CHARTS = f"""{PROFILE},
 charts AS (
   SELECT table_name, column_name, chart, place FROM (
-    SELECT *, row_number() OVER (PARTITION BY table_name, chart ORDER BY ordinal) AS place FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY table_name, chart ORDER BY ordinal) AS INTEGER) AS place FROM (
       SELECT *, CASE WHEN kind = 'categorical' AND NOT high_cardinality AND NOT is_key AND distinct_count >= 2 THEN 'top'
                      WHEN kind = 'temporal' THEN 'trend' END AS chart FROM profile) WHERE chart IS NOT NULL)
   WHERE place <= CASE WHEN chart = 'top' THEN 2 ELSE 1 END)"""
@@ -202,7 +202,7 @@ asked AS (
   UNION ALL SELECT row_count, table_name, 1, 'What''s the range and average ' || measure || ' in `' || table_name || '`?' FROM picked
   UNION ALL SELECT row_count, table_name, 2, 'How does the row count in `' || table_name || '` trend over ' || moment || '?' FROM picked
   UNION ALL SELECT row_count, table_name, 3, 'How many rows fall into each ' || category || ' category in `' || table_name || '`?' FROM picked)
-SELECT row_number() OVER (ORDER BY row_count DESC, table_name, template) AS place, question
+SELECT CAST(row_number() OVER (ORDER BY row_count DESC, table_name, template) AS INTEGER) AS place, question
 FROM asked WHERE question IS NOT NULL ORDER BY 1 LIMIT 6"""
 
 SCHEMA_TEXT = f"""WITH {PROFILE}, tops AS ({_all_top_values()}),
@@ -344,7 +344,7 @@ CHUNKS = f"WITH RECURSIVE {chunks_sql(DOCUMENTS)}\nSELECT * FROM chunks"
 HISTOGRAM = f"""WITH RECURSIVE {chunks_sql(DOCUMENTS)},
 lengths AS (SELECT length(content) AS chars, MIN(length(content)) OVER () AS low, MAX(length(content)) OVER () AS high FROM chunks)
 SELECT CAST(least(floor((chars - low) / greatest((high - low) / 20, 1e-9)), 19) AS INTEGER) AS bin,
-  MIN(chars) AS from_chars, MAX(chars) AS to_chars, COUNT(*) AS n FROM lengths GROUP BY 1"""
+  CAST(MIN(chars) AS INTEGER) AS from_chars, CAST(MAX(chars) AS INTEGER) AS to_chars, COUNT(*) AS n FROM lengths GROUP BY 1"""
 
 METADATA = f"""SELECT url AS source_file,
   COALESCE(NULLIF(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), ''), '{pages.NOT_SET}') AS title,
@@ -363,7 +363,7 @@ def vectors_sql(name: str, source: str) -> str:
 
 
 HASH_EMBED = f"""WITH {vectors_sql('vec', 'SELECT doc_id AS id, text AS content FROM documents')}
-SELECT id AS doc_id, bucket, round(w, 5) AS weight FROM vec"""
+SELECT id AS doc_id, CAST(bucket AS INTEGER) AS bucket, round(w, 5) AS weight FROM vec"""
 
 SEARCH = f"""{chunks_sql(DOCUMENTS)},
 {vectors_sql('cv', 'SELECT chunk_id AS id, content FROM chunks')},
