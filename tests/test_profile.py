@@ -53,6 +53,16 @@ def test_all_types(spark):
     assert got["word"].value_counts[0].value == "w0" and got["word"].value_counts[0].n == 15
 
 
+def test_odd_names_and_values(spark):
+    df = spark.sql("""
+        SELECT CAST(x AS DOUBLE) AS `a.b``c`, INTERVAL '1' DAY * i AS gap, named_struct('k', i % 2) AS `s p`
+        FROM VALUES ('NaN', 1), ('NaN', 2), ('-0.0', 3), ('0.0', 4), ('Infinity', 5) AS t(x, i)""")
+    got = columns(profile_table(df, "t"))
+    assert {c: r.distinct_count for c, r in got.items()} == {"a.b`c": 3, "gap": 5, "s p": 2}
+    assert got["a.b`c"].min_number == 0.0 and got["gap"].kind == "categorical"
+    assert [(v.value, v.n) for v in got["s p"].value_counts] == [('{"k":1}', 3), ('{"k":0}', 2)]
+
+
 def test_empty_table(spark):
     got = columns(profile_table(spark.createDataFrame([], "id INT, word STRING"), "t"))
     assert [(r.row_count, r.null_pct, r.distinct_count, r.is_inferred_primary_key) for r in got.values()] == [(0, 0.0, 0, False)] * 2
