@@ -1,6 +1,7 @@
 import pytest
 
 from tallyloom.operators import report
+from tallyloom.operators.profile import with_declared_keys
 
 FIELDS = ("table_name STRING, ordinal INT, column_name STRING, kind STRING, row_count BIGINT, column_count INT,"
           "distinct_count BIGINT, null_pct DOUBLE, min_number DOUBLE, max_number DOUBLE, mean DOUBLE, median DOUBLE, stddev DOUBLE,"
@@ -84,3 +85,11 @@ def test_data_dictionary(profile):
         "| id (PK, inferred) | numerical | 0.00% | 9 | min=1.0, max=9.0, mean=5.25, median=5.0, stddev=2.0 |",
         "| mode | categorical | 0.00% | 3 | a (3), b (2) |", "| note | categorical | 0.00% | 90 | a lot |",
         "| day | temporal | 0.00% | 5 | range: 2024-01-01 to 2024-02-01 |"]
+
+
+def test_data_dictionary_of_declared_keys(spark, profile):
+    p = with_declared_keys(profile(orders=[("order_id", "numerical", 9, "pk"), ("customer_id", "numerical", 9)]),
+                           {"orders": ["order_id"]}, {"orders": {"customer_id": "customers.customer_id"}})
+    lines = report.data_dictionary(p).first().section.split("\n")
+    assert lines[2:4] == ["- Primary key: `order_id`", "- Foreign keys: `customer_id` -> `customers.customer_id`"]
+    assert [line.split(" | ")[0] for line in lines[-2:]] == ["| order_id (PK)", "| customer_id (FK)"]
