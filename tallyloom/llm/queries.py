@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import mixing, quality, secrets, sharding
+from tallyloom.llm import bpe, mixing, packing, quality, secrets, sharding
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -21,6 +28,10 @@ def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
