@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import bpe, mixing, packing, quality, secrets, sharding
+from tallyloom.llm import bpe, language, mixing, packing, quality, secrets, sharding
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -32,6 +32,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Predictions see the id and the text alone; lang only teaches.
+    return language.identify(read(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select(
+        "row.doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
