@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import bpe, language, mixing, packing, quality, secrets, sharding
+from tallyloom.llm import bpe, language, minhash, mixing, packing, quality, secrets, sharding
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -20,6 +20,10 @@ def op2_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), width=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
