@@ -35,6 +35,23 @@ FROM p JOIN b ON p.source IS NOT DISTINCT FROM b.source
 """
 
 
+OP1 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (
+  SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.98),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, least(v.vec_id, coalesce(least.b, v.vec_id)) AS component_id,
+       v.vec_id = least(v.vec_id, coalesce(least.b, v.vec_id)) AS kept
+FROM v LEFT JOIN n ON n.a = v.vec_id LEFT JOIN least ON least.a = v.vec_id
+"""
+
 OP3 = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w
@@ -56,4 +73,4 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.a = w.doc_id
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op3_minhash": OP3, "op4_mix_sources": OP4}
+    return {"op1_pq_duplicates": OP1, "op3_minhash": OP3, "op4_mix_sources": OP4}

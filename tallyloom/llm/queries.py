@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import bpe, language, minhash, mixing, packing, quality, secrets, sharding
+from tallyloom.llm import bpe, language, minhash, mixing, packing, pq, quality, secrets, sharding
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -16,6 +16,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_pq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.near_duplicates(read(spark, sf_dir, "embeddings")).drop("label")
+
+
 def op2_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
