@@ -17,9 +17,9 @@ from tallyloom.session import materialize, spread
 # case out of a million (0.556**24), one at 0.5 shares a band in about half of all cases.
 PERMUTATIONS, BANDS = 60, 24
 ROWS = 2 * PERMUTATIONS // BANDS
-# Members of a bucket compared in one task, and the share of equal signature bytes under which a pair is not compared
-# on its full sets: 4.6 standard deviations below 0.85.
-BLOCK, ESTIMATE = 256, 0.70
+# Members of a bucket compared in one task, and how far the share of equal signature bytes may lie below the similarity
+# asked for before a pair is not compared on its full sets: at least four standard deviations.
+BLOCK, MARGIN = 256, 0.15
 
 _random = np.random.default_rng(7)
 _FACTORS = _random.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
@@ -125,7 +125,8 @@ def _block_checker(width: int, percent: int):
             others = right[(cls[right] > cls[i]) | (block[right] != block[i])]
             others = others[(comp[others] != comp[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
             alike = (marks[others] == marks[i]).mean(axis=1) if len(others) else np.zeros(0)
-            pairs += [(s, i, j) for s, j in zip(alike[alike >= ESTIMATE].tolist(), others[alike >= ESTIMATE].tolist())]
+            likely = alike >= percent / 100 - MARGIN
+            pairs += [(s, i, j) for s, j in zip(alike[likely].tolist(), others[likely].tolist())]
         found = []
         for _, i, j in sorted(pairs, key=lambda p: -p[0]):
             x, y = top(comp[i]), top(comp[j])

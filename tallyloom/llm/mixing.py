@@ -40,7 +40,7 @@ def targets(sizes: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: str = "mix",
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken.
+    """One row per document: doc_id, source, text_hash, size, source_size, target, taken.
 
     Documents of a source are sorted by a hash of their id, and the source's budget (its target, rounded
     down) is cut from the running sum of their word counts: whole epochs first, then a prefix of the
@@ -48,12 +48,13 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     gives at most ceil(most) times its words.
 
     Null text has size 0 and gives nothing; null sources are one source, the last; null ids hash like an
-    empty id. Rows that tie in id and size are alike. An empty table gives no rows. Other columns are
+    empty id. Equal rows tie, and are alike. An empty table gives no rows. Other columns are
     ignored, whatever their names."""
-    narrow = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words_in(F.col(text_col)).alias("size"))
+    narrow = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words_in(F.col(text_col)).alias("size"),
+                                     F.xxhash64(F.col(text_col)).alias("text_hash"))
                          .withColumn("key", random_key(F.col("doc_id"), seed)), "sizes")
-    order = [F.col("source").asc_nulls_last(), F.col("key"), F.col("doc_id"), F.col("size")]
-    summed = materialize(running(narrow, order, "size").select("doc_id", "source", "size", "start"), "summed")
+    order = [F.col("source").asc_nulls_last(), F.col("key"), F.col("doc_id"), F.col("size"), F.col("text_hash")]
+    summed = materialize(running(narrow, order, "size").select("doc_id", "source", "text_hash", "size", "start"), "summed")
     per_source = summed.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("start").alias("source_start"))
     goals = targets(per_source.select("source", "source_size"), weights, share, most)
     budget = (goals.withColumnsRenamed({"source": "_s"})
@@ -64,7 +65,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     before = F.col("start") - F.col("source_start")
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - before))
     return (summed.join(budget, F.col("source").eqNullSafe(F.col("_s")))
-            .select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).cast("long").alias("taken")))
+            .select("doc_id", "source", "text_hash", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).cast("long").alias("taken")))
 
 
 def repeated(text: Column, size: Column, taken: Column) -> Column:

@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import bpe, language, minhash, mixing, packing, pq, quality, secrets, sharding
+from tallyloom.llm import bpe, language, minhash, mixing, packing, pq, quality, secrets, sharding, urls
 
 TOKENIZER = "byte_bpe_50k.json"
+RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -46,6 +47,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), RULES)
+
+
 def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
