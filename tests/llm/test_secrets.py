@@ -1,0 +1,69 @@
+import math
+import random
+import re
+import string
+
+from cases import ODD, documents, words
+from pyspark.sql import functions as F
+from tallyloom.llm import secrets
+
+ASSIGN = re.compile(r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def entropy(word, window=20):
+    def bits(w):
+        return -sum(w.count(c) / window * math.log2(w.count(c) / window) for c in set(w))
+    return max(bits(word[i:i + window]) for i in range(len(word) - window + 1))
+
+
+def brute(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    found += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    more = []
+    for name, (pattern, least) in secrets.CLASSES.items():
+        for m in re.finditer(pattern, text):
+            allowed = any(re.search(a, m[0]) for a in secrets.ALLOWED) or name != "hex" and re.fullmatch(secrets.CLASSES["hex"][0], m[0])
+            if not allowed and entropy(m[0]) >= least - 1e-9 and not any(s < m.end() and m.start() < e for s, _, e, _ in found):
+                more.append((m.start(), 3, m.end(), "entropy"))
+    return sorted(found + more)
+
+
+def spans(df):
+    return [(r.doc_id, [(s.start, s["rank"], s.end, s.kind) for s in r.spans]) for r in secrets.find_secrets(df).select("row.doc_id", "spans").collect()]
+
+
+def test_planted_and_random(spark):
+    r = random.Random(3)
+    pick = lambda chars, n: "".join(r.choice(chars) for _ in range(n))
+    parts = ['password = "', "PassWord: ", "token='", "api_key=", "APIKEY :", "secret=short ", "secret = password = ", "AKIA", "AKIAAKIA", "\n", " ", "é𝒳 ", "deadbeef",
+             "123e4567-e89b-12d3-a456-426614174000", "https://example.com/a/long/path-of-words/", "tokentoken=", "="]
+    rows = []
+    for i in range(300):
+        text = "".join(r.choice([*parts, pick("0123456789abcdef", r.randint(10, 45)), pick(string.ascii_letters + string.digits + "+/", r.randint(10, 60)),
+                                 pick(string.ascii_uppercase + string.digits, r.randint(10, 20)), pick("0123456789ABCDEF", 24), words(4, i)]) for _ in range(r.randint(1, 14)))
+        rows.append((i, text))
+    assert spans(documents(spark, rows)) == [(i, brute(t)) for i, t in rows]
+
+
+def test_allowed_words(spark):
+    calm = ["thanhaofthanshthntstestingerlonging", "12345678901234567890123456789", "example" + "a8K3" * 6, "123e4567-e89b-12d3-a456-426614174000",
+            "some/long/path/of-words/with_parts12", "aaaaaaaaaaaaaaaaaaaaaaaa1", "/usr/local/share/directory/file2"]
+    rows = [(i, f"see {w} there") for i, w in enumerate(calm)] + [(99, "key zX9kQ2vL7mN4pR8sT1wY5bC3 end")]
+    got = dict(spans(documents(spark, rows)))
+    assert got.pop(99) == [(4, 3, 28, "entropy")]
+    assert all(s[3] != "entropy" for x in got.values() for s in x)
+
+
+def test_odd_rows_and_clashing_names(spark):
+    df = documents(spark, ODD, clash=True)
+    assert [s for _, s in spans(df)] == [brute(t) for _, t in ODD]
+    assert secrets.find_secrets(df).select("row.*").columns == df.columns
+    assert secrets.find_secrets(documents(spark, [])).count() == 0
+
+
+def test_redacted(spark):
+    rows = [(1, 'é token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" after'), (2, "clean"), (3, None), (4, "deadbeefdeadbeef00")]
+    got = secrets.find_secrets(documents(spark, rows)).select(secrets.redacted(F.col("row.text"), F.col("spans"))).collect()
+    assert [r[0] for r in got] == ['é [SECRET]" after', "clean", None, "[SECRET]"]
