@@ -27,7 +27,10 @@ forum help learn library local magazine market media music open photo press publ
 search service social sport sports support tech tracks travel university video weather wiki world winter window""".split()
 # Model sizes: words of the segmenter, tokens of the classifier. Both are the most frequent over all pages.
 SEGMENT_WORDS, TOKENS = 50_000, 50_000
-SEED_COUNT, LONGEST = 20, 24
+LONGEST, RARE = 24, 20
+# What the classes expect before they see pages, worth PRIOR tokens: "allow" how often a token occurs over all
+# pages, "block" the same but for SEED_SHARE, which goes to the blocked words. A token never seen counts as UNSEEN.
+PRIOR, SEED_SHARE, UNSEEN = 200, 0.2, 0.01
 PIECES = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7f]+")
 
 
@@ -92,7 +95,7 @@ def _word_counts(pages: DataFrame, text_col: str) -> dict[str, int]:
     words = pages.select(F.explode(F.regexp_extract_all(plain, F.lit(r"[a-z]{2,24}"), F.lit(0))).alias("word"))
     top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(SEGMENT_WORDS).collect()
     counts = {r.word: r["count"] for r in top}
-    common = max(SEED_COUNT, sum(counts.values()) // 10_000)
+    common = max(RARE, sum(counts.values()) // 10_000)
     return counts | {w: max(common, counts.get(w, 0)) for w in BLOCKED_WORDS + PLAIN_WORDS}
 
 
@@ -122,17 +125,12 @@ def train(pages: DataFrame, url_col: str = "url", text_col: str = "html") -> tup
                          F.sum(F.when(F.col("token") != "", F.col("bad"))), F.sum(F.when(F.col("token") != "", F.col("good"))), F.count(F.lit(1))).first()
     bad_pages, good_pages, bad_all, good_all, kinds = (x or 0 for x in per_class)
     table = {r.token: (r.bad, r.good) for r in sums.where("token != ''").orderBy(F.desc(F.col("bad") + F.col("good")), "token").limit(TOKENS).collect()}
-    for w in BLOCKED_WORDS:
-        bad, good = table.get(w, (0, 0))
-        table[w] = (bad + SEED_COUNT, good)
-    for w in PLAIN_WORDS:
-        bad, good = table.get(w, (0, 0))
-        table[w] = (bad, good + SEED_COUNT)
-    # Add-one smoothing; the seeds are part of both totals.
-    kinds += len(BLOCKED_WORDS) + len(PLAIN_WORDS)
-    bad_all, good_all = bad_all + SEED_COUNT * len(BLOCKED_WORDS), good_all + SEED_COUNT * len(PLAIN_WORDS)
-    base = math.log(good_all + kinds) - math.log(bad_all + kinds)
-    ratios = {t: math.log(bad + 1) - math.log(good + 1) + base for t, (bad, good) in table.items()}
+    ratios = {}
+    for token in {*table, *BLOCKED_WORDS}:
+        bad, good = table.get(token, (0, 0))
+        usual = (bad + good + UNSEEN) / (bad_all + good_all + UNSEEN * (kinds + len(BLOCKED_WORDS)))
+        seeded = (1 - SEED_SHARE) * usual + SEED_SHARE * (token in BLOCKED_WORDS) / len(BLOCKED_WORDS)
+        ratios[token] = math.log((bad + PRIOR * seeded) / (bad_all + PRIOR)) - math.log((good + PRIOR * usual) / (good_all + PRIOR))
     return words, ratios, math.log(bad_pages + 1) - math.log(good_pages + 1)
 
 
