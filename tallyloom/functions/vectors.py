@@ -25,5 +25,11 @@ def unit(a: Column) -> Column:
     return F.transform(a, lambda x: x.cast("double") / length)
 
 
+def comparable(v: Column) -> Column:
+    """Whether a vector can be scored: it is there, and so are all its numbers, and they are finite."""
+    odd = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce(~odd, F.lit(False))
+
+
 def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / ((norm(a) + F.lit(NORM_GUARD)) * (norm(b) + F.lit(NORM_GUARD)))

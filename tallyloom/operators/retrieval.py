@@ -1,16 +1,20 @@
 """Ranking vectors by cosine similarity: one question, many questions, or each other.
 
-No plan here pairs all rows with all rows in the shuffle. One question is a literal. Many
-questions travel to the vectors when they are few (their size is checked) and are dealt
-to bounded blocks of vectors otherwise; either way each task keeps only its best k per
-question. Similar pairs are found inside bounded blocks, and blocks too far apart to
-hold a pair never meet.
+One question is a literal. Many questions travel to the vectors in slices of bounded size,
+one pass over the vectors per slice, and each task keeps only its best k per question, so
+hits are all that is shuffled. All pairs above a score are found exactly, by comparing
+bounded blocks; blocks too far apart to hold a pair never meet, but a low score leaves
+few of these, and the work then grows with the square of the rows.
+
+Vectors that are null or hold nulls or non-finite numbers are never scored. Vectors and
+questions of unequal length are an error.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,17 +27,18 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyloom.functions.models import Encoder, HashingEncoder
 from tallyloom.functions.scalars import preview
-from tallyloom.functions.vectors import NORM_GUARD, SCORE_DIGITS, cosine, dot, unit
+from tallyloom.functions.vectors import NORM_GUARD, SCORE_DIGITS, comparable, cosine, dot, norm, unit
 from tallyloom.operators.joins import SENT_ROWS
 from tallyloom.session import materialize
 
 # Fixed value: hits per question unless asked otherwise.
 TOP_K = 4
 
-# Questions are sent to every task only up to this many numbers (64 MB as doubles).
+# Questions are sent to every task in slices of about this many numbers (64 MB as doubles).
 SENT_NUMBERS = 8_000_000
 # Scores that a task holds at a time.
 HELD_SCORES = 4_000_000
+UNEQUAL = "vectors and questions differ in length"
 # Rows per block when vectors meet in a task.
 BLOCK_ROWS = 2048
 
@@ -42,7 +47,8 @@ def top_hits(vectors: DataFrame, query: list[float], k: int = TOP_K, vector: str
              tie: str = "vec_id") -> DataFrame:
     """The k rows closest to one vector, with ``score``. A sort that keeps k rows per task."""
     score = F.round(cosine(F.col(vector), F.array(*[F.lit(float(x)) for x in query])), SCORE_DIGITS)
-    return vectors.withColumn("score", score).orderBy(F.desc("score"), tie).limit(k)
+    checked = F.when(F.size(vector) == len(query), score).otherwise(F.raise_error(F.lit(UNEQUAL)).cast("double"))
+    return vectors.where(comparable(F.col(vector))).withColumn("score", checked).orderBy(F.desc("score"), tie).limit(k)
 
 
 def similarity_search(index: DataFrame, columns: list[str], text: str | None = None, vector: list[float] | None = None,
@@ -56,41 +62,56 @@ def similarity_search(index: DataFrame, columns: list[str], text: str | None = N
     return rank(index, vector, k, tie=tie).select(*columns, "score")
 
 
-def _unit_rows(vectors: pa.Array) -> np.ndarray:
+def _unit_rows(vectors: pa.Array, width: int) -> np.ndarray:
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    rows = flat.reshape(len(vectors), -1)
+    if len(vectors) and not pc.all(pc.equal(pc.list_value_length(vectors), width)).as_py():
+        raise ValueError(UNEQUAL)
+    rows = flat.reshape(len(vectors), width)
     return rows / (np.linalg.norm(rows, axis=1, keepdims=True) + NORM_GUARD)
 
 
-def _best(scores: np.ndarray, ids: pd.Index, queries: np.ndarray, k: int) -> pd.DataFrame:
-    """The best k rows per query (a column of ``scores``), ties by id."""
-    keep = min(k, len(scores))
-    floor = np.partition(scores, len(scores) - keep, axis=0)[len(scores) - keep]
+def _best(scores: np.ndarray, ids: pd.Index, pages: pd.Index | None, queries: np.ndarray, k: int) -> pd.DataFrame:
+    """The best k rows per query (a column of ``scores``), one per page if these are given, ties by id."""
+    tops = scores
+    if pages is not None:
+        order = np.argsort(codes := pd.factorize(pages)[0], kind="stable")
+        tops = np.maximum.reduceat(scores[order], np.flatnonzero(np.diff(codes[order], prepend=-1)), axis=0)
+    keep = min(k, len(tops))
+    floor = np.partition(tops, len(tops) - keep, axis=0)[len(tops) - keep]
     row, col = np.nonzero(scores >= floor)
     hits = pd.DataFrame({"query_id": queries[col], "hit_id": ids[row], "score": scores[row, col]})
-    return _cut(hits, k)
+    return _cut(hits if pages is None else hits.assign(page=pages[row]), k)
 
 
 def _cut(hits: pd.DataFrame, k: int) -> pd.DataFrame:
     hits = hits.sort_values(["query_id", "score", "hit_id"], ascending=[True, False, True])
+    if "page" in hits:
+        hits = hits.drop_duplicates(["query_id", "page"])
     return hits.groupby("query_id", sort=False).head(k)
 
 
 def batch_hits(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, vector: str = "embedding",
-               id_column: str = "vec_id", query_id: str = "query_id") -> DataFrame:
+               id_column: str = "vec_id", query_id: str = "query_id", page: list[str] | None = None) -> DataFrame:
     """(query_id, rank, hit_id, score): the exact k best rows for every query vector. Each
-    query id occurs once."""
-    index = vectors.where(F.col(vector).isNotNull()).select(F.col(id_column).alias("hit_id"), F.col(vector).alias("v"))
-    asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("q"))
+    query id occurs once. With ``page``, columns that say where a row belongs, only the best
+    row of each page counts, so k hits come from k pages."""
+    index = vectors.where(comparable(F.col(vector))).select(
+        F.col(id_column).alias("hit_id"), F.col(vector).alias("v"), *([F.to_json(F.struct(*page)).alias("page")] if page else []))
+    asked = queries.where(comparable(F.col(vector))).select(F.col(query_id).alias("query_id"), F.col(vector).alias("q"))
     types = {f.name: f.dataType.simpleString() for f in (*index.schema, *asked.schema)}
-    schema = f"query_id {types['query_id']}, hit_id {types['hit_id']}, score double"
-    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("q")).alias("dim")).first()
+    schema = f"query_id {types['query_id']}, hit_id {types['hit_id']}, score double" + ", page string" * bool(page)
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("q")).alias("dim"), F.min(F.size("q")).alias("least")).first()
     if not size.n:
         return vectors.sparkSession.createDataFrame([], f"{schema}, rank int").select("query_id", "rank", "hit_id", "score")
-    if size.n * size.dim <= SENT_NUMBERS:
-        found = _send_queries(index, asked, k, schema)
-    else:
-        found = _meet_in_blocks(index, asked, size.n, k, schema)
+    if size.dim != size.least:
+        raise ValueError(UNEQUAL)
+    slices = math.ceil(size.n * size.dim / SENT_NUMBERS)
+    own = F.pmod(F.xxhash64("query_id"), F.lit(slices))
+    parts = [_send_queries(index, asked.where(own == s), size.dim, k, schema) for s in range(slices)]
+    found = reduce(DataFrame.unionAll, parts)
+    if page:
+        first = Window.partitionBy("query_id", "page").orderBy(F.desc("score"), "hit_id")
+        found = found.withColumn("place", F.row_number().over(first)).where("place = 1")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "hit_id")
     hits = (
         found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -99,20 +120,22 @@ def batch_hits(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, vector: s
     return F.broadcast(hits) if size.n * k <= SENT_ROWS else hits
 
 
-def _send_queries(index: DataFrame, asked: DataFrame, k: int, schema: str) -> DataFrame:
+def _send_queries(index: DataFrame, asked: DataFrame, width: int, k: int, schema: str) -> DataFrame:
+    """The best k rows of each task for some queries, which are sent to all of them."""
     table = asked.toArrow()
     sent = index.sparkSession.sparkContext.broadcast(
-        (table["query_id"].to_pandas().to_numpy(), _unit_rows(table["q"].combine_chunks())))
+        (table["query_id"].to_pandas().to_numpy(), _unit_rows(table["q"].combine_chunks(), width)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = sent.value
-        step = max(k, HELD_SCORES // len(ids))
+        step = max(k, HELD_SCORES // max(1, len(ids)))
         held = None
         for batch in batches:
-            for start in range(0, batch.num_rows, step):
+            for start in range(0, batch.num_rows if len(ids) else 0, step):
                 part = batch.slice(start, step)
-                scores = np.round(_unit_rows(part["v"]) @ matrix.T, SCORE_DIGITS)
-                hits = _best(scores, pd.Index(part["hit_id"].to_pandas()), ids, k)
+                scores = np.round(_unit_rows(part["v"], width) @ matrix.T, SCORE_DIGITS)
+                pages = pd.Index(part["page"].to_pandas()) if "page" in part.schema.names else None
+                hits = _best(scores, pd.Index(part["hit_id"].to_pandas()), pages, ids, k)
                 held = hits if held is None else _cut(pd.concat([held, hits]), k)
         if held is not None:
             yield pa.RecordBatch.from_pandas(held, preserve_index=False)
@@ -120,29 +143,6 @@ def _send_queries(index: DataFrame, asked: DataFrame, k: int, schema: str) -> Da
     return index.mapInArrow(score, schema)
 
 
-def _meet_in_blocks(index: DataFrame, asked: DataFrame, n: int, k: int, schema: str) -> DataFrame:
-    """Blocks of queries and blocks of vectors, each of bounded size, meet in one group per
-    pair of blocks."""
-    query_blocks = math.ceil(n / BLOCK_ROWS)
-    index_blocks = max(1, math.ceil(index.count() / BLOCK_ROWS))
-    left = index.withColumn("index_block", F.pmod(F.xxhash64("hit_id"), F.lit(index_blocks))).withColumn(
-        "query_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(query_blocks - 1).cast("bigint"))))
-    right = asked.withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks))).withColumn(
-        "index_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(index_blocks - 1).cast("bigint"))))
-
-    def score(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        if not vectors.num_rows or not queries.num_rows:
-            return pa.table({"query_id": queries["query_id"][:0], "hit_id": vectors["hit_id"][:0],
-                             "score": pa.array([], pa.float64())})
-        scores = _unit_rows(vectors["v"].combine_chunks()) @ _unit_rows(queries["q"].combine_chunks()).T
-        hits = _best(np.round(scores, SCORE_DIGITS), pd.Index(vectors["hit_id"].to_pandas()),
-                     queries["query_id"].to_pandas().to_numpy(), k)
-        return pa.Table.from_pandas(hits, preserve_index=False)
-
-    blocks = ["index_block", "query_block"]
-    return left.groupBy(*blocks).cogroup(right.groupBy(*blocks)).applyInArrow(score, schema)
-
-
 def hit_rows(hits: DataFrame, chunks: DataFrame, id_column: str = "chunk_id") -> DataFrame:
     """Hits with the chunk they point at and a preview. Only hits reach the join, so the
     chunk text is read once and never sorted."""
@@ -152,16 +152,6 @@ def hit_rows(hits: DataFrame, chunks: DataFrame, id_column: str = "chunk_id") ->
         preview(F.col("content")).alias("preview"), "content")
 
 
-def one_per_page(hits: DataFrame) -> DataFrame:
-    """The best hit per page, for chunks that repeat each other. Takes the rows of ``hit_rows``
-    from a larger k, and ranks them anew."""
-    page = Window.partitionBy("query_id", "source_file", "page_number").orderBy("rank")
-    again = Window.partitionBy("query_id").orderBy("rank")
-    return (
-        hits.withColumn("place", F.row_number().over(page)).where(F.col("place") == 1)
-        .withColumn("rank", F.row_number().over(again)).drop("place"))
-
-
 def label_votes(hits: DataFrame, labelled: DataFrame, label: str = "label", id_column: str = "vec_id") -> DataFrame:
     """(query_id, label, votes, best_score): the most frequent label among each query's hits,
     ties by score."""
@@ -191,7 +181,8 @@ def similar_pairs(vectors: DataFrame, min_score: float, vector: str = "embedding
                   block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(left_id, right_id, score, left_copies, right_copies): all pairs of distinct vectors
     that score at least ``min_score``, exactly. Equal vectors are one row under their
-    smallest id, with the number of copies, so a large group of copies stays one row.
+    smallest id, with the number of copies, so a large group of copies stays one row. A
+    group of copies is paired with itself (left_id = right_id) if it has more than one.
 
     Unit vectors scoring s are sqrt(2 - 2s) apart, and a projection never lies further
     apart than the vectors themselves. So with cells that wide along one axis, a pair lies
@@ -199,7 +190,7 @@ def similar_pairs(vectors: DataFrame, min_score: float, vector: str = "embedding
     and each pair of blocks that may hold a pair is one small group."""
     # A little wider than needed, since scores are rounded before they are compared.
     reach = math.sqrt(max(2 - 2 * min_score, 0.0)) + 1e-4
-    copies = vectors.where(F.col(vector).isNotNull()).groupBy(F.col(vector).alias("v")).agg(
+    copies = vectors.where(comparable(F.col(vector))).groupBy(F.col(vector).alias("v")).agg(
         F.min(id_column).alias("id"), F.count(F.lit(1)).alias("copies"))
     rows = materialize(copies.select("id", "copies", unit(F.col("v")).alias("v")), "unit-vectors")
     mean = rows.select(F.posexplode("v").alias("at", "x")).groupBy("at").agg(F.avg("x").alias("x"))
@@ -207,11 +198,13 @@ def similar_pairs(vectors: DataFrame, min_score: float, vector: str = "embedding
     length = math.sqrt(sum(x * x for x in axis)) or 1.0
     along = dot(F.col("v"), F.array(*[F.lit(x / length) for x in axis]))
     celled = rows.withColumn("cell", F.floor(along / F.lit(reach)).cast("int"))
+    alike = F.when(norm(F.col("v")) > 0.5, F.lit(1.0)).otherwise(0.0)  # a zero vector scores 0, with its copies too
+    selves = rows.where("copies > 1").select(F.col("id").alias("left_id"), F.col("id").alias("right_id"), alike.alias("score"),
+                                             F.col("copies").alias("left_copies"), F.col("copies").alias("right_copies")).where(F.col("score") >= min_score)
     # Projections lie in [-1, 1], so there are at most 2 / reach + 2 cells.
     blocks = {r.cell: math.ceil(r.n / block_rows) for r in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not blocks:
-        return rows.select(F.col("id").alias("left_id"), F.col("id").alias("right_id"), F.lit(0.0).alias("score"),
-                           F.col("copies").alias("left_copies"), F.col("copies").alias("right_copies")).limit(0)
+        return selves
     known = F.create_map(*[F.lit(x) for cell, n in sorted(blocks.items()) for x in (cell, n)])
 
     def count(cell):
@@ -261,7 +254,7 @@ def similar_pairs(vectors: DataFrame, min_score: float, vector: str = "embedding
             "left_copies": pick("copies", b, a), "right_copies": pick("copies", a, b)})
 
     return met.groupBy("c1", "b1", "c2", "b2").applyInArrow(
-        compare, f"left_id {id_type}, right_id {id_type}, score double, left_copies bigint, right_copies bigint")
+        compare, f"left_id {id_type}, right_id {id_type}, score double, left_copies bigint, right_copies bigint").unionByName(selves)
 
 
 def approximate_hits(vectors: DataFrame, query: list[float], k: int = TOP_K, vector: str = "embedding",

@@ -458,10 +458,10 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
-def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _found(spark: SparkSession, sf_dir: str, page: list[str] | None = None) -> DataFrame:
     vectors = catalog.not_empty(chunk_vectors(spark, sf_dir), "The chunk table")
     asked = questions(spark, sf_dir).withColumn("embedding", models.embed(F.col("text")))
-    hits = retrieval.batch_hits(vectors, asked, id_column="chunk_id")
+    hits = retrieval.batch_hits(vectors, asked, id_column="chunk_id", page=page)
     return retrieval.hit_rows(hits, vectors)
 
 
@@ -471,7 +471,8 @@ def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_page_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.one_per_page(_found(spark, sf_dir)).select("query_id", "rank", "source_file", "page_number", "chunk_index")
+    """The four best pages for each question, by their best chunk."""
+    return _found(spark, sf_dir, ["source_file", "page_number"]).select("query_id", "rank", "source_file", "page_number", "chunk_index")
 
 
 def context_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:

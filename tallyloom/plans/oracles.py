@@ -383,9 +383,11 @@ SELECT query_id, rank, score, source_file, page_number, chunk_index, substr(cont
 FROM hits"""
 
 DISTINCT_PAGES = f"""WITH RECURSIVE {SEARCH},
-firsts AS (SELECT *, row_number() OVER (PARTITION BY query_id, source_file, page_number ORDER BY rank) AS place FROM hits)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rank) AS INTEGER) AS rank, source_file, page_number, chunk_index
-FROM firsts WHERE place = 1"""
+firsts AS (
+  SELECT query_id, score, chunks.* FROM scored JOIN chunks USING (chunk_id)
+  QUALIFY row_number() OVER (PARTITION BY query_id, source_file, page_number ORDER BY score DESC, chunk_id) = 1)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INTEGER) AS rank, source_file, page_number, chunk_index
+FROM firsts QUALIFY rank <= 4"""
 
 
 def _contexts(relevance: str) -> str:
@@ -461,7 +463,7 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, best_score
 SIMILAR_PAIRS = f"""WITH vecs AS (SELECT MIN(vec_id) AS id, COUNT(*) AS copies, embedding::DOUBLE[] AS v FROM embeddings GROUP BY embedding)
 SELECT * FROM (
   SELECT a.id AS left_id, b.id AS right_id, {_score('a.v', 'b.v')} AS score, a.copies AS left_copies, b.copies AS right_copies
-  FROM vecs a JOIN vecs b ON a.id < b.id)
+  FROM vecs a JOIN vecs b ON a.id < b.id OR a.id = b.id AND a.copies > 1)
 WHERE score >= {catalogue.MIN_SCORE}"""
 
 SCORE_PAIRS = f"""WITH {VECTORS}, {FIRSTS}

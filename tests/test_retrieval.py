@@ -6,7 +6,7 @@ from tallyloom.functions import models
 from tallyloom.functions.vectors import cosine, norm, unit
 from tallyloom.operators import retrieval
 from tallyloom.operators.joins import sent_if_few
-from tallyloom.operators.retrieval import (approximate_hits, batch_hits, hit_rows, label_votes, one_per_page, score_pairs, similar_pairs,
+from tallyloom.operators.retrieval import (approximate_hits, batch_hits, hit_rows, label_votes, score_pairs, similar_pairs,
                                            similarity_search, top_hits)
 
 SCHEMA = "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT"
@@ -39,10 +39,9 @@ def test_expressions(spark):
     assert [round(x, 6) for x in row] == [5.0, 0.96, 0.0, 0.6]
 
 
-@pytest.mark.parametrize("sent", [10**9, 0])
+@pytest.mark.parametrize("sent", [10**9, 70])
 def test_batch_hits(spark, clustered, monkeypatch, sent):
-    monkeypatch.setattr(retrieval, "SENT_NUMBERS", sent)  # 0: questions and vectors meet in blocks
-    monkeypatch.setattr(retrieval, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(retrieval, "SENT_NUMBERS", sent)  # 70: questions are sent in four slices
     monkeypatch.setattr(retrieval, "HELD_SCORES", 500)
     data = np.concatenate([clustered, clustered[:100]])  # copies tie, the smaller id wins
     df = vectors(spark, data).repartition(5)
@@ -80,7 +79,7 @@ def test_similar_pairs(spark, clustered, threshold, block):
 def test_copies_are_one_row(spark, clustered):
     data = np.concatenate([clustered[:5], np.repeat(clustered[:1], 400, axis=0)])
     rows = similar_pairs(vectors(spark, data), 0.5, block_rows=32).collect()
-    assert len(rows) <= 10 and all((r.left_copies == 401) == (r.left_id == 0) for r in rows)
+    assert len(rows) <= 11 and (0, 0, 401) in {(r.left_id, r.right_id, r.left_copies) for r in rows} and all((r.left_copies == 401) == (r.left_id == 0) for r in rows)
     assert similar_pairs(vectors(spark, data[:0]), 0.5).count() == 0
 
 
@@ -95,7 +94,46 @@ def test_pairs_votes_and_pages(spark, clustered):
                                    "chunk_id BIGINT, source_file STRING, page_number INT, chunk_index INT, content STRING")
     rows = hit_rows(hits, chunks)
     assert [r.preview for r in rows.where("rank = 1").collect()] == [("text 0" * 40)[:160] + "..."]
-    assert [(r["rank"], r.chunk_id) for r in one_per_page(rows).orderBy("rank").collect()] == [(1, 0), (2, 3)]
+
+
+def test_k_hits_come_from_k_pages(spark, clustered):
+    df = vectors(spark, clustered).withColumn("page", F.floor(F.col("vec_id") / 7)).repartition(5)
+    asked = spark.createDataFrame([(i, [float(x) for x in clustered[i]]) for i in (0, 50, 200)], "query_id INT, embedding ARRAY<FLOAT>")
+    got = {(r.query_id, r["rank"], r.hit_id) for r in batch_hits(df, asked, 6, page=["page"]).collect()}
+    scores, want = cosines(clustered[[0, 50, 200]], clustered), set()
+    for q, row in zip((0, 50, 200), scores):
+        seen = []
+        for i in np.lexsort((np.arange(len(row)), -row)):
+            if i // 7 not in [j // 7 for j in seen] and len(seen) < 6:
+                seen.append(int(i))
+        want |= {(q, r + 1, i) for r, i in enumerate(seen)}
+    assert got == want
+
+
+def test_odd_vectors_are_not_scored(spark, clustered):
+    nan = float("nan")
+    good = [(i, [float(x) for x in row], 0) for i, row in enumerate(clustered[:8])]
+    odd = [(100, [nan] * 8, 0), (101, None, 0), (102, [1.0] * 7 + [None], 0), (103, [float("inf")] + [1.0] * 7, 0)]
+    df = spark.createDataFrame(good + odd, SCHEMA)
+    queries = [(0, good[3][1]), (1, good[5][1]), (2, None), (3, [nan] * 8)]
+    asked = spark.createDataFrame(queries, "query_id INT, embedding ARRAY<FLOAT>")
+    batch = {(r.query_id, r["rank"], r.hit_id) for r in batch_hits(df, asked, 4).collect()}
+    single = {(q, i + 1, r.vec_id) for q, v in queries[:2] for i, r in enumerate(top_hits(df, v, 4).collect())}
+    assert batch == single and len(batch) == 8
+    assert {(r.left_id, r.right_id) for r in similar_pairs(df, -1.0).collect()} == {(i, j) for i in range(8) for j in range(i + 1, 8)}
+
+
+def test_unequal_lengths_are_an_error(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0, 0.0], 0), (2, [1.0] * 5, 0)], SCHEMA)
+    with pytest.raises(Exception, match="differ in length"):
+        top_hits(df, [1.0] * 4).collect()
+    with pytest.raises(Exception, match="differ in length"):
+        batch_hits(df, spark.createDataFrame([(1, [1.0] * 4)], "query_id INT, embedding ARRAY<FLOAT>")).collect()
+
+
+def test_copies_are_paired_with_themselves(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (3, [0.0, 1.0], 0)], SCHEMA)
+    assert [tuple(r) for r in similar_pairs(df, 0.9).collect()] == [(1, 1, 1.0, 2, 2)]
 
 
 def test_search_by_text_or_vector(spark):
