@@ -145,8 +145,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     percent * union. component_id is the smallest doc_id reachable over links; kept says it is the own.
 
     1. Documents of equal sets (128 bits) become one class before anything is compared.
-    2. Classes meet where a band of their signatures is equal. Each bucket compares its members with its smallest,
-       so a bucket of n costs n comparisons.
+    2. Classes meet where a band of their signatures is equal. Each bucket compares its members with the one that
+       has most copies, as originals do, so a bucket of n costs n comparisons.
     3. What a bucket still holds apart is compared in blocks of bounded size, each sent whole to one task, which
        returns as many links as connect its members, not all pairs.
     Links are confirmed on the full sets.
@@ -162,8 +162,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.min(F.struct("text_hash", "doc_id")).alias("sample"),
         F.first("signature").alias("signature"), F.first("bands").alias("bands")).withColumn("cls", F.monotonically_increasing_id()), "classes")
 
-    members = classes.select(F.explode("bands").alias("band"), "cls", "n_shingles")
-    buckets = (members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("cls", "n_shingles")).alias("leader"),
+    members = classes.select(F.explode("bands").alias("band"), "cls", "n_shingles", "copies")
+    buckets = (members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("copies", "cls", "n_shingles")).alias("leader"),
                                            F.bit_xor(F.xxhash64("cls")).alias("who"), F.sum("cls").alias("sum"))
                .where("size > 1").groupBy("size", "leader", "who", "sum").agg(F.min("band").alias("band")))  # buckets of the same members once
     shared = materialize(members.join(buckets.select("band", "size", "leader"), "band").select("band", "size", "leader", "cls", "n_shingles"), "shared")
@@ -171,17 +171,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     stars = materialize(shared.where((F.col("cls") != F.col("leader.cls")) & close).select(F.col("leader.cls").alias("leader"), "cls").distinct(), "stars")
 
     wanted = (shared.select("cls").distinct().join(classes, "cls")
-              .select("cls", F.col("sample.doc_id").alias("_id"), F.col("sample.text_hash").alias("text_hash")))
+              .select("cls", F.col("sample.doc_id").alias("_id"), F.col("sample.text_hash").alias("text_hash"), "signature"))
     texts = materialize(rows.join(wanted, (rows.text_hash == wanted.text_hash) & rows.doc_id.eqNullSafe(wanted._id))
-                        .groupBy("cls").agg(F.first("text").alias("text")), "texts")
+                        .groupBy("cls").agg(F.first("text").cast("binary").alias("text"), F.first("signature").alias("signature")), "texts")
     pairs = (stars.join(texts.select("cls", "text"), "cls").join(texts.select(F.col("cls").alias("leader"), F.col("text").alias("led")), "leader")
-             .select("leader", F.col("led").cast("binary"), "cls", F.col("text").cast("binary")))
+             .select("leader", "led", "cls", "text"))
     links = materialize(pairs.mapInArrow(_star_checker(width, percent), "a long, b long"), "links")
 
     found = components(links)
     apart = _apart(shared, found)
-    more = (apart.join(classes.select("cls", "signature"), "cls").join(texts.withColumn("text", F.col("text").cast("binary")), "cls")
-            .groupBy("band", "i", "j").applyInArrow(_block_checker(width, percent), "a long, b long"))
+    more = apart.join(texts, "cls").groupBy("band", "i", "j").applyInArrow(_block_checker(width, percent), "a long, b long")
     more = materialize(more, "links")
     if not more.isEmpty():
         found = components(links.union(more))
@@ -196,11 +195,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
 
 def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, dealt into blocks, once for each pair of blocks."""
-    placed = shared.select("band", "size", "cls", "n_shingles").join(found.withColumnRenamed("node", "cls"), "cls", "left")
+    """Members of the buckets that hold several components, dealt into blocks, once for each pair of blocks. Members already
+    connected with the leader need no comparison with each other, only with the rest."""
+    placed = shared.select("band", F.col("leader.cls").alias("leader"), "cls", "n_shingles").join(found.withColumnRenamed("node", "cls"), "cls", "left")
     placed = placed.withColumn("comp", F.coalesce("component", "cls")).drop("component")
-    split = placed.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high and low is not null").select("band")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("cls"), blocks).cast("int")
-    return (placed.join(split, "band").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    main = placed.groupBy("band").agg(F.max(F.when(F.col("cls") == F.col("leader"), F.col("comp"))).alias("main"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    split = placed.join(main.where("low < high").select("band", "main"), "band").withColumn("rest", F.col("comp") != F.col("main"))
+    sizes = split.groupBy("band").agg(F.ceil(F.count_if("rest") / BLOCK).cast("int").alias("rests"), F.ceil(F.count_if(~F.col("rest")) / BLOCK).cast("int").alias("mains"))
+    own = lambda n: F.pmod(F.xxhash64("cls"), n).cast("int")
+    block = F.when(F.col("rest"), own(F.col("rests"))).otherwise(F.col("rests") + own(F.col("mains")))
+    met = F.sequence(F.lit(0), F.when(F.col("rest"), F.col("rests") + F.col("mains") - 1).otherwise(F.col("rests") - 1))
+    return (split.join(sizes, "band").withColumn("block", block).withColumn("other", F.explode(met))
             .select("band", "cls", "n_shingles", "comp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
