@@ -10,16 +10,21 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
+from itertools import chain
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
+from tallyloom.functions.vectors import SCORE_DIGITS
+
 # The width of the default vectors and the length of generated answers.
 DEFAULT_DIM = 384
 MAX_ANSWER_TOKENS = 300
+# Labelled texts that a classifier is fitted on, at most.
+MAX_EXAMPLES = 1000
 
 # Letters and digits of any script; ASCII punctuation and blanks separate words.
 WORD = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -30,7 +35,7 @@ class Encoder(Protocol):
 
 
 class Classifier(Protocol):
-    def classify(self, texts: list[str], labels: list[str]) -> list[str]: ...
+    def classify(self, texts: list[str]) -> list[str]: ...
 
 
 class Generator(Protocol):
@@ -46,27 +51,31 @@ class HashingEncoder:
 
     def __init__(self, dim: int = DEFAULT_DIM):
         self.dim = dim
-        self.bucket = lru_cache(maxsize=1 << 18)(word_bucket)
+        self.bucket = lru_cache(maxsize=1 << 18)(partial(word_bucket, dim=dim))
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.dim))
-        for row, text in zip(out, texts):
-            buckets = [self.bucket(w, self.dim) for w in WORD.findall((text or "").lower())]
-            if buckets:
-                row += np.bincount(buckets, minlength=self.dim)
+        words = [WORD.findall((text or "").lower()) for text in texts]
+        row = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+        bucket = np.fromiter(map(self.bucket, chain.from_iterable(words)), np.int64, len(row))
+        out = np.bincount(row * self.dim + bucket, minlength=len(texts) * self.dim).reshape(len(texts), self.dim).astype(float)
         length = np.linalg.norm(out, axis=1, keepdims=True)
         return (out / np.where(length == 0, 1.0, length)).astype(np.float32)
 
 
-class NearestLabel:
-    """The label whose vector is closest to the text's."""
+class NearestExample:
+    """The label of the example that is closest to the text by cosine; among equally close ones the
+    first. ``examples`` are (text, label) pairs, up to ``MAX_EXAMPLES`` of them."""
 
-    def __init__(self, encoder: Encoder | None = None):
+    def __init__(self, examples: list[tuple[str, str]], encoder: Encoder | None = None):
+        if not examples or len(examples) > MAX_EXAMPLES:
+            raise ValueError(f"give between 1 and {MAX_EXAMPLES} labelled examples")
         self.encoder = encoder or HashingEncoder()
+        self.labels = [label for _, label in examples]
+        self.known = self.encoder.encode([text for text, _ in examples]).astype(float)
 
-    def classify(self, texts: list[str], labels: list[str]) -> list[str]:
-        scores = self.encoder.encode(texts) @ self.encoder.encode(labels).T
-        return [labels[i] for i in scores.argmax(axis=1)]
+    def classify(self, texts: list[str]) -> list[str]:
+        scores = np.round(self.encoder.encode(texts).astype(float) @ self.known.T, SCORE_DIGITS)
+        return [self.labels[i] for i in scores.argmax(axis=1)]
 
 
 class ExtractiveAnswer:
@@ -98,14 +107,15 @@ def embed(text: Column, make_encoder: Callable[[], Encoder] = HashingEncoder) ->
     return encoded(text)
 
 
-def classify(text: Column, labels: list[str], make_classifier: Callable[[], Classifier] = NearestLabel) -> Column:
-    """The label that fits a text best."""
+def classify(text: Column, examples: list[tuple[str, str]], make_classifier: Callable[..., Classifier] = NearestExample) -> Column:
+    """The label that fits a text best, learnt from (text, label) examples."""
+    make_classifier(examples)  # fails here rather than in tasks
 
     @F.arrow_udf("string")
     def classified(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = make_classifier()
+        model = make_classifier(examples)
         for texts in batches:
-            yield pa.array(model.classify(texts.to_pylist(), labels), pa.string())
+            yield pa.array(model.classify(texts.to_pylist()), pa.string())
 
     return classified(text)
 

@@ -9,6 +9,10 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame, functions as F
 
 
+# Times as JSON, to the last microsecond.
+WHOLE_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str) -> DataFrame:
     """How many child rows point at no parent. Child rows are counted per key before the
     join, so a key held by a third of them is one row per task in the shuffle."""
@@ -43,13 +47,24 @@ def load_order(foreign: dict[str, dict[str, str]], tables: Iterable[str]) -> lis
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """The change feed between two states of a keyed table: the new row of every insert and
-    update and the old row of every delete, with ``change``. Unchanged rows are left out."""
+    update and the old row of every delete, with ``change``. Unchanged rows are left out.
+
+    Keys and a 256-bit hash of the row meet first; whole rows are then fetched for the keys
+    that changed, so wide rows are not shuffled while few of them change."""
     columns = old.columns
-    before = old.select(*key, F.struct(*columns).alias("before"))
-    after = new.select(*key, F.struct(*columns).alias("after"))
-    change = (
-        F.when(F.col("before").isNull(), "insert").when(F.col("after").isNull(), "delete")
-        .when(~F.col("before").eqNullSafe(F.col("after")), "update"))
-    return (
-        before.join(after, key, "full_outer").withColumn("change", change).where(F.col("change").isNotNull())
-        .select("change", F.coalesce("after", "before").alias("row")).select("change", "row.*"))
+
+    def digests(df: DataFrame, name: str) -> DataFrame:
+        cells = F.struct(*[F.struct(F.col(c).alias("v")) for c in columns])  # a null is an empty cell
+        return df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(key)], F.sha2(F.to_json(cells, WHOLE_TIMES), 256).alias(name))
+
+    keys = [f"k{i}" for i in range(len(key))]
+    change = F.when(F.col("before").isNull(), "insert").when(F.col("after").isNull(), "delete").when(F.col("before") != F.col("after"), "update")
+    changed = (
+        digests(old, "before").join(digests(new, "after"), keys, "full_outer")
+        .withColumn("change", change).where(F.col("change").isNotNull()).select(*keys, "change"))
+
+    def rows(df: DataFrame, kinds: list[str]) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [F.col(k) == F.col(c) for k, c in zip(keys, key)])
+        return df.join(changed.where(F.col("change").isin(kinds)), same).select("change", *columns)
+
+    return rows(new.select(*columns), ["insert", "update"]).unionByName(rows(old, ["delete"]))

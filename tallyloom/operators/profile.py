@@ -18,6 +18,7 @@ rows. ``exact=False`` reports estimates instead and shuffles next to nothing.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -43,6 +44,9 @@ ACCURACY = 10000
 SAMPLE_ROWS = 200_000
 SAMPLE_SHARE = 500
 SAMPLE_ERRORS = 6
+# Rows around a median that one task may rank, and the bins that narrow a bracket down to so many.
+MAX_RANKED = 200_000
+BINS = 512
 # Text columns with up to this many words by estimate may turn out to be categories.
 MAYBE_CATEGORY = 2 * CATEGORY_LIMIT
 
@@ -117,10 +121,10 @@ def _batches(columns: list[ProfiledColumn]) -> Iterator[list[ProfiledColumn]]:
         yield columns[start:start + COLUMNS_PER_SCAN]
 
 
-def _sketches(df: DataFrame, columns: list[ProfiledColumn], points: list[float] = (), distinct: bool = False) -> Row:
+def _sketches(df: DataFrame, columns: list[ProfiledColumn], points: list[float] = (), distinct: bool = False, more: list[Column] = ()) -> Row:
     """One row: the row count, and per column the percentiles of a number, the count of its
-    values, or with ``distinct`` an estimate of how many differ."""
-    aggregates = [F.count(F.lit(1)).alias("row_count")]
+    values, or with ``distinct`` an estimate of how many differ; and ``more`` aggregates."""
+    aggregates = [F.count(F.lit(1)).alias("row_count"), *more]
     for c in columns:
         if points and c.kind == "numerical":
             aggregates.append(F.percentile_approx(c.ref.cast("double"), points, ACCURACY).alias(f"at_{c.ordinal}"))
@@ -150,6 +154,43 @@ def _brackets(df: DataFrame, columns: list[ProfiledColumn], row_count: int, whol
     return known | _brackets(df, sparse, row_count, whole=True)
 
 
+def _narrowed(df: DataFrame, columns: list[ProfiledColumn], brackets: Brackets) -> Brackets:
+    """Brackets that hold at most MAX_RANKED rows each, or a single value. A round counts the rows of every
+    bracket in equal bins, which combine on the map side, and goes on in the bin that holds the
+    median. A median outside its bracket leaves that as it is; the counts tell later."""
+    brackets = dict(brackets)
+    wide = {c.ordinal: c for c in columns if c.ordinal in brackets and all(map(math.isfinite, brackets[c.ordinal]))}
+    while wide:
+        binned = []
+        for i, c in wide.items():
+            low, high = brackets[i]
+            x = c.ref.cast("double")
+            at = F.floor((x - low) / (high - low) * BINS) if high > low else F.lit(0).cast("bigint")
+            binned.append(F.when(x < low, -1).when(x > high, BINS).when(x.isNotNull(), F.least(at, F.lit(BINS - 1))).cast("int").alias(str(i)))
+        cells = df.select(*binned).unpivot([], [str(i) for i in wide], "column", "bin").where("bin IS NOT NULL")
+        counted: dict[int, dict[int, int]] = {}
+        for column, place, n in cells.groupBy("column", "bin").agg(F.count(F.lit(1))).collect():
+            counted.setdefault(int(column), {})[place] = n
+        for i in list(wide):
+            low, high = brackets[i]
+            total, reached, middle = sum(counted.get(i, {}).values()), 0, None
+            for place in sorted(counted.get(i, {})):
+                reached += counted[i][place]
+                if reached * 2 >= total:
+                    middle = place
+                    break
+            if middle is None or middle in (-1, BINS):
+                del wide[i]
+                continue
+            step = (high - low) / BINS
+            slack = step * 1e-6 + abs(high) * 1e-15  # rounding may put a value one bin off
+            closer = max(low, low + middle * step - slack), min(high, low + (middle + 1) * step + slack)
+            brackets[i] = closer
+            if counted[i][middle] <= MAX_RANKED or closer[1] - closer[0] >= high - low:
+                del wide[i]
+    return brackets
+
+
 def _frequencies(df: DataFrame, columns: list[ProfiledColumn], lane: str, listed: set[int]) -> DataFrame:
     """(ordinal, value, n) for the columns of one lane. Each lane scans its own columns only,
     and the narrow typed keys keep the counting in generated code."""
@@ -235,10 +276,19 @@ def _count_exactly(df: DataFrame, columns: list[ProfiledColumn], row_count: int)
     """The statistics per column, one row each."""
     words = [c for c in columns if c.kind == "categorical"]
     listed = _maybe_categories(words, _sketches(df, words, distinct=True)) if words else set()
-    rows = {r.ordinal: r for r in _count_values(df, columns, _brackets(df, columns, row_count), listed).collect()}
+    brackets = _brackets(df, columns, row_count)
+    # Brackets from a sample hold some hundredths of the rows.
+    brackets = _narrowed(df, columns, brackets) if row_count > 25 * MAX_RANKED else brackets
+    rows = {r.ordinal: r for r in _count_values(df, columns, brackets, listed).collect()}
+    # The estimate said many words, the count says few: their values are still to be listed.
+    unlisted = [c for c in words if c.ordinal not in listed and c.ordinal in rows and rows[c.ordinal].distinct_count <= CATEGORY_LIMIT]
+    if unlisted:
+        rows |= {r.ordinal: r for r in _count_values(df, unlisted, {}, {c.ordinal for c in unlisted}).collect()}
     missed = [c for c in columns if c.kind == "numerical" and c.ordinal in rows and rows[c.ordinal].median is None]
     if missed:
-        again = _count_values(df, missed, _brackets(df, missed, row_count, whole=True), set())
+        brackets = _brackets(df, missed, row_count, whole=True)
+        brackets = _narrowed(df, missed, brackets) if row_count > 25 * MAX_RANKED else brackets
+        again = _count_values(df, missed, brackets, set())
         rows |= {r.ordinal: r for r in again.collect()}
     return list(rows.values())
 
@@ -247,18 +297,18 @@ def _maybe_categories(words: list[ProfiledColumn], sketched: Row) -> set[int]:
     return {c.ordinal for c in words if sketched[f"distinct_{c.ordinal}"] <= MAYBE_CATEGORY}
 
 
-def _estimate(df: DataFrame, columns: list[ProfiledColumn]) -> list[Row]:
-    """The statistics per column from aggregates alone: estimated distinct counts and
-    medians. Only the words of columns that have few of them are counted one by one."""
-    sketched = _sketches(df, columns, [0.5], distinct=True)
-    aggregates = [F.count(c.ref).alias(f"held_{c.ordinal}") for c in columns]
+def _estimate(df: DataFrame, columns: list[ProfiledColumn]) -> tuple[int, list[Row]]:
+    """The row count, and the statistics per column from one aggregate: estimated distinct counts
+    and medians. Only the words of columns that have few of them are counted one by one."""
+    aggregates = [F.count(c.ref).alias(f"held_{c.ordinal}") for c in columns if c.kind != "numerical"]
     for c in columns:
         if c.kind == "numerical":
             number = c.ref.cast("double")
             aggregates += [f(number).alias(f"{f.__name__}_{c.ordinal}") for f in (F.min, F.max, F.avg, F.stddev_samp)]
         elif c.kind == "temporal":
             aggregates += [f(c.ref).cast("string").alias(f"{f.__name__}_{c.ordinal}") for f in (F.min, F.max)]
-    plain = df.agg(*aggregates).first().asDict()
+    sketched = _sketches(df, columns, [0.5], distinct=True, more=aggregates)
+    plain = sketched.asDict()
     words = [c for c in columns if c.kind == "categorical"]
     few = _maybe_categories(words, sketched)
     counted = {r.ordinal: r for r in _count_values(df, [c for c in words if c.ordinal in few], {}, few).collect()} if few else {}
@@ -276,7 +326,7 @@ def _estimate(df: DataFrame, columns: list[ProfiledColumn]) -> list[Row]:
             median=middle[0] if middle else None, stddev=of(c, "stddev_samp", "numerical"),
             min_time=of(c, "min", "temporal"), max_time=of(c, "max", "temporal"),
             value_counts=exact.value_counts if exact else None))
-    return rows
+    return sketched.row_count, rows
 
 
 STATISTICS = ("held BIGINT, distinct_count BIGINT, min_number DOUBLE, max_number DOUBLE, mean DOUBLE, median DOUBLE,"
@@ -289,10 +339,14 @@ COLLECTED = ("table_name STRING, ordinal INT, column_name STRING, data_type STRI
 def _collected(df: DataFrame, table: str, exact: bool) -> list[tuple]:
     """What is known of each column of a table, one row per column. A column without a single
     value has no statistics."""
-    columns, count = profiled_columns(df), df.count()
+    columns = profiled_columns(df)
+    count = df.count() if exact or not columns else 0
     found = {}
     for batch in _batches(columns):
-        rows = _count_exactly(df, batch, count) if exact else _estimate(df, batch)
+        if exact:
+            rows = _count_exactly(df, batch, count)
+        else:
+            count, rows = _estimate(df, batch)
         found |= {r.ordinal: tuple(r)[1:] for r in rows}
     return [
         (table, c.ordinal, c.name, _base_type(c.type), c.kind, count, len(columns), *found.get(c.ordinal, NO_VALUES))

@@ -14,7 +14,6 @@ from tallyloom.functions.identifiers import id_like
 from tallyloom.functions.scalars import month_of, plain_number
 
 # How much a report shows.
-REPORT_TABLES = 6
 CATEGORY_CHARTS = 2
 MAX_QUESTIONS = 6
 SAMPLE_VALUES = 4
@@ -58,18 +57,16 @@ def chart_columns(profile: DataFrame, limit: int = CATEGORY_CHARTS) -> DataFrame
         .select("table_name", "column_name", "chart", "place"))
 
 
-def reported_tables(profile: DataFrame) -> list[str]:
-    """The tables a report covers: the first ones by name."""
-    rows = profile.select("table_name").distinct().orderBy("table_name").limit(REPORT_TABLES).collect()
-    return [r.table_name for r in rows]
-
-
-def report_datasets(profile: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+def report_datasets(profile: DataFrame, tables: dict[str, DataFrame], limit: int | None = None,
+                    charts_per_table: int = CATEGORY_CHARTS) -> DataFrame:
     """Every dataset of the report in one frame (dataset, label, n): row counts, top values
-    and monthly trends. Counts and top values are taken from the profile as they are."""
-    covered = reported_tables(profile)
+    and monthly trends. Counts and top values are taken from the profile as they are. All
+    tables are covered, or the first ``limit`` by name; then the row ``ds_not_shown`` says how
+    many are left out."""
+    names = [r.table_name for r in profile.select("table_name").distinct().orderBy("table_name").collect()]
+    covered = names[:limit]
     profile = profile.where(F.col("table_name").isin(covered))
-    charts = chart_columns(profile)
+    charts = chart_columns(profile, charts_per_table)
     rows = profile.where(F.col("ordinal") == 0).select(
         F.format_string("ds_%s_rows", "table_name").alias("dataset"),
         F.lit(None).cast("string").alias("label"), F.col("row_count").alias("n"))
@@ -82,7 +79,8 @@ def report_datasets(profile: DataFrame, tables: dict[str, DataFrame]) -> DataFra
         monthly_trend(tables[r.table_name], r.column_name).select(
             F.lit(f"ds_{r.table_name}_{r.column_name}_trend").alias("dataset"), F.col("period").alias("label"), "n")
         for r in charts.where(F.col("chart") == "trend").collect()]
-    return reduce(DataFrame.unionByName, [rows, tops, *trends])
+    left_out = [profile.sparkSession.createDataFrame([("ds_not_shown", None, len(names) - len(covered))], rows.schema)]
+    return reduce(DataFrame.unionByName, [rows, tops, *trends, *(left_out if len(covered) < len(names) else [])])
 
 
 def question_columns(profile: DataFrame) -> DataFrame:
@@ -122,10 +120,10 @@ def _by_column(profile: DataFrame, line: Column) -> Column:
     return F.transform(F.array_sort(F.collect_list(F.struct("ordinal", line.alias("line")))), lambda r: r["line"])
 
 
-def schema_text(profile: DataFrame, schema: str) -> DataFrame:
+def schema_text(profile: DataFrame, schema: str, samples: int = SAMPLE_VALUES) -> DataFrame:
     """One row: a compact description of the tables, for a prompt."""
     detail = (
-        F.when(_category(), F.concat(F.lit("): e.g. "), _listed(SAMPLE_VALUES, lambda v: v["value"])))
+        F.when(_category(), F.concat(F.lit("): e.g. "), _listed(samples, lambda v: v["value"])))
         .when(F.col("kind") == "temporal", F.concat(
             F.lit("): "), F.coalesce("min_time", F.lit("none")), F.lit(" to "), F.coalesce("max_time", F.lit("none"))))
         .otherwise(F.lit(")")))
@@ -138,7 +136,7 @@ def schema_text(profile: DataFrame, schema: str) -> DataFrame:
     return tables.agg(F.concat_ws("\n", F.array(F.lit(f"Schema: {schema}")), texts).alias("schema_text"))
 
 
-def _dictionary_summary() -> Column:
+def _dictionary_summary(shown: int) -> Column:
     def named(label: str, column: str) -> Column:
         return F.concat(F.lit(f"{label}="), F.coalesce(plain_number(F.col(column)), F.lit("None")))
 
@@ -146,13 +144,13 @@ def _dictionary_summary() -> Column:
                           named("median", "median"), named("stddev", "stddev"))
     times = F.concat(F.lit("range: "), F.coalesce("min_time", F.lit("None")), F.lit(" to "),
                      F.coalesce("max_time", F.lit("None")))
-    values = _listed(DICTIONARY_VALUES, lambda v: F.concat(v["value"], F.lit(" ("), v["n"].cast("string"), F.lit(")")))
+    values = _listed(shown, lambda v: F.concat(v["value"], F.lit(" ("), v["n"].cast("string"), F.lit(")")))
     return (
         F.when(F.col("kind") == "numerical", numbers).when(F.col("kind") == "temporal", times)
         .when(F.col("high_cardinality"), F.col("note")).otherwise(values))
 
 
-def data_dictionary(profile: DataFrame) -> DataFrame:
+def data_dictionary(profile: DataFrame, values: int = DICTIONARY_VALUES) -> DataFrame:
     """One row per table with its section of the markdown data dictionary. Works on inferred
     and on declared keys."""
     declared = "is_primary_key" in profile.columns
@@ -168,7 +166,7 @@ def data_dictionary(profile: DataFrame) -> DataFrame:
     line = F.concat(
         F.lit("| "), F.col("column_name"), mark, F.lit(" | "), F.col("kind"), F.lit(" | "),
         F.format_string("%.2f", F.col("null_pct")), F.lit("% | "), F.col("distinct_count").cast("string"),
-        F.lit(" | "), _dictionary_summary(), F.lit(" |"))
+        F.lit(" | "), _dictionary_summary(values), F.lit(" |"))
     rows = profile.select(
         "table_name", "ordinal", "row_count", "column_count", line.alias("line"),
         F.when(primary, F.col("column_name")).alias("key"), points.alias("points"))

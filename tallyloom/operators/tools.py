@@ -8,7 +8,7 @@ result or such a message into the short text a chat assistant reads.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from decimal import Decimal, InvalidOperation
 
 from pyspark.errors import PySparkException
@@ -16,18 +16,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyloom.functions.identifiers import RESCUED_COLUMN
 
-# Row caps of the tools, and the aggregates and comparisons they accept.
-MAX_QUERY_ROWS = 100
-MAX_GROUPS = 50
-MAX_FILTER_ROWS = 100
+# The aggregates and comparisons the tools accept.
 AGGREGATES = {"sum": F.sum, "avg": F.avg, "count": F.count, "min": F.min, "max": F.max}
 COMPARISONS = {
     "=": lambda c, v: c == v, "!=": lambda c, v: c != v,
     "<": lambda c, v: c < v, "<=": lambda c, v: c <= v,
     ">": lambda c, v: c > v, ">=": lambda c, v: c >= v,
 }
-# Query text that can run code or scripts although it only selects.
-RUNS_CODE = re.compile(r"\b(java_method|reflect|try_reflect)\b|\busing\s*r?['\"]", re.IGNORECASE)
+# Functions that run code although the query only selects.
+CODE_FUNCTIONS = {"java_method", "reflect", "try_reflect"}
 
 
 def list_tables(tables: dict[str, DataFrame]) -> DataFrame:
@@ -59,8 +56,9 @@ def _table(tables: dict[str, DataFrame], name: str) -> DataFrame:
 
 
 def top_n_group_by(tables: dict[str, DataFrame], table: str, group_by: str, metric: str,
-                   n: int = 5, agg: str = "sum") -> DataFrame:
-    """The n groups with the largest aggregate. Nulls form a group; null results come last."""
+                   n: int = 5, agg: str = "sum", most: int | None = None) -> DataFrame:
+    """The n groups with the largest aggregate, at least one, and at most ``most`` if given.
+    Nulls form a group; null results come last."""
     df = _table(tables, table)
     _one_of("column", group_by, df.columns)
     _one_of("column", metric, df.columns)
@@ -69,10 +67,14 @@ def top_n_group_by(tables: dict[str, DataFrame], table: str, group_by: str, metr
         df.groupBy(F.col(f"`{group_by}`").alias("group_value"))
         .agg(AGGREGATES[agg](F.col(f"`{metric}`")).alias("metric_value"))
         .orderBy(F.desc_nulls_last("metric_value"), "group_value")
-        .limit(max(1, min(int(n), MAX_GROUPS)))
+        .limit(_rows_wanted(n, most))
     )
 
 
+def _rows_wanted(n: int, most: int | None) -> int:
+    return max(1, int(n) if most is None else min(int(n), most))
+
+
 def _typed(value, dtype: T.DataType):
     """The threshold as a literal of the column's type."""
     if isinstance(dtype, T.NumericType):
@@ -87,37 +89,72 @@ def _typed(value, dtype: T.DataType):
 
 
 def filter_by_threshold(tables: dict[str, DataFrame], table: str, column: str, operator: str, value,
-                        limit: int = 20, order_by: list[str] | None = None) -> DataFrame:
-    """Whole rows where the column meets the threshold. Without ``order_by`` any such rows
-    may be returned, up to the limit."""
+                        limit: int | None = None, order_by: list[str] | None = None, most: int | None = None) -> DataFrame:
+    """Whole rows where the column meets the threshold: all of them, or with ``limit`` so many,
+    at least one and at most ``most`` if given. Without ``order_by`` any such rows count."""
     df = _table(tables, table)
     _one_of("column", column, df.columns)
     _one_of("operator", operator, COMPARISONS)
     hits = df.where(COMPARISONS[operator](F.col(f"`{column}`"), _typed(value, df.schema[column].dataType)))
     if order_by:
         hits = hits.orderBy(*order_by)
-    return hits.limit(max(1, min(int(limit), MAX_FILTER_ROWS)))
+    return hits if limit is None else hits.limit(_rows_wanted(limit, most))
+
 
+def _relations(plan) -> Iterator:
+    """The nodes of a parsed plan, with those of its subqueries and named queries."""
+    yield plan
+    for part in (plan.children(), plan.innerChildren(), plan.subqueries()):
+        for i in range(part.size()):
+            yield from _relations(part.apply(i))
 
-def run_readonly_sql(spark: SparkSession, query: str) -> DataFrame:
-    """The first rows of a SELECT or WITH query. The text is placed where the grammar
-    accepts nothing but a query, so commands do not parse. This is a guard against
-    mistakes; run untrusted queries as a user that may only read."""
+
+def _check_query(spark: SparkSession, text: str, tables: list[str]) -> None:
+    """Refuse what reads other relations than the given ones, or runs code. Looks at the plan
+    as parsed, before anything is resolved or opened, so literals are free to say anything."""
+    known = {t.lower() for t in tables}
+    try:
+        parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    except PySparkException as error:
+        raise ValueError(f"Query failed: {error}") from error
+    named = set()
+    nodes = list(_relations(parsed))
+    for node in nodes:
+        if node.nodeName() == "UnresolvedWith":
+            pairs = node.cteRelations()
+            named |= {pairs.apply(i)._1().lower() for i in range(pairs.size())}
+    for node in nodes:
+        if node.nodeName() == "UnresolvedRelation":
+            name = node.tableName().replace("`", "")
+            if name.lower() not in known | named:
+                raise ValueError(f"Rejected: unknown table '{name}'. Valid: {', '.join(sorted(tables))}")
+    called = set(re.findall(r"'(\w+)\(", parsed.toString().lower()))
+    if called & CODE_FUNCTIONS or any(node.nodeName() == "ScriptTransformation" for node in nodes):
+        raise ValueError("Rejected: the query calls out to code.")
+
+
+def run_readonly_sql(spark: SparkSession, query: str, tables: list[str], limit: int | None = None) -> DataFrame:
+    """The rows of a SELECT or WITH query over the given tables, or the first ``limit``. The text is
+    placed where the grammar accepts nothing but a query, so commands do not parse; relations
+    must be among ``tables``, and files are no relations. This is a guard against mistakes;
+    run untrusted queries as a user that may only read."""
     text = query.strip().rstrip(";").strip()
     if not re.match(r"(select|with)\b", text, re.IGNORECASE):
-        raise ValueError("Rejected: only SELECT or WITH queries are allowed.")
-    if RUNS_CODE.search(text):
-        raise ValueError("Rejected: the query calls out to code.")
+        raise ValueError("Rejected: only SELECT or WITH queries are accepted.")
+    placed = f"SELECT * FROM (\n{text}\n)" + ("" if limit is None else f" LIMIT {int(limit)}")
+    _check_query(spark, placed, tables)
     try:
-        return spark.sql(f"SELECT * FROM (\n{text}\n) LIMIT {MAX_QUERY_ROWS}")
+        return spark.sql(placed)
     except PySparkException as error:
         raise ValueError(f"Query failed: {error}") from error
 
 
-def as_text(tool: Callable[..., DataFrame], *args, empty: str = "(no rows)", **kwargs) -> str:
-    """A tool's result as lines of text, or its error message."""
+def as_text(tool: Callable[..., DataFrame], *args, empty: str = "(no rows)", shown: int = 100, **kwargs) -> str:
+    """A tool's result as lines of text, or its error message. Says so if there are more rows
+    than ``shown``."""
     try:
-        rows = tool(*args, **kwargs).limit(MAX_QUERY_ROWS).collect()
+        rows = tool(*args, **kwargs).limit(shown + 1).collect()
     except (ValueError, PySparkException) as error:
         return str(error)
-    return "\n".join(str(row.asDict()) for row in rows) or empty
+    lines = [str(row.asDict()) for row in rows[:shown]] + [f"(more than {shown} rows; the rest is not shown)"] * (len(rows) > shown)
+    return "\n".join(lines) or empty

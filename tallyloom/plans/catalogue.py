@@ -7,13 +7,15 @@ the shared folder and read from there, as it would be in use.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyloom.functions import identifiers, models
 from tallyloom.operators import chunks, constraints, context, profile, projection, report, retrieval, tools
-from tallyloom.plans import retail
+from tallyloom.plans import onboarding, retail
 from tallyloom.session import shared_dir, spread
 from tallyloom.sources import catalog, files, pages, writers
 from tallyloom.streaming import sync
@@ -40,6 +42,7 @@ CUSTOMER = 7
 QUERY_VECTOR = 7
 MIN_SCORE = 0.4
 CLUSTERS = 5
+EXAMPLES = 40
 
 _staged: dict[tuple[str, str, str], str] = {}
 
@@ -129,8 +132,14 @@ def restock_urgency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def restock_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels by the nearest of some labelled rows: the first of each label by their text, as the
+    rule labels them."""
     rows = retail.restock_text(stock(spark, sf_dir))
-    return rows.withColumn("restock_urgency", models.classify(F.col("text"), list(retail.URGENCY)))
+    label = retail.urgency(F.col("quantity_on_hand"), F.col("reorder_level"))
+    first = Window.partitionBy("label").orderBy("text")
+    examples = (rows.select("text", label.alias("label")).distinct().withColumn("place", F.row_number().over(first))
+                .where(F.col("place") <= EXAMPLES).orderBy("label", "place").collect())
+    return rows.withColumn("restock_urgency", models.classify(F.col("text"), [(r.text, r.label) for r in examples]))
 
 
 def _sql_function(call: str, *money: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -182,7 +191,33 @@ READONLY_QUERY = """
 def readonly_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, df in read_all(spark, sf_dir, "orders", "customer").items():
         df.createOrReplaceTempView(name)
-    return tools.run_readonly_sql(spark, READONLY_QUERY)
+    return tools.run_readonly_sql(spark, READONLY_QUERY, ["orders", "customer"], limit=100)
+
+
+# What the gate must refuse, and what it must not, over the tables orders and customer.
+GATE_CASES = (
+    ("file", "SELECT * FROM text.`/etc/hostname`"), ("hidden_file", "SELECT * FROM orders WHERE EXISTS (SELECT 1 FROM csv.`/etc/passwd`)"),
+    ("other_table", "WITH x AS (SELECT * FROM secret) SELECT * FROM x"), ("command", "DROP VIEW orders"), ("second_command", "SELECT 1) ; DROP VIEW orders; --"),
+    ("code", "SELECT reflect('java.util.UUID', 'randomUUID') FROM orders"), ("script", "SELECT TRANSFORM(o_orderkey) USING 'cat' FROM orders"),
+    ("literal", "SELECT COUNT(*) AS n FROM orders WHERE o_orderpriority <> 'reflect' AND o_orderstatus <> 'text.`/etc/hostname`'"),
+    ("own_name", "WITH x AS (SELECT * FROM customer) SELECT COUNT(*) AS n FROM x"),
+)
+
+
+def readonly_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each case of the gate: null where it is refused, else the count it returns."""
+    allowed = read_all(spark, sf_dir, "orders", "customer")
+    for name, df in allowed.items():
+        df.createOrReplaceTempView(name)
+    read(spark, sf_dir, "nation").createOrReplaceTempView("secret")
+    parts = []
+    for name, query in GATE_CASES:
+        case = F.lit(name).alias("case_name")
+        try:
+            parts.append(tools.run_readonly_sql(spark, query, list(allowed)).select(case, F.col("n")))
+        except ValueError:
+            parts.append(spark.range(1).select(case, F.lit(None).cast("bigint").alias("n")))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,8 +239,18 @@ def flat(profiled: DataFrame) -> DataFrame:
     return profiled.withColumn("value_counts", values).drop("is_inferred_primary_key")
 
 
-def _profile(table: str, exact: bool = True) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: flat(profile.profile_table(read(spark, sf_dir, table), table, exact))
+def _profile(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: flat(profile.profile_table(read(spark, sf_dir, table), table))
+
+
+def profile_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the estimated profile reports exactly, and whether its estimates are close: distinct
+    counts within 15%, medians within a hundredth of the range."""
+    exact = stored_profile(spark, sf_dir).where("table_name = 'lineitem'").select("ordinal", F.col("distinct_count").alias("differ"), F.col("median").alias("middle"))
+    found = profile.profile_table(read(spark, sf_dir, "lineitem"), "lineitem", exact=False).join(exact, "ordinal")
+    off = F.abs(F.col("median") - F.col("middle")) <= 0.01 * (F.col("max_number") - F.col("min_number"))
+    return found.select("column_name", "row_count", "null_count", "min_number", "max_number", "mean", "stddev", "min_time", "max_time",
+                        (F.abs(F.col("distinct_count") - F.col("differ")) <= 0.15 * F.col("differ")).alias("distinct_close"), F.coalesce(off, F.lit(True)).alias("median_close"))
 
 
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,6 +393,80 @@ def csv_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("row_count").alias("row_count"))
 
 
+def _exported_files(spark: SparkSession, sf_dir: str, names: dict[str, str]) -> str:
+    """A folder with one CSV file per table, under the given names."""
+    folder = shared_dir(spark, "files")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(folder))
+    for name, table in names.items():
+        parts = shared_dir(spark, "part")
+        read(spark, sf_dir, table).coalesce(1).write.csv(parts, header=True, quote='"', escape='"')
+        written = [f.getPath() for f in system.listStatus(path(parts)) if f.getPath().getName().startswith("part-")]
+        system.rename(written[0], path(folder, name))
+    return folder
+
+
+# Files of a folder to onboard; only the name of the last one is no table's.
+ONBOARDED = {"Customer List.csv": "customer", "nation.csv": "nation", "logo_region.csv": "region"}
+
+
+def csv_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is kept of a folder under a cap of a kilobyte, and why the rest is not. Sizes are masked."""
+    found = files.discover_files(spark, _exported_files(spark, sf_dir, ONBOARDED), max_mb=0.001)
+    return found.select("file", "kept", F.regexp_replace("reason", "[0-9.]+", "#").alias("reason"))
+
+
+def document_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.list_documents(spark, _exported_files(spark, sf_dir, ONBOARDED), ".csv").select(F.col("source_file").alias("file"), F.length("content") > 0).toDF("file", "has_content")
+
+
+def onboarded_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folder taken through all steps of onboarding: loaded and source rows per table, columns and
+    key as profiled, and the files left out."""
+    output = shared_dir(spark, "onboarded")
+    name = f"shop_{os.path.basename(output)[-12:]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{output}/tables'")
+    done = onboarding.onboard(spark, onboarding.Dataset(_exported_files(spark, sf_dir, ONBOARDED), name, f"{output}/texts"))
+    keys = profile.inferred_keys(done["profile"]).select("table_name", "column_count", "inferred_primary_key")
+    left_out = done["skipped"].select(
+        F.col("file").alias("table_name"), *[F.lit(None).cast(t).alias(c) for c, t in (("loaded_rows", "bigint"), ("source_rows", "bigint"))], F.lit("SKIPPED").alias("status"),
+        F.lit(None).cast("int").alias("column_count"), F.lit(None).cast("string").alias("inferred_primary_key"))
+    return done["ingest"].join(keys, "table_name").unionByName(left_out)
+
+
+def saved_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables saved to a database, one of them again under other columns, as the catalog then lists them."""
+    path = shared_dir(spark, "saved")
+    name = f"saved_{os.path.basename(path)[-12:]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    for table in ("customer", "supplier", "part"):
+        writers.save_table(read(spark, sf_dir, table), f"{name}.{table}")
+    writers.save_table(identifiers.rename_clean(read(spark, sf_dir, "orders").toDF("Order Key", "o_cust?", "status", "price", "date", "Priority ")), f"{name}.part")
+    tables = catalog.read_tables(spark, name)
+    counts = writers.reconcile(tables, {t: 0 for t in tables}).select("table_name", F.col("loaded_rows").alias("row_count"))
+    return tools.list_columns(tables).join(counts, "table_name")
+
+
+def profile_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile written as JSON, a folder per table, and read back."""
+    path = shared_dir(spark, "profile-json")
+    writers.write_profile(stored_profile(spark, sf_dir), path)
+    nested = spark.read.json(f"{path}/json")
+    return nested.select("table_name", "row_count", F.inline("columns")).select("table_name", "row_count", "column_name", "kind", "distinct_count")
+
+
+def csv_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written in a single-byte encoding, and read back as what the bytes say they are."""
+    path = shared_dir(spark, "encoded")
+    text = F.translate("text", "\n", " ")
+    read(spark, sf_dir, "documents").select("doc_id", "lang", text.alias("Text")).write.csv(
+        path, header=True, quote='"', escape='"', encoding="ISO-8859-1", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    facts = files.sniff_folder(spark, path)
+    df = identifiers.rename_clean(files.read_csv(spark, path, facts.encoding, facts.multi_line))
+    return df.select(F.col("doc_id").cast("bigint"), "lang", F.md5("text").alias("digest"), F.lit(facts.encoding).alias("encoding"))
+
+
 def typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as CSV and read back under their declared schema."""
     schema = read(spark, sf_dir, "orders").schema
@@ -470,6 +589,12 @@ def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id", "rank", "score", "source_file", "page_number", "chunk_index", "preview")
 
 
+def search_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunks closest to the first question's text."""
+    asked = questions(spark, sf_dir).orderBy("query_id").first().text
+    return retrieval.similarity_search(chunk_vectors(spark, sf_dir), ["chunk_id", "source_file"], text=asked)
+
+
 def distinct_page_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four best pages for each question, by their best chunk."""
     return _found(spark, sf_dir, ["source_file", "page_number"]).select("query_id", "rank", "source_file", "page_number", "chunk_index")
@@ -506,10 +631,10 @@ def labelled_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.labelled_hits(hits, turns, "role", "text", "turn_id")
 
 
-def incremental_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+def incremental_sync(spark: SparkSession, sf_dir: str, every: str | None = None) -> DataFrame:
     """The vector table after two arrivals of chunks: those of all documents, then those of
     the English ones again, revised."""
-    chunked = document_chunks(spark, sf_dir)
+    chunked = chunk_vectors(spark, sf_dir).drop("embedding")
     english = read(spark, sf_dir, "documents").where(F.col("lang") == "en").select(
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("source_file"))
     folder = shared_dir(spark, "sync")
@@ -518,28 +643,39 @@ def incremental_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
         "content", F.concat("content", F.lit(" (revised)"))))
     for arrival in arrivals:
         arrival.select(*chunked.columns).write.mode("append").parquet(source)
-        sync.start_sync(spark, source, chunked.schema, index, checkpoint).awaitTermination()
+        query = sync.start_sync(spark, source, chunked.schema, index, checkpoint, every=every)
+        if every:
+            query.processAllAvailable()
+            query.stop()
+        else:
+            query.awaitTermination()
     return sync.read_index(spark, index).select(
         "chunk_id", "source_file", "chunk_index", "content", F.size("embedding").alias("width"))
 
 
+def continuous_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a sync that keeps running."""
+    return incremental_sync(spark, sf_dir, every="1 second")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = {f.__name__: f for f in (
         top_selling_products, customer_order_history, monthly_revenue, low_stock_products, restock_urgency,
-        restock_classified, filter_by_threshold, readonly_sql, table_inventory, table_profile, inferred_keys,
+        restock_classified, filter_by_threshold, readonly_sql, readonly_refusals, table_inventory, table_profile, inferred_keys,
         declared_keys, top_values_all_columns, value_counts, monthly_trend, chart_columns, report_datasets,
         question_columns, example_questions, schema_text, data_dictionary, fk_violations, pk_violations, snapshot_diff,
         clean_names, csv_reload, csv_preview, typed_csv, row_count_reconciliation, page_metadata, page_chunks, spaced_chunks,
         chunk_length_histogram, source_count, hash_embed, cosine_topk, cosine_topk_batch, label_vote, similar_pairs,
         score_pairs, ann_topk, pca_2d, kmeans_labels, search_documents, distinct_page_hits, context_assembly,
-        search_text, prompt_rows, generate_answer, incremental_sync, distinct_labels, labelled_ranking)}
+        search_text, prompt_rows, generate_answer, incremental_sync, continuous_sync, distinct_labels, labelled_ranking, search_by_text,
+        csv_discovery, document_listing, onboarded_tables, saved_tables, profile_json, csv_encoded)}
     named["chunk_documents"] = document_chunks
     for agg, metric in (("sum", "o_totalprice"), ("avg", "o_totalprice"), ("count", "o_orderkey"),
                         ("min", "o_totalprice"), ("max", "o_totalprice")):
         named[f"top_n_group_by_{agg}"] = _top_n(agg, metric)
     for table in ("lineitem", "orders", "customer", "events", "documents"):
         named[f"profile_{table}"] = _profile(table)
-    named["profile_approx"] = _profile("lineitem", exact=False)
+    named["profile_approx"] = profile_approx
     named["sql_top_selling_products"] = _sql_function("top_selling_products()", "revenue")
     named["sql_customer_order_history"] = _sql_function(f"customer_order_history({CUSTOMER})", "order_total")
     named["sql_monthly_revenue"] = _sql_function("monthly_revenue()", "revenue")

@@ -27,7 +27,7 @@ class Dataset:
     database: str
     output: str
     explicit: list[str] | None = None
-    max_mb: float = files.MAX_MB
+    max_mb: float | None = None
     include_large: bool = False
     exact: bool = True
 
@@ -43,13 +43,14 @@ class Onboarded:
 def onboard(spark: SparkSession, dataset: Dataset, skip: tuple[str, ...] = (), dry_run: bool = False,
             make_generator=ExtractiveAnswer) -> Onboarded:
     """Run the steps that are not skipped. Running again replaces tables and outputs. A dry
-    run only previews the load."""
+    run only previews the load. ``skipped`` lists the files left out, with reasons."""
     unknown = set(skip) - set(STEPS)
     if unknown:
         raise ValueError(f"Unknown step(s) {sorted(unknown)}. Valid: {', '.join(STEPS)}")
     done = Onboarded()
     if "ingest" not in skip:
         found = files.discover_files(spark, dataset.source, dataset.explicit, dataset.max_mb, dataset.include_large)
+        done.results["skipped"] = files.skipped(found)
         if dry_run:
             done.results["preview"] = files.preview(spark, found)
             return done
@@ -67,7 +68,7 @@ def onboard(spark: SparkSession, dataset: Dataset, skip: tuple[str, ...] = (), d
         found = profiles.profile_tables(tables, dataset.exact)
         writers.write_profile(found, f"{dataset.output}/profile")
         stored = spark.read.parquet(f"{dataset.output}/profile/parquet")
-        writers.write_text(report.data_dictionary(stored), "section", f"{dataset.output}/data_dictionary")
+        writers.write_text(report.data_dictionary(stored), "section", f"{dataset.output}/data_dictionary", f"Data dictionary of {dataset.database}")
         done.results["profile"] = stored
     stored = spark.read.parquet(f"{dataset.output}/profile/parquet")
     if "dashboard" not in skip:
@@ -77,7 +78,7 @@ def onboard(spark: SparkSession, dataset: Dataset, skip: tuple[str, ...] = (), d
         writers.write_text(done["summary"], "answer", f"{dataset.output}/summary")
     if "questions" not in skip:
         done.results["questions"] = report.example_questions(stored)
-        writers.write_text(done["questions"], "question", f"{dataset.output}/questions")
+        writers.write_text(done["questions"], "question", f"{dataset.output}/questions", f"Questions to ask of {dataset.database}", marked=True)
     return done
 
 

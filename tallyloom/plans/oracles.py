@@ -6,6 +6,7 @@ DataFrames of ``catalogue``.
 
 from __future__ import annotations
 
+from tallyloom.functions import models
 from tallyloom.functions.vectors import NORM_GUARD, SCORE_DIGITS
 from tallyloom.operators import context
 from tallyloom.plans import catalogue, retail
@@ -175,7 +176,7 @@ charts AS (
 
 
 def _report() -> str:
-    covered = sorted(COLUMNS)[:6]
+    covered = sorted(COLUMNS)
     names = ", ".join(f"'{t}'" for t in covered)
     trends = [
         f"SELECT 'ds_{t}_{c}_trend' AS dataset, period AS label, n FROM ({_trend(t, c)})" for t in covered for c in TRENDS[t][:1]]
@@ -300,6 +301,24 @@ RECONCILIATION = _union([
     f"SELECT '{t}' AS table_name, COUNT(*) AS loaded_rows, COUNT(*) AS source_rows, 'OK' AS status FROM {t}"
     for t in ("customer", "orders", "lineitem", "events", "conversations")])
 
+DISCOVERY = """SELECT * FROM (VALUES ('Customer List.csv', FALSE, '# MB is over the cap of # MB'), ('nation.csv', TRUE, NULL),
+  ('logo_region.csv', FALSE, 'name looks non-tabular (matched ''logo'')')) AS v(file, kept, reason) WHERE (SELECT COUNT(*) > 0 FROM customer)"""
+
+LISTING = "SELECT * FROM (VALUES " + ", ".join(f"('{name}', TRUE)" for name in catalogue.ONBOARDED) + ") AS v(file, has_content)"
+
+ONBOARDED = """SELECT 'customer_list' AS table_name, COUNT(*) AS loaded_rows, COUNT(*) AS source_rows, 'OK' AS status, 5 AS column_count, 'c_custkey' AS inferred_primary_key FROM customer
+UNION ALL SELECT 'nation', COUNT(*), COUNT(*), 'OK', 3, 'n_nationkey' FROM nation
+UNION ALL SELECT 'logo_region.csv', NULL, NULL, 'SKIPPED', NULL, NULL"""
+
+SAVED = _union([
+    f"SELECT '{t}' AS table_name, {i} AS ordinal, '{name}' AS column_name, '{dtype.lower()}' AS data_type, (SELECT COUNT(*) FROM {t}) AS row_count"
+    for t in ("customer", "supplier") for i, name, dtype, _ in _columns(t)
+] + [
+    f"SELECT 'part', {i}, '{name}', '{dtype.lower()}', (SELECT COUNT(*) FROM orders)"
+    for (i, _, dtype, _), name in zip(_columns("orders"), ("order_key", "o_cust", "status", "price", "date", "priority"))])
+
+ENCODED = "SELECT doc_id, lang, md5(replace(text, chr(10), ' ')) AS digest, 'cp1252' AS encoding FROM documents"
+
 INVENTORY = _union([
     f"SELECT '{t}' AS table_name, {len(_columns(t))} AS column_count, COUNT(*) AS row_count FROM {t}" for t in COLUMNS])
 
@@ -378,6 +397,9 @@ hits AS (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM scored)
   JOIN chunks USING (chunk_id) WHERE rank <= 4)"""
 
+SEARCH_BY_TEXT = f"""WITH RECURSIVE {SEARCH}
+SELECT chunk_id, source_file, score FROM hits WHERE query_id = (SELECT MIN(item_id) FROM benchmark)"""
+
 SEARCH_DOCUMENTS = f"""WITH RECURSIVE {SEARCH}
 SELECT query_id, rank, score, source_file, page_number, chunk_index, substr(content, 1, 160) || '...' AS preview
 FROM hits"""
@@ -404,6 +426,20 @@ SELECT query_id, question, 0 AS turn, 'system' AS role, '{context.INSTRUCTION}'
 UNION ALL
 SELECT query_id, question, 1, 'user', 'Context:' || chr(10) || context || chr(10) || chr(10) || 'Question: ' || question FROM contexts"""
 
+# The sentence of the context that shares most words with the question, the first of several; lines are sentences too.
+_WORDS = "list_distinct(regexp_extract_all(lower({}), '[^\\x00-\\x2f\\x3a-\\x40\\x5b-\\x60\\x7b-\\x7f]+'))"
+ANSWERS = f"WITH RECURSIVE {SEARCH},\n" + _contexts("''") + f""",
+cut AS (
+  SELECT query_id, question, string_split_regex(regexp_replace('Context:' || chr(10) || context || chr(10) || chr(10), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1) || '|\\n+') AS s
+  FROM contexts),
+sentences AS (SELECT query_id, question, unnest(s) AS s, generate_subscripts(s, 1) AS place FROM cut),
+best AS (
+  SELECT query_id, question, arg_max(s, (len(list_intersect({_WORDS.format('s')}, {_WORDS.format('question')})), -place)) AS s FROM sentences GROUP BY ALL)
+SELECT query_id, question, array_to_string(list_filter(string_split_regex(s, '\\s+'), lambda w: w <> '')[:{models.MAX_ANSWER_TOKENS}], ' ') AS answer FROM best"""
+
+APPROX = f"""SELECT column_name, row_count, null_count, min_number, max_number, mean, stddev, min_time, max_time, TRUE AS distinct_close, TRUE AS median_close
+FROM ({profile_sql('lineitem')})"""
+
 SYNCED = f"""WITH RECURSIVE {chunks_sql(DOCUMENTS)}
 SELECT chunk_id, source_file, chunk_index, CASE WHEN lang = 'en' THEN content || ' (revised)' ELSE content END AS content, 384 AS width
 FROM chunks JOIN documents ON source_file = 'doc_' || doc_id"""
@@ -431,11 +467,15 @@ rows_in AS (
   SELECT *, 'Product: ' || product_name || ', quantity on hand: ' || quantity_on_hand || ', reorder level: ' || reorder_level AS text
   FROM stock),
 {vectors_sql('tv', 'SELECT DISTINCT text AS id, text AS content FROM rows_in')},
-labels_in AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{label}')" for i, label in enumerate(retail.URGENCY))}) AS l(place, label)),
-{vectors_sql('lv', 'SELECT label AS id, label AS content FROM labels_in')},
+ruled AS (
+  SELECT DISTINCT text, CASE WHEN quantity_on_hand * 2 <= reorder_level THEN 'urgent' WHEN quantity_on_hand <= reorder_level THEN 'monitor' ELSE 'ok' END AS label
+  FROM rows_in),
+examples AS (
+  SELECT text, label, row_number() OVER (ORDER BY label, place) AS place FROM (
+    SELECT *, row_number() OVER (PARTITION BY label ORDER BY text) AS place FROM ruled) WHERE place <= {catalogue.EXAMPLES}),
 scored AS (
-  SELECT texts.id, place, label, COALESCE((SELECT SUM(tv.w * lv.w) FROM tv JOIN lv USING (bucket) WHERE tv.id = texts.id AND lv.id = label), 0) AS score
-  FROM (SELECT DISTINCT id FROM tv) AS texts CROSS JOIN labels_in),
+  SELECT a.id, place, label, round(SUM(a.w * b.w), {SCORE_DIGITS}) AS score
+  FROM tv a JOIN tv b USING (bucket) JOIN examples ON b.id = examples.text GROUP BY ALL),
 best AS (SELECT id, arg_max(label, (score, -place)) AS restock_urgency FROM scored GROUP BY id)
 SELECT product_name, quantity_on_hand, reorder_level, text, restock_urgency FROM rows_in JOIN best ON id = text"""
 
@@ -485,6 +525,9 @@ def all_oracles() -> dict[str, str]:
         "filter_by_threshold": "SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM lineitem "
                                "WHERE l_extendedprice >= 100000 ORDER BY ALL LIMIT 100",
         "readonly_sql": catalogue.READONLY_QUERY.strip().rstrip(";"),
+        "readonly_refusals": "SELECT * FROM (VALUES " + ", ".join(f"('{name}', CAST(NULL AS BIGINT))" for name, _ in catalogue.GATE_CASES[:7])
+                             + ") AS v(case_name, n) UNION ALL SELECT 'literal', COUNT(*) FROM orders WHERE o_orderpriority IS NOT NULL AND o_orderstatus IS NOT NULL"
+                               " UNION ALL SELECT 'own_name', COUNT(*) FROM customer",
         "table_inventory": INVENTORY, "table_profile": profile_sql("orders"), "inferred_keys": INFERRED_KEYS,
         "declared_keys": _declared_keys(), "top_values_all_columns": _all_top_values(),
         "value_counts": _top_values("lineitem", "l_quantity"), "monthly_trend": MONTHLY_TREND,
@@ -501,6 +544,9 @@ def all_oracles() -> dict[str, str]:
         "hash_embed": HASH_EMBED, "cosine_topk": COSINE_TOPK, "cosine_topk_batch": COSINE_BATCH, "label_vote": LABEL_VOTE,
         "similar_pairs": SIMILAR_PAIRS, "score_pairs": SCORE_PAIRS, "labelled_ranking": LABELLED,
         "distinct_labels": "SELECT DISTINCT label FROM embeddings", "search_documents": SEARCH_DOCUMENTS,
+        "search_by_text": SEARCH_BY_TEXT, "generate_answer": ANSWERS, "profile_approx": APPROX, "continuous_sync": SYNCED, "csv_discovery": DISCOVERY, "document_listing": LISTING,
+        "onboarded_tables": ONBOARDED, "saved_tables": SAVED, "csv_encoded": ENCODED,
+        "profile_json": f"WITH {PROFILE}\nSELECT table_name, row_count, column_name, kind, distinct_count FROM profile",
         "distinct_page_hits": DISTINCT_PAGES, "context_assembly": CONTEXT, "search_text": SEARCH_TEXT,
         "prompt_rows": PROMPTS, "incremental_sync": SYNCED,
         "top_n_group_by_sum": _top_n("SUM", price), "top_n_group_by_avg": _top_n("AVG", price),

@@ -9,7 +9,7 @@ session threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.scalars import line_amount, month_of
 from tallyloom.operators.joins import sent_if_few
@@ -78,12 +78,15 @@ def low_stock_products(products: DataFrame, suppliers: DataFrame) -> DataFrame:
     )
 
 
+def urgency(on_hand: Column, level: Column) -> Column:
+    urgent, monitor, ok = URGENCY
+    return F.when(on_hand * 2 <= level, urgent).when(on_hand <= level, monitor).otherwise(ok)
+
+
 def restock_urgency(products: DataFrame) -> DataFrame:
     """Running-low products labelled by how far below the reorder level they are. This is
-    the rule form; ``functions.models.classify`` takes a model instead."""
-    on_hand, level = F.col("quantity_on_hand"), F.col("reorder_level")
-    urgent, monitor, ok = URGENCY
-    label = F.when(on_hand * 2 <= level, urgent).when(on_hand <= level, monitor).otherwise(ok)
+    the rule form; ``functions.models.classify`` learns from labelled rows instead."""
+    label = urgency(F.col("quantity_on_hand"), F.col("reorder_level"))
     return (
         _running_low(products)
         .select("product_name", "quantity_on_hand", "reorder_level", label.alias("restock_urgency"))
@@ -118,7 +121,7 @@ SQL_FUNCTIONS = (
         FROM named JOIN categories USING (category_id) GROUP BY product_name, category_name),
       placed AS (
         SELECT *, ROW_NUMBER() OVER (ORDER BY revenue DESC, product_name, category_name) AS place FROM grouped)
-      SELECT product_name, category_name, units_sold, revenue FROM placed WHERE place <= n
+      SELECT product_name, category_name, units_sold, revenue FROM placed WHERE place <= n ORDER BY revenue DESC, place
     """,
     """
     CREATE OR REPLACE TEMPORARY FUNCTION customer_order_history(

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tallyloom.functions.identifiers import rename_clean, unique_identifiers
 from tallyloom.session import at_once
 
-# Which files of a folder hold no table.
+# Names of files that hold no table, and the wording of why one is left out.
 SKIP_WORDS = ("dictionary", "readme", "background", "logo", "data_dict")
-MAX_MB = 20.0
+NAMED = "name looks non-tabular (matched '%s')"
+OVERSIZED = "%.1f MB is over the cap of %s MB"
 
 MEGABYTE = 1024 * 1024
 UTF8, CP1252, LATIN1 = "utf-8", "cp1252", "latin-1"
@@ -42,32 +43,35 @@ def list_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
 
 
 def discover_files(spark: SparkSession, folder: str, explicit: list[str] | None = None,
-                   max_mb: float = MAX_MB, include_large: bool = False, suffix: str = ".csv") -> DataFrame:
+                   max_mb: float | None = None, include_large: bool = False, suffix: str = ".csv",
+                   skip_words: tuple[str, ...] = SKIP_WORDS) -> DataFrame:
     """(path, file, size_mb, kept, reason) of the files of a folder, by name. An explicit
     list is taken as it is; otherwise names that tell of documentation are skipped, then
-    files over the size cap."""
+    files over the size cap, if one is given. Nothing is left out without a row that says why."""
     files = list_files(spark, folder, "" if explicit else suffix)
     if explicit:
         return files.where(F.col("file").isin(explicit)).select(
             "*", F.lit(True).alias("kept"), F.lit(None).cast("string").alias("reason")).orderBy("file")
-    word = F.coalesce(*[F.when(F.contains(F.lower("file"), F.lit(w)), F.lit(w)) for w in SKIP_WORDS])
-    by_name = F.concat(F.lit("name looks non-tabular (matched '"), word, F.lit("')"))
-    by_size = F.format_string(f"%.1f MB is over the cap of {max_mb:g} MB", "size_mb")
-    reason = F.when(word.isNotNull(), by_name).when((F.col("size_mb") > max_mb) & F.lit(not include_large), by_size)
+    word = F.coalesce(*[F.when(F.contains(F.lower("file"), F.lit(w)), F.lit(w)) for w in skip_words], F.lit(None))
+    reason = F.when(word.isNotNull(), F.format_string(NAMED, word))
+    if max_mb is not None and not include_large:
+        reason = reason.when(F.col("size_mb") > max_mb, F.format_string(OVERSIZED, "size_mb", F.lit(f"{max_mb:g}")))
     return files.withColumn("reason", reason).select(
         "path", "file", "size_mb", F.col("reason").isNull().alias("kept"), "reason").orderBy("file")
 
 
 def sniff(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(path, encoding, multi_line, lines) per file, from one scan over the raw lines. A
-    quoted value that spans lines leaves an odd number of quotes on a line."""
+    quoted value that spans lines leaves an odd number of quotes on a line, one of them at
+    the edge of a field; a quote mark inside a plain value (5" pipe) does not."""
     raw = F.col("value").cast("binary")
     as_latin1 = F.decode(raw, "ISO-8859-1")
     quotes = F.length(as_latin1) - F.length(F.replace(as_latin1, F.lit('"'), F.lit("")))
     path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
     lines = spark.read.text([literal(p) for p in paths]).select(
         path.alias("path"), F.is_valid_utf8("value").alias("utf8"),
-        as_latin1.rlike(f"[{UNDEFINED_IN_CP1252}]").alias("undefined"), (quotes % 2 == 1).alias("odd"),
+        as_latin1.rlike(f"[{UNDEFINED_IN_CP1252}]").alias("undefined"),
+        ((quotes % 2 == 1) & as_latin1.rlike('(^|,)"|"(,|\\s*$)')).alias("odd"),
         (F.trim(as_latin1) != "").alias("filled"))
     encoding = F.when(F.bool_and("utf8"), UTF8).when(F.bool_or("undefined"), LATIN1).otherwise(CP1252)
     return lines.groupBy("path").agg(
@@ -124,10 +128,17 @@ def table_names(files: list[str]) -> list[str]:
     return unique_identifiers(f.rsplit(".", 1)[0] if "." in f[1:] else f for f in files)
 
 
+def skipped(discovered: DataFrame) -> DataFrame:
+    """(file, size_mb, reason) of what a load leaves out."""
+    return discovered.where("not kept").select("file", "size_mb", "reason")
+
+
 def preview(spark: SparkSession, discovered: DataFrame) -> DataFrame:
     """What a load would do: (file, table_name, row_count, size_mb, position, source_column,
-    clean_column) per column of every kept file."""
-    files = discovered.where("kept").collect()
+    clean_column, reason) per column of every kept file, and one row, with the reason, for
+    every file left out."""
+    found = discovered.collect()
+    files = [f for f in found if f.kept]
     if not files:
         raise ValueError("No CSV files to load")
     facts = sniffed(spark, [f.path for f in files])
@@ -136,11 +147,12 @@ def preview(spark: SparkSession, discovered: DataFrame) -> DataFrame:
         fact = facts[file.path]
         header = read_csv(spark, file.path, fact.encoding, fact.multi_line, infer=False).columns
         n = count_csv_rows(spark, file.path, fact)
-        rows += [(file.file, table, n, file.size_mb, i, raw, clean)
+        rows += [(file.file, table, n, file.size_mb, i, raw, clean, None)
                  for i, (raw, clean) in enumerate(zip(header, unique_identifiers(header)))]
+    rows += [(f.file, None, None, f.size_mb, None, None, None, f.reason) for f in found if not f.kept]
     return spark.createDataFrame(
         rows, "file STRING, table_name STRING, row_count BIGINT, size_mb DOUBLE, position INT,"
-              "source_column STRING, clean_column STRING")
+              "source_column STRING, clean_column STRING, reason STRING")
 
 
 def load_csv_folder(spark: SparkSession, discovered: DataFrame) -> dict[str, tuple[DataFrame, int]]:

@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.functions.models import Encoder, HashingEncoder, embed
-from tallyloom.operators.joins import sent_if_few
 from tallyloom.session import materialize
 
 BATCH = "sync_batch"
@@ -27,16 +26,18 @@ def start_sync(spark: SparkSession, source: str, schema, index: str, checkpoint:
     interval. The source holds chunk rows (chunk_id, ..., content); a row with ``deleted``
     true removes its chunk."""
     def store(batch: DataFrame, number: int) -> None:
-        # A batch may hold a chunk more than once: the file that arrived last counts.
-        newest = Window.partitionBy("chunk_id").orderBy(F.desc("arrived"))
-        rows = batch.withColumn("place", F.row_number().over(newest)).where("place = 1").drop("place", "arrived")
+        # A batch may hold a chunk more than once: the file that arrived last counts, by path among
+        # files of one moment, and in a file the later row. Keys decide first, so texts are not sorted.
+        repeated = batch.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"), F.max("arrived").alias("newest")).where("n > 1")
+        repeated = materialize(repeated.select("chunk_id", "newest"), "repeated-chunks")
+        rows = batch.join(repeated, "chunk_id", "left").where(F.col("newest").isNull() | (F.col("newest") == F.col("arrived"))).drop("newest", "arrived")
         if DELETED not in batch.columns:
             rows = rows.withColumn(DELETED, F.lit(False))
         rows.withColumn("embedding", embed(F.col("content"), make_encoder)).write.mode("overwrite").parquet(
             f"{index}/{BATCH}={number}")
 
     changes = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source).select(
-        "*", F.col("_metadata.file_modification_time").alias("arrived"))
+        "*", F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.row_index").alias("arrived"))
     writer = changes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
@@ -47,7 +48,7 @@ def read_index(spark: SparkSession, index: str) -> DataFrame:
     vectors are not shuffled while the updated chunks are few."""
     rows = spark.read.parquet(index)
     repeated = rows.groupBy("chunk_id").agg(F.max(BATCH).alias("latest"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = sent_if_few(materialize(repeated.drop("n"), "updated-chunks"))
+    repeated = materialize(repeated.drop("n"), "updated-chunks")
     current = F.col("latest").isNull() | (F.col(BATCH) == F.col("latest"))
     return rows.join(repeated, "chunk_id", "left").where(current & ~F.col(DELETED)).drop("latest", DELETED, BATCH)
 

@@ -1,6 +1,7 @@
 import sys
 
 import numpy as np
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -29,8 +30,11 @@ class Fixed:
     def encode(self, texts):
         return np.array([[len(t), 1.0] for t in texts])
 
-    def classify(self, texts, labels):
-        return [labels[len(t) % len(labels)] for t in texts]
+    def __init__(self, examples=()):
+        self.labels = [label for _, label in examples]
+
+    def classify(self, texts):
+        return [self.labels[len(t) % len(self.labels)] for t in texts]
 
     def generate(self, prompts, max_tokens):
         return [f"{m[-1]['content']}/{max_tokens}" for m in prompts]
@@ -40,7 +44,7 @@ def test_models_can_be_plugged_in(spark):
     cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers cannot import the test
     df = spark.createDataFrame([("abc",), ("",)], "t STRING")
     assert [r.v for r in df.select(models.embed(F.col("t"), Fixed).alias("v")).collect()] == [[3.0, 1.0], [0.0, 1.0]]
-    assert [r.c for r in df.select(models.classify(F.col("t"), ["x", "y"], Fixed).alias("c")).collect()] == ["y", "x"]
+    assert [r.c for r in df.select(models.classify(F.col("t"), [("p", "x"), ("q", "y")], Fixed).alias("c")).collect()] == ["y", "x"]
     messages = F.array(F.struct(F.lit("user").alias("role"), F.col("t").alias("content")))
     assert [r.g for r in df.select(models.generate(messages, Fixed, 5).alias("g")).collect()] == ["abc/5", "/5"]
 
@@ -49,4 +53,12 @@ def test_default_encoder():
     e = models.HashingEncoder(16)
     a, b, none = e.encode(["The dog, the DOG!", "dog the the dog", ""])
     assert np.allclose(a, b) and np.isclose(np.linalg.norm(a), 1) and not none.any()
-    assert models.NearestLabel().classify(["an urgent matter", "ok then"], ["urgent", "ok"]) == ["urgent", "ok"]
+
+
+def test_classifier_reads_the_text(spark):
+    examples = [("stock is low, order now", "urgent"), ("plenty left on the shelf", "calm"), ("order now", "urgent")]
+    df = spark.createDataFrame([("please order now",), ("plenty on the shelf",), (None,)], "t STRING")
+    assert [r.c for r in df.select(models.classify(F.col("t"), examples).alias("c")).collect()] == ["urgent", "calm", "urgent"]
+    for wrong in ([], [("a", "b")] * (models.MAX_EXAMPLES + 1)):
+        with pytest.raises(ValueError, match="labelled examples"):
+            models.classify(F.col("t"), wrong)

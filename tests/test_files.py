@@ -43,10 +43,30 @@ def test_two_files_do_not_share_a_table(spark, folder):
 
 def test_preview(spark, folder):
     rows = files.preview(spark, files.discover_files(spark, folder, ["Sales 2024.csv"])).orderBy("position").collect()
+    assert {r.reason for r in rows} == {None}
     assert [(r.table_name, r.row_count, r.source_column, r.clean_column) for r in rows] == [
         ("sales_2024", 2, "Order ID", "order_id"), ("sales_2024", 2, "Total", "total")]
 
 
+def test_what_is_left_out_is_listed(spark, tmp_path):
+    (tmp_path / "logo_sales.csv").write_text("a\n1\n")
+    (tmp_path / "wide.csv").write_text("a\n" + "12345678\n" * 3_000_000)  # 26 MB
+    found = files.discover_files(spark, str(tmp_path))
+    assert {r.file: r.reason for r in files.skipped(found).collect()} == {"logo_sales.csv": "name looks non-tabular (matched 'logo')"}
+    rows = files.preview(spark, found).collect()
+    assert {(r.file, r.row_count, r.reason is None) for r in rows} == {("wide.csv", 3_000_000, True), ("logo_sales.csv", None, False)}
+    assert files.discover_files(spark, str(tmp_path), skip_words=()).where("kept").count() == 2
+
+
+def test_a_stray_quote_mark_needs_no_unsplit_read(spark, tmp_path):
+    (tmp_path / "pipes.csv").write_text('id,size\n1,5" pipe\n2,plain\n')
+    (tmp_path / "notes.csv").write_text('id,note\n1,"two\nlines"\n')
+    facts = files.sniffed(spark, [str(tmp_path / n) for n in ("pipes.csv", "notes.csv")])
+    assert [f.multi_line for f in facts.values()] == [False, True]
+    loaded = files.load_csv_folder(spark, files.discover_files(spark, str(tmp_path)))
+    assert [tuple(r) for r in loaded["pipes"][0].collect()] == [(1, '5" pipe'), (2, "plain")]
+
+
 def test_names_with_pattern_characters(spark, tmp_path):
     (tmp_path / "Q1 [2024] 100%41 {a}.csv").write_text("a\n1\n2\n")
     df, n = load(spark, tmp_path, b"b\n1\n", table="q1_2024_100_41_a")

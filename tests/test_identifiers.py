@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.identifiers import file_stem, id_like, identifier, rename_clean, table_name, unique_identifiers
 
-NAMES = {"  Division  ": "division", "Order ID": "order_id", "Country/Region": "country_region", "2024": "c_2024",
-         "!!!": "col", "customer_id": "customer_id", "Größe (cm)": "gr_e_cm", "": "col"}
+NAMES = {"\tHarbour ": "harbour", "Berth No": "berth_no", "Draught (m) / max.": "draught_m_max", "7th pier": "c_7th_pier",
+         "--": "col", "tide_table": "tide_table", "Fähre €": "f_hre", "": "col", "_x_": "x"}
 
 
 def test_column_form_and_schema_form_agree(spark):
@@ -14,25 +14,25 @@ def test_column_form_and_schema_form_agree(spark):
 
 
 @pytest.mark.parametrize("raw, clean", [
-    (["Total", "Total!", "Total?"], ["total", "total_2", "total_3"]),
-    (["total", "total_2", "Total"], ["total", "total_2", "total_3"]),
-    (["a b", "a_b_2", "A-B", "a.b"], ["a_b", "a_b_2", "a_b_3", "a_b_4"]),
+    (["Tide", "tide#", "(TIDE)"], ["tide", "tide_2", "tide_3"]),
+    (["knot", "knot_2", "Knot"], ["knot", "knot_2", "knot_3"]),
+    (["x y", "x_y_2", "X/Y", "x..y", "?"], ["x_y", "x_y_2", "x_y_3", "x_y_4", "col"]),
 ])
 def test_repeats_are_numbered(raw, clean):
     assert unique_identifiers(raw) == clean
 
 
 def test_table_names(spark):
-    paths = ["/x/Candy_Sales.csv", "US Candy Distributor.csv", "a/b/2024.tar.gz", "plain"]
+    paths = ["/in/Tide_Tables.csv", "Pilot Book North.csv", "x/y/1851.log.gz", "bare"]
     df = spark.createDataFrame([(p,) for p in paths], "p STRING")
     got = df.select(file_stem(F.col("p")), table_name(F.col("p"))).collect()
     assert [tuple(r) for r in got] == [
-        ("Candy_Sales", "candy_sales"), ("US Candy Distributor", "us_candy_distributor"),
-        ("2024.tar", "c_2024_tar"), ("plain", "plain")]
+        ("Tide_Tables", "tide_tables"), ("Pilot Book North", "pilot_book_north"),
+        ("1851.log", "c_1851_log"), ("bare", "bare")]
 
 
 def test_id_names(spark):
-    names = ["customer_id", "row_id", "id", "ID", "rowid", "uuid", "valid", "paid", "grid", "avoid", "solid", "sales", "unit_price"]
+    names = ["berth_id", "Pilot_ID", "id", "Id", "ROWID", "guid", "tepid", "humid", "orchid", "ide", "idle", "depth"]
     df = spark.createDataFrame([(n,) for n in names], "n STRING")
     assert [r[0] for r in df.where(id_like(F.col("n"))).collect()] == names[:6]
 

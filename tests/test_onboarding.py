@@ -24,6 +24,8 @@ def test_everything_in_one_go(spark, dataset, tmp_path):
     assert keys == {("candy_products", "product_id"), ("sales", "row_id")}
     report = {(r.dataset, r.label): r.n for r in done["dashboard"].collect()}
     assert report[("ds_candy_products_division_top", "Sugar")] == 40 and report[("ds_sales_order_date_trend", "2024-02")] == 30
+    written = (p.read_text() for p in (tmp_path / "out/questions").glob("part*"))
+    assert "".join(written).startswith("# Questions to ask of shop\n\n- What's the range and average units in `sales`?\n")
     assert done["questions"].first().question == "What's the range and average units in `sales`?"
     assert done["summary"].count() == 1
     nested = [json.loads(line) for f in (tmp_path / "out/profile/json/table_name=sales").glob("part*") for line in f.read_text().splitlines()]
@@ -38,7 +40,8 @@ def test_everything_in_one_go(spark, dataset, tmp_path):
 def test_dry_run_changes_nothing(spark, dataset, tmp_path):
     dataset.database = "untouched"
     done = onboard(spark, dataset, dry_run=True)
-    assert {r.table_name for r in done["preview"].collect()} == {"candy_products", "sales"}
+    assert {(r.table_name, r.reason is None) for r in done["preview"].collect()} == {("candy_products", True), ("sales", True), (None, False)}
+    assert {r.file for r in done["skipped"].collect()} == {"data_dictionary.csv"}
     assert not spark.catalog.databaseExists("untouched") and not (tmp_path / "out").exists()
 
 

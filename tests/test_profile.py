@@ -8,29 +8,48 @@ import pytest
 from tallyloom.operators import profile as profiles
 from tallyloom.operators.profile import inferred_keys, profile_table, with_declared_keys
 
-FACTORIES = [
-    ("Lot's O' Nuts", 32.881893, -111.768036), ("Wicked Choccy's", 32.076176, -81.088371),
-    ("Sugar Shack", 48.11914, -96.18115), ("Secret Factory", 41.446333, -90.565487),
-    ("The Other Factory", 35.1175, -89.971107)]
+BUOYS = [("Skerry", 57.25, -6.125), ("Old Tom", 51.5, 0.75), ("O'Rourke's", 53.375, -9.5), ("North \"Q\"", 60.0, 1.25), ("Mudflat", 52.625, 2.5)]
 
 
 def columns(df):
     return {r.column_name: r for r in df.collect()}
 
 
-def test_committed_profile_of_factories(spark):
-    got = columns(profile_table(spark.createDataFrame(FACTORIES, ["factory", "latitude", "longitude"]), "f"))
-    lat = got["latitude"]
-    assert (lat.min_number, lat.max_number, lat.mean, lat.median, lat.stddev) == (32.076176, 48.11914, 37.9282, 35.1175, 6.7795)
-    assert got["longitude"].stddev == 11.3486 and got["longitude"].median == -90.565487
-    assert got["factory"].is_inferred_primary_key and not lat.is_inferred_primary_key
-    assert {(v.value, v.n) for v in got["factory"].value_counts} == {(f[0], 1) for f in FACTORIES}
-
-
-def test_committed_profile_of_targets(spark):
-    df = spark.createDataFrame([("Chocolate", 27000), ("Sugar", 15000), ("Other", 3000)], "division STRING, target INT")
-    target = columns(profile_table(df, "t"))["target"]
-    assert (target.mean, target.median, target.stddev, target.data_type) == (15000.0, 15000.0, 12000.0, "INT")
+def test_small_profile(spark):
+    got = columns(profile_table(spark.createDataFrame(BUOYS, ["buoy", "north", "east"]), "f"))
+    for name, values in (("north", [b[1] for b in BUOYS]), ("east", [b[2] for b in BUOYS])):
+        r = got[name]
+        assert (r.min_number, r.max_number, r.median) == (min(values), max(values), statistics.median(values))
+        assert (r.mean, r.stddev) == (round(statistics.fmean(values), 4), round(statistics.stdev(values), 4))
+    assert got["buoy"].is_inferred_primary_key and not got["north"].is_inferred_primary_key
+    assert {(v.value, v.n) for v in got["buoy"].value_counts} == {(b[0], 1) for b in BUOYS}
+
+
+@pytest.mark.parametrize("bins", [4, 64])
+def test_no_task_ranks_more_than_its_bound(spark, monkeypatch, bins):
+    """Brackets are narrowed by counting until they hold few rows or one value; medians stay exact."""
+    monkeypatch.setattr(profiles, "MAX_RANKED", 40)
+    monkeypatch.setattr(profiles, "BINS", bins)
+    rng = random.Random(12)
+    rows = [(rng.gauss(1e6, 1), rng.choice([3, 3, 3, 9, rng.randrange(1000)]), rng.random() if i % 9 == 0 else None, float("nan") if i % 3 else float(i), 2.5 ** rng.randrange(300))
+            for i in range(20001)]
+    df = spark.createDataFrame(rows, "x DOUBLE, hot INT, sparse DOUBLE, odd DOUBLE, far DOUBLE").repartition(5)
+    got = columns(profile_table(df, "t"))
+    for i, name in enumerate(("x", "hot", "sparse")):
+        assert got[name].median == statistics.median_low([r[i] for r in rows if r[i] is not None])
+    assert got["far"].median == statistics.median_low([r[4] for r in rows])
+    numbers = profiles.profiled_columns(df)
+    brackets = profiles._narrowed(df, numbers, profiles._brackets(df, numbers, len(rows)))
+    for i, c in enumerate(numbers):
+        if c.name != "odd":
+            inside = [r[i] for r in rows if r[i] is not None and brackets[i][0] <= r[i] <= brackets[i][1]]
+            assert len(inside) <= 40 or len(set(inside)) <= 2
+
+
+def test_words_the_estimate_took_for_many_are_listed(spark, monkeypatch):
+    monkeypatch.setattr(profiles, "MAYBE_CATEGORY", 3)  # as if the sketch were far off
+    got = columns(profile_table(spark.createDataFrame([(f"w{i % 20}",) for i in range(100)], "a STRING"), "t"))
+    assert len(got["a"].value_counts) == 10 and not got["a"].high_cardinality
 
 
 def test_all_types(spark):

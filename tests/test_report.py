@@ -41,9 +41,12 @@ def test_categories_worth_a_chart(profile):
 def test_report_covers_the_first_tables(spark, profile):
     tables = {f"t{i}": [("kind", "categorical", 2), ("day", "temporal", 3)] for i in range(8)}
     frames = {t: spark.sql("SELECT 'a' AS kind, DATE'2024-01-05' AS day UNION ALL SELECT 'b', NULL") for t in tables}
-    rows = report.report_datasets(profile(**tables), frames).collect()
+    whole = {r.dataset for r in report.report_datasets(profile(**tables), frames).collect()}
+    assert whole == {f"ds_t{i}_{x}" for i in range(8) for x in ("rows", "kind_top", "day_trend")}
+    rows = report.report_datasets(profile(**tables), frames, limit=6).collect()
     names = {r.dataset for r in rows}
-    assert names == {f"ds_t{i}_{x}" for i in range(6) for x in ("rows", "kind_top", "day_trend")}
+    assert names == {f"ds_t{i}_{x}" for i in range(6) for x in ("rows", "kind_top", "day_trend")} | {"ds_not_shown"}
+    assert [r.n for r in rows if r.dataset == "ds_not_shown"] == [2]
     assert [(r.label, r.n) for r in rows if r.dataset == "ds_t0_kind_top"] == [("a", 3), ("b", 2)]
     assert {(r.label, r.n) for r in rows if r.dataset == "ds_t0_day_trend"} == {("2024-01", 1), (None, 1)}
 

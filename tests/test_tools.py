@@ -54,23 +54,30 @@ def test_wrong_names_are_refused(tables, call, message):
 @pytest.mark.parametrize("query", [
     "INSERT INTO t VALUES (1)", "DROP TABLE t", "SET a=b", "EXPLAIN SELECT 1", "SELECT 1; SELECT 2", "SELECT 1; DROP TABLE t",
     "WITH x AS (SELECT 1) INSERT INTO t SELECT * FROM x", "SELECT java_method('java.lang.System', 'exit', 1)",
-    "SELECT reflect('java.lang.System', 'getenv')", "SELECT TRANSFORM(a) USING 'cat' AS b FROM (SELECT 1 AS a)", "SELECT * FROM no_such_table",
+    "SELECT reflect('java.lang.System', 'getenv')", "SELECT `reflect`('java.lang.System', 'getenv') FROM t", "SELECT * FROM text.`/etc/hostname`",
+    "SELECT a FROM t WHERE a IN (SELECT 1 FROM csv.`/etc/passwd`)", "WITH x AS (SELECT * FROM u) SELECT * FROM x", "SELECT (SELECT MAX(a) FROM u)", "SELECT TRANSFORM(a) USING 'cat' AS b FROM (SELECT 1 AS a)", "SELECT * FROM no_such_table",
 ])
 def test_commands_are_refused(spark, query):
     spark.sql("CREATE OR REPLACE TEMPORARY VIEW t AS SELECT 1 AS a")
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW u AS SELECT 2 AS a")
     with pytest.raises(ValueError):
-        tools.run_readonly_sql(spark, query)
+        tools.run_readonly_sql(spark, query, ["t"])
     assert spark.table("t").count() == 1
 
 
 def test_queries_run(spark):
-    assert pairs(tools.run_readonly_sql(spark, " select 'update' AS a ; ")) == [("update",)]
-    assert tools.run_readonly_sql(spark, "WITH r AS (SELECT id FROM range(500)) SELECT * FROM r ORDER BY id DESC").collect()[0][0] == 499
-    assert tools.run_readonly_sql(spark, "SELECT id FROM range(500) -- all").count() == 100
+    assert pairs(tools.run_readonly_sql(spark, " select 'update' AS a, 'reflect' AS b ; ", [])) == [("update", "reflect")]
+    assert tools.run_readonly_sql(spark, "WITH r AS (SELECT id FROM range(500)) SELECT * FROM r ORDER BY id DESC", []).collect()[0][0] == 499
+    assert tools.run_readonly_sql(spark, "SELECT id FROM range(500) -- all", []).count() == 500
+    assert tools.run_readonly_sql(spark, "SELECT id FROM range(500) -- some", [], limit=100).count() == 100
+    spark.range(3).createOrReplaceTempView("some_rows")
+    assert tools.run_readonly_sql(spark, "SELECT * FROM Some_Rows WHERE id > (SELECT MIN(id) FROM some_rows)", ["some_rows"]).count() == 2
 
 
 def test_text_form(spark, tables):
     assert tools.as_text(tools.top_n_group_by, tables, "sales", "name", "qty", 1) == "{'group_value': 'b', 'metric_value': 9}"
     assert tools.as_text(tools.filter_by_threshold, tables, "empty", "x", "=", 1) == "(no rows)"
-    assert tools.as_text(tools.run_readonly_sql, spark, "DROP TABLE t").startswith("Rejected")
-    assert "divide" in tools.as_text(tools.run_readonly_sql, spark, "SELECT id / 0 FROM range(2)").lower()
+    assert tools.as_text(tools.run_readonly_sql, spark, "DROP TABLE t", []).startswith("Rejected")
+    assert "divide" in tools.as_text(tools.run_readonly_sql, spark, "SELECT id / 0 FROM range(2)", []).lower()
+    lines = tools.as_text(tools.run_readonly_sql, spark, "SELECT id FROM range(9)", [], shown=4).split("\n")
+    assert len(lines) == 5 and "more than 4 rows" in lines[-1]
