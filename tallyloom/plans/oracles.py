@@ -429,10 +429,10 @@ SELECT query_id, question, 1, 'user', 'Context:' || chr(10) || context || chr(10
 # The sentence of the context that shares most words with the question, the first of several; lines are sentences too.
 _WORDS = "list_distinct(regexp_extract_all(lower({}), '[^\\x00-\\x2f\\x3a-\\x40\\x5b-\\x60\\x7b-\\x7f]+'))"
 ANSWERS = f"WITH RECURSIVE {SEARCH},\n" + _contexts("''") + f""",
-cut AS (
+pieces AS (
   SELECT query_id, question, string_split_regex(regexp_replace('Context:' || chr(10) || context || chr(10) || chr(10), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1) || '|\\n+') AS s
   FROM contexts),
-sentences AS (SELECT query_id, question, unnest(s) AS s, generate_subscripts(s, 1) AS place FROM cut),
+sentences AS (SELECT query_id, question, unnest(s) AS s, generate_subscripts(s, 1) AS place FROM pieces),
 best AS (
   SELECT query_id, question, arg_max(s, (len(list_intersect({_WORDS.format('s')}, {_WORDS.format('question')})), -place)) AS s FROM sentences GROUP BY ALL)
 SELECT query_id, question, array_to_string(list_filter(string_split_regex(s, '\\s+'), lambda w: w <> '')[:{models.MAX_ANSWER_TOKENS}], ' ') AS answer FROM best"""
