@@ -20,9 +20,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyloom.functions.models import Encoder, HashingEncoder
@@ -39,6 +36,8 @@ SENT_NUMBERS = 8_000_000
 # Scores that a task holds at a time.
 HELD_SCORES = 4_000_000
 UNEQUAL = "vectors and questions differ in length"
+# Random planes that divide an index into 2**PLANES buckets, and how many of these a question reads.
+PLANES, PROBES = 4, 10
 # Rows per block when vectors meet in a task.
 BLOCK_ROWS = 2048
 
@@ -257,15 +256,32 @@ def similar_pairs(vectors: DataFrame, min_score: float, vector: str = "embedding
         compare, f"left_id {id_type}, right_id {id_type}, score double, left_copies bigint, right_copies bigint").unionByName(selves)
 
 
+def _planes(width: int, planes: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).normal(size=(planes, width))
+
+
+def with_buckets(vectors: DataFrame, width: int, vector: str = "embedding", planes: int = PLANES, seed: int = 0) -> DataFrame:
+    """The rows with ``bucket``: on which side of each of some random planes their vector lies. Stored
+    partitioned by it, an index lets ``approximate_hits`` read a part of its files."""
+    bits = [F.when(dot(F.col(vector), F.array(*map(F.lit, plane.tolist()))) >= 0, 1 << i).otherwise(0) for i, plane in enumerate(_planes(width, planes, seed))]
+    return vectors.withColumn("bucket", reduce(lambda a, b: a + b, bits))
+
+
+def nearest_buckets(query: list[float], probes: int, planes: int = PLANES, seed: int = 0) -> list[int]:
+    """The buckets to read for a question, its own first, then those behind the planes it lies closest to."""
+    side = _planes(len(query), planes, seed) @ np.asarray(query, float)
+    own = sum(1 << i for i, s in enumerate(side) if s >= 0)
+    cost = [sum(side[i] ** 2 for i in range(planes) if (bucket ^ own) >> i & 1) for bucket in range(1 << planes)]
+    return [int(b) for b in np.argsort(cost, kind="stable")[:probes]]
+
+
 def approximate_hits(vectors: DataFrame, query: list[float], k: int = TOP_K, vector: str = "embedding",
-                     tie: str = "vec_id", bucket_length: float = 0.5, tables: int = 6, seed: int = 0) -> DataFrame:
-    """Like ``top_hits`` from the rows whose hash falls near the query's. On unit vectors the
-    order by distance is the order by cosine."""
-    rows = vectors.withColumn("unit", array_to_vector(unit(F.col(vector))))
-    length = math.sqrt(sum(x * x for x in query)) + NORM_GUARD
-    key = Vectors.dense([x / length for x in query])
-    model = BucketedRandomProjectionLSH(
-        inputCol="unit", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed).fit(rows)
-    near = model.approxNearestNeighbors(rows, key, k, distCol="distance")
-    score = F.round(1 - F.col("distance") * F.col("distance") / 2, SCORE_DIGITS)
-    return near.withColumn("score", score).drop("unit", "hashes", "distance").orderBy(F.desc("score"), tie).limit(k)
+                     tie: str = "vec_id", probes: int = PROBES, planes: int = PLANES, seed: int = 0) -> DataFrame:
+    """Like ``top_hits`` over the buckets nearest to the question: scores are exact, hits in other buckets
+    are missed. A hit at angle a lies across one plane in a/180 of all cases; with the defaults, 5 of
+    8 parts are read, and about one in ten of the hits at 60 degrees is missed, and fewer of
+    closer ones. Rows without ``bucket`` get it here, which saves scoring but no reading."""
+    if "bucket" not in vectors.columns:
+        vectors = with_buckets(vectors.where(comparable(F.col(vector))), len(query), vector, planes, seed)
+    near = vectors.where(F.col("bucket").isin(nearest_buckets(query, probes, planes, seed)))
+    return top_hits(near, query, k, vector, tie).drop("bucket")

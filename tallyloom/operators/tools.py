@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from decimal import Decimal, InvalidOperation
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -27,10 +28,14 @@ COMPARISONS = {
 CODE_FUNCTIONS = {"java_method", "reflect", "try_reflect"}
 
 
-def list_tables(tables: dict[str, DataFrame]) -> DataFrame:
-    """Table names and column counts, by name."""
+def list_tables(tables: dict[str, DataFrame], counted: bool = False) -> DataFrame:
+    """Table names and column counts, by name, and row counts if asked for."""
     spark = next(iter(tables.values())).sparkSession
     rows = [(name, len([c for c in df.columns if c != RESCUED_COLUMN])) for name, df in tables.items()]
+    if counted:
+        return reduce(DataFrame.unionAll, [
+            tables[name].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), F.lit(n).alias("column_count"), "row_count")
+            for name, n in sorted(rows)])
     return spark.createDataFrame(rows, "table_name STRING, column_count INT").orderBy("table_name")
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tallyloom.functions import identifiers, models
 from tallyloom.operators import chunks, constraints, context, profile, projection, report, retrieval, tools
 from tallyloom.plans import onboarding, retail
-from tallyloom.session import shared_dir, spread
+from tallyloom.session import shared_dir, spread, stamp
 from tallyloom.sources import catalog, files, pages, writers
 from tallyloom.streaming import sync
 
@@ -44,7 +44,7 @@ MIN_SCORE = 0.4
 CLUSTERS = 5
 EXAMPLES = 40
 
-_staged: dict[tuple[str, str, str], str] = {}
+_staged: dict[tuple, str] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -55,12 +55,12 @@ def read_all(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFra
     return {t: read(spark, sf_dir, t) for t in names or TABLES}
 
 
-def staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A result that several queries read, written on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+def staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], *partition_by: str) -> DataFrame:
+    """A result that several queries read, written on first use and again once a table has changed."""
+    key = (spark.sparkContext.applicationId, sf_dir, name, *(stamp(spark, f"{sf_dir}/{t}.parquet") for t in TABLES))
     if key not in _staged:
         path = shared_dir(spark, name)
-        build().write.mode("overwrite").parquet(path)
+        build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         _staged[key] = path
     return spark.read.parquet(_staged[key])
 
@@ -221,9 +221,7 @@ def readonly_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = read_all(spark, sf_dir)
-    counts = writers.reconcile(tables, {t: 0 for t in tables}).select("table_name", F.col("loaded_rows").alias("row_count"))
-    return tools.list_tables(tables).join(counts, "table_name")
+    return tools.list_tables(read_all(spark, sf_dir), counted=True)
 
 
 # Profile and report ------------------------------------------------------------------
@@ -559,11 +557,30 @@ def score_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.score_pairs(pairs, vectors)
 
 
+def bucketed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored vectors, a folder per bucket."""
+    vectors = read(spark, sf_dir, "embeddings")
+    width = len(_query_vector(spark, sf_dir))
+    return staged(spark, sf_dir, "bucketed-vectors", lambda: retrieval.with_buckets(vectors, width), "bucket")
+
+
 def ann_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = retrieval.approximate_hits(read(spark, sf_dir, "embeddings"), _query_vector(spark, sf_dir))
+    hits = retrieval.approximate_hits(bucketed_vectors(spark, sf_dir), _query_vector(spark, sf_dir))
     return hits.select("vec_id", "label", "score")
 
 
+def ann_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the best four for each label's first vector, whether the approximate search finds at least three
+    quarters, and how many hits it returns."""
+    index, parts = bucketed_vectors(spark, sf_dir), []
+    for q in _label_queries(spark, sf_dir).collect():  # a row per label
+        parts.append(retrieval.approximate_hits(index, q.embedding).select(F.lit(q.query_id).alias("query_id"), F.col("vec_id").alias("hit_id")))
+    found = reduce(DataFrame.unionAll, parts)
+    exact = _batch_hits(spark, sf_dir, retrieval.TOP_K).select("query_id", "hit_id", F.lit(1).alias("right"))
+    return found.join(exact, ["query_id", "hit_id"], "left").agg(
+        F.countDistinct("query_id").alias("questions"), F.count("hit_id").alias("hits"), (F.sum("right") >= 0.75 * F.count("hit_id")).alias("recall_holds"))
+
+
 def pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return projection.project(projection.fit_plane(vectors), vectors).select("vec_id", "x", "y")
@@ -666,7 +683,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         question_columns, example_questions, schema_text, data_dictionary, fk_violations, pk_violations, snapshot_diff,
         clean_names, csv_reload, csv_preview, typed_csv, row_count_reconciliation, page_metadata, page_chunks, spaced_chunks,
         chunk_length_histogram, source_count, hash_embed, cosine_topk, cosine_topk_batch, label_vote, similar_pairs,
-        score_pairs, ann_topk, pca_2d, kmeans_labels, search_documents, distinct_page_hits, context_assembly,
+        score_pairs, ann_topk, ann_recall, pca_2d, kmeans_labels, search_documents, distinct_page_hits, context_assembly,
         search_text, prompt_rows, generate_answer, incremental_sync, continuous_sync, distinct_labels, labelled_ranking, search_by_text,
         csv_discovery, document_listing, onboarded_tables, saved_tables, profile_json, csv_encoded)}
     named["chunk_documents"] = document_chunks

@@ -544,6 +544,7 @@ def all_oracles() -> dict[str, str]:
         "hash_embed": HASH_EMBED, "cosine_topk": COSINE_TOPK, "cosine_topk_batch": COSINE_BATCH, "label_vote": LABEL_VOTE,
         "similar_pairs": SIMILAR_PAIRS, "score_pairs": SCORE_PAIRS, "labelled_ranking": LABELLED,
         "distinct_labels": "SELECT DISTINCT label FROM embeddings", "search_documents": SEARCH_DOCUMENTS,
+        "ann_recall": "SELECT COUNT(DISTINCT label) AS questions, 4 * COUNT(DISTINCT label) AS hits, TRUE AS recall_holds FROM embeddings",
         "search_by_text": SEARCH_BY_TEXT, "generate_answer": ANSWERS, "profile_approx": APPROX, "continuous_sync": SYNCED, "csv_discovery": DISCOVERY, "document_listing": LISTING,
         "onboarded_tables": ONBOARDED, "saved_tables": SAVED, "csv_encoded": ENCODED,
         "profile_json": f"WITH {PROFILE}\nSELECT table_name, row_count, column_name, kind, distinct_count FROM profile",

@@ -35,17 +35,48 @@ def build_session(app: str = "tallyloom", master: str | None = None, **conf: str
     return spark
 
 
+_own_root: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to the machine's own temporary folder;
+    Only a local session may do without it, and gets one temporary folder of its own;
     executors on other machines could not see it."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root, session = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.applicationId
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tallyloom-")
-    return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+        root = _own_root[session] = _own_root.get(session) or tempfile.mkdtemp(prefix="tallyloom-")
+    path = os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+    _made.setdefault(session, []).append(path)
+    return path
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    known = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return known.getFileSystem(spark._jsc.hadoopConfiguration()), known
+
+
+def clear_shared(spark: SparkSession) -> int:
+    """Delete the folders that this session has asked for so far, and what was written there. Results
+    that still read them can no longer be computed. Returns how many there were."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        system, known = _files(spark, path)
+        system.delete(known, True)
+    return len(paths)
+
+
+def stamp(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Bytes, files and time of change of a path: differs once the data has changed."""
+    system, known = _files(spark, path)
+    if not system.exists(known):
+        return 0, 0, 0
+    summary = system.getContentSummary(known)
+    return summary.getLength(), summary.getFileCount(), system.getFileStatus(known).getModificationTime()
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:

@@ -7,7 +7,7 @@ from tallyloom.functions.vectors import cosine, norm, unit
 from tallyloom.operators import retrieval
 from tallyloom.operators.joins import sent_if_few
 from tallyloom.operators.retrieval import (approximate_hits, batch_hits, hit_rows, label_votes, score_pairs, similar_pairs,
-                                           similarity_search, top_hits)
+                                           similarity_search, top_hits, with_buckets)
 
 SCHEMA = "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT"
 
@@ -154,9 +154,14 @@ def test_few_rows_are_sent_and_many_are_not(spark):
     assert "broadcast" not in sent_if_few(spark.range(11), 10)._jdf.queryExecution().analyzed().toString()
 
 
-def test_approximate_recall(spark, clustered):
+def test_approximate_recall(spark, clustered, tmp_path):
     df = vectors(spark, clustered)
     query = [float(x) for x in clustered[0]]
     exact = {r.vec_id for r in top_hits(df, query, 10).collect()}
-    found = approximate_hits(df, query, 10).collect()
+    stored = str(tmp_path / "index")
+    with_buckets(df, 8).write.partitionBy("bucket").parquet(stored)
+    hits = approximate_hits(spark.read.parquet(stored), query, 10)
+    assert "PartitionFilters: [bucket" in hits._jdf.queryExecution().executedPlan().toString()
+    found = hits.collect()
+    assert found == approximate_hits(df, query, 10).collect()
     assert len(exact & {r.vec_id for r in found}) >= 7 and found[0].score == pytest.approx(1.0)
