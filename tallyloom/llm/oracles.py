@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallyloom.llm import quality, secrets
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 OP4 = f"""
@@ -72,5 +74,78 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.a = w.doc_id
 """
 
 
+def _dup(n: int) -> str:
+    return f"coalesce(sum(chars) FILTER (n = {n}), 0)::BIGINT AS dup_{n}gram_chars"
+
+
+OP5 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(x, '{WORD}') AS w FROM d),
+places AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p
+  FROM w CROSS JOIN (VALUES (3), {', '.join(f'({n})' for n in quality.NGRAMS)}) AS v(n)),
+grams AS (
+  SELECT doc_id, n, p, row_number() OVER same AS k, count(*) OVER (PARTITION BY doc_id, n, gram) AS m
+  FROM (SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS gram FROM places)
+  WINDOW same AS (PARTITION BY doc_id, n, gram ORDER BY p)),
+covered AS (SELECT DISTINCT doc_id, n, unnest(range(p, p + n)) AS q FROM grams WHERE CASE WHEN n = 3 THEN m > 1 ELSE k > 1 END),
+repeats AS (SELECT doc_id, n, count(*) AS words, sum(length(w[q])) AS chars FROM covered JOIN w USING (doc_id) GROUP BY doc_id, n),
+per_doc AS (
+  SELECT doc_id, coalesce(sum(words) FILTER (n = 3), 0)::BIGINT AS n_repeat_words, {', '.join(map(_dup, quality.NGRAMS))}
+  FROM w LEFT JOIN repeats USING (doc_id) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(s) AS line, generate_subscripts(s, 1) AS i FROM (SELECT doc_id, string_split(x, chr(10)) AS s FROM d)),
+again AS (
+  SELECT doc_id, count(*) AS n_dup_lines, sum(length(regexp_replace(line, '[\\x20\\x09-\\x0D]', '', 'g')))::BIGINT AS dup_line_chars
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY i) AS k FROM lines WHERE regexp_matches(line, '{WORD}')) WHERE k > 1 GROUP BY doc_id),
+counted AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(x, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols
+  FROM w JOIN d USING (doc_id)),
+joined AS (
+  SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(dup_line_chars, 0) AS dup_line_chars, per_doc.* EXCLUDE (doc_id),
+         n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed, greatest(word_chars, 1)::DOUBLE AS c
+  FROM counted JOIN per_doc USING (doc_id) LEFT JOIN again USING (doc_id))
+SELECT * EXCLUDE (c), NOT base_failed AND NOT (dup_line_chars / c > {quality.MAX_DUP_LINES}::DOUBLE
+  OR {' OR '.join(f'dup_{n}gram_chars / c > {most}::DOUBLE' for n, most in quality.NGRAMS.items())}) AS kept
+FROM joined
+"""
+
+
+def _text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _found(kind: str, pattern: str, where: str = "TRUE") -> str:
+    """Matches of a pattern: between them lie the parts of the text split by it."""
+    return f"""SELECT doc_id, '{kind}' AS kind, {secrets.KINDS.index(kind)} AS r, start, start + length(hit) AS stop FROM (
+  SELECT doc_id, h[i] AS hit, list_sum(g[1:i]) + coalesce(list_sum(list_transform(h[1:i - 1], lambda s: length(s))), 0) AS start FROM (
+    SELECT doc_id, h, g, unnest(range(1, len(h) + 1)) AS i FROM (
+      SELECT doc_id, regexp_extract_all(x, {_text(pattern)}) AS h, list_transform(string_split_regex(x, {_text(pattern)}), lambda s: length(s)) AS g FROM t))) WHERE {where}"""
+
+
+def _suspicious(name: str) -> str:
+    pattern, bits = secrets.CLASSES[name]
+    calm = [*secrets.ALLOWED, *([] if name == "hex" else [f"^{secrets.CLASSES['hex'][0]}$"])]
+    windows = f"list_transform(range(1, length(hit) - {secrets.WINDOW - 2}), lambda p: list_aggregate(string_split(substr(hit, p, {secrets.WINDOW}), ''), 'entropy'))"
+    return _found("entropy", pattern, " AND ".join(f"NOT regexp_matches(hit, {_text(a)})" for a in calm) + f" AND list_max({windows}) >= {bits}")
+
+
+_LISTED = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, r)"
+OP10 = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+base AS (
+  {_found('assign', secrets.ASSIGN, f"length(regexp_extract(hit, {_text(secrets.ASSIGN)}, 2)) >= {secrets.ASSIGN_VALUE}")}
+  UNION ALL {_found('access', secrets.ACCESS)}
+  UNION ALL {_found('hex', secrets.HEX)}),
+more AS ({_suspicious('hex')} UNION ALL {_suspicious('base64')}),
+spans AS (
+  SELECT * FROM base UNION ALL
+  SELECT * FROM more m WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = m.doc_id AND b.start < m.stop AND m.start < b.stop))
+SELECT t.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce({_LISTED} FILTER (kind <> 'entropy'), '')) AS base_sha256, coalesce({_LISTED}, '') AS spans
+FROM t LEFT JOIN spans USING (doc_id) GROUP BY t.doc_id
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op1_pq_duplicates": OP1, "op3_minhash": OP3, "op4_mix_sources": OP4}
+    return {"op1_pq_duplicates": OP1, "op3_minhash": OP3, "op4_mix_sources": OP4, "op5_repetition": OP5, "op10_secret_scan": OP10}
