@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tallyloom.functions.models import Encoder, HashingEncoder
 from tallyloom.functions.scalars import preview
 from tallyloom.functions.vectors import NORM_GUARD, SCORE_DIGITS, comparable, cosine, dot, norm, unit
-from tallyloom.operators.joins import SENT_ROWS
 from tallyloom.session import materialize
 
 # Fixed value: hits per question unless asked otherwise.
@@ -35,6 +34,8 @@ TOP_K = 4
 SENT_NUMBERS = 8_000_000
 # Scores that a task holds at a time.
 HELD_SCORES = 4_000_000
+# Hits up to which they are sent to the rows they point at.
+SENT_HITS = 250_000
 UNEQUAL = "vectors and questions differ in length"
 # Random planes that divide an index into 2**PLANES buckets, and how many of these a question reads.
 PLANES, PROBES = 4, 10
@@ -115,8 +116,8 @@ def batch_hits(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, vector: s
     hits = (
         found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         .select("query_id", "rank", "hit_id", "score"))
-    # There are at most k hits per question, so their number is known before they are found.
-    return F.broadcast(hits) if size.n * k <= SENT_ROWS else hits
+    # There are at most k hits per question, so their number is known before they are found: two ids and two numbers each.
+    return F.broadcast(hits) if size.n * k <= SENT_HITS else hits
 
 
 def _send_queries(index: DataFrame, asked: DataFrame, width: int, k: int, schema: str) -> DataFrame:

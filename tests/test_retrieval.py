@@ -152,6 +152,9 @@ def test_search_by_text_or_vector(spark):
 def test_few_rows_are_sent_and_many_are_not(spark):
     assert "broadcast" in sent_if_few(spark.range(10), 10)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" not in sent_if_few(spark.range(11), 10)._jdf.queryExecution().analyzed().toString()
+    wide = spark.range(10).selectExpr("id", "repeat('x', 1000) AS t", "array(id) AS a")
+    assert "broadcast" in sent_if_few(wide, 10, 11_000)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in sent_if_few(wide, 10, 10_000)._jdf.queryExecution().analyzed().toString()
 
 
 def test_approximate_recall(spark, clustered, tmp_path):
