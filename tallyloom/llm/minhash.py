@@ -195,14 +195,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
 
 def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, dealt into blocks, once for each pair of blocks. Members already
-    connected with the leader need no comparison with each other, only with the rest."""
+    """Members of the buckets that hold several components, dealt into blocks, once for each pair of blocks. The leader has
+    met all others before. Members already connected with it need no comparison with each other, only with the rest."""
     placed = shared.select("band", F.col("leader.cls").alias("leader"), "cls", "n_shingles").join(found.withColumnRenamed("node", "cls"), "cls", "left")
     placed = placed.withColumn("comp", F.coalesce("component", "cls")).drop("component")
-    main = placed.groupBy("band").agg(F.max(F.when(F.col("cls") == F.col("leader"), F.col("comp"))).alias("main"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    split = placed.join(main.where("low < high").select("band", "main"), "band").withColumn("rest", F.col("comp") != F.col("main"))
+    leads = F.col("cls") == F.col("leader")
+    other = F.when(~leads, F.col("comp"))
+    main = placed.groupBy("band").agg(F.max(F.when(leads, F.col("comp"))).alias("main"), F.min(other).alias("low"), F.max(other).alias("high"))
+    split = placed.where(~leads).join(main.where("low < high").select("band", "main"), "band").withColumn("rest", F.col("comp") != F.col("main"))
     sizes = split.groupBy("band").agg(F.ceil(F.count_if("rest") / BLOCK).cast("int").alias("rests"), F.ceil(F.count_if(~F.col("rest")) / BLOCK).cast("int").alias("mains"))
-    own = lambda n: F.pmod(F.xxhash64("cls"), n).cast("int")
+    own = lambda n: F.pmod(F.xxhash64("cls"), F.greatest(n, F.lit(1))).cast("int")
     block = F.when(F.col("rest"), own(F.col("rests"))).otherwise(F.col("rests") + own(F.col("mains")))
     met = F.sequence(F.lit(0), F.when(F.col("rest"), F.col("rests") + F.col("mains") - 1).otherwise(F.col("rests") - 1))
     return (split.join(sizes, "band").withColumn("block", block).withColumn("other", F.explode(met))
