@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 from tallyloom.llm import bpe
 
 SIZE = 1024
+# Pieces written at once.
+ROWS = 4096
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -116,6 +118,9 @@ def pack(docs: DataFrame, path: str, size: int = SIZE, end_id: int = 0, id_col:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = np.append(tokens.encode_to_numpy(text.as_py() or "", allowed_special="all"), np.uint32(end_id))
                 rows += packer.add(doc, ids.astype("<u4"))
+                if len(rows) >= ROWS:
+                    yield _batch(rows, with_ids)
+                    rows = []
             yield _batch(rows, with_ids)
         yield _batch(list(packer.finish()), with_ids)
 

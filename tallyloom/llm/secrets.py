@@ -12,6 +12,8 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ASSIGN_VALUE = 12
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
+# Matches of one text that are worked off together.
+BLOCK = 500
 KINDS = ("assign", "access", "hex", "entropy")
 
 # Character classes of the entropy search: pattern of a candidate, least bits a character in some window.
@@ -24,6 +26,20 @@ ALLOWED = (r"^[^0-9]*$", r"^[^A-Za-z]*$", r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a
            r"^/?([a-z]+[/_-])+[a-z]*[0-9]*$", r"(?i)(example|sample|placeholder|dummy|xxxx|0123456789|abcdefgh)")
 
 
+def _blocks(n: Column) -> Column:
+    """Numbers of the blocks that n entries make up."""
+    return F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+
+def _block(entries: Column, number: Column) -> Column:
+    return F.slice(entries, number * BLOCK + 1, F.lit(BLOCK))
+
+
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.transform(F.array(value), then)[0]
+
+
 def _places(text: Column, pattern: str) -> Column:
     """array<struct<start, end, hit>> of the matches, leftmost and not overlapping, in code points: what lies
     between the matches, and the matches themselves, laid end to end."""
@@ -37,8 +53,15 @@ def _places(text: Column, pattern: str) -> Column:
         end = start + F.length(pair["hit"])
         return F.struct(end.alias("at"), F.concat(acc["found"], F.array(F.struct(start.alias("start"), end.alias("end"), pair["hit"].alias("hit"))).cast(kind)).alias("found"))
 
+    def join(pairs):
+        def part(acc, number):  # a block starts where the last one ended; its own list stays short
+            inner = F.aggregate(_block(pairs, number), F.struct(acc["at"].alias("at"), F.array().cast(kind).alias("found")), step)
+            return _let(inner, lambda b: F.struct(b["at"].alias("at"), F.concat(acc["found"], b["found"]).alias("found")))
+
+        return F.aggregate(_blocks(F.size(pairs)), begin, part, lambda acc: acc["found"])
+
     pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, begin, step, lambda acc: acc["found"])).otherwise(F.array().cast(kind))
+    return F.when(text.rlike(pattern), _let(pairs, join)).otherwise(F.array().cast(kind))
 
 
 def _spans(places: Column, kind: str) -> Column:
@@ -114,12 +137,23 @@ def listed(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with each run of overlapping spans replaced by a mark."""
+    """The text with each run of overlapping spans replaced by a mark. Spans are worked off in blocks, each on the
+    stretch of text it covers, so a long text with many of them is not searched from its start for each."""
+    cut = lambda x, start, end: F.substring(x, (start + 1).cast("int"), F.greatest(end - start, F.lit(0)).cast("int"))
     begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
-    def step(acc, s):
-        kept = F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), kept.alias("out"))
+    def part(acc, number):
+        def worked_off(b):
+            def step(inner, s):
+                kept = F.concat(inner["out"], cut(b["text"], inner["at"] - b["from"], s["start"] - b["from"]), F.lit(mark))
+                return F.struct(F.greatest(inner["at"], s["end"]).alias("at"), F.when(s["start"] >= inner["at"], kept).otherwise(inner["out"]).alias("out"))
+
+            return F.aggregate(b["spans"], F.struct(b["from"].alias("at"), F.lit("").alias("out")), step)
+
+        own = _block(spans, number)
+        stretch = cut(text, acc["at"], F.aggregate(own, acc["at"], lambda most, s: F.greatest(most, s["end"])))
+        block = F.struct(acc["at"].alias("from"), own.alias("spans"), stretch.alias("text"))
+        return _let(_let(block, worked_off), lambda b: F.struct(b["at"].alias("at"), F.concat(acc["out"], b["out"]).alias("out")))
 
-    done = F.aggregate(spans, begin, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+    done = F.aggregate(_blocks(F.size(spans)), begin, part, lambda acc: F.concat(acc["out"], cut(text, acc["at"], acc["at"] + F.length(text))))
     return F.when(F.size(spans) > 0, done).otherwise(text)
