@@ -13,8 +13,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyloom.llm.components import components
 from tallyloom.session import materialize
 
-# The index is fitted on about SAMPLE distinct vectors, chosen by a hash; all vectors are indexed.
+# The index is fitted on about SAMPLE distinct vectors, chosen by a hash; all vectors are indexed. Both bounds are
+# arguments: a table of billions needs more lists, and so a larger sample.
 SAMPLE, MAX_LISTS, SUBSPACES, CODES = 16_384, 1024, 8, 256
+# Distances that a step of the index holds at once.
+HELD = 4_000_000
 # Rows of the largest label in a list, and rows of a list compared at once.
 LIST_ROWS, BLOCK = 512, 1024
 # Standard deviations of a random step that probes allow for.
@@ -44,7 +47,7 @@ class Index:
         near = plane <= reach * min(1.0, DEVIATIONS / math.sqrt(u.shape[1]))
         near[np.arange(len(u)), home] = True
         rest = u - self.centroids[home]
-        codes = np.stack([np.argmin(squared(p, b), axis=1) for p, b in zip(self.parts(rest), self.books)], axis=1).astype(np.uint8)
+        codes = np.stack([nearest(p, b) for p, b in zip(self.parts(rest), self.books)], axis=1).astype(np.uint8)
         left = sum((((p - b[codes[:, m]]) ** 2).sum(axis=1) for m, (p, b) in enumerate(zip(self.parts(rest), self.books))), np.zeros(len(u)))
         return home, [np.flatnonzero(r) for r in near], codes, np.sqrt(left)
 
@@ -65,10 +68,15 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    step = max(1, HELD // len(c))
+    return np.concatenate([np.argmin(squared(x[i:i + step], c), axis=1) for i in range(0, len(x), step)])
+
+
 def kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     c = x[np.random.default_rng(3).permutation(len(x))[:k]].copy()
     for _ in range(rounds):
-        own = np.argmin(squared(x, c), axis=1)
+        own = nearest(x, c)
         sums = np.zeros_like(c)
         np.add.at(sums, own, x)
         n = np.bincount(own, minlength=len(c))
@@ -79,7 +87,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 def fit(sample: np.ndarray, lists: int) -> Index:
     """An index from unit rows."""
     centroids = kmeans(sample, min(lists, len(sample)))
-    rest = sample - centroids[np.argmin(squared(sample, centroids), axis=1)]
+    rest = sample - centroids[nearest(sample, centroids)]
     cuts = [round(i * sample.shape[1] / min(SUBSPACES, sample.shape[1])) for i in range(min(SUBSPACES, sample.shape[1]) + 1)]
     books = [kmeans(rest[:, a:b], min(CODES, len(rest))) for a, b in zip(cuts[:-1], cuts[1:])]
     return Index(centroids, books, cuts)
@@ -96,11 +104,11 @@ def usable(v: Column) -> Column:
     return F.coalesce(~bad & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def _model(classes: DataFrame) -> dict[int, tuple]:
+def _model(classes: DataFrame, sampled: int, max_lists: int) -> dict[int, tuple]:
     """An index for each dimension of the sample, as plain arrays."""
     total, largest = classes.count(), classes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
-    lists = min(MAX_LISTS, max(1, math.ceil(largest / LIST_ROWS)))
-    share = F.pmod(F.xxhash64("key_b"), F.lit(1_000_000)) < min(1.0, SAMPLE / max(1, total)) * 1_000_000
+    lists = min(max_lists, max(1, math.ceil(largest / LIST_ROWS)))
+    share = F.pmod(F.xxhash64("key_b"), F.lit(1 << 40)) < min(1.0, sampled / max(1, total)) * (1 << 40)
     sample = classes.where(share).orderBy("key_a", "key_b").select("dim", "v").toArrow()
     out = {}
     for dim in sorted(set(sample.column("dim").to_pylist())):
@@ -111,7 +119,7 @@ def _model(classes: DataFrame) -> dict[int, tuple]:
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding",
-                    label_col: str = "label") -> DataFrame:
+                    label_col: str = "label", sampled: int = SAMPLE, max_lists: int = MAX_LISTS) -> DataFrame:
     """One row per vector: vec_id, label, n_links, component_id, kept. Vectors of equal label (not null) and equal length are
     linked where their cosine in double precision is at least ``least``.
 
@@ -132,7 +140,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_
     key = ["label", "key_a", "key_b"]
     classes = rows.where("ok").groupBy(*key).agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v"))
     classes = materialize(classes.withColumn("dim", F.size("v")).withColumn("cls", F.monotonically_increasing_id()), "classes")
-    model = classes.sparkSession.sparkContext.broadcast(_model(classes))
+    model = classes.sparkSession.sparkContext.broadcast(_model(classes, sampled, max_lists))
     found = materialize(_compared(_coded(classes, model, least), model, least), "partial")
 
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
@@ -156,7 +164,8 @@ def _coded(classes: DataFrame, model, least: float) -> DataFrame:
     names = [f.name for f in classes.schema] + [c.split()[0] for c in extra.split(", ")]
 
     def coded(batches):
-        for batch in batches:
+        step = max(1, HELD // max([1, *(len(m[0]) for m in model.value.values())]))
+        for batch in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
             dims = np.array(batch.column("dim"))
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))

@@ -55,6 +55,7 @@ def test_against_brute_force(spark, monkeypatch, dim, block, list_rows):
     """Several lists and blocks, a hot label, large groups of near copies. No link may be false; nearly all are found."""
     monkeypatch.setattr(pq, "BLOCK", block)
     monkeypatch.setattr(pq, "LIST_ROWS", list_rows)
+    monkeypatch.setattr(pq, "HELD", 3000)
     rng = np.random.default_rng(dim)
     centres = rng.normal(size=(25, dim))
     vectors = near(rng, centres, 500, 0.12, dim) + near(rng, centres[:1], 150, 0.1, dim) + rng.normal(size=(150, dim)).astype(np.float32).tolist()
