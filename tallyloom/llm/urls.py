@@ -11,7 +11,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyloom.session import spread
+from tallyloom.session import materialize, spread
 
 # What teaches the class "block" before any page is seen: words of common block-list categories.
 BLOCKED_WORDS = """ads advert banner clicks popup track tracker tracking
@@ -25,7 +25,7 @@ PLAIN_WORDS = """news blog shop store home about article archive author books bu
 threads reads leads heads roads loads pads beads better between alphabet diabetes essex sussex middlesex unisex
 forum help learn library local magazine market media music open photo press public recipes research review school science
 search service social sport sports support tech tracks travel university video weather wiki world winter window""".split()
-# Model sizes: words of the segmenter, tokens of the classifier. Both are the most frequent over all pages.
+# Model sizes, at most: words of the segmenter, tokens of the classifier. Both are the most frequent over all pages.
 SEGMENT_WORDS, TOKENS = 50_000, 50_000
 LONGEST, RARE = 24, 20
 # What the classes expect before they see pages, worth PRIOR tokens: "allow" how often a token occurs over all
@@ -89,12 +89,25 @@ class Segmenter:
         return out
 
 
+def _frequent(counts: DataFrame, n: Column, most: int) -> list:
+    """The rows of largest ``n``, up to ``most`` of them. Sizes are cut where a histogram of n in eighths of an octave
+    says so, and only rows above the cut come to the driver; a step that would go over is left out whole."""
+    counts = materialize(counts, "counts")
+    step = F.floor(F.log2(n) * 8)
+    cut, total = None, 0
+    for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("step")).collect():
+        total += r.rows
+        if total > most:
+            break
+        cut = r.step
+    return [] if cut is None else counts.where(step >= cut).collect()
+
+
 def _word_counts(pages: DataFrame, text_col: str) -> dict[str, int]:
     """The most frequent words of all pages' texts, without markup, and the seeds at the weight of a common word."""
     plain = F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ")
     words = pages.select(F.explode(F.regexp_extract_all(plain, F.lit(r"[a-z]{2,24}"), F.lit(0))).alias("word"))
-    top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(SEGMENT_WORDS).collect()
-    counts = {r.word: r["count"] for r in top}
+    counts = {r.word: r.n for r in _frequent(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), F.col("n"), SEGMENT_WORDS)}
     common = max(RARE, sum(counts.values()) // 10_000)
     return counts | {w: max(common, counts.get(w, 0)) for w in BLOCKED_WORDS + PLAIN_WORDS}
 
@@ -119,12 +132,13 @@ def train(pages: DataFrame, url_col: str = "url", text_col: str = "html") -> tup
                                              names=["token", "blocked", "n"])
 
     urls = spread(pages.select(host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")))
-    sums = (urls.mapInArrow(counted, "token string, blocked boolean, n long").groupBy("token")
-            .agg(F.sum(F.when(F.col("blocked"), F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("blocked"), 0).otherwise(F.col("n"))).alias("good")))
+    sums = urls.mapInArrow(counted, "token string, blocked boolean, n long").groupBy("token").agg(
+        F.sum(F.when(F.col("blocked"), F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("blocked"), 0).otherwise(F.col("n"))).alias("good"))
+    sums = materialize(sums, "tokens")
     per_class = sums.agg(F.sum(F.when(F.col("token") == "", F.col("bad"))), F.sum(F.when(F.col("token") == "", F.col("good"))),
                          F.sum(F.when(F.col("token") != "", F.col("bad"))), F.sum(F.when(F.col("token") != "", F.col("good"))), F.count(F.lit(1))).first()
     bad_pages, good_pages, bad_all, good_all, kinds = (x or 0 for x in per_class)
-    table = {r.token: (r.bad, r.good) for r in sums.where("token != ''").orderBy(F.desc(F.col("bad") + F.col("good")), "token").limit(TOKENS).collect()}
+    table = {r.token: (r.bad, r.good) for r in _frequent(sums.where("token != ''"), F.col("bad") + F.col("good"), TOKENS)}
     ratios = {}
     for token in {*table, *BLOCKED_WORDS}:
         bad, good = table.get(token, (0, 0))

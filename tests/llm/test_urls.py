@@ -2,6 +2,7 @@ import math
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 from tallyloom.llm import queries, urls
 
 SCHEMA = "page_id BIGINT, url STRING, html STRING"
@@ -54,6 +55,13 @@ def test_words_decide(spark):
     assert {got[i] for i in range(len(bad), len(rows))} == {"allow"}
 
 
+def test_most_frequent_rows(spark):
+    counts = spark.range(1, 1001).selectExpr("id", "1000 div id AS n").repartition(5)
+    got = {r.id: r.n for r in urls._frequent(counts, F.col("n"), 60)}
+    assert 40 <= len(got) <= 60 and set(got) == set(range(1, len(got) + 1)) and min(got.values()) > 1000 // (max(got) + 1)
+    assert len(urls._frequent(counts, F.col("n"), 5000)) == 1000 and urls._frequent(counts.where("n = 1"), F.col("n"), 10) == []
+
+
 def test_no_rows(spark):
     assert urls.judge(pages(spark, []), queries.RULES).count() == 0
 
