@@ -47,12 +47,19 @@ SAMPLE_ERRORS = 6
 # Rows around a median that one task may rank, and the bins that narrow a bracket down to so many.
 MAX_RANKED = 200_000
 BINS = 512
-# Text columns with up to this many words by estimate may turn out to be categories.
-MAYBE_CATEGORY = 2 * CATEGORY_LIMIT
+# Text columns with up to so many times the words of a category, by estimate, may turn out to be one.
+MAYBE_CATEGORY = 2
 
 VALUE_COUNTS = "array<struct<value: string, n: bigint>>"
 
 
+@dataclass(frozen=True)
+class Limits:
+    """Up to how many different values a text column is a category, and how many of them are listed."""
+    category: int = CATEGORY_LIMIT
+    values: int = TOP_VALUES
+
+
 @dataclass(frozen=True)
 class ProfiledColumn:
     ordinal: int
@@ -202,7 +209,7 @@ def _frequencies(df: DataFrame, columns: list[ProfiledColumn], lane: str, listed
         *[(F.col("value") if name == lane else F.lit(None).cast(dtype)).alias(name) for name, dtype in LANES.items()])
 
 
-def _count_values(df: DataFrame, columns: list[ProfiledColumn], brackets: Brackets, listed: set[int]) -> DataFrame:
+def _count_values(df: DataFrame, columns: list[ProfiledColumn], brackets: Brackets, listed: set[int], values: int) -> DataFrame:
     """One row per column, folded from the frequencies of its values. Medians are ranked
     within ``brackets``, and the words of the ``listed`` columns are kept."""
     of_lane = {lane: [c for c in columns if c.lane == lane] for lane in LANES}
@@ -241,7 +248,7 @@ def _count_values(df: DataFrame, columns: list[ProfiledColumn], brackets: Bracke
         .withColumn("reached", F.sum("weight").over(upward)).withColumn("place", place))
     crossing = (F.col("reached") * 2 >= F.col("total")) & ((F.col("reached") - F.col("weight")) * 2 < F.col("total"))
     top = F.when(
-        F.col("value").isNotNull() & (F.col("place") <= TOP_VALUES), F.struct("place", "value", "n"))
+        F.col("value").isNotNull() & (F.col("place") <= values), F.struct("place", "value", "n"))
     folded = ranked.groupBy("ordinal").agg(
         F.sum("distinct").alias("distinct_count"), F.sum("n").alias("held"),
         F.min("min_number").alias("min_number"), F.max("max_number").alias("max_number"),
@@ -272,32 +279,32 @@ def _time_text(columns: list[ProfiledColumn], end: str) -> Column:
     return F.coalesce(out, F.col(f"{end}_moment").cast("string"))
 
 
-def _count_exactly(df: DataFrame, columns: list[ProfiledColumn], row_count: int) -> list[Row]:
+def _count_exactly(df: DataFrame, columns: list[ProfiledColumn], row_count: int, limits: Limits) -> list[Row]:
     """The statistics per column, one row each."""
     words = [c for c in columns if c.kind == "categorical"]
-    listed = _maybe_categories(words, _sketches(df, words, distinct=True)) if words else set()
+    listed = _maybe_categories(words, _sketches(df, words, distinct=True), limits) if words else set()
     brackets = _brackets(df, columns, row_count)
     # Brackets from a sample hold some hundredths of the rows.
     brackets = _narrowed(df, columns, brackets) if row_count > 25 * MAX_RANKED else brackets
-    rows = {r.ordinal: r for r in _count_values(df, columns, brackets, listed).collect()}
+    rows = {r.ordinal: r for r in _count_values(df, columns, brackets, listed, limits.values).collect()}
     # The estimate said many words, the count says few: their values are still to be listed.
-    unlisted = [c for c in words if c.ordinal not in listed and c.ordinal in rows and rows[c.ordinal].distinct_count <= CATEGORY_LIMIT]
+    unlisted = [c for c in words if c.ordinal not in listed and c.ordinal in rows and rows[c.ordinal].distinct_count <= limits.category]
     if unlisted:
-        rows |= {r.ordinal: r for r in _count_values(df, unlisted, {}, {c.ordinal for c in unlisted}).collect()}
+        rows |= {r.ordinal: r for r in _count_values(df, unlisted, {}, {c.ordinal for c in unlisted}, limits.values).collect()}
     missed = [c for c in columns if c.kind == "numerical" and c.ordinal in rows and rows[c.ordinal].median is None]
     if missed:
         brackets = _brackets(df, missed, row_count, whole=True)
         brackets = _narrowed(df, missed, brackets) if row_count > 25 * MAX_RANKED else brackets
-        again = _count_values(df, missed, brackets, set())
+        again = _count_values(df, missed, brackets, set(), limits.values)
         rows |= {r.ordinal: r for r in again.collect()}
     return list(rows.values())
 
 
-def _maybe_categories(words: list[ProfiledColumn], sketched: Row) -> set[int]:
-    return {c.ordinal for c in words if sketched[f"distinct_{c.ordinal}"] <= MAYBE_CATEGORY}
+def _maybe_categories(words: list[ProfiledColumn], sketched: Row, limits: Limits) -> set[int]:
+    return {c.ordinal for c in words if sketched[f"distinct_{c.ordinal}"] <= MAYBE_CATEGORY * limits.category}
 
 
-def _estimate(df: DataFrame, columns: list[ProfiledColumn]) -> tuple[int, list[Row]]:
+def _estimate(df: DataFrame, columns: list[ProfiledColumn], limits: Limits) -> tuple[int, list[Row]]:
     """The row count, and the statistics per column from one aggregate: estimated distinct counts
     and medians. Only the words of columns that have few of them are counted one by one."""
     aggregates = [F.count(c.ref).alias(f"held_{c.ordinal}") for c in columns if c.kind != "numerical"]
@@ -310,8 +317,8 @@ def _estimate(df: DataFrame, columns: list[ProfiledColumn]) -> tuple[int, list[R
     sketched = _sketches(df, columns, [0.5], distinct=True, more=aggregates)
     plain = sketched.asDict()
     words = [c for c in columns if c.kind == "categorical"]
-    few = _maybe_categories(words, sketched)
-    counted = {r.ordinal: r for r in _count_values(df, [c for c in words if c.ordinal in few], {}, few).collect()} if few else {}
+    few = _maybe_categories(words, sketched, limits)
+    counted = {r.ordinal: r for r in _count_values(df, [c for c in words if c.ordinal in few], {}, few, limits.values).collect()} if few else {}
 
     def of(c: ProfiledColumn, name: str, kind: str):
         return plain[f"{name}_{c.ordinal}"] if c.kind == kind else None
@@ -336,7 +343,7 @@ COLLECTED = ("table_name STRING, ordinal INT, column_name STRING, data_type STRI
              "column_count INT," + STATISTICS)
 
 
-def _collected(df: DataFrame, table: str, exact: bool) -> list[tuple]:
+def _collected(df: DataFrame, table: str, exact: bool, limits: Limits) -> list[tuple]:
     """What is known of each column of a table, one row per column. A column without a single
     value has no statistics."""
     columns = profiled_columns(df)
@@ -344,30 +351,30 @@ def _collected(df: DataFrame, table: str, exact: bool) -> list[tuple]:
     found = {}
     for batch in _batches(columns):
         if exact:
-            rows = _count_exactly(df, batch, count)
+            rows = _count_exactly(df, batch, count, limits)
         else:
-            count, rows = _estimate(df, batch)
+            count, rows = _estimate(df, batch, limits)
         found |= {r.ordinal: tuple(r)[1:] for r in rows}
     return [
         (table, c.ordinal, c.name, _base_type(c.type), c.kind, count, len(columns), *found.get(c.ordinal, NO_VALUES))
         for c in columns]
 
 
-def profile_table(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
+def profile_table(df: DataFrame, table: str, exact: bool = True, limits: Limits = Limits()) -> DataFrame:
     """The profile of one table. It is computed here and now, and what is returned holds a
     row per column, so it may be used many times over. ``exact=False`` estimates distinct
     counts and medians, so that no value is shuffled except those of columns with few."""
-    return profile_tables({table: df}, exact)
+    return profile_tables({table: df}, exact, limits)
 
 
-def profile_tables(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:
+def profile_tables(tables: dict[str, DataFrame], exact: bool = True, limits: Limits = Limits()) -> DataFrame:
     """The profiles of several tables, taken side by side."""
     named = sorted(tables.items())
     spark = named[0][1].sparkSession
-    rows = [row for part in at_once(spark, lambda item: _collected(item[1], item[0], exact), named) for row in part]
+    rows = [row for part in at_once(spark, lambda item: _collected(item[1], item[0], exact, limits), named) for row in part]
     categorical, distinct = F.col("kind") == "categorical", F.col("distinct_count")
     nulls = F.col("row_count") - F.col("held")
-    many = categorical & (distinct > CATEGORY_LIMIT)
+    many = categorical & (distinct > limits.category)
     note = F.concat(
         distinct.cast("string"), F.lit(" unique values across "), F.col("row_count").cast("string"),
         F.lit(" rows; too many to list (an identifier or free text)"))

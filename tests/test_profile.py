@@ -47,7 +47,7 @@ def test_no_task_ranks_more_than_its_bound(spark, monkeypatch, bins):
 
 
 def test_words_the_estimate_took_for_many_are_listed(spark, monkeypatch):
-    monkeypatch.setattr(profiles, "MAYBE_CATEGORY", 3)  # as if the sketch were far off
+    monkeypatch.setattr(profiles, "MAYBE_CATEGORY", 0.06)  # as if the sketch were far off
     got = columns(profile_table(spark.createDataFrame([(f"w{i % 20}",) for i in range(100)], "a STRING"), "t"))
     assert len(got["a"].value_counts) == 10 and not got["a"].high_cardinality
 
@@ -129,6 +129,13 @@ def test_long_text_that_is_a_category_is_listed_whole(spark):
     assert got["b"].note.startswith("300 unique values across 300 rows")
 
 
+@pytest.mark.parametrize("exact", [True, False])
+def test_limits_are_arguments(spark, exact):
+    df = spark.createDataFrame([(str(i % 60), str(i % 70)) for i in range(4200)], "a STRING, b STRING")
+    got = columns(profile_table(df, "t", exact, profiles.Limits(category=60, values=25)))
+    assert len(got["a"].value_counts) == 25 and got["b"].high_cardinality
+
+
 def test_category_limit_is_exact(spark):
     df = spark.createDataFrame([(str(i % 50), str(i % 51)) for i in range(510)], "a STRING, b STRING")
     got = columns(profile_table(df, "t"))
