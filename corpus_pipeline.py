@@ -42,7 +42,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span found is replaced by a mark; all documents stay."""
-    found = secrets.find_secrets(docs)
+    found = secrets.every(secrets.find_secrets(docs))
     return found.select(*_with_text(docs, secrets.redacted(F.col("row.text"), F.col("spans"))))
 
 

@@ -57,7 +57,7 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secrets.every(secrets.find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text")))
     of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("spans", lambda s: s["kind"] != "entropy")
     return found.select("row.doc_id", of("assign"), of("access"), of("hex"), F.sha2(secrets.listed(base), 256).alias("base_sha256"),

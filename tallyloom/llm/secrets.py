@@ -111,12 +111,13 @@ def _entropy(text: Column, name: str) -> Column:
 
 
 def find_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``row`` (all columns given, as a struct) and ``spans``: array<struct<start, rank, end, kind>> in order of
-    start and kind, in code points, end exclusive.
+    """``row`` (all columns given, as a struct), ``spans``: array<struct<start, rank, end, kind>> in order of
+    start and kind, in code points, end exclusive, and ``partly``, of the same kind.
 
     Kinds: ``assign`` (a named value of 12 characters or more), ``access`` (access key ids), ``hex`` (16 or more hex
     digits), and ``entropy``: words whose window entropy is high for their character class, unless a
-    pattern of the allow-list fits or a span above already covers part of them.
+    pattern of the allow-list fits. Those that no span above touches are in ``spans``; those that such spans cover in
+    part only are in ``partly``, whole; what they cover whole is in neither. ``every`` gives both in one.
 
     Null and empty texts have no spans. Texts are searched whole. Rows are independent: repeated rows give
     repeated results, an empty table none, and names of other columns cannot clash."""
@@ -127,8 +128,17 @@ def find_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
         _spans(_places(text, ACCESS), "access").alias("k"), _spans(_places(text, HEX), "hex").alias("h"),
         _entropy(text, "hex").alias("e1"), _entropy(text, "base64").alias("e2"))
     base = found.select("row", F.concat("a", "k", "h").alias("base"), _spans(F.concat("e1", "e2"), "entropy").alias("more"))
-    free = lambda e: ~F.exists("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"]))
-    return base.select("row", F.array_sort(F.concat("base", F.filter("more", free))).alias("spans"))
+    base = base.withColumn("base", F.array_sort("base"))
+    over = lambda e: F.filter("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"]))
+    covered = lambda e: F.aggregate(over(e), e["start"], lambda at, b: F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at))
+    free = F.filter("more", lambda e: F.size(over(e)) == 0)
+    partly = F.filter("more", lambda e: (F.size(over(e)) > 0) & (covered(e) < e["end"]))
+    return base.select("row", F.array_sort(F.concat("base", free)).alias("spans"), F.array_sort(partly).alias("partly"))
+
+
+def every(found: DataFrame) -> DataFrame:
+    """What ``find_secrets`` gives, with all its spans in ``spans``."""
+    return found.select("row", F.array_sort(F.concat("spans", "partly")).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
