@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -25,8 +26,10 @@ PLAIN_WORDS = """news blog shop store home about article archive author books bu
 threads reads leads heads roads loads pads beads better between alphabet diabetes essex sussex middlesex unisex
 forum help learn library local magazine market media music open photo press public recipes research review school science
 search service social sport sports support tech tracks travel university video weather wiki world winter window""".split()
-# Model sizes, at most: words of the segmenter, tokens of the classifier. Both are the most frequent over all pages.
-SEGMENT_WORDS, TOKENS = 50_000, 50_000
+# Keys that are sent to the rows that ask for them, at most; the rest of a table meets its rows by shuffle.
+HOT = 1000
+# Rows of a batch of substrings.
+BATCH = 20_000
 LONGEST, RARE = 24, 20
 # What the classes expect before they see pages, worth PRIOR tokens: "allow" how often a token occurs over all
 # pages, "block" the same but for SEED_SHARE, which goes to the blocked words. A token never seen counts as UNSEEN.
@@ -57,8 +60,9 @@ class Segmenter:
     """Splits a name without gaps into the words whose unigram probabilities multiply to most (Viterbi); a stretch no word
     covers costs more with each letter. Short words count only where the name itself sets them apart."""
 
-    def __init__(self, counts: dict[str, int]):
-        total = math.log(sum(counts.values()) + 1)
+    def __init__(self, counts: dict[str, int], words: int | None = None):
+        """``words``: what all counts sum to, where ``counts`` are only those that the names to split can hold."""
+        total = math.log((sum(counts.values()) if words is None else words) + 1)
         self.cost = {w: total - math.log(n) for w, n in counts.items()}
         self.unknown = total + 1
         self.split = lru_cache(maxsize=100_000)(self._split)
@@ -81,12 +85,10 @@ class Segmenter:
             end = back[end]
         return tuple(reversed(words))
 
-    def tokens(self, text: str) -> list[str]:
-        """Words of a host or path; numbers are all one token."""
-        out: list[str] = []
-        for piece in PIECES.findall(text.lower()):
-            out += ("#",) if piece.isdigit() else self.split(piece)
-        return out
+
+def names_of(text: str) -> list[str]:
+    """What a host or path is made of before words are looked for; numbers are all one name, which is one token."""
+    return ["#" if piece.isdigit() else piece for piece in PIECES.findall(text.lower())]
 
 
 def _frequent(counts: DataFrame, n: Column, most: int) -> list:
@@ -103,73 +105,108 @@ def _frequent(counts: DataFrame, n: Column, most: int) -> list:
     return [] if cut is None else counts.where(step >= cut).collect()
 
 
-def _word_counts(pages: DataFrame, text_col: str) -> dict[str, int]:
-    """The most frequent words of all pages' texts, without markup, and the seeds at the weight of a common word."""
+def _joined(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Rows with what a table of one row per key says of theirs. The keys most rows share are sent to them, so that no task
+    gets all rows of one; every other key has about a thousandth of the rows at most, and they meet by shuffle."""
+    hot = [r[key] for r in _frequent(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")), F.col("n"), HOT)]
+    if not hot:
+        return rows.join(table, key)
+    is_hot = F.col(key).isin(hot)
+    return rows.where(is_hot).join(F.broadcast(table.where(is_hot)), key).unionByName(rows.where(~is_hot).join(table.where(~is_hot), key))
+
+
+def _word_counts(pages: DataFrame, text_col: str) -> DataFrame:
+    """(word, n): all words of all pages' texts, without markup, and the seeds at the weight of a common word."""
     plain = F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ")
     words = pages.select(F.explode(F.regexp_extract_all(plain, F.lit(r"[a-z]{2,24}"), F.lit(0))).alias("word"))
-    counts = {r.word: r.n for r in _frequent(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), F.col("n"), SEGMENT_WORDS)}
-    common = max(RARE, sum(counts.values()) // 10_000)
-    return counts | {w: max(common, counts.get(w, 0)) for w in BLOCKED_WORDS + PLAIN_WORDS}
+    counts = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "counts")
+    common = max(RARE, (counts.agg(F.sum("n")).first()[0] or 0) // 10_000)
+    seeds = pages.sparkSession.createDataFrame([(w, common) for w in BLOCKED_WORDS + PLAIN_WORDS], "word string, n long")
+    return materialize(counts.unionByName(seeds).groupBy("word").agg(F.max("n").alias("n")), "words")
 
 
-def train(pages: DataFrame, url_col: str = "url", text_col: str = "html") -> tuple[dict[str, int], dict[str, float], float]:
-    """Word counts of the segmenter, log ratios of the classifier's tokens, and of its classes.
+def _segmented(names: DataFrame, words: DataFrame) -> DataFrame:
+    """(name, tokens): each name split by the words it holds, which its substrings find among all words."""
+    total = words.agg(F.sum("n")).first()[0]
 
-    A page teaches "block" if its host holds a blocked word, else "allow"; its tokens are counted over all pages. The
-    tokens that go with blocked words are so learnt from the corpus."""
-    words = _word_counts(pages, text_col)
-    sent = pages.sparkSession.sparkContext.broadcast(words)
+    def substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs() -> Iterator[tuple[str, str]]:
+            for batch in batches:
+                for name in filter(str.isascii, batch.column(0).to_pylist()):
+                    yield from ((name, name[i:i + n]) for i in range(len(name)) for n in range(2, min(LONGEST, len(name) - i) + 1))
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter, bad = Segmenter(sent.value), set(BLOCKED_WORDS)
+        every = pairs()
+        while held := list(islice(every, BATCH)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held)], names=["name", "word"])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n: Counter = Counter()
-            for host, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                named = segmenter.tokens(host)
-                blocked = not bad.isdisjoint(named)
-                n.update((t, blocked) for t in [*named, *segmenter.tokens(path), ""])  # "" counts the page
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.bool_()), pa.array(n.values(), pa.int64())],
-                                             names=["token", "blocked", "n"])
-
-    urls = spread(pages.select(host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")))
-    sums = urls.mapInArrow(counted, "token string, blocked boolean, n long").groupBy("token").agg(
-        F.sum(F.when(F.col("blocked"), F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("blocked"), 0).otherwise(F.col("n"))).alias("good"))
-    sums = materialize(sums, "tokens")
-    per_class = sums.agg(F.sum(F.when(F.col("token") == "", F.col("bad"))), F.sum(F.when(F.col("token") == "", F.col("good"))),
-                         F.sum(F.when(F.col("token") != "", F.col("bad"))), F.sum(F.when(F.col("token") != "", F.col("good"))), F.count(F.lit(1))).first()
-    bad_pages, good_pages, bad_all, good_all, kinds = (x or 0 for x in per_class)
-    table = {r.token: (r.bad, r.good) for r in _frequent(sums.where("token != ''"), F.col("bad") + F.col("good"), TOKENS)}
-    ratios = {}
-    for token in {*table, *BLOCKED_WORDS}:
-        bad, good = table.get(token, (0, 0))
-        usual = (bad + good + UNSEEN) / (bad_all + good_all + UNSEEN * (kinds + len(BLOCKED_WORDS)))
-        seeded = (1 - SEED_SHARE) * usual + SEED_SHARE * (token in BLOCKED_WORDS) / len(BLOCKED_WORDS)
-        ratios[token] = math.log((bad + PRIOR * seeded) / (bad_all + PRIOR)) - math.log((good + PRIOR * usual) / (good_all + PRIOR))
-    return words, ratios, math.log(bad_pages + 1) - math.log(good_pages + 1)
+            known = [x for found in batch.column(1).to_pylist() for x in found or ()]
+            segmenter = Segmenter({x["word"]: x["n"] for x in known}, total)
+            tokens = [("#",) if name == "#" else segmenter.split(name) for name in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.list_(pa.string()))], names=["name", "tokens"])
+
+    parts = materialize(spread(names).mapInArrow(substrings, "name string, word string"), "substrings")
+    found = _joined(parts, words, "word").groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("found"))
+    return materialize(names.join(found, "name", "left").select("name", "found").mapInArrow(split, "name string, tokens array<string>"), "names")
+
+
+def _log_ratios(sums: DataFrame) -> DataFrame:
+    """(token, ratio) of all tokens, from how often pages of the classes hold them (token, bad, good)."""
+    bad_all, good_all, kinds = (x or 0 for x in sums.agg(F.sum("bad"), F.sum("good"), F.count(F.lit(1))).first())
+    bad, good, seed = F.col("bad"), F.col("good"), F.col("token").isin(BLOCKED_WORDS).cast("int") / len(BLOCKED_WORDS)
+    usual = (bad + good + UNSEEN) / (bad_all + good_all + UNSEEN * (kinds + 1 + len(BLOCKED_WORDS)))  # 1: what is in no table
+    seeded = (1 - SEED_SHARE) * usual + SEED_SHARE * seed
+    return sums.select("token", (F.log((bad + PRIOR * seeded) / (bad_all + PRIOR)) - F.log((good + PRIOR * usual) / (good_all + PRIOR))).alias("ratio"))
+
+
+def _in_order(x: str) -> Column:
+    """The sum of a group, the same however its rows are dealt."""
+    return F.aggregate(F.array_sort(F.collect_list(x)), F.lit(0.0), lambda a, b: a + b)
+
+
+def _scores(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """(row, score) of rows that hold a name.
+
+    A page teaches "block" if its host holds a blocked word, else "allow"; its tokens are counted over all pages. The
+    tokens that go with blocked words are so learnt from the corpus. Names are split once, and every token counts."""
+    held = rows.select("row", F.inline("names"))
+    names = _segmented(materialize(held.select("name").distinct(), "distinct"), words)
+    bad = names.where(F.arrays_overlap("tokens", F.array(*map(F.lit, BLOCKED_WORDS)))).select("name")
+    blocked = materialize(_joined(held.where("in_host > 0"), bad, "name").select("row", F.lit(True).alias("blocked")).distinct(), "blocked")
+    bad_pages, all_pages = blocked.count(), rows.count()
+    n, is_blocked = F.col("in_host") + F.col("in_path"), F.col("blocked").isNotNull()
+    per_name = held.join(blocked, "row", "left").groupBy("name").agg(
+        F.sum(F.when(is_blocked, n).otherwise(0)).alias("bad"), F.sum(F.when(is_blocked, 0).otherwise(n)).alias("good"))
+    tokens = names.select("name", F.explode("tokens").alias("token"))
+    sums = materialize(tokens.join(per_name, "name").groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "tokens")
+    of_name = materialize(_joined(tokens, _log_ratios(sums), "token").groupBy("name").agg(_in_order("ratio").alias("ratio")), "ratios")
+    prior = math.log(bad_pages + 1) - math.log(all_pages - bad_pages + 1)
+    told = _joined(held.select("row", "name", n.alias("n")), of_name, "name").select("row", (F.col("n") * F.col("ratio")).alias("part"))
+    return told.groupBy("row").agg((F.lit(prior) + _in_order("part")).alias("score"))
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", text_col: str = "html") -> DataFrame:
     """One row per page: page_id, host, path, rule, score (log odds of block, by naive Bayes) and verdict: the longest
-    fitting rule's, else block where the score is above 0. A token the model never saw says nothing.
+    fitting rule's, else block where the score is above 0. All words and all tokens of all pages count.
 
     Host and path are empty where the url is null or holds no ://; such a page has no token and is allowed unless a
     rule says otherwise. Null ids and repeated rows are kept; an empty table gives no rows; other columns
     are ignored, whatever their names."""
-    words, ratios, prior = train(pages, url_col, text_col)
-    sent = pages.sparkSession.sparkContext.broadcast((words, ratios, prior))
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, ratios, prior = sent.value
-        segmenter = Segmenter(words)
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("name", pa.string()), ("in_host", pa.int64()), ("in_path", pa.int64())]))
         for batch in batches:
-            scores = []
+            found = []
             for host, path in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                tokens = segmenter.tokens(host) + segmenter.tokens(path)
-                scores.append(prior + sum(ratios.get(t, 0.0) for t in tokens) if tokens else -math.inf)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=["page_id", "host", "path", "score"])
+                a, b = Counter(names_of(host)), Counter(names_of(path))
+                found.append([{"name": x, "in_host": a[x], "in_path": b[x]} for x in a | b])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=["page_id", "host", "path", "names"])
 
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    out = spread(rows).mapInArrow(scored, "page_id long, host string, path string, score double")
+    rows = spread(rows).mapInArrow(named, "page_id long, host string, path string, names array<struct<name: string, in_host: long, in_path: long>>")
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "urls")
+    out = rows.drop("names").join(_scores(rows, _word_counts(pages, text_col)), "row", "left").withColumn("score", F.coalesce("score", F.lit(-math.inf)))
     rule, verdict = matched(F.col("host"), F.col("path"), rules)
     by_score = F.when(F.col("score") > 0, "block").otherwise("allow")
     return out.select("page_id", "host", "path", rule.alias("rule"), "score", F.coalesce(verdict, by_score).alias("verdict"))

@@ -81,3 +81,45 @@ def test_segmentation_is_the_cheapest_split(name):
         return
     splits = ([name[a:b] for a, b in zip((0, *cuts), (*cuts, len(name)))] for k in range(len(name)) for cuts in combinations(range(1, len(name)), k))
     assert math.isclose(cost(got), min(map(cost, splits)))
+
+
+def test_all_tokens_count(spark, monkeypatch):
+    """Each page's score is that of a plain computation over all words and tokens, also when more keys are equally
+    frequent than may be sent, and when some are sent and some are not."""
+    from collections import Counter
+
+    names = ["".join(chr(97 + (i // 26 ** k) % 26) for k in range(3)) + "qzvk" for i in range(300)]
+    rows = [(i, f"http://{names[i]}.example.net/{names[-i]}/{'casino' if i % 7 == 0 else 'en'}{i}") for i in range(300)]
+    rows += [(1000 + i, f"http://{x}.casino-{names[i]}.net/{names[i]}news/{names[i]}") for i, x in enumerate(["www", "m", "blog"] * 8)]
+    df = spark.createDataFrame([(i, u, f"<p>plain news of {names[i % 300]} day</p>") for i, u in rows], SCHEMA)
+    text = Counter(w for i, _ in rows for w in ("plain", "news", "of", names[i % 300], "day"))
+    common = max(urls.RARE, sum(text.values()) // 10_000)
+    split = urls.Segmenter(text | {w: max(common, text[w]) for w in urls.BLOCKED_WORDS + urls.PLAIN_WORDS}).split
+    tokens = lambda x: [t for name in urls.names_of(x) for t in (("#",) if name == "#" else split(name))]
+    seen = {i: (tokens(plain(u)[0]), tokens(plain(u)[1])) for i, u in rows}
+    bad, good, pages_of = Counter(), Counter(), Counter()
+    for host, path in seen.values():
+        blocked = not set(host).isdisjoint(urls.BLOCKED_WORDS)
+        pages_of[blocked] += 1
+        (bad if blocked else good).update(host + path)
+    seeds, every = len(urls.BLOCKED_WORDS), set(bad) | set(good)
+
+    def ratio(t):
+        usual = (bad[t] + good[t] + urls.UNSEEN) / (bad.total() + good.total() + urls.UNSEEN * (len(every) + 1 + seeds))
+        seeded = (1 - urls.SEED_SHARE) * usual + urls.SEED_SHARE * (t in urls.BLOCKED_WORDS) / seeds
+        return math.log((bad[t] + urls.PRIOR * seeded) / (bad.total() + urls.PRIOR)) - math.log((good[t] + urls.PRIOR * usual) / (good.total() + urls.PRIOR))
+
+    want = {i: math.log(pages_of[True] + 1) - math.log(pages_of[False] + 1) + sum(map(ratio, host + path)) for i, (host, path) in seen.items()}
+    for hot in (1000, 3):
+        monkeypatch.setattr(urls, "HOT", hot)
+        got = {r.page_id: (r.score, r.verdict) for r in urls.judge(df, ()).collect()}
+        assert got.keys() == want.keys()
+        assert all(math.isclose(got[i][0], want[i], abs_tol=1e-9) and got[i][1] == ("block" if want[i] > 0 else "allow") for i in want)
+
+
+def test_more_tokens_than_a_model_was_let_hold(spark):
+    """Over 50,000 tokens that occur once: one of them still tells on its page."""
+    many = "-".join("".join(chr(97 + i // 26 ** k % 26) for k in range(4)) + "q" for i in range(51_000))
+    rows = [(1, "http://casino.example.net/zzzzz"), (2, "http://casino.example.net/"), (3, f"http://plain.example.net/{many}"), (4, "http://news.example.net/")]
+    got = {r.page_id: r.score for r in urls.judge(pages(spark, rows), ()).collect()}
+    assert got[1] > got[2]
