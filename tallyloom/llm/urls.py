@@ -58,7 +58,7 @@ def matched(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
 
 class Segmenter:
     """Splits a name without gaps into the words whose unigram probabilities multiply to most (Viterbi); a stretch no word
-    covers costs more with each letter. Short words count only where the name itself sets them apart."""
+    covers costs more with each letter. Words cost the same whatever their length, and a name that is a word stays whole."""
 
     def __init__(self, counts: dict[str, int], words: int | None = None):
         """``words``: what all counts sum to, where ``counts`` are only those that the names to split can hold."""
@@ -68,13 +68,13 @@ class Segmenter:
         self.split = lru_cache(maxsize=100_000)(self._split)
 
     def _split(self, name: str) -> tuple[str, ...]:
-        if name in self.cost or len(name) < 6:
+        if name in self.cost:
             return (name,)
         best, back = [0.0] + [math.inf] * len(name), [0] * (len(name) + 1)
         for end in range(1, len(name) + 1):
             for start in range(max(0, end - LONGEST), end):
                 word = name[start:end]
-                cost = self.cost.get(word) if end - start >= 4 else None
+                cost = self.cost.get(word)
                 if cost is None:
                     cost = self.unknown + 2.0 * (end - start)
                 if best[start] + cost < best[end]:

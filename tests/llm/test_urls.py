@@ -123,3 +123,25 @@ def test_more_tokens_than_a_model_was_let_hold(spark):
     rows = [(1, "http://casino.example.net/zzzzz"), (2, "http://casino.example.net/"), (3, f"http://plain.example.net/{many}"), (4, "http://news.example.net/")]
     got = {r.page_id: r.score for r in urls.judge(pages(spark, rows), ()).collect()}
     assert got[1] > got[2]
+
+
+SHORT = ["hotporn", "sexcams", "xxxads", "topbets", "hotnude", "bestbet", "thebestbet", "mybet", "mycasino", "newpills"]
+
+
+def test_short_blocked_words_in_names(spark):
+    text = "the best of my hot new top cams on plain news of the day essex threads"
+    good = ["essex", "threads", "uploads", "alphabet", "newsthreads", "middlesexnews"]
+    rows = [(i, f"http://{x}.example.net/en/{i}") for i, x in enumerate(SHORT + good)]
+    rows += [(100 + i, f"http://{x}.example.net/en/{i}") for i in range(10) for x in good]
+    df = spark.createDataFrame([(i, u, f"<p>{text}</p>") for i, u in rows], SCHEMA)
+    got = {r.page_id: r.verdict for r in urls.judge(df, ()).collect()}
+    assert [x for i, x in enumerate(SHORT) if got[i] != "block"] == []
+    assert [u for i, u in rows if i >= len(SHORT) and got[i] != "allow"] == []
+
+
+def test_words_of_any_length_cost_their_frequency():
+    counts = dict.fromkeys(urls.BLOCKED_WORDS + urls.PLAIN_WORDS, 100) | {"the": 60_000, "best": 700, "hot": 90, "top": 300, "cams": 40, "my": 900, "new": 2000, "other": 900_000}
+    split = urls.Segmenter(counts).split
+    assert [split(x) for x in SHORT] == [("hot", "porn"), ("sex", "cams"), ("xxx", "ads"), ("top", "bets"), ("hot", "nude"), ("best", "bet"), ("the", "best", "bet"),
+                                         ("my", "bet"), ("my", "casino"), ("new", "pills")]
+    assert all(split(x) == (x,) for x in ("essex", "threads", "alphabet", "beth", "qbetz", "zads"))
