@@ -6,7 +6,7 @@ from tallyloom.functions import models
 from tallyloom.functions.vectors import cosine, norm, unit
 from tallyloom.operators import retrieval
 from tallyloom.operators.joins import sent_if_few
-from tallyloom.operators.retrieval import (approximate_hits, batch_hits, hit_rows, label_votes, score_pairs, similar_pairs,
+from tallyloom.operators.retrieval import (approximate_hits, batch_hits, hit_rows, label_votes, recall, score_pairs, similar_pairs,
                                            similarity_search, top_hits, with_buckets)
 
 SCHEMA = "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT"
@@ -168,3 +168,19 @@ def test_approximate_recall(spark, clustered, tmp_path):
     found = hits.collect()
     assert found == approximate_hits(df, query, 10).collect()
     assert len(exact & {r.vec_id for r in found}) >= 7 and found[0].score == pytest.approx(1.0)
+
+
+def test_recall_of_the_given_vectors(spark):
+    """At least nine tenths, and just what the approximate search finds."""
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").cache()
+    asked = df.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    width = len(df.first().embedding)
+    for k in (4, 10):
+        r = recall(df, asked, width, k).first()
+        assert r.hits == k * asked.count() and r.right >= 0.9 * r.hits
+    two = asked.orderBy("query_id").limit(2)
+    right = 0
+    for q in two.collect():
+        vector = [float(x) for x in q.embedding]
+        right += len({x.vec_id for x in top_hits(df, vector, 10).collect()} & {x.vec_id for x in approximate_hits(df, vector, 10).collect()})
+    assert recall(df, two, width, 10).first().right == right
