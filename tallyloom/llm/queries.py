@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import bpe, language, minhash, mixing, packing, pq, quality, secrets, sharding, urls
+from tallyloom.llm import bpe, language, minhash, mixing, packing, pq, quality, records, secrets, sharding, urls
+from tallyloom.session import shared_dir
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, WORD_TOKENIZER = "byte_bpe_50k.json", "word_bpe_49k.json"
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 
 
@@ -64,5 +65,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.listed(F.col("spans")).alias("spans"))
 
 
+def op11_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "records")
+    records.write_records(read(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_TOKENIZER))
+    return records.read_records(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
