@@ -3,7 +3,8 @@
 A file is a run of frames: the payload's length (8 bytes), the length's checksum (4), the payload, the payload's
 checksum (4), all little-endian. A checksum is CRC-32C, turned right by 15 bits and moved by a constant, so that
 checksums stored inside payloads stay harmless: the framing of TFRecord files, which their readers understand. A payload
-is 4 bytes of flags (1: the document has an id), the id (8 bytes) and the token ids (4 bytes each).
+is one byte that is 1 if the document has an id, one that says how many bytes a token id takes (2 if the tokenizer has no id above
+65,535, else 4), one that counts the zeros after the last id, a zero, the document's id (8 bytes), and the token ids.
 
 Files ascend by doc_id. Beside them lies the index, a Parquet table with a row per record: part, name, position, doc_id,
 at, length, n_tokens, start (ids before it in its file). A reader takes any stretch or any shuffled order of it and seeks.
@@ -105,8 +106,20 @@ def unframed(frames: list[bytes], checksums: Checksums) -> list[bytes]:
     return payloads
 
 
-def _pack(doc, ids: bytes) -> bytes:
-    return (doc is not None).to_bytes(4, "little") + (doc or 0).to_bytes(8, "little", signed=True) + ids
+def packed(doc: int | None, ids: bytes, width: int = 4) -> bytes:
+    """The payload of a document: ``ids`` are unsigned 32-bit numbers."""
+    if width == 2:
+        ids = np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+    pad = -len(ids) % 4
+    return bytes((doc is not None, width, pad, 0)) + (doc or 0).to_bytes(8, "little", signed=True) + ids + bytes(pad)
+
+
+def unpacked(payload: bytes) -> tuple[int | None, bytes]:
+    known, width, pad, _ = payload[:4]
+    ids = payload[OWN:len(payload) - pad]
+    if width == 2:
+        ids = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+    return int.from_bytes(payload[4:OWN], "little", signed=True) if known else None, ids
 
 
 def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -119,9 +132,12 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, i
 
     Null and empty texts are the end id alone; repeated rows are records of their own; an empty table gives an empty index; other
     columns are ignored. ``path`` is one that executors reach through ``pyarrow.fs`` (a mounted folder, object stores, HDFS)."""
+    sent = docs.sparkSession.sparkContext.broadcast(Ids(tokenizer))
+
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, name = TaskContext.get().partitionId(), f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.records"
-        ids, checksums, end = Ids(tokenizer), Checksums(), np.uint32(end_id).astype("<u4").tobytes()
+        ids, checksums, end = sent.value, Checksums(), np.uint32(end_id).astype("<u4").tobytes()
+        width = 2 if max(ids.size, end_id + 1) <= 1 << 16 else 4
         system, root = fs.FileSystem.from_uri(path)
         out, at, position, start = None, 0, 0, 0
         for batch in batches:
@@ -129,7 +145,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, i
             for low, high in slices([t.encode() for t in texts]):
                 found = ids.encode(texts[low:high])
                 names = batch.column("doc_id").slice(low, high - low)
-                frames = framed([_pack(d, i + end) for d, i in zip(names.to_pylist(), found)], checksums)
+                frames = framed([packed(d, i + end, width) for d, i in zip(names.to_pylist(), found)], checksums)
                 if out is None:
                     system.create_dir(root, recursive=True)
                     out = system.open_output_stream(f"{root}/{name}")
@@ -192,8 +208,7 @@ def read_records(spark: SparkSession, path: str, seed: int | None = None) -> Dat
                 data = file.read_at(ats[high - 1] + lengths[high - 1] - ats[low], ats[low])
                 frames = [data[a - ats[low]:a - ats[low] + n] for a, n in zip(ats[low:high], lengths[low:high])]
                 payloads = unframed(frames, checksums)
-                docs = [int.from_bytes(p[4:OWN], "little", signed=True) if p[0] else None for p in payloads]
-                ids = [p[OWN:] for p in payloads]
+                docs, ids = zip(*map(unpacked, unframed(frames, checksums)))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(docs, pa.int64()), batch.column("start").slice(low, high - low), pa.array([len(i) // 4 for i in ids], pa.int64()),
                     pa.array([zlib.crc32(i) for i in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])

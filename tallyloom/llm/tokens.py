@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import os
 import unicodedata
-from collections.abc import Iterable
+from array import array
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-# Words and stretches whose ids a task remembers at once, and the longest of them: some 200 MB at most.
-REMEMBERED, REMEMBERED_LENGTH = 400_000, 48
-# Words sent to the library in one call.
+# Pieces whose ids a worker remembers at once, and the longest of them: some 100 MB at most.
+REMEMBERED, REMEMBERED_LENGTH = 500_000, 48
+# Pieces sent to the library in one call.
 ASKED = 20_000
 # How the two kinds of files cut a text into pieces.
 BYTE_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -26,31 +27,39 @@ class Ids:
 
     Texts are cut at blanks, where no piece of the file's pattern crosses; a stretch is cut into pieces by that
     pattern, and only pieces not seen before reach the library. Where the cuts could differ from the library's own
-    (blanks in a row, special strings, rare scripts, decomposed letters) it gets the stretch or the text whole."""
+    (blanks in a row, special strings, rare scripts, decomposed letters) it gets the stretch or the text whole.
+
+    Pickles as its path. Sent as a broadcast, a worker process loads the file once and keeps what it remembers
+    from task to task."""
 
     def __init__(self, path: str):
+        self.path, self.library, self.known = path, None, {}
+
+    def __reduce__(self):
+        return type(self), (self.path,)
+
+    def _load(self) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.library = Tokenizer.from_file(path)
-        self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
+        self.library = Tokenizer.from_file(self.path)
         kind = type(self.library.pre_tokenizer).__name__, type(self.library.normalizer).__name__
         if kind not in (("ByteLevel", "NoneType"), ("Sequence", "Sequence")):
-            raise ValueError(f"{path} cuts texts in an unknown way")
+            raise ValueError(f"{self.path} cuts texts in an unknown way")
         self.lower = kind[1] == "Sequence"
+        self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
         self.pieces = regex.compile(LOWER_PIECES if self.lower else BYTE_PIECES)
-        self.stretches: dict[str, bytes] = {"": b""}
-        self.known: dict[str, bytes] = {}
+
+    @property
+    def size(self) -> int:
+        """One more than the largest id."""
+        self.library or self._load()
+        return self.library.get_vocab_size()
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
+        self.library or self._load()
         cut = [self._cut(t) for t in texts]
-        self._learn(s for stretches in cut for s in stretches)
-        get = self.stretches.__getitem__
-        out = [b"".join(map(get, stretches)) for stretches in cut]
-        if len(self.stretches) > REMEMBERED or len(self.known) > REMEMBERED:
-            self.stretches, self.known = {"": b""}, {}
-        else:  # whole texts and long words are not worth their room
-            for s in [s for s in self.long if len(s) > REMEMBERED_LENGTH]:
-                del self.stretches[s]
-        return out
+        ids = self._learn(set().union(*cut))
+        get = ids.__getitem__
+        return [b"".join(map(get, stretches)) for stretches in cut]
 
     def _cut(self, text: str) -> list[str]:
         if any(s in text for s in self.special):
@@ -62,27 +71,37 @@ class Ids:
             return [text]
         return stretches[:1] + [" " + s for s in stretches[1:]]
 
-    def _learn(self, stretches: Iterable[str]) -> None:
-        new = [s for s in set(stretches) if s not in self.stretches]
-        self.long = [s for s in new if len(s) > REMEMBERED_LENGTH]
-        cut = {s: self._pieces(s) for s in new}
-        ask = [p for p in {p for pieces in cut.values() for p in pieces} if p not in self.known]
+    def _learn(self, stretches: set[str]) -> dict[str, bytes]:
+        """The ids of each stretch."""
+        cut = self._lower_pieces if self.lower else self._byte_pieces
+        if any(m in s for m in self.special for s in stretches):
+            plain = cut
+            cut = lambda s: (s,) if any(m in s for m in self.special) else plain(s)
+        parts = {s: cut(s) for s in stretches}
+        wanted = {p for pieces in parts.values() for p in pieces}
+        if len(self.known) + len(wanted) > REMEMBERED:
+            self.known = {p: self.known[p] for p in wanted if p in self.known}
+        ask = [p for p in wanted if p not in self.known]
         for at in range(0, len(ask), ASKED):
             part = ask[at:at + ASKED]
             for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[p] = np.array(e.ids, "<u4").tobytes()
-        for s, pieces in cut.items():
-            self.stretches[s] = b"".join(map(self.known.__getitem__, pieces))
+                self.known[p] = array("I", e.ids).tobytes()
+        known = self.known
+        out = {s: known[p[0]] if len(p) == 1 else b"".join([known[x] for x in p]) for s, p in parts.items()}
         for p in ask:
             if len(p) > REMEMBERED_LENGTH:
-                del self.known[p]
+                del known[p]
+        return out
+
+    def _lower_pieces(self, stretch: str) -> Sequence[str]:
+        low = stretch.lower()
+        if not (stretch.isascii() and stretch.isprintable()) and not (
+                PLAIN.fullmatch(stretch) and "Σ" not in stretch and unicodedata.is_normalized("NFC", stretch) and unicodedata.is_normalized("NFC", low)):
+            return (stretch,)
+        return (low,) if low.isalpha() else self.pieces.findall(low)
 
-    def _pieces(self, stretch: str) -> list[str]:
+    def _byte_pieces(self, stretch: str) -> Sequence[str]:
         inner = stretch[1:] if stretch[:1] == " " else stretch
-        if not PLAIN.fullmatch(inner) or any(s in stretch for s in self.special):
-            return [stretch]
-        if self.lower:
-            stretch = stretch.lower()
-            if "Σ" in inner or not (unicodedata.is_normalized("NFC", inner) and unicodedata.is_normalized("NFC", stretch)):
-                return [inner]
-        return self.pieces.findall(stretch)
+        if not (inner.isascii() and inner.isprintable() and " " not in inner) and not PLAIN.fullmatch(inner):
+            return (stretch,)
+        return (stretch,) if inner.isalpha() else self.pieces.findall(stretch)

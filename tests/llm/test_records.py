@@ -70,8 +70,9 @@ def test_checksums():
 
 def test_damage_is_found():
     sums = records.Checksums()
-    frame = records.framed([records._pack(7, b"abcdefgh")], sums)[0]
-    assert records.unframed([frame], sums) == [records._pack(7, b"abcdefgh")]
+    payload = records.packed(7, b"abcdefgh")
+    frame = records.framed([payload], sums)[0]
+    assert records.unframed([frame], sums) == [payload]
     for at in range(len(frame)):
         bad = bytearray(frame)
         bad[at] ^= 4
@@ -79,6 +80,14 @@ def test_damage_is_found():
             records.unframed([bytes(bad)], sums)
 
 
+@pytest.mark.parametrize("doc", [None, 0, -1, 2**63 - 1])
+@pytest.mark.parametrize("n", [0, 1, 2, 3])
+def test_payloads(doc, n):
+    ids = np.arange(65_530, 65_530 + n, dtype="<u4").tobytes()
+    for width in (2, 4):
+        assert records.unpacked(records.packed(doc, ids, width)) == (doc, ids)
+
+
 def brute(rows):
     out, start = [], 0
     for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
