@@ -20,12 +20,13 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.llm.tokens import Ids
-from tallyloom.llm.wordbytes import slices
+from tallyloom.llm.wordbytes import SLICE
 
 # Fixed values of the framing: the reversed CRC-32C polynomial and the mask.
 POLYNOMIAL, MASK = 0x82F63B78, 0xA282EAD8
@@ -106,15 +107,14 @@ def unframed(frames: list[bytes], checksums: Checksums) -> list[bytes]:
     return payloads
 
 
-def packed(doc: int | None, ids: bytes, width: int = 4) -> bytes:
-    """The payload of a document: ``ids`` are unsigned 32-bit numbers."""
-    if width == 2:
-        ids = np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+def packed(doc: int | None, ids: bytes, width: int) -> bytes:
+    """The payload of a document whose ids take ``width`` bytes each."""
     pad = -len(ids) % 4
     return bytes((doc is not None, width, pad, 0)) + (doc or 0).to_bytes(8, "little", signed=True) + ids + bytes(pad)
 
 
 def unpacked(payload: bytes) -> tuple[int | None, bytes]:
+    """The document and its ids as unsigned 32-bit numbers."""
     known, width, pad, _ = payload[:4]
     ids = payload[OWN:len(payload) - pad]
     if width == 2:
@@ -122,6 +122,16 @@ def unpacked(payload: bytes) -> tuple[int | None, bytes]:
     return int.from_bytes(payload[4:OWN], "little", signed=True) if known else None, ids
 
 
+def stretches(sizes: np.ndarray, most: int = SLICE) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that hold up to ``most`` bytes, or one text."""
+    ends, low = np.cumsum(sizes), 0
+    while low < len(sizes):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield low, high
+        low = high
+
+
 def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode each text, append ``end_id``, write the records under ``path`` and return the index, also kept there.
 
@@ -136,23 +146,25 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, i
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, name = TaskContext.get().partitionId(), f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.records"
-        ids, checksums, end = sent.value, Checksums(), np.uint32(end_id).astype("<u4").tobytes()
+        ids, checksums = sent.value, Checksums()
         width = 2 if max(ids.size, end_id + 1) <= 1 << 16 else 4
+        kind, end = f"<u{width}", end_id.to_bytes(width, "little")
         system, root = fs.FileSystem.from_uri(path)
         out, at, position, start = None, 0, 0, 0
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for low, high in slices([t.encode() for t in texts]):
-                found = ids.encode(texts[low:high])
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            for low, high in stretches(sizes):
                 names = batch.column("doc_id").slice(low, high - low)
-                frames = framed([packed(d, i + end, width) for d, i in zip(names.to_pylist(), found)], checksums)
+                found, offsets = ids.encode(batch.column("text").slice(low, high - low))
+                stored = found.astype(kind)
+                frames = framed([packed(d, stored[a:b].tobytes() + end, width) for d, a, b in zip(names.to_pylist(), offsets, offsets[1:])], checksums)
                 if out is None:
                     system.create_dir(root, recursive=True)
                     out = system.open_output_stream(f"{root}/{name}")
                 out.write(b"".join(frames))
                 lengths = [len(f) for f in frames]
                 starts = [at + x for x in accumulate(lengths, initial=0)]
-                counts = [len(i) // 4 + 1 for i in found]
+                counts = (np.diff(offsets) + 1).tolist()
                 begun = [start + x for x in accumulate(counts, initial=0)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part] * len(frames), pa.int32()), pa.array([name] * len(frames)), pa.array(range(position, position + len(frames)), pa.int64()),
