@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import bpe, language, minhash, mixing, packing, pq, quality, records, secrets, sharding, urls
+from tallyloom.llm import bpe, conversations, language, minhash, mixing, packing, pq, quality, records, secrets, sharding, urls
 from tallyloom.session import shared_dir
 
 TOKENIZER, WORD_TOKENIZER = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -71,5 +71,10 @@ def op11_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heads, laid = conversations.repair(read(spark, sf_dir, "conversations"))
+    return conversations.hashed(laid, heads)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
