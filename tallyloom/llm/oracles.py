@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyloom.llm import quality, secrets
+from tallyloom.llm import phrases, quality, secrets
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -147,5 +147,97 @@ FROM t LEFT JOIN spans USING (doc_id) GROUP BY t.doc_id
 """
 
 
+OP12 = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::BIGINT)),
+            lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS kind
+  FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 0 THEN [] WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM t),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+         CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE '?' END AS initial,
+         right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last
+  FROM d),
+f AS (
+  SELECT *, last = '' AS blank, last <> '' AND seen > 1 AS duplicate, last <> '' AND seen = 1 AND last NOT IN ('.', '!', '?') AS truncated,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM o),
+-- The cheapest repair of the rows from i on, by what came before: nothing, a system turn, a user turn, an assistant turn.
+r AS (
+  SELECT conv_id, max(i) + 1 AS i, {'c': 0::BIGINT, 'a': ''} AS n0, {'c': 6::BIGINT, 'a': 'II'} AS n1, {'c': 3::BIGINT, 'a': 'I'} AS n2, {'c': 0::BIGINT, 'a': ''} AS n3
+  FROM f GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, list_min([b0, {'c': b2.c + 3, 'a': 'I' || b2.a}, {'c': b3.c + 6, 'a': 'II' || b3.a}]),
+         list_min([b1, {'c': b2.c + 3, 'a': 'I' || b2.a}, {'c': b3.c + 6, 'a': 'II' || b3.a}]),
+         list_min([b2, {'c': b3.c + 3, 'a': 'I' || b3.a}]), list_min([b3, {'c': b2.c + 3, 'a': 'I' || b2.a}])
+  FROM (
+    SELECT f.conv_id, f.i,
+           list_min([{'c': n0.c + 4, 'a': 'D' || n0.a}] || CASE WHEN blank OR duplicate THEN [] ELSE
+             [{'c': n2.c + more + CASE WHEN initial = 'u' THEN 0 ELSE 3 END, 'a': CASE WHEN initial = 'u' THEN 'K' ELSE 'R' END || n2.a}]
+             || CASE WHEN initial = 's' THEN [{'c': n1.c + more, 'a': 'K' || n1.a}] ELSE [] END END) AS b0,
+           list_min([{'c': n1.c + 4, 'a': 'D' || n1.a}] || CASE WHEN blank OR duplicate THEN [] ELSE
+             [{'c': n2.c + more + CASE WHEN initial = 'u' THEN 0 ELSE 3 END, 'a': CASE WHEN initial = 'u' THEN 'K' ELSE 'R' END || n2.a}] END) AS b1,
+           list_min([{'c': n2.c + 4, 'a': 'D' || n2.a}] || CASE WHEN blank OR duplicate THEN [] ELSE
+             [{'c': n3.c + more + CASE WHEN initial = 'a' THEN 0 ELSE 3 END, 'a': CASE WHEN initial = 'a' THEN 'K' ELSE 'R' END || n3.a}] END) AS b2,
+           list_min([{'c': n3.c + 4, 'a': 'D' || n3.a}] || CASE WHEN blank OR duplicate THEN [] ELSE
+             [{'c': n2.c + more + CASE WHEN initial = 'u' THEN 0 ELSE 3 END, 'a': CASE WHEN initial = 'u' THEN 'K' ELSE 'R' END || n2.a}] END) AS b3
+    FROM r JOIN (SELECT *, CASE WHEN truncated THEN 3 ELSE 0 END AS more FROM f) f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.i = r.i - 1)),
+best AS (SELECT conv_id, n0.c AS cost, n0.a AS audit FROM r WHERE i = 1),
+-- The edits one by one; all turns written but the first system turn alternate, the user's first.
+e AS (SELECT conv_id, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS p FROM best WHERE audit <> ''),
+g AS (SELECT *, sum(CASE WHEN edit <> 'I' THEN 1 ELSE 0 END) OVER w AS i, sum(CASE WHEN edit <> 'D' THEN 1 ELSE 0 END) OVER w AS seat FROM e
+      WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+h AS (SELECT g.conv_id, p, edit, seat, f.role, f.text, max(CASE WHEN seat = 1 AND edit = 'K' AND f.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY g.conv_id) AS led
+      FROM g LEFT JOIN f ON edit <> 'I' AND f.conv_id IS NOT DISTINCT FROM g.conv_id AND f.i = g.i),
+w AS (SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (seat - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS whole
+      FROM h WHERE edit <> 'D' GROUP BY conv_id),
+s AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+         count(*) FILTER (truncated) AS truncated, count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+OP13 = rf"""
+WITH p AS (
+  SELECT lang, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, coalesce(text, '') AS text FROM documents)),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+g AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: array_to_string(words[i:i + size - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3)) AS s(size)),
+f AS (SELECT lang, size, phrase, count(*)::HUGEINT AS n FROM g GROUP BY ALL),
+k AS (
+  SELECT c.lang, c.phrase, c.n AS a, cut, l.n AS l, r.n AS r, (1000000::HUGEINT * c.n * c.n) // (l.n * r.n) AS score,
+         row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (1000000::HUGEINT * c.n * c.n) // (l.n * r.n), cut) AS place
+  FROM (SELECT f.*, cut, array_to_string(string_split(phrase, ' ')[:cut], ' ') AS head, array_to_string(string_split(phrase, ' ')[cut + 1:], ' ') AS tail
+        FROM f, (VALUES (1), (2)) AS x(cut) WHERE size > cut AND n >= {phrases.LEAST}) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = c.head JOIN f r ON r.lang = c.lang AND r.phrase = c.tail),
+held AS (
+  SELECT lang, phrase, max(n) AS n FROM (
+    SELECT lang, n, unnest([array_to_string(string_split(phrase, ' ')[:2], ' '), array_to_string(string_split(phrase, ' ')[2:], ' ')]) AS phrase
+    FROM f WHERE size = 3 AND n >= {phrases.LEAST}) GROUP BY ALL),
+ranked AS (
+  SELECT k.*, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, k.phrase COLLATE "binary") AS rank
+  FROM k LEFT JOIN held ON held.lang = k.lang AND held.phrase = k.phrase
+  WHERE place = 1 AND (held.n IS NULL OR 100 * held.n < {phrases.WITHIN} * a))
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, t.n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN (SELECT lang, sum(n) AS n FROM f WHERE size = 1 GROUP BY lang) t USING (lang) WHERE rank <= {phrases.TOP}
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op1_pq_duplicates": OP1, "op3_minhash": OP3, "op4_mix_sources": OP4, "op5_repetition": OP5, "op10_secret_scan": OP10}
+    return {"op1_pq_duplicates": OP1, "op3_minhash": OP3, "op4_mix_sources": OP4, "op5_repetition": OP5, "op10_secret_scan": OP10,
+            "op12_conversation_repair": OP12, "op13_phrase_graph": OP13}

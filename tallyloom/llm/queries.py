@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import bpe, conversations, language, minhash, mixing, packing, pq, quality, records, secrets, sharding, urls
+from tallyloom.llm import bpe, conversations, language, minhash, mixing, packing, phrases, pq, quality, records, secrets, sharding, urls
 from tallyloom.session import shared_dir
 
 TOKENIZER, WORD_TOKENIZER = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -76,5 +76,9 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.hashed(laid, heads)
 
 
+def op13_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(read(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
