@@ -20,8 +20,6 @@ SAMPLE, MAX_LISTS, SUBSPACES, CODES = 16_384, 1024, 8, 256
 HELD = 4_000_000
 # Rows of the largest label in a list, and rows of a list compared at once.
 LIST_ROWS, BLOCK = 512, 1024
-# Standard deviations of a random step that probes allow for.
-DEVIATIONS = 4.0
 
 
 @dataclass
@@ -37,14 +35,14 @@ class Index:
     def encode(self, u: np.ndarray, reach: float) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
         """Home list, lists to probe, codes, and the length of what the codes leave out, for unit rows.
 
-        A neighbour lies at most ``reach`` away. It can be in another list only if it crossed the plane between the two
-        centroids, so a list is probed when its plane is within what a random step of that length moves along
-        one direction: reach / sqrt(dimensions) times DEVIATIONS, or reach itself in few dimensions."""
+        A neighbour lies at most ``reach`` away. If it is in another list, the plane between the two centroids lies between the
+        two vectors, and their distances to it add up to ``reach`` at most. Pairs are looked for from both sides, so a list is
+        probed when its plane is within half of that: one of the two always finds the other."""
         far = squared(u, self.centroids)
         home = np.argmin(far, axis=1)
         apart = np.sqrt(squared(self.centroids, self.centroids))[home]
         plane = (far - far[np.arange(len(u)), home][:, None]) / np.maximum(2 * apart, 1e-12)
-        near = plane <= reach * min(1.0, DEVIATIONS / math.sqrt(u.shape[1]))
+        near = plane <= reach * 0.5 + 1e-9
         near[np.arange(len(u)), home] = True
         rest = u - self.centroids[home]
         codes = np.stack([nearest(p, b) for p, b in zip(self.parts(rest), self.books)], axis=1).astype(np.uint8)

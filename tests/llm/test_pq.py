@@ -90,3 +90,29 @@ def test_table_distances_bound():
         true = np.sqrt(pq.squared(x, x[own]))
         assert (np.abs(table - true) <= rest[own] + 1e-6).all()
     assert all(h in p for h, p in zip(home, probes))
+
+
+def test_lists_lose_no_pair_that_crosses_a_border(monkeypatch):
+    """Copies moved straight at the border of another list, in many dimensions: one side of each pair probes the other's list."""
+    r = np.random.default_rng(3)
+    for dim in (64, 384, 1024):
+        centres = r.normal(size=(8, dim))
+        centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+        index = pq.Index.__new__(pq.Index)
+        index.centroids, index.cuts = centres, [0, dim]
+        index.books = [np.zeros((1, dim))]
+        reach = np.sqrt(2 - 2 * 0.98)
+        lost = crossed = 0
+        for _ in range(400):
+            a, b = r.choice(8, 2, replace=False)
+            t = 0.5 + r.uniform(-0.12, 0.12)
+            x = (1 - t) * centres[a] + t * centres[b] + r.normal(size=dim) * 0.01 / np.sqrt(dim)
+            x /= np.linalg.norm(x)
+            y = x + (centres[b] - centres[a]) * r.uniform(0.02, 0.19)
+            y /= np.linalg.norm(y)
+            if x @ y < 0.98:
+                continue
+            home, probes, _, _ = index.encode(np.stack([x, y]), reach)
+            crossed += home[0] != home[1]
+            lost += home[1] not in probes[0] and home[0] not in probes[1]
+        assert crossed > 50 and not lost
