@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm import bpe
+from tallyloom.llm.records import stretches
+from tallyloom.llm.tokens import Ids
 
 SIZE = 1024
 # Pieces written at once.
@@ -93,11 +94,6 @@ class Packer:
         self.next_id += 1
 
 
-def encoder(tokens: dict[bytes, int], special: dict[str, int]) -> tiktoken.Encoding:
-    """The same ids as the library of the file gives (tests compare them), several times faster."""
-    return tiktoken.Encoding("packing", pat_str=bpe.WORDS, mergeable_ranks=tokens, special_tokens=special)
-
-
 def pack(docs: DataFrame, path: str, size: int = SIZE, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
          with_ids: bool = False) -> DataFrame:
     """One row per piece of a document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ``ids`` if
@@ -106,21 +102,22 @@ def pack(docs: DataFrame, path: str, size: int = SIZE, end_id: int = 0, id_col:
 
     Special strings inside a text become their ids, as the library has it by default. Null and empty texts are
     the end id alone; null ids and repeated rows are packed like others; an empty table gives no rows;
-    other columns are ignored. A task holds one document and the open windows."""
-    spec = bpe.load(path)
-    sent = docs.sparkSession.sparkContext.broadcast((spec["tokens"], spec["special"]))
+    other columns are ignored. A task holds a few MB of texts, or one long text, and the open windows."""
+    sent = docs.sparkSession.sparkContext.broadcast(Ids(path))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(*sent.value)
+        ids, end = sent.value, np.array([end_id], "<u4")
         packer = Packer(size, TaskContext.get().partitionId() << 33)
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(tokens.encode_to_numpy(text.as_py() or "", allowed_special="all"), np.uint32(end_id))
-                rows += packer.add(doc, ids.astype("<u4"))
-                if len(rows) >= ROWS:
-                    yield _batch(rows, with_ids)
-                    rows = []
+            docs, texts, rows = batch.column(0).to_pylist(), batch.column(1), []
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            for low, high in stretches(sizes):
+                found, offsets = ids.encode(texts.slice(low, high - low))
+                for doc, a, b in zip(docs[low:high], offsets, offsets[1:]):
+                    rows += packer.add(doc, np.concatenate([found[a:b], end]))
+                    if len(rows) >= ROWS:
+                        yield _batch(rows, with_ids)
+                        rows = []
             yield _batch(rows, with_ids)
         yield _batch(list(packer.finish()), with_ids)
 
