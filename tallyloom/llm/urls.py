@@ -86,6 +86,10 @@ class Segmenter:
         return tuple(reversed(words))
 
 
+# Letters of a name whose substrings are gathered, each once, before they are handed on.
+AT_ONCE = 4096
+
+
 def names_of(text: str) -> list[str]:
     """What a host or path is made of before words are looked for; numbers are all one name, which is one token."""
     return ["#" if piece.isdigit() else piece for piece in PIECES.findall(text.lower())]
@@ -110,9 +114,10 @@ def _joined(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     gets all rows of one; every other key has about a thousandth of the rows at most, and they meet by shuffle."""
     hot = [r[key] for r in _frequent(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")), F.col("n"), HOT)]
     if not hot:
-        return rows.join(table, key)
+        return rows.hint("merge").join(table, key)
     is_hot = F.col(key).isin(hot)
-    return rows.where(is_hot).join(F.broadcast(table.where(is_hot)), key).unionByName(rows.where(~is_hot).join(table.where(~is_hot), key))
+    # Files of many like rows are small, and their size says nothing about the rows: they are never sent to all tasks.
+    return rows.where(is_hot).join(F.broadcast(table.where(is_hot)), key).unionByName(rows.where(~is_hot).hint("merge").join(table.where(~is_hot), key))
 
 
 def _word_counts(pages: DataFrame, text_col: str) -> DataFrame:
@@ -126,29 +131,32 @@ def _word_counts(pages: DataFrame, text_col: str) -> DataFrame:
 
 
 def _segmented(names: DataFrame, words: DataFrame) -> DataFrame:
-    """(name, tokens): each name split by the words it holds, which its substrings find among all words."""
+    """(id, name, tokens): each name split by the words it holds, which its substrings find among all words. Substrings carry a number
+    in place of the name, so a name of any length costs no more than so many words for each of its letters."""
     total = words.agg(F.sum("n")).first()[0]
 
     def substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs() -> Iterator[tuple[str, str]]:
+        def pairs() -> Iterator[tuple[int, str]]:
             for batch in batches:
-                for name in filter(str.isascii, batch.column(0).to_pylist()):
-                    yield from ((name, name[i:i + n]) for i in range(len(name)) for n in range(2, min(LONGEST, len(name) - i) + 1))
+                for i, name in zip(batch.column("id").to_pylist(), batch.column("name").to_pylist()):
+                    for low in range(0, len(name) if name.isascii() else 0, AT_ONCE):
+                        yield from ((i, w) for w in {name[at:at + n] for at in range(low, min(low + AT_ONCE, len(name))) for n in range(2, min(LONGEST, len(name) - at) + 1)})
 
         every = pairs()
         while held := list(islice(every, BATCH)):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held)], names=["name", "word"])
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in held], pa.int64()), pa.array([w for _, w in held], pa.string())], names=["id", "word"])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = [x for found in batch.column(1).to_pylist() for x in found or ()]
             segmenter = Segmenter({x["word"]: x["n"] for x in known}, total)
             tokens = [("#",) if name == "#" else segmenter.split(name) for name in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.list_(pa.string()))], names=["name", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0), pa.array(tokens, pa.list_(pa.string()))], names=["id", "name", "tokens"])
 
-    parts = materialize(spread(names).mapInArrow(substrings, "name string, word string"), "substrings")
-    found = _joined(parts, words, "word").groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("found"))
-    return materialize(names.join(found, "name", "left").select("name", "found").mapInArrow(split, "name string, tokens array<string>"), "names")
+    names = materialize(names.select("name", F.monotonically_increasing_id().alias("id")), "names")
+    parts = materialize(spread(names).mapInArrow(substrings, "id long, word string"), "substrings")
+    found = _joined(parts, words, "word").groupBy("id").agg(F.collect_set(F.struct("word", "n")).alias("found"))
+    return materialize(names.join(found, "id", "left").select("name", "found", "id").mapInArrow(split, "id long, name string, tokens array<string>"), "names")
 
 
 def _log_ratios(sums: DataFrame) -> DataFrame:
@@ -170,19 +178,20 @@ def _scores(rows: DataFrame, words: DataFrame) -> DataFrame:
 
     A page teaches "block" if its host holds a blocked word, else "allow"; its tokens are counted over all pages. The
     tokens that go with blocked words are so learnt from the corpus. Names are split once, and every token counts."""
-    held = rows.select("row", F.inline("names"))
-    names = _segmented(materialize(held.select("name").distinct(), "distinct"), words)
-    bad = names.where(F.arrays_overlap("tokens", F.array(*map(F.lit, BLOCKED_WORDS)))).select("name")
-    blocked = materialize(_joined(held.where("in_host > 0"), bad, "name").select("row", F.lit(True).alias("blocked")).distinct(), "blocked")
+    named = rows.select("row", F.inline("names"))
+    names = _segmented(materialize(named.select("name").distinct(), "distinct"), words)
+    held = materialize(_joined(named, names.select("id", "name"), "name").select("row", "id", "in_host", "in_path"), "held")  # a name may be long
+    bad = names.where(F.arrays_overlap("tokens", F.array(*map(F.lit, BLOCKED_WORDS)))).select("id")
+    blocked = materialize(_joined(held.where("in_host > 0"), bad, "id").select("row", F.lit(True).alias("blocked")).distinct(), "blocked")
     bad_pages, all_pages = blocked.count(), rows.count()
     n, is_blocked = F.col("in_host") + F.col("in_path"), F.col("blocked").isNotNull()
-    per_name = held.join(blocked, "row", "left").groupBy("name").agg(
+    per_name = held.join(blocked, "row", "left").groupBy("id").agg(
         F.sum(F.when(is_blocked, n).otherwise(0)).alias("bad"), F.sum(F.when(is_blocked, 0).otherwise(n)).alias("good"))
-    tokens = names.select("name", F.explode("tokens").alias("token"))
-    sums = materialize(tokens.join(per_name, "name").groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "tokens")
-    of_name = materialize(_joined(tokens, _log_ratios(sums), "token").groupBy("name").agg(_in_order("ratio").alias("ratio")), "ratios")
+    tokens = names.select("id", F.explode("tokens").alias("token"))
+    sums = materialize(tokens.join(per_name, "id").groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "tokens")
+    of_name = materialize(_joined(tokens, _log_ratios(sums), "token").groupBy("id").agg(_in_order("ratio").alias("ratio")), "ratios")
     prior = math.log(bad_pages + 1) - math.log(all_pages - bad_pages + 1)
-    told = _joined(held.select("row", "name", n.alias("n")), of_name, "name").select("row", (F.col("n") * F.col("ratio")).alias("part"))
+    told = _joined(held.select("row", "id", n.alias("n")), of_name, "id").select("row", (F.col("n") * F.col("ratio")).alias("part"))
     return told.groupBy("row").agg((F.lit(prior) + _in_order("part")).alias("score"))
 
 

@@ -145,3 +145,11 @@ def test_words_of_any_length_cost_their_frequency():
     assert [split(x) for x in SHORT] == [("hot", "porn"), ("sex", "cams"), ("xxx", "ads"), ("top", "bets"), ("hot", "nude"), ("best", "bet"), ("the", "best", "bet"),
                                          ("my", "bet"), ("my", "casino"), ("new", "pills")]
     assert all(split(x) == (x,) for x in ("essex", "threads", "alphabet", "beth", "qbetz", "zads"))
+
+
+def test_very_long_names(spark):
+    """A run of letters far beyond what a batch of names beside their substrings could hold."""
+    long = "casinonews" * 20_000
+    rows = [(1, f"http://{long}.net/a"), (2, "http://plain.net/" + "q" * 200_000), (3, "http://mycasino.net/x"), (4, "http://daynews.net/")]
+    got = {r.page_id: r for r in urls.judge(pages(spark, rows), queries.RULES).collect()}
+    assert got[1].host == f"{long}.net" and got[1].verdict == "block" and got[4].verdict == "allow"
