@@ -115,19 +115,22 @@ def _text(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
 
-def _found(kind: str, pattern: str, where: str = "TRUE") -> str:
-    """Matches of a pattern: between them lie the parts of the text split by it."""
+def _found(kind: str, pattern: str, where: str = "TRUE", rest: str = "hit") -> str:
+    """Matches of a pattern: between them lie the parts of the text split by it. ``rest`` is what of a match ``where`` judges."""
     return f"""SELECT doc_id, '{kind}' AS kind, {secrets.KINDS.index(kind)} AS r, start, start + length(hit) AS stop FROM (
-  SELECT doc_id, h[i] AS hit, list_sum(g[1:i]) + coalesce(list_sum(list_transform(h[1:i - 1], lambda s: length(s))), 0) AS start FROM (
+  SELECT *, {rest} AS rest FROM (SELECT doc_id, h[i] AS hit, list_sum(g[1:i]) + coalesce(list_sum(list_transform(h[1:i - 1], lambda s: length(s))), 0) AS start FROM (
     SELECT doc_id, h, g, unnest(range(1, len(h) + 1)) AS i FROM (
-      SELECT doc_id, regexp_extract_all(x, {_text(pattern)}) AS h, list_transform(string_split_regex(x, {_text(pattern)}), lambda s: length(s)) AS g FROM t))) WHERE {where}"""
+      SELECT doc_id, regexp_extract_all(x, {_text(pattern)}) AS h, list_transform(string_split_regex(x, {_text(pattern)}), lambda s: length(s)) AS g FROM t)))) WHERE {where}"""
 
 
 def _suspicious(name: str) -> str:
     pattern, bits = secrets.CLASSES[name]
-    calm = [*secrets.ALLOWED, *([] if name == "hex" else [f"^{secrets.CLASSES['hex'][0]}$"])]
-    windows = f"list_transform(range(1, length(hit) - {secrets.WINDOW - 2}), lambda p: list_aggregate(string_split(substr(hit, p, {secrets.WINDOW}), ''), 'entropy'))"
-    return _found("entropy", pattern, " AND ".join(f"NOT regexp_matches(hit, {_text(a)})" for a in calm) + f" AND list_max({windows}) >= {bits}")
+    calm = " AND ".join(f"NOT regexp_matches(hit, {_text(c)})" for c in secrets.CALM[name])
+    rest = "hit" if name == "hex" else (
+        f"array_to_string(list_filter(string_split_regex(hit, {_text(secrets.SEPARATOR)}), lambda part: NOT regexp_matches(part, {_text(secrets.CALM_PART)})), '')")
+    needed = str(bits) if name == "hex" else f"CASE WHEN regexp_matches(hit, '[0-9]') THEN {bits} ELSE {secrets.NO_DIGIT_BITS} END"
+    windows = f"list_transform(range(1, length(rest) - {secrets.WINDOW - 2}), lambda p: list_aggregate(string_split(substr(rest, p, {secrets.WINDOW}), ''), 'entropy'))"
+    return _found("entropy", pattern, f"{calm} AND list_max({windows}) >= {needed}", rest)
 
 
 _LISTED = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, r)"
@@ -140,7 +143,9 @@ base AS (
 more AS ({_suspicious('hex')} UNION ALL {_suspicious('base64')}),
 spans AS (
   SELECT * FROM base UNION ALL
-  SELECT * FROM more m WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = m.doc_id AND b.start < m.stop AND m.start < b.stop))
+  SELECT DISTINCT m.doc_id, m.kind, m.r, m.start, m.stop  -- those of which some character is in no fixed pattern
+  FROM (SELECT *, unnest(range(start::BIGINT, stop::BIGINT)) AS p FROM more) m LEFT JOIN base b ON b.doc_id = m.doc_id AND b.start <= p AND p < b.stop
+  WHERE b.doc_id IS NULL)
 SELECT t.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
        sha256(coalesce({_LISTED} FILTER (kind <> 'entropy'), '')) AS base_sha256, coalesce({_LISTED}, '') AS spans
 FROM t LEFT JOIN spans USING (doc_id) GROUP BY t.doc_id

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,13 +18,17 @@ BLOCK = 500
 KINDS = ("assign", "access", "hex", "entropy")
 
 # Character classes of the entropy search: pattern of a candidate, least bits a character in some window.
-# A window of 20 random characters has about 3.3 bits of 16 symbols and 4.1 of 64; invented or real words stay below 3.6.
+# A window of 20 random characters has about 3.3 bits of 16 symbols and 4.1 of 64; invented or real words stay below 3.6,
+# words run together below 4.
 WINDOW = 20
 CLASSES = {"hex": (r"[0-9A-Fa-f]{20,}", 3.0), "base64": (r"[A-Za-z0-9+/_=-]{20,}", 3.7)}
-# Candidates that are no secrets: no digit or no letter, ids in the form of a UUID, parts of addresses and paths,
-# placeholders.
-ALLOWED = (r"^[^0-9]*$", r"^[^A-Za-z]*$", r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-           r"^/?([a-z]+[/_-])+[a-z]*[0-9]*$", r"(?i)(example|sample|placeholder|dummy|xxxx|0123456789|abcdefgh)")
+NO_DIGIT_BITS = 4.0
+# What is no secret. Of whole candidates: hex digits that are all digits or all letters; ids in the form of a UUID, and what is judged as hex.
+CALM = {"hex": (r"^[0-9]*$", r"^[A-Fa-f]*$"),
+        "base64": (r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$", r"^[0-9A-Fa-f]*$")}
+# Of the parts that / _ = - separate, which are then left out of the judgement: numbers, words of addresses and paths, placeholders.
+SEPARATOR = "[/_=-]"
+CALM_PART = r"^(?:[0-9]*|[A-Z]?[a-z]{0,15}[0-9]{0,4}|(?i:(?:example|sample|placeholder|dummy|xxxx|1?234567890|0123456789|abcdefgh)[a-z0-9]{0,12}))$"
 
 
 def _blocks(n: Column) -> Column:
@@ -99,25 +104,21 @@ def _entropy(text: Column, name: str) -> Column:
     pattern, bits = CLASSES[name]
 
     def suspicious(p):
-        word = p["hit"]
-        allowed = F.lit(False)
-        for a in ALLOWED:
-            allowed = allowed | word.rlike(a)
-        if name != "hex":
-            allowed = allowed | word.rlike(f"^{CLASSES['hex'][0]}$")  # judged in its own class
-        return F.when(allowed, F.lit(False)).otherwise(window_entropy(word) >= bits)
+        calm = reduce(lambda a, b: a | b, (p["hit"].rlike(c) for c in CALM[name]))
+        rest = p["hit"] if name == "hex" else F.array_join(F.filter(F.split(p["hit"], SEPARATOR, -1), lambda part: ~part.rlike(CALM_PART)), "")
+        needed = F.lit(bits) if name == "hex" else F.when(p["hit"].rlike("[0-9]"), bits).otherwise(NO_DIGIT_BITS)
+        return _let(rest, lambda r: F.when(calm | (F.length(r) < WINDOW), F.lit(False)).otherwise(window_entropy(r) >= needed))
 
     return F.filter(_places(text, pattern), suspicious)
 
 
 def find_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``row`` (all columns given, as a struct), ``spans``: array<struct<start, rank, end, kind>> in order of
-    start and kind, in code points, end exclusive, and ``partly``, of the same kind.
+    """``row`` (all columns given, as a struct) and ``spans``: array<struct<start, rank, end, kind>> in order of
+    start and kind, in code points, end exclusive.
 
     Kinds: ``assign`` (a named value of 12 characters or more), ``access`` (access key ids), ``hex`` (16 or more hex
-    digits), and ``entropy``: words whose window entropy is high for their character class, unless a
-    pattern of the allow-list fits. Those that no span above touches are in ``spans``; those that such spans cover in
-    part only are in ``partly``, whole; what they cover whole is in neither. ``every`` gives both in one.
+    digits), and ``entropy``: words whose window entropy is high for their character class once the parts that the allow-list
+    knows are left out. An entropy span is given whole, also where fixed patterns cover some of it, and not where they cover all.
 
     Null and empty texts have no spans. Texts are searched whole. Rows are independent: repeated rows give
     repeated results, an empty table none, and names of other columns cannot clash."""
@@ -131,14 +132,8 @@ def find_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     base = base.withColumn("base", F.array_sort("base"))
     over = lambda e: F.filter("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"]))
     covered = lambda e: F.aggregate(over(e), e["start"], lambda at, b: F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at))
-    free = F.filter("more", lambda e: F.size(over(e)) == 0)
-    partly = F.filter("more", lambda e: (F.size(over(e)) > 0) & (covered(e) < e["end"]))
-    return base.select("row", F.array_sort(F.concat("base", free)).alias("spans"), F.array_sort(partly).alias("partly"))
-
-
-def every(found: DataFrame) -> DataFrame:
-    """What ``find_secrets`` gives, with all its spans in ``spans``."""
-    return found.select("row", F.array_sort(F.concat("spans", "partly")).alias("spans"))
+    more = F.filter("more", lambda e: covered(e) < e["end"])
+    return base.select("row", F.array_sort(F.concat("base", more)).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
