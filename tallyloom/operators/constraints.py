@@ -50,7 +50,9 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     update and the old row of every delete, with ``change``. Unchanged rows are left out.
 
     Keys and a 256-bit hash of the row meet first; whole rows are then fetched for the keys
-    that changed, so wide rows are not shuffled while few of them change."""
+    that changed, so wide rows are not shuffled while few of them change. A null in a key is a
+    value like any other. Keys should be unique on each side: rows that share a key are compared
+    with each of the other side's, and each of them is reported once if any such pair differs."""
     columns = old.columns
 
     def digests(df: DataFrame, name: str) -> DataFrame:
@@ -58,13 +60,17 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
         return df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(key)], F.sha2(F.to_json(cells, WHOLE_TIMES), 256).alias(name))
 
     keys = [f"k{i}" for i in range(len(key))]
+
+    def same(left: DataFrame, right: list[str], *columns: str):
+        return reduce(lambda a, b: a & b, [left[a].eqNullSafe(F.col(b)) for a, b in zip(columns, right)])
+
     change = F.when(F.col("before").isNull(), "insert").when(F.col("after").isNull(), "delete").when(F.col("before") != F.col("after"), "update")
+    was, now = digests(old, "before"), digests(new, "after").withColumnsRenamed({k: f"new_{k}" for k in keys})
     changed = (
-        digests(old, "before").join(digests(new, "after"), keys, "full_outer")
-        .withColumn("change", change).where(F.col("change").isNotNull()).select(*keys, "change"))
+        was.join(now, same(was, [f"new_{k}" for k in keys], *keys), "full_outer").withColumn("change", change).where(F.col("change").isNotNull())
+        .select(*[F.when(F.col("change") == "delete", F.col(k)).otherwise(F.col(f"new_{k}")).alias(k) for k in keys], "change").distinct())
 
     def rows(df: DataFrame, kinds: list[str]) -> DataFrame:
-        same = reduce(lambda a, b: a & b, [F.col(k) == F.col(c) for k, c in zip(keys, key)])
-        return df.join(changed.where(F.col("change").isin(kinds)), same).select("change", *columns)
+        return df.join(changed.where(F.col("change").isin(kinds)), same(df, keys, *key)).select("change", *columns)
 
     return rows(new.select(*columns), ["insert", "update"]).unionByName(rows(old, ["delete"]))

@@ -106,38 +106,57 @@ def filter_by_threshold(tables: dict[str, DataFrame], table: str, column: str, o
     return hits if limit is None else hits.limit(_rows_wanted(limit, most))
 
 
-def _relations(plan) -> Iterator:
-    """The nodes of a parsed plan, with those of its subqueries and named queries."""
+def _nodes(plan) -> Iterator:
+    """The nodes of a plan, with those of its subqueries and named queries."""
     yield plan
     for part in (plan.children(), plan.innerChildren(), plan.subqueries()):
         for i in range(part.size()):
-            yield from _relations(part.apply(i))
+            yield from _nodes(part.apply(i))
 
 
-def _check_query(spark: SparkSession, text: str, tables: list[str]) -> None:
-    """Refuse what reads other relations than the given ones, or runs code. Looks at the plan
-    as parsed, before anything is resolved or opened, so literals are free to say anything."""
+def _check_parsed(spark: SparkSession, text: str, tables: list[str]) -> None:
+    """Refuse what names other relations than the given ones and its own, or runs code. Looks at the plan as parsed, before
+    anything is resolved or opened, so literals are free to say anything."""
     known = {t.lower() for t in tables}
     try:
         parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
     except PySparkException as error:
         raise ValueError(f"Query failed: {error}") from error
-    named = set()
-    nodes = list(_relations(parsed))
+    nodes = list(_nodes(parsed))
     for node in nodes:
         if node.nodeName() == "UnresolvedWith":
             pairs = node.cteRelations()
-            named |= {pairs.apply(i)._1().lower() for i in range(pairs.size())}
+            known |= {pairs.apply(i)._1().lower() for i in range(pairs.size())}
     for node in nodes:
         if node.nodeName() == "UnresolvedRelation":
             name = node.tableName().replace("`", "")
-            if name.lower() not in known | named:
+            if name.lower() not in known:
                 raise ValueError(f"Rejected: unknown table '{name}'. Valid: {', '.join(sorted(tables))}")
+        if node.nodeName() == "PlanWithUnresolvedIdentifier":
+            raise ValueError("Rejected: tables are named, not computed.")
     called = set(re.findall(r"'(\w+)\(", parsed.toString().lower()))
     if called & CODE_FUNCTIONS or any(node.nodeName() == "ScriptTransformation" for node in nodes):
         raise ValueError("Rejected: the query calls out to code.")
 
 
+def _read(plan) -> set[str]:
+    """The views and relations that an analysed plan reads, as they compare equal: a view by its plan, whatever it reads in turn.
+    Named queries are read through to what they read; rows that the text itself makes are no relations."""
+    if plan.nodeName() == "View":
+        return {plan.canonicalized().toString()}
+    parts = [part.apply(i) for part in (plan.children(), plan.innerChildren(), plan.subqueries()) for i in range(part.size())]
+    if not parts and plan.nodeName() not in ("CTERelationRef", "OneRowRelation", "LocalRelation", "Range"):
+        return {plan.canonicalized().toString()}
+    return set().union(*map(_read, parts))
+
+
+def _check_analysed(spark: SparkSession, df: DataFrame, tables: list[str]) -> None:
+    """Refuse a query whose analysed plan reads anything but the given tables, whatever names and scopes its text plays with."""
+    allowed = set().union(*(_read(spark.table(name)._jdf.queryExecution().analyzed()) for name in tables))
+    if not _read(df._jdf.queryExecution().analyzed()) <= allowed:
+        raise ValueError(f"Rejected: the query reads other relations than {', '.join(sorted(tables))}.")
+
+
 def run_readonly_sql(spark: SparkSession, query: str, tables: list[str], limit: int | None = None) -> DataFrame:
     """The rows of a SELECT or WITH query over the given tables, or the first ``limit``. The text is
     placed where the grammar accepts nothing but a query, so commands do not parse; relations
@@ -147,11 +166,13 @@ def run_readonly_sql(spark: SparkSession, query: str, tables: list[str], limit:
     if not re.match(r"(select|with)\b", text, re.IGNORECASE):
         raise ValueError("Rejected: only SELECT or WITH queries are accepted.")
     placed = f"SELECT * FROM (\n{text}\n)" + ("" if limit is None else f" LIMIT {int(limit)}")
-    _check_query(spark, placed, tables)
+    _check_parsed(spark, placed, tables)
     try:
-        return spark.sql(placed)
+        rows = spark.sql(placed)
     except PySparkException as error:
         raise ValueError(f"Query failed: {error}") from error
+    _check_analysed(spark, rows, tables)
+    return rows
 
 
 def as_text(tool: Callable[..., DataFrame], *args, empty: str = "(no rows)", shown: int = 100, **kwargs) -> str:

@@ -200,10 +200,17 @@ GATE_CASES = (
     ("other_table", "WITH x AS (SELECT * FROM secret) SELECT * FROM x"), ("command", "DROP VIEW orders"), ("second_command", "SELECT 1) ; DROP VIEW orders; --"),
     ("code", "SELECT reflect('java.util.UUID', 'randomUUID') FROM orders"), ("script", "SELECT TRANSFORM(o_orderkey) USING 'cat' FROM orders"),
     ("literal", "SELECT COUNT(*) AS n FROM orders WHERE o_orderpriority <> 'reflect' AND o_orderstatus <> 'text.`/etc/hostname`'"),
+    ("computed_name", "SELECT COUNT(*) AS n FROM IDENTIFIER('secret')"),
+    ("inner_name", "WITH x AS (WITH secret AS (SELECT 1 AS a) SELECT * FROM secret) SELECT COUNT(*) AS n FROM secret"),
+    ("name_in_subquery", "SELECT COUNT(*) AS n FROM secret WHERE (WITH secret AS (SELECT 1 AS a) SELECT MAX(a) FROM secret) = 1"),
     ("own_name", "WITH x AS (SELECT * FROM customer) SELECT COUNT(*) AS n FROM x"),
+    ("shadowed_name", "WITH secret AS (SELECT * FROM orders) SELECT COUNT(*) AS n FROM secret"),
 )
 
 
+GATE_ACCEPTS = ("literal", "own_name", "shadowed_name")
+
+
 def readonly_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each case of the gate: null where it is refused, else the count it returns."""
     allowed = read_all(spark, sf_dir, "orders", "customer")
@@ -342,8 +349,12 @@ def pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as they stood at the start of 2001, against those kept since 1996 with open
-    ones since closed."""
+    ones since closed. One order on each side has lost its key: the last before 1996 and the last
+    of all since 2001."""
     table, date = read(spark, sf_dir, "orders"), F.col("o_orderdate")
+    before, since = (F.max(F.when(c, F.col("o_orderkey"))) for c in (date < F.lit("1996-01-01").cast("timestamp_ntz"), date >= F.lit("2001-01-01").cast("timestamp_ntz")))
+    lost = [k for k in table.agg(before, since).first() if k is not None]
+    table = table.withColumn("o_orderkey", F.when(~F.col("o_orderkey").isin(lost), F.col("o_orderkey")))
     old = table.where(date < F.lit("2001-01-01").cast("timestamp_ntz"))
     new = table.where(date >= F.lit("1996-01-01").cast("timestamp_ntz")).withColumn(
         "o_orderstatus", F.when(F.col("o_orderstatus") == "O", "F").otherwise(F.col("o_orderstatus")))

@@ -268,13 +268,16 @@ FROM (SELECT ({null}) AS has_null, COUNT(*) AS n FROM {table} GROUP BY {', '.joi
 
 PK_VIOLATIONS = _union([_pk(t, key) for t, key in catalogue.PRIMARY_KEYS.items()])
 
-SNAPSHOT_DIFF = """WITH dated AS (SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders),
+SNAPSHOT_DIFF = """WITH dated AS (
+  SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate, CASE WHEN o_orderkey IN (
+      (SELECT max(o_orderkey) FROM orders WHERE o_orderdate < '1996-01-01'), (SELECT max(o_orderkey) FROM orders WHERE o_orderdate >= '2001-01-01'))
+    THEN NULL ELSE o_orderkey END AS o_orderkey) FROM orders),
 old AS (SELECT * FROM dated WHERE o_orderdate < '2001'),
 new AS (SELECT * REPLACE (CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS o_orderstatus)
         FROM dated WHERE o_orderdate >= '1996')
-SELECT 'insert' AS change, * FROM new WHERE o_orderkey NOT IN (SELECT o_orderkey FROM old)
-UNION ALL SELECT 'delete', * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)
-UNION ALL SELECT 'update', * FROM (SELECT * FROM new EXCEPT SELECT * FROM old) WHERE o_orderkey IN (SELECT o_orderkey FROM old)"""
+SELECT 'insert' AS change, * FROM new WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.o_orderkey IS NOT DISTINCT FROM new.o_orderkey)
+UNION ALL SELECT 'delete', * FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE old.o_orderkey IS NOT DISTINCT FROM new.o_orderkey)
+UNION ALL SELECT 'update', * FROM (SELECT * FROM new EXCEPT SELECT * FROM old) n WHERE EXISTS (SELECT 1 FROM old WHERE old.o_orderkey IS NOT DISTINCT FROM n.o_orderkey)"""
 
 
 def _identifier(x: str) -> str:
@@ -525,9 +528,9 @@ def all_oracles() -> dict[str, str]:
         "filter_by_threshold": "SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM lineitem "
                                "WHERE l_extendedprice >= 100000 ORDER BY ALL LIMIT 100",
         "readonly_sql": catalogue.READONLY_QUERY.strip().rstrip(";"),
-        "readonly_refusals": "SELECT * FROM (VALUES " + ", ".join(f"('{name}', CAST(NULL AS BIGINT))" for name, _ in catalogue.GATE_CASES[:7])
+        "readonly_refusals": "SELECT * FROM (VALUES " + ", ".join(f"('{name}', CAST(NULL AS BIGINT))" for name, _ in catalogue.GATE_CASES if name not in catalogue.GATE_ACCEPTS)
                              + ") AS v(case_name, n) UNION ALL SELECT 'literal', COUNT(*) FROM orders WHERE o_orderpriority IS NOT NULL AND o_orderstatus IS NOT NULL"
-                               " UNION ALL SELECT 'own_name', COUNT(*) FROM customer",
+                               " UNION ALL SELECT 'own_name', COUNT(*) FROM customer UNION ALL SELECT 'shadowed_name', COUNT(*) FROM orders",
         "table_inventory": INVENTORY, "table_profile": profile_sql("orders"), "inferred_keys": INFERRED_KEYS,
         "declared_keys": _declared_keys(), "top_values_all_columns": _all_top_values(),
         "value_counts": _top_values("lineitem", "l_quantity"), "monthly_trend": MONTHLY_TREND,

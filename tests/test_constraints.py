@@ -59,3 +59,17 @@ def test_changes_by_a_microsecond(spark):
 def test_reconciliation(spark):
     got = reconcile({"a": spark.range(3), "b": spark.range(2)}, {"a": 3, "b": 5})
     assert {tuple(r) for r in got.collect()} == {("a", 3, 3, "OK"), ("b", 2, 5, "MISMATCH")}
+
+
+def test_null_keys_are_keys(spark):
+    schema = "id int, part string, v string"
+    old = spark.createDataFrame([(None, "a", "x"), (1, None, "y"), (2, "b", "z"), (None, None, "w")], schema)
+    new = spark.createDataFrame([(None, "a", "X"), (1, None, "y"), (None, "b", "z")], schema)
+    assert {tuple(r) for r in snapshot_diff(old, new, ["id", "part"]).collect()} == {
+        ("update", None, "a", "X"), ("delete", 2, "b", "z"), ("delete", None, None, "w"), ("insert", None, "b", "z")}
+
+
+def test_rows_that_share_a_key(spark):
+    old = spark.createDataFrame([(1, "a"), (1, "b")], "id int, v string")
+    new = spark.createDataFrame([(1, "a"), (2, "c")], "id int, v string")
+    assert sorted(tuple(r) for r in snapshot_diff(old, new, ["id"]).collect()) == [("insert", 2, "c"), ("update", 1, "a")]

@@ -56,6 +56,8 @@ def test_wrong_names_are_refused(tables, call, message):
     "WITH x AS (SELECT 1) INSERT INTO t SELECT * FROM x", "SELECT java_method('java.lang.System', 'exit', 1)",
     "SELECT reflect('java.lang.System', 'getenv')", "SELECT `reflect`('java.lang.System', 'getenv') FROM t", "SELECT * FROM text.`/etc/hostname`",
     "SELECT a FROM t WHERE a IN (SELECT 1 FROM csv.`/etc/passwd`)", "WITH x AS (SELECT * FROM u) SELECT * FROM x", "SELECT (SELECT MAX(a) FROM u)", "SELECT TRANSFORM(a) USING 'cat' AS b FROM (SELECT 1 AS a)", "SELECT * FROM no_such_table",
+    "SELECT * FROM IDENTIFIER('u')", "WITH x AS (WITH u AS (SELECT 1 AS a) SELECT * FROM u) SELECT * FROM u", "SELECT (WITH u AS (SELECT 1 AS a) SELECT MAX(a) FROM u) FROM u",
+    "SELECT * FROM t JOIN u ON t.a < u.a", "SELECT * FROM t WHERE EXISTS (SELECT 1 FROM t WHERE a IN (SELECT a FROM u))", "SELECT * FROM (TABLE u)",
 ])
 def test_commands_are_refused(spark, query):
     spark.sql("CREATE OR REPLACE TEMPORARY VIEW t AS SELECT 1 AS a")
@@ -74,6 +76,13 @@ def test_queries_run(spark):
     assert tools.run_readonly_sql(spark, "SELECT * FROM Some_Rows WHERE id > (SELECT MIN(id) FROM some_rows)", ["some_rows"]).count() == 2
 
 
+def test_names_of_the_query_may_hide_tables(spark):
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW t AS SELECT id AS a FROM range(3) WHERE id > 0")
+    spark.range(9).createOrReplaceTempView("u")
+    assert tools.run_readonly_sql(spark, "WITH u AS (SELECT * FROM t) SELECT u.a FROM u JOIN t ON t.a = u.a", ["t"]).count() == 2
+    assert tools.run_readonly_sql(spark, "SELECT a FROM t UNION ALL SELECT id FROM u WHERE id IN (SELECT a FROM t)", ["t", "u"]).count() == 4
+
+
 def test_text_form(spark, tables):
     assert tools.as_text(tools.top_n_group_by, tables, "sales", "name", "qty", 1) == "{'group_value': 'b', 'metric_value': 9}"
     assert tools.as_text(tools.filter_by_threshold, tables, "empty", "x", "=", 1) == "(no rows)"
