@@ -13,10 +13,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tallyloom.functions import identifiers, models
-from tallyloom.operators import chunks, constraints, context, profile, projection, report, retrieval, tools
+from tallyloom.functions import identifiers, models, text as text_functions
+from tallyloom.operators import chunks, constraints, context, keywords, profile, projection, report, retrieval, tools
 from tallyloom.plans import onboarding, retail
-from tallyloom.session import shared_dir, spread, stamp
+from tallyloom.session import materialize, shared_dir, spread, stamp
 from tallyloom.sources import catalog, files, pages, writers
 from tallyloom.streaming import sync
 
@@ -43,6 +43,7 @@ QUERY_VECTOR = 7
 MIN_SCORE = 0.4
 CLUSTERS = 5
 EXAMPLES = 40
+QUALITY_AT, CANDIDATES = 10, 40
 
 _staged: dict[tuple, str] = {}
 
@@ -618,6 +619,52 @@ def _found(spark: SparkSession, sf_dir: str, page: list[str] | None = None) -> D
     return retrieval.hit_rows(hits, vectors)
 
 
+def keyword_index(spark: SparkSession, sf_dir: str) -> keywords.KeywordIndex:
+    """The stored index of the words of all chunks."""
+    key = (spark.sparkContext.applicationId, sf_dir, "keywords", stamp(spark, f"{sf_dir}/documents.parquet"))
+    if key not in _staged:
+        path = shared_dir(spark, "keywords")
+        keywords.write_keyword_index(chunk_vectors(spark, sf_dir), path)
+        _staged[key] = path
+    return keywords.read_keyword_index(spark, _staged[key])
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return questions(spark, sf_dir).withColumn("embedding", models.embed(F.col("text")))
+
+
+def keyword_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keywords.keyword_hits(keyword_index(spark, sf_dir), questions(spark, sf_dir)).withColumnRenamed("hit_id", "chunk_id")
+
+
+def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best chunks for every question by vectors of at least ``MIN_SCORE`` and words together."""
+    hits = keywords.hybrid_hits(chunk_vectors(spark, sf_dir), keyword_index(spark, sf_dir), _asked(spark, sf_dir), min_score=MIN_SCORE)
+    return hits.withColumnRenamed("hit_id", "chunk_id")
+
+
+def retrieval_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well each search finds the documents that hold a question's passage: their chunks are worth 1, those that hold all of it 2."""
+    table, index, asked = chunk_vectors(spark, sf_dir), keyword_index(spark, sf_dir), _asked(spark, sf_dir)
+    docs = document_pages(spark, sf_dir)
+    holding = materialize(keywords.holding_documents(index, asked, table, docs), "holding")
+    passages = questions(spark, sf_dir).select("query_id", text_functions.collapse_whitespace(F.col("text")).alias("passage"))
+    grade = F.when(F.contains("content", "passage"), 2).otherwise(1)
+    graded = materialize(holding.join(table.select("source_file", "chunk_id", "content"), "source_file").join(passages, "query_id").select(
+        "query_id", "source_file", "chunk_id", grade.alias("grade")), "graded")
+    some = lambda g: F.array_repeat(F.lit(g), F.least(F.count_if(F.col("grade") == g), F.lit(QUALITY_AT)).cast("int"))
+    relevant = graded.groupBy("query_id", "source_file").agg(F.concat(some(2), some(1)).alias("grades"))
+    searches = {
+        "vector": retrieval.batch_hits(table, asked, QUALITY_AT, id_column="chunk_id"), "keyword": keywords.keyword_hits(index, asked, QUALITY_AT),
+        "hybrid": keywords.hybrid_hits(table, index, asked, QUALITY_AT, CANDIDATES)}
+    parts = []
+    for name, hits in searches.items():
+        judged = hits.withColumnRenamed("hit_id", "chunk_id").join(graded, ["query_id", "chunk_id"], "left").select(
+            "query_id", "rank", "source_file", F.coalesce("grade", F.lit(0)).alias("grade"))
+        parts.append(keywords.ranking_quality(judged, relevant, QUALITY_AT).select(F.lit(name).alias("search"), "*"))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _found(spark, sf_dir).select(
         "query_id", "rank", "score", "source_file", "page_number", "chunk_index", "preview")
@@ -702,7 +749,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         chunk_length_histogram, source_count, hash_embed, cosine_topk, cosine_topk_batch, label_vote, similar_pairs,
         score_pairs, ann_topk, ann_recall, pca_2d, kmeans_labels, search_documents, distinct_page_hits, context_assembly,
         search_text, prompt_rows, generate_answer, incremental_sync, continuous_sync, distinct_labels, labelled_ranking, search_by_text,
-        csv_discovery, document_listing, onboarded_tables, saved_tables, profile_json, csv_encoded)}
+        keyword_search, hybrid_search, retrieval_quality, csv_discovery, document_listing, onboarded_tables, saved_tables, profile_json, csv_encoded)}
     named["chunk_documents"] = document_chunks
     for agg, metric in (("sum", "o_totalprice"), ("avg", "o_totalprice"), ("count", "o_orderkey"),
                         ("min", "o_totalprice"), ("max", "o_totalprice")):

@@ -9,6 +9,7 @@ from __future__ import annotations
 from tallyloom.functions import models
 from tallyloom.functions.vectors import NORM_GUARD, SCORE_DIGITS
 from tallyloom.operators import context
+from tallyloom.operators import keywords
 from tallyloom.plans import catalogue, retail
 from tallyloom.sources import pages
 
@@ -328,6 +329,11 @@ INVENTORY = _union([
 
 # Documents and vectors ---------------------------------------------------------------
 
+def _collapsed(source: str) -> str:
+    """(source_file, t): white space of ``raw`` collapsed."""
+    return f"""SELECT source_file, trim(regexp_replace(raw, '[\\s\\x0b\\x1c-\\x1f\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]+', ' ', 'g')) AS t FROM ({source})"""
+
+
 def chunks_sql(source: str, min_advance: bool = False) -> str:
     """CTEs that end in ``chunks``. ``source`` selects (source_file, raw). Each step of the
     recursion holds the start of a chunk and where the one before it ended."""
@@ -403,10 +409,63 @@ hits AS (
 SEARCH_BY_TEXT = f"""WITH RECURSIVE {SEARCH}
 SELECT chunk_id, source_file, score FROM hits WHERE query_id = (SELECT MIN(item_id) FROM benchmark)"""
 
+def _tokens(text: str) -> str:
+    return f"regexp_extract_all(lower({text}), '{keywords.WORDS}')"
+
+
+KEYWORDS = f"""post AS (SELECT chunk_id, term, any_value(n) AS n, COUNT(*) AS tf FROM (
+    SELECT chunk_id, unnest({_tokens('content')}) AS term, len({_tokens('content')}) AS n FROM chunks) GROUP BY 1, 2),
+size AS (SELECT COUNT(*) AS n, AVG(len({_tokens('content')})) AS words FROM chunks),
+asked AS (SELECT DISTINCT item_id AS query_id, unnest({_tokens('text')}) AS term FROM benchmark),
+idf AS (SELECT term, ln(1 + (any_value(size.n) - COUNT(*) + 0.5) / (COUNT(*) + 0.5)) AS idf FROM post, size GROUP BY term),
+bm AS (
+  SELECT query_id, chunk_id, round(SUM(idf * tf * ({keywords.SATURATION} + 1) / (tf + {keywords.SATURATION} * (1 - {keywords.LENGTH_WEIGHT} + {keywords.LENGTH_WEIGHT} * post.n / size.words))), 9) AS score
+  FROM asked JOIN post USING (term) JOIN idf USING (term), size GROUP BY 1, 2),
+worded AS (SELECT query_id, chunk_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INTEGER) AS rank FROM bm),
+near AS (SELECT query_id, chunk_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INTEGER) AS rank FROM scored)"""
+KEYWORD_SEARCH = f"""WITH RECURSIVE {chunks_sql(DOCUMENTS)}, scored AS (SELECT 0 AS query_id, '' AS chunk_id, 0 AS score), {KEYWORDS}
+SELECT query_id, rank, chunk_id, score FROM worded WHERE rank <= 4"""
+
+
+def _fused(name: str, k: int, wide: int, least: str = "-1") -> str:
+    return f"""{name} AS (
+  SELECT query_id, chunk_id, round(coalesce(1.0::DOUBLE / ({keywords.RANK_OFFSET} + v.rank), 0) + coalesce(1.0::DOUBLE / ({keywords.RANK_OFFSET} + w.rank), 0), 9) AS score,
+         v.rank AS vector_rank, w.rank AS keyword_rank
+  FROM (SELECT * FROM near WHERE rank <= {wide} AND score >= {least}) v FULL JOIN (SELECT * FROM worded WHERE rank <= {wide}) w USING (query_id, chunk_id)),
+{name}_hits AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INTEGER) AS rank, chunk_id, score, vector_rank, keyword_rank
+  FROM {name} QUALIFY rank <= {k})"""
+
+
 SEARCH_DOCUMENTS = f"""WITH RECURSIVE {SEARCH}
 SELECT query_id, rank, score, source_file, page_number, chunk_index, substr(content, 1, 160) || '...' AS preview
 FROM hits"""
 
+HYBRID_SEARCH = f"""WITH RECURSIVE {SEARCH}, {KEYWORDS}, {_fused('mixed', 4, 40, str(catalogue.MIN_SCORE))}
+SELECT * FROM mixed_hits"""
+
+AT = catalogue.QUALITY_AT
+RETRIEVAL_QUALITY = f"""WITH RECURSIVE {SEARCH}, {KEYWORDS}, {_fused('mixed', AT, catalogue.CANDIDATES)},
+passages AS (SELECT source_file AS query_id, t AS passage FROM ({_collapsed("SELECT item_id AS source_file, text AS raw FROM benchmark")})),
+graded AS (
+  SELECT query_id, source_file, chunk_id, CASE WHEN contains(content, passage) THEN 2 ELSE 1 END AS grade
+  FROM passages JOIN texts ON contains(t, passage) JOIN chunks USING (source_file)),
+ideal AS (
+  SELECT query_id, SUM((2 ** grade - 1) / log2(place + 1)) AS ideal FROM (
+    SELECT query_id, grade, row_number() OVER (PARTITION BY query_id ORDER BY grade DESC) AS place FROM graded QUALIFY place <= {AT}) GROUP BY 1),
+known AS (SELECT query_id, COUNT(DISTINCT source_file) AS known FROM graded GROUP BY 1),
+found AS (
+  SELECT 'vector' AS search, query_id, rank, chunk_id FROM near WHERE rank <= {AT} UNION ALL
+  SELECT 'keyword', query_id, rank, chunk_id FROM worded WHERE rank <= {AT} UNION ALL
+  SELECT 'hybrid', query_id, rank, chunk_id FROM mixed_hits),
+got AS (
+  SELECT search, query_id, COUNT(DISTINCT source_file) AS found, MIN(rank) AS first, SUM((2 ** grade - 1) / log2(rank + 1)) AS dcg
+  FROM found JOIN graded USING (query_id, chunk_id) GROUP BY 1, 2)
+SELECT s.search, query_id, coalesce(found, 0) AS found, known, round(coalesce(found, 0) / least(known, {AT}), 6) AS recall,
+       round(coalesce(1.0::DOUBLE / first, 0), 6) AS reciprocal_rank, round(coalesce(dcg, 0) / ideal, 6) AS ndcg
+FROM (VALUES ('vector'), ('keyword'), ('hybrid')) AS s(search), known JOIN ideal USING (query_id)
+LEFT JOIN got ON got.search = s.search AND got.query_id = known.query_id"""
+
 DISTINCT_PAGES = f"""WITH RECURSIVE {SEARCH},
 firsts AS (
   SELECT query_id, score, chunks.* FROM scored JOIN chunks USING (chunk_id)
@@ -546,7 +605,8 @@ def all_oracles() -> dict[str, str]:
         "source_count": f"WITH RECURSIVE {chunks_sql(DOCUMENTS)}\nSELECT COUNT(*) AS chunks, COUNT(DISTINCT source_file) AS source_files FROM chunks",
         "hash_embed": HASH_EMBED, "cosine_topk": COSINE_TOPK, "cosine_topk_batch": COSINE_BATCH, "label_vote": LABEL_VOTE,
         "similar_pairs": SIMILAR_PAIRS, "score_pairs": SCORE_PAIRS, "labelled_ranking": LABELLED,
-        "distinct_labels": "SELECT DISTINCT label FROM embeddings", "search_documents": SEARCH_DOCUMENTS,
+        "distinct_labels": "SELECT DISTINCT label FROM embeddings", "search_documents": SEARCH_DOCUMENTS, "keyword_search": KEYWORD_SEARCH, "hybrid_search": HYBRID_SEARCH,
+        "retrieval_quality": RETRIEVAL_QUALITY,
         "ann_recall": "SELECT COUNT(DISTINCT label) AS questions, 4 * COUNT(DISTINCT label) AS hits, TRUE AS recall_holds FROM embeddings",
         "search_by_text": SEARCH_BY_TEXT, "generate_answer": ANSWERS, "profile_approx": APPROX, "continuous_sync": SYNCED, "csv_discovery": DISCOVERY, "document_listing": LISTING,
         "onboarded_tables": ONBOARDED, "saved_tables": SAVED, "csv_encoded": ENCODED,
