@@ -21,26 +21,28 @@ BATCH_CHARS = 4_000_000
 
 
 def chunk_pages(pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
-                min_advance: bool = False) -> DataFrame:
+                min_advance: bool = False, with_span: bool = False) -> DataFrame:
     """(chunk_id, source_file, page_number, chunk_index, content) from (source_file,
-    page_number, text). Pages are independent, so there is no shuffle."""
+    page_number, text), and ``start`` and ``stop``, the place of the content in the page's collapsed
+    text, if asked for. Pages are independent, so there is no shuffle."""
     if not 0 <= overlap < size:
         raise ValueError("the overlap must be smaller than the chunk size")
-    names = ["source_file", "page_number", "chunk_index", "content"]
+    names = ["source_file", "page_number", "chunk_index", "content", "start", "stop"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, held = [], 0
 
         def flush() -> pa.RecordBatch:
             columns = zip(*out)
-            types = (pa.string(), pa.int32(), pa.int32(), pa.string())
+            types = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64())
             return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names)
 
         for batch in batches:
             for file, page, text in zip(*(column.to_pylist() for column in batch.columns)):
-                chunks = (text[a:b].strip(" ") for a, b in cut_spans(text or "", size, overlap, min_advance))
-                for index, chunk in enumerate(c for c in chunks if c):
-                    out.append((file, page, index, chunk))
+                raw = ((a, text[a:b]) for a, b in cut_spans(text or "", size, overlap, min_advance))
+                chunks = ((a + len(c) - len(c.lstrip(" ")), c.strip(" ")) for a, c in raw)
+                for index, (start, chunk) in enumerate(c for c in chunks if c[1]):
+                    out.append((file, page, index, chunk, start, start + len(chunk)))
                     held += len(chunk)
                     if held >= BATCH_CHARS:
                         yield flush()
@@ -49,9 +51,9 @@ def chunk_pages(pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_O
             yield flush()
 
     rows = pages.select("source_file", "page_number", collapse_whitespace(F.col("text")).alias("text")).mapInArrow(
-        cut, "source_file STRING, page_number INT, chunk_index INT, content STRING")
+        cut, "source_file STRING, page_number INT, chunk_index INT, content STRING, start BIGINT, stop BIGINT")
     key = chunk_key(F.col("source_file"), F.col("page_number"), F.col("chunk_index"))
-    return rows.select(key.alias("chunk_id"), *names)
+    return rows.select(key.alias("chunk_id"), *(names if with_span else names[:4]))
 
 
 def length_histogram(chunks: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyloom.functions import identifiers, models, text as text_functions
-from tallyloom.operators import chunks, constraints, context, keywords, profile, projection, report, retrieval, tools
+from tallyloom.operators import chunks, constraints, context, keywords, profile, projection, report, rerank, retrieval, tools
 from tallyloom.plans import onboarding, retail
 from tallyloom.session import materialize, shared_dir, spread, stamp
 from tallyloom.sources import catalog, files, pages, writers
@@ -643,6 +643,22 @@ def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.withColumnRenamed("hit_id", "chunk_id")
 
 
+def _candidates(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    hits = keywords.hybrid_hits(chunk_vectors(spark, sf_dir), keyword_index(spark, sf_dir), _asked(spark, sf_dir), k, CANDIDATES)
+    return hits.withColumnRenamed("hit_id", "chunk_id")
+
+
+def reranked_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best of ten times as many candidates, by late interaction."""
+    return rerank.reranked(_candidates(spark, sf_dir, CANDIDATES), chunk_vectors(spark, sf_dir), questions(spark, sf_dir))
+
+
+def expanded_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts around the hits of every question, a chunk to each side."""
+    spans = staged(spark, sf_dir, "chunk-spans", lambda: chunks.chunk_pages(document_pages(spark, sf_dir), with_span=True))
+    return rerank.expanded(_candidates(spark, sf_dir, QUALITY_AT), spans)
+
+
 def retrieval_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How well each search finds the documents that hold a question's passage: their chunks are worth 1, those that hold all of it 2."""
     table, index, asked = chunk_vectors(spark, sf_dir), keyword_index(spark, sf_dir), _asked(spark, sf_dir)
@@ -749,7 +765,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         chunk_length_histogram, source_count, hash_embed, cosine_topk, cosine_topk_batch, label_vote, similar_pairs,
         score_pairs, ann_topk, ann_recall, pca_2d, kmeans_labels, search_documents, distinct_page_hits, context_assembly,
         search_text, prompt_rows, generate_answer, incremental_sync, continuous_sync, distinct_labels, labelled_ranking, search_by_text,
-        keyword_search, hybrid_search, retrieval_quality, csv_discovery, document_listing, onboarded_tables, saved_tables, profile_json, csv_encoded)}
+        keyword_search, hybrid_search, retrieval_quality, reranked_hits, expanded_hits, csv_discovery, document_listing, onboarded_tables, saved_tables, profile_json, csv_encoded)}
     named["chunk_documents"] = document_chunks
     for agg, metric in (("sum", "o_totalprice"), ("avg", "o_totalprice"), ("count", "o_orderkey"),
                         ("min", "o_totalprice"), ("max", "o_totalprice")):

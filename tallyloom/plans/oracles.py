@@ -413,6 +413,8 @@ def _tokens(text: str) -> str:
     return f"regexp_extract_all(lower({text}), '{keywords.WORDS}')"
 
 
+# What the default encoder and scorer take as words.
+WORDS = "[^\\x00-\\x2f\\x3a-\\x40\\x5b-\\x60\\x7b-\\x7f]+"
 KEYWORDS = f"""post AS (SELECT chunk_id, term, any_value(n) AS n, COUNT(*) AS tf FROM (
     SELECT chunk_id, unnest({_tokens('content')}) AS term, len({_tokens('content')}) AS n FROM chunks) GROUP BY 1, 2),
 size AS (SELECT COUNT(*) AS n, AVG(len({_tokens('content')})) AS words FROM chunks),
@@ -466,6 +468,36 @@ SELECT s.search, query_id, coalesce(found, 0) AS found, known, round(coalesce(fo
 FROM (VALUES ('vector'), ('keyword'), ('hybrid')) AS s(search), known JOIN ideal USING (query_id)
 LEFT JOIN got ON got.search = s.search AND got.query_id = known.query_id"""
 
+RERANKED = f"""WITH RECURSIVE {SEARCH}, {KEYWORDS}, {_fused('mixed', catalogue.CANDIDATES, catalogue.CANDIDATES)},
+qw AS (SELECT DISTINCT query_id, unnest(regexp_extract_all(lower(text), '{WORDS}')) AS asked FROM (SELECT item_id AS query_id, text FROM benchmark)),
+cw AS (SELECT DISTINCT chunk_id, unnest(regexp_extract_all(lower(content), '{WORDS}')) AS given FROM chunks WHERE chunk_id IN (SELECT chunk_id FROM mixed_hits)),
+grams AS (SELECT DISTINCT word, unnest(list_transform(range(1, length(word) + 1), lambda i: substr('^' || word || '$', i, 3))) AS gram
+          FROM (SELECT asked AS word FROM qw UNION SELECT given FROM cw)),
+sizes AS (SELECT word, COUNT(*) AS n FROM grams GROUP BY word),
+alike AS (
+  SELECT a.word AS asked, b.word AS given, COUNT(*) / sqrt(any_value(x.n) * any_value(y.n)) AS likeness
+  FROM (SELECT * FROM grams WHERE word IN (SELECT asked FROM qw)) a JOIN (SELECT * FROM grams WHERE word IN (SELECT given FROM cw)) b USING (gram)
+  JOIN sizes x ON x.word = a.word JOIN sizes y ON y.word = b.word GROUP BY 1, 2),
+best AS (
+  SELECT query_id, chunk_id, asked, MAX(likeness) AS likeness
+  FROM mixed_hits JOIN qw USING (query_id) JOIN cw USING (chunk_id) JOIN alike USING (asked, given) GROUP BY 1, 2, 3),
+sums AS (SELECT query_id, chunk_id, SUM(likeness) AS total FROM best GROUP BY 1, 2),
+judged AS (SELECT h.query_id, h.chunk_id, h.rank AS first_rank, round(coalesce(total, 0) / n, {SCORE_DIGITS}) AS score
+  FROM mixed_hits h JOIN (SELECT query_id, COUNT(*) AS n FROM qw GROUP BY 1) USING (query_id) LEFT JOIN sums ON sums.query_id = h.query_id AND sums.chunk_id = h.chunk_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, first_rank) AS INTEGER) AS rank, chunk_id, score, first_rank
+FROM judged QUALIFY rank <= 4"""
+
+EXPANDED = f"""WITH RECURSIVE {SEARCH}, {KEYWORDS}, {_fused('mixed', AT, catalogue.CANDIDATES)},
+placed AS (SELECT source_file, t, a, b, CAST(row_number() OVER (PARTITION BY source_file ORDER BY k) - 1 AS INTEGER) AS i FROM spans WHERE trim(substr(t, a + 1, b - a)) <> ''),
+found AS (SELECT query_id, rank, source_file, chunk_index AS i FROM mixed_hits JOIN chunks USING (chunk_id)),
+edges AS (SELECT *, CASE WHEN i - lag(i) OVER w <= 3 THEN 0 ELSE 1 END AS apart FROM found WINDOW w AS (PARTITION BY query_id, source_file ORDER BY i)),
+islands AS (
+  SELECT query_id, source_file, MIN(rank) AS best, MIN(i) - 1 AS low, MAX(i) + 1 AS high FROM (
+    SELECT *, SUM(apart) OVER (PARTITION BY query_id, source_file ORDER BY i) AS island FROM edges) GROUP BY query_id, source_file, island)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY best) AS INTEGER) AS rank, source_file, 1 AS page_number, MIN(i) AS first_chunk, MAX(i) AS last_chunk,
+       trim(substr(any_value(t), MIN(a) + 1, MAX(b) - MIN(a))) AS content
+FROM islands JOIN placed USING (source_file) WHERE i BETWEEN low AND high GROUP BY query_id, source_file, low, best"""
+
 DISTINCT_PAGES = f"""WITH RECURSIVE {SEARCH},
 firsts AS (
   SELECT query_id, score, chunks.* FROM scored JOIN chunks USING (chunk_id)
@@ -605,7 +637,7 @@ def all_oracles() -> dict[str, str]:
         "source_count": f"WITH RECURSIVE {chunks_sql(DOCUMENTS)}\nSELECT COUNT(*) AS chunks, COUNT(DISTINCT source_file) AS source_files FROM chunks",
         "hash_embed": HASH_EMBED, "cosine_topk": COSINE_TOPK, "cosine_topk_batch": COSINE_BATCH, "label_vote": LABEL_VOTE,
         "similar_pairs": SIMILAR_PAIRS, "score_pairs": SCORE_PAIRS, "labelled_ranking": LABELLED,
-        "distinct_labels": "SELECT DISTINCT label FROM embeddings", "search_documents": SEARCH_DOCUMENTS, "keyword_search": KEYWORD_SEARCH, "hybrid_search": HYBRID_SEARCH,
+        "distinct_labels": "SELECT DISTINCT label FROM embeddings", "search_documents": SEARCH_DOCUMENTS, "keyword_search": KEYWORD_SEARCH, "reranked_hits": RERANKED, "expanded_hits": EXPANDED, "hybrid_search": HYBRID_SEARCH,
         "retrieval_quality": RETRIEVAL_QUALITY,
         "ann_recall": "SELECT COUNT(DISTINCT label) AS questions, 4 * COUNT(DISTINCT label) AS hits, TRUE AS recall_holds FROM embeddings",
         "search_by_text": SEARCH_BY_TEXT, "generate_answer": ANSWERS, "profile_approx": APPROX, "continuous_sync": SYNCED, "csv_discovery": DISCOVERY, "document_listing": LISTING,
