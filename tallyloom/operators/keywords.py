@@ -43,7 +43,7 @@ def _folder(term: str) -> Column:
 
 def write_keyword_index(chunks: DataFrame, path: str, id_column: str = "chunk_id", text: str = "content") -> KeywordIndex:
     """Index the words of chunks. Chunks without words count, and are never found."""
-    found = chunks.select(F.col(id_column).alias("hit_id"), words(F.col(text)).alias("words"))
+    found = chunks.select(F.col(id_column).alias("hit_id"), words(F.coalesce(F.col(text), F.lit(""))).alias("words"))
     rows = found.select("hit_id", F.size("words").alias("length"), F.explode("words").alias("term"))
     postings = rows.groupBy("term", "hit_id", "length").agg(F.count(F.lit(1)).alias("tf")).withColumn("folder", _folder("term"))
     postings.repartition("folder", F.pmod(F.xxhash64("hit_id"), F.lit(FILES))).sortWithinPartitions("folder", "term").write.mode(

@@ -292,8 +292,12 @@ def recall(vectors: DataFrame, queries: DataFrame, width: int, k: int = TOP_K, v
            query_id: str = "query_id", probes: int = PROBES, planes: int = PLANES, seed: int = 0) -> DataFrame:
     """One row (right, hits): how many of the exact k best rows of all queries ``approximate_hits`` finds. Scores in
     the buckets it reads are exact, so it finds those that lie in them."""
-    near = F.udf(lambda q: nearest_buckets(q, probes, planes, seed), "array<int>")
-    read = queries.select(F.col(query_id).alias("query_id"), near(F.col(vector)).alias("read"))
+    sides = [dot(F.col(vector), F.array(*map(F.lit, plane.tolist()))) for plane in _planes(width, planes, seed)]
+    asked = queries.select(F.col(query_id).alias("query_id"), F.array(*sides).alias("sides"))
+    own = lambda i: F.col("sides")[i] >= 0
+    cost = [F.struct(reduce(lambda a, b: a + b, [F.when(own(i) == bool(bucket >> i & 1), 0.0).otherwise(F.pow(F.col("sides")[i], 2)) for i in range(planes)]).alias("cost"),
+                     F.lit(bucket).alias("bucket")) for bucket in range(1 << planes)]
+    read = asked.select("query_id", F.transform(F.slice(F.array_sort(F.array(*cost)), 1, probes), lambda c: c["bucket"]).alias("read"))
     places = with_buckets(vectors, width, vector, planes, seed).select(F.col(id_column).alias("hit_id"), "bucket")
     hits = batch_hits(vectors, queries, k, vector, id_column, query_id).join(places, "hit_id").join(read, "query_id")
     return hits.agg(F.count_if(F.array_contains("read", F.col("bucket"))).alias("right"), F.count(F.lit(1)).alias("hits"))
