@@ -11,8 +11,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-# Pieces whose ids a worker remembers at once, and the longest of them: some 100 MB at most.
-REMEMBERED, REMEMBERED_LENGTH = 500_000, 48
+# Pieces whose ids a worker remembers at once, and the longest of them: some 200 MB at most.
+REMEMBERED, REMEMBERED_LENGTH = 1_000_000, 48
 # Pieces sent to the library in one call.
 ASKED = 20_000
 # The endings that both kinds of files cut off after an apostrophe, beside runs of letters, of other signs, and of digits
