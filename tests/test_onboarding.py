@@ -34,7 +34,7 @@ def test_everything_in_one_go(spark, dataset, tmp_path):
     with pytest.raises(ValueError):
         catalog.table_profile(done["profile"], "nope")
     again = onboard(spark, dataset, skip=("dashboard", "summary", "questions"))
-    assert again["ingest"].where("status <> 'OK'").isEmpty() and catalog.managed_tables(spark, "weather") == ["weather_stations", "readings"]
+    assert again["ingest"].where("status <> 'OK'").isEmpty() and catalog.managed_tables(spark, "weather") == ["readings", "weather_stations"]
 
 
 def test_dry_run_changes_nothing(spark, dataset, tmp_path):
