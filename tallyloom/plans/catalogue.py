@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyloom.functions import identifiers, models, text as text_functions
-from tallyloom.operators import chunks, constraints, context, keywords, profile, projection, report, rerank, retrieval, tools
+from tallyloom.operators import chunks, codes, constraints, context, keywords, profile, projection, report, rerank, retrieval, tools
 from tallyloom.plans import onboarding, retail
 from tallyloom.session import materialize, shared_dir, spread, stamp
 from tallyloom.sources import catalog, files, pages, writers
@@ -56,16 +56,21 @@ def read_all(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFra
     return {t: read(spark, sf_dir, t) for t in names or TABLES}
 
 
-def staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], *partition_by: str) -> DataFrame:
-    """A result that several queries read, written on first use and again once a table has changed."""
+def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> DataFrame:
+    """What ``write`` puts into a folder, on first use and again once a table has changed."""
     key = (spark.sparkContext.applicationId, sf_dir, name, *(stamp(spark, f"{sf_dir}/{t}.parquet") for t in TABLES))
     if key not in _staged:
         path = shared_dir(spark, name)
-        build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        write(path)
         _staged[key] = path
     return spark.read.parquet(_staged[key])
 
 
+def staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], *partition_by: str) -> DataFrame:
+    """A result that several queries read."""
+    return stored(spark, sf_dir, name, lambda path: build().write.mode("overwrite").partitionBy(*partition_by).parquet(path))
+
+
 # Retail ------------------------------------------------------------------------------
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -594,6 +599,14 @@ def ann_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionAll(parts[1]).withColumn("recall_holds", F.col("right") >= 0.9 * F.col("hits"))
 
 
+def coded_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best ten of every fiftieth vector, found by byte codes and read whole only where these leave a doubt."""
+    vectors = read(spark, sf_dir, "embeddings")
+    index = stored(spark, sf_dir, "coded-vectors", lambda path: codes.write_index(vectors, path))
+    asked = vectors.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return codes.coded_hits(index, asked, 10)
+
+
 def pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return projection.project(projection.fit_plane(vectors), vectors).select("vec_id", "x", "y")
@@ -758,7 +771,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         question_columns, example_questions, schema_text, data_dictionary, fk_violations, pk_violations, snapshot_diff,
         clean_names, csv_reload, csv_preview, typed_csv, row_count_reconciliation, page_metadata, page_chunks, spaced_chunks,
         chunk_length_histogram, source_count, hash_embed, cosine_topk, cosine_topk_batch, label_vote, similar_pairs,
-        score_pairs, ann_topk, ann_recall, pca_2d, kmeans_labels, search_documents, distinct_page_hits, context_assembly,
+        score_pairs, ann_topk, ann_recall, coded_search, pca_2d, kmeans_labels, search_documents, distinct_page_hits, context_assembly,
         search_text, prompt_rows, generate_answer, incremental_sync, continuous_sync, distinct_labels, labelled_ranking, search_by_text,
         keyword_search, hybrid_search, retrieval_quality, reranked_hits, expanded_hits, csv_discovery, document_listing, onboarded_tables, saved_tables, profile_json, csv_encoded)}
     named["chunk_documents"] = document_chunks

@@ -603,6 +603,11 @@ SELECT k, "right", hits, "right" >= 0.9 * hits AS recall_holds FROM (
   SELECT k, COUNT(n.bucket) AS "right", COUNT(*) AS hits
   FROM (VALUES (4), (10)) AS x(k) JOIN ranked ON rank <= k JOIN home USING (vec_id) LEFT JOIN nearest n ON n.query_id = ranked.query_id AND n.bucket = home.bucket GROUP BY k)"""
 
+CODED = f"""WITH {VECTORS}
+SELECT q.vec_id AS query_id, a.vec_id AS hit_id, {_score('a.v', 'q.v')} AS score,
+  CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY {_score('a.v', 'q.v')} DESC, a.vec_id) AS INTEGER) AS rank
+FROM vecs q, vecs a WHERE q.vec_id % 50 = 0 QUALIFY rank <= 10"""
+
 
 def _batch(k: int) -> str:
     return f"""{VECTORS}, {FIRSTS},
@@ -662,7 +667,7 @@ def all_oracles() -> dict[str, str]:
         "similar_pairs": SIMILAR_PAIRS, "score_pairs": SCORE_PAIRS, "labelled_ranking": LABELLED,
         "distinct_labels": "SELECT DISTINCT label FROM embeddings", "search_documents": SEARCH_DOCUMENTS, "keyword_search": KEYWORD_SEARCH, "reranked_hits": RERANKED, "expanded_hits": EXPANDED, "hybrid_search": HYBRID_SEARCH,
         "retrieval_quality": RETRIEVAL_QUALITY,
-        "ann_topk": ANN_TOPK, "ann_recall": ANN_RECALL,
+        "ann_topk": ANN_TOPK, "ann_recall": ANN_RECALL, "coded_search": CODED,
         "search_by_text": SEARCH_BY_TEXT, "generate_answer": ANSWERS, "profile_approx": APPROX, "continuous_sync": SYNCED, "csv_discovery": DISCOVERY, "document_listing": LISTING,
         "onboarded_tables": ONBOARDED, "saved_tables": SAVED, "csv_encoded": ENCODED,
         "profile_json": f"WITH {PROFILE}\nSELECT table_name, row_count, column_name, kind, distinct_count FROM profile",
