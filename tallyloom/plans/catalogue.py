@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyloom.functions import identifiers, models, text as text_functions
-from tallyloom.operators import chunks, codes, constraints, context, keywords, profile, projection, report, rerank, retrieval, tools
+from tallyloom.operators import chunks, codes, constraints, context, keywords, profile, projection, report, rerank, retrieval, sketches, tools
 from tallyloom.plans import onboarding, retail
 from tallyloom.session import materialize, shared_dir, spread, stamp
 from tallyloom.sources import catalog, files, pages, writers
@@ -269,6 +269,16 @@ def profile_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.abs(F.col("distinct_count") - F.col("differ")) <= 0.15 * F.col("differ")).alias("distinct_close"), F.coalesce("median_close", F.lit(True)).alias("median_close"))
 
 
+def profile_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the merged profile of a growing table reports exactly: lineitem, arriving in three parts."""
+    rows, key = read(spark, sf_dir, "lineitem"), F.pmod("l_orderkey", F.lit(3))
+    folder, states = shared_dir(spark, "growing"), shared_dir(spark, "states")
+    for part in range(3):
+        rows.where(key == part).write.mode("append").parquet(folder)
+        sketches.update_states(spark, folder, states)
+    return flat(sketches.merged_profile(spark, folder, states)).drop("ordinal", "data_type", "distinct_count", "median")
+
+
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(catalog.table_profile(stored_profile(spark, sf_dir), "orders"))
 
@@ -780,7 +790,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         named[f"top_n_group_by_{agg}"] = _top_n(agg, metric)
     for table in ("lineitem", "orders", "customer", "events", "documents"):
         named[f"profile_{table}"] = _profile(table)
-    named["profile_approx"] = profile_approx
+    named["profile_approx"], named["profile_incremental"] = profile_approx, profile_incremental
     named["sql_top_selling_products"] = _sql_function("top_selling_products()", "revenue")
     named["sql_customer_order_history"] = _sql_function(f"customer_order_history({CUSTOMER})", "order_total")
     named["sql_monthly_revenue"] = _sql_function("monthly_revenue()", "revenue")

@@ -533,6 +533,9 @@ SELECT query_id, question, array_to_string(list_filter(string_split_regex(s, '\\
 APPROX = f"""SELECT column_name, row_count, null_count, min_number, max_number, mean, stddev, min_time, max_time, TRUE AS distinct_close, TRUE AS median_close
 FROM ({profile_sql('lineitem')})"""
 
+MERGED = f"""SELECT column_name, kind, row_count, null_count, min_number, max_number, mean, stddev, min_time, max_time, value_counts
+FROM ({profile_sql('lineitem')})"""
+
 SYNCED = f"""WITH RECURSIVE {chunks_sql(DOCUMENTS)}
 SELECT chunk_id, source_file, chunk_index, CASE WHEN lang = 'en' THEN content || ' (revised)' ELSE content END AS content, 384 AS width
 FROM chunks JOIN documents ON source_file = 'doc_' || doc_id"""
@@ -668,7 +671,7 @@ def all_oracles() -> dict[str, str]:
         "distinct_labels": "SELECT DISTINCT label FROM embeddings", "search_documents": SEARCH_DOCUMENTS, "keyword_search": KEYWORD_SEARCH, "reranked_hits": RERANKED, "expanded_hits": EXPANDED, "hybrid_search": HYBRID_SEARCH,
         "retrieval_quality": RETRIEVAL_QUALITY,
         "ann_topk": ANN_TOPK, "ann_recall": ANN_RECALL, "coded_search": CODED,
-        "search_by_text": SEARCH_BY_TEXT, "generate_answer": ANSWERS, "profile_approx": APPROX, "continuous_sync": SYNCED, "csv_discovery": DISCOVERY, "document_listing": LISTING,
+        "search_by_text": SEARCH_BY_TEXT, "generate_answer": ANSWERS, "profile_approx": APPROX, "profile_incremental": MERGED, "continuous_sync": SYNCED, "csv_discovery": DISCOVERY, "document_listing": LISTING,
         "onboarded_tables": ONBOARDED, "saved_tables": SAVED, "csv_encoded": ENCODED,
         "profile_json": f"WITH {PROFILE}\nSELECT table_name, row_count, column_name, kind, distinct_count FROM profile",
         "distinct_page_hits": DISTINCT_PAGES, "context_assembly": CONTEXT, "search_text": SEARCH_TEXT,
