@@ -17,7 +17,7 @@ from tallyloom.functions import identifiers, models, text as text_functions
 from tallyloom.operators import chunks, codes, constraints, context, keywords, profile, projection, report, rerank, retrieval, sketches, tools
 from tallyloom.plans import onboarding, retail
 from tallyloom.session import materialize, shared_dir, spread, stamp
-from tallyloom.sources import catalog, files, pages, writers
+from tallyloom.sources import catalog, files, paged_text, pages, writers
 from tallyloom.streaming import sync
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -44,6 +44,7 @@ MIN_SCORE = 0.4
 CLUSTERS = 5
 EXAMPLES = 40
 QUALITY_AT, CANDIDATES = 10, 40
+PAGE_RANGE = 1 << 20
 
 _staged: dict[tuple, str] = {}
 
@@ -451,6 +452,18 @@ def document_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.list_documents(spark, _exported_files(spark, sf_dir, ONBOARDED), ".csv").select(F.col("source_file").alias("file"), F.length("content") > 0).toDF("file", "has_content")
 
 
+def paged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written to files as pages, several to a file, and read back in ranges of bytes: how often each text is a page,
+    and whether the pages of each file are numbered without gaps."""
+    folder = shared_dir(spark, "paged")
+    spread(read(spark, sf_dir, "documents").select(F.coalesce("text", F.lit("")).alias("text"))).write.option("lineSep", "\f").text(folder)
+    found = materialize(paged_text.read_pages(spark, folder, range_bytes=PAGE_RANGE).select(
+        "source_file", "page_number", F.md5("text").alias("text_md5")), "pages")
+    files = found.groupBy("source_file").agg((F.count(F.lit(1)) - F.countDistinct("page_number") + F.max("page_number") - F.count(F.lit(1))).alias("gaps"))
+    gaps = files.agg(F.sum("gaps").alias("gaps"))
+    return found.groupBy("text_md5").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(gaps))
+
+
 def onboarded_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The folder taken through all steps of onboarding: loaded and source rows per table, columns and
     key as profiled, and the files left out."""
@@ -783,7 +796,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         chunk_length_histogram, source_count, hash_embed, cosine_topk, cosine_topk_batch, label_vote, similar_pairs,
         score_pairs, ann_topk, ann_recall, coded_search, pca_2d, kmeans_labels, search_documents, distinct_page_hits, context_assembly,
         search_text, prompt_rows, generate_answer, incremental_sync, continuous_sync, distinct_labels, labelled_ranking, search_by_text,
-        keyword_search, hybrid_search, retrieval_quality, reranked_hits, expanded_hits, csv_discovery, document_listing, onboarded_tables, saved_tables, profile_json, csv_encoded)}
+        keyword_search, hybrid_search, retrieval_quality, reranked_hits, expanded_hits, csv_discovery, document_listing, paged_documents, onboarded_tables, saved_tables, profile_json, csv_encoded)}
     named["chunk_documents"] = document_chunks
     for agg, metric in (("sum", "o_totalprice"), ("avg", "o_totalprice"), ("count", "o_orderkey"),
                         ("min", "o_totalprice"), ("max", "o_totalprice")):

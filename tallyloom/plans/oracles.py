@@ -309,6 +309,8 @@ DISCOVERY = """SELECT * FROM (VALUES ('Customer List.csv', FALSE, '# MB is over
 
 LISTING = "SELECT * FROM (VALUES " + ", ".join(f"('{name}', TRUE)" for name in catalogue.ONBOARDED) + ") AS v(file, has_content)"
 
+PAGED = """SELECT md5(COALESCE(text, '')) AS text_md5, COUNT(*) AS n, CAST(0 AS BIGINT) AS gaps FROM documents GROUP BY 1"""
+
 ONBOARDED = """SELECT 'customer_list' AS table_name, COUNT(*) AS loaded_rows, COUNT(*) AS source_rows, 'OK' AS status, 5 AS column_count, 'c_custkey' AS inferred_primary_key FROM customer
 UNION ALL SELECT 'nation', COUNT(*), COUNT(*), 'OK', 3, 'n_nationkey' FROM nation
 UNION ALL SELECT 'logo_region.csv', NULL, NULL, 'SKIPPED', NULL, NULL"""
@@ -671,7 +673,7 @@ def all_oracles() -> dict[str, str]:
         "distinct_labels": "SELECT DISTINCT label FROM embeddings", "search_documents": SEARCH_DOCUMENTS, "keyword_search": KEYWORD_SEARCH, "reranked_hits": RERANKED, "expanded_hits": EXPANDED, "hybrid_search": HYBRID_SEARCH,
         "retrieval_quality": RETRIEVAL_QUALITY,
         "ann_topk": ANN_TOPK, "ann_recall": ANN_RECALL, "coded_search": CODED,
-        "search_by_text": SEARCH_BY_TEXT, "generate_answer": ANSWERS, "profile_approx": APPROX, "profile_incremental": MERGED, "continuous_sync": SYNCED, "csv_discovery": DISCOVERY, "document_listing": LISTING,
+        "search_by_text": SEARCH_BY_TEXT, "generate_answer": ANSWERS, "profile_approx": APPROX, "profile_incremental": MERGED, "continuous_sync": SYNCED, "csv_discovery": DISCOVERY, "document_listing": LISTING, "paged_documents": PAGED,
         "onboarded_tables": ONBOARDED, "saved_tables": SAVED, "csv_encoded": ENCODED,
         "profile_json": f"WITH {PROFILE}\nSELECT table_name, row_count, column_name, kind, distinct_count FROM profile",
         "distinct_page_hits": DISTINCT_PAGES, "context_assembly": CONTEXT, "search_text": SEARCH_TEXT,
