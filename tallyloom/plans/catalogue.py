@@ -454,14 +454,15 @@ def document_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def paged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written to files as pages, several to a file, and read back in ranges of bytes: how often each text is a page,
-    and whether the pages of each file are numbered without gaps."""
+    and in a last row how many numbers are missing or given twice."""
     folder = shared_dir(spark, "paged")
     spread(read(spark, sf_dir, "documents").select(F.coalesce("text", F.lit("")).alias("text"))).write.option("lineSep", "\f").text(folder)
     found = materialize(paged_text.read_pages(spark, folder, range_bytes=PAGE_RANGE).select(
         "source_file", "page_number", F.md5("text").alias("text_md5")), "pages")
-    files = found.groupBy("source_file").agg((F.count(F.lit(1)) - F.countDistinct("page_number") + F.max("page_number") - F.count(F.lit(1))).alias("gaps"))
-    gaps = files.agg(F.sum("gaps").alias("gaps"))
-    return found.groupBy("text_md5").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(gaps))
+    files = found.groupBy("source_file").agg(
+        (F.count(F.lit(1)) - F.countDistinct("page_number") + F.max("page_number") - F.countDistinct("page_number")).alias("gaps"))
+    gaps = files.agg(F.lit("gaps").alias("text_md5"), F.coalesce(F.sum("gaps"), F.lit(0)).alias("n"))
+    return found.groupBy("text_md5").agg(F.count(F.lit(1)).alias("n")).unionAll(gaps)
 
 
 def onboarded_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

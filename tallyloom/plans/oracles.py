@@ -309,7 +309,7 @@ DISCOVERY = """SELECT * FROM (VALUES ('Customer List.csv', FALSE, '# MB is over
 
 LISTING = "SELECT * FROM (VALUES " + ", ".join(f"('{name}', TRUE)" for name in catalogue.ONBOARDED) + ") AS v(file, has_content)"
 
-PAGED = """SELECT md5(COALESCE(text, '')) AS text_md5, COUNT(*) AS n, CAST(0 AS BIGINT) AS gaps FROM documents GROUP BY 1"""
+PAGED = """SELECT md5(COALESCE(text, '')) AS text_md5, COUNT(*) AS n FROM documents GROUP BY 1 UNION ALL SELECT 'gaps', 0"""
 
 ONBOARDED = """SELECT 'customer_list' AS table_name, COUNT(*) AS loaded_rows, COUNT(*) AS source_rows, 'OK' AS status, 5 AS column_count, 'c_custkey' AS inferred_primary_key FROM customer
 UNION ALL SELECT 'nation', COUNT(*), COUNT(*), 'OK', 3, 'n_nationkey' FROM nation
