@@ -70,6 +70,28 @@ def clear_shared(spark: SparkSession) -> int:
     return len(paths)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names of the files and folders in a folder, sorted; none if there is no such folder."""
+    system, known = _files(spark, path)
+    return sorted(entry.getPath().getName() for entry in system.listStatus(known)) if system.exists(known) else []
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that readers see all of it or none: under another name first."""
+    system, known = _files(spark, path)
+    _, draft = _files(spark, f"{os.path.dirname(path)}/.{uuid.uuid4().hex}")
+    out = system.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not system.rename(draft, known):
+        raise OSError(f"{path} could not be written")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, known = _files(spark, path)
+    system.delete(known, True)
+
+
 def stamp(spark: SparkSession, path: str) -> tuple[int, int, int]:
     """Bytes, files and time of change of a path: differs once the data has changed."""
     system, known = _files(spark, path)
