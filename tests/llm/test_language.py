@@ -1,3 +1,8 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
 from cases import DOCS, ODD, documents
 from pyspark.sql import functions as F
 from tallyloom.llm import language
@@ -44,5 +49,82 @@ def test_odd_rows_and_clashing_names(spark):
 
 def test_null_id_is_held_out(spark):
     got = spark.createDataFrame([(None,), (0,), (1,), (2,)], "id long").select(language.held_out(F.col("id"))).collect()
-    import zlib
     assert [r[0] for r in got] == [True] + [zlib.crc32(str(i).encode()) % 5 == 0 for i in range(3)]
+
+
+def plain_grams(text):
+    """Counts of the n-grams of one text: letters are a-z and the bytes of other characters, all else is a gap."""
+    data = [32, *(b if 97 <= b <= 122 or b >= 128 else 32 for b in text.lower().encode()), 32]
+    found = Counter()
+    for i in range(1, len(data) - 1):
+        if data[i] != 32:
+            found[bytes(data[i - 1:i + 2])] += 1
+            if data[i + 1] != 32:
+                found[bytes(data[i:i + 2])] += 1
+    buckets = Counter()
+    for gram, n in found.items():
+        buckets[(int.from_bytes(gram, "big") + len(gram)) * 0x9E3779B1 % 2**32 >> 19] += n
+    return buckets
+
+
+def plain_vector(text, idf):
+    v = {b: math.log1p(n) * idf[b] for b, n in plain_grams(text).items()}
+    norm = math.sqrt(sum(x * x for x in v.values()))
+    return {b: x / norm for b, x in v.items()}
+
+
+def plain_cosine(a, b):
+    return sum(x * b.get(k, 0.0) for k, x in a.items())
+
+
+def plain_sum(vectors):
+    total = Counter()
+    for v in vectors:
+        total.update(v)
+    return total
+
+
+def plain_centroids(x, k):
+    """Spherical k-means from the row most like all, then each time the row least like those chosen."""
+    chosen = [max(x, key=lambda v, mean=plain_sum(x): plain_cosine(v, mean))]
+    while len(chosen) < min(k, len(x)):
+        chosen.append(min(x, key=lambda v: max(plain_cosine(v, c) for c in chosen)))
+    for _ in range(12):
+        groups = [[] for _ in chosen]
+        for v in x:
+            groups[max(range(len(chosen)), key=lambda j: plain_cosine(v, chosen[j]))].append(v)
+        for j, group in enumerate(groups):
+            total = plain_sum(group) if group else chosen[j]
+            norm = math.sqrt(sum(n * n for n in total.values()))
+            chosen[j] = {b: n / norm for b, n in total.items()}
+    near = [[] for _ in chosen]
+    for v in x:
+        own = max(range(len(chosen)), key=lambda j: plain_cosine(v, chosen[j]))
+        near[own].append(plain_cosine(v, chosen[own]))
+    return [(c, float(np.quantile(n, 0.01)) if n else 0.0) for c, n in zip(chosen, near)]
+
+
+def test_query_against_a_plain_version(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    apart = {d.doc_id: zlib.crc32(str(d.doc_id).encode()) % 5 == 0 for d in docs}
+    known = [d for d in docs if not apart[d.doc_id] and d.text is not None and d.lang is not None]
+    seen = Counter(b for d in known for b in plain_grams(d.text))
+    idf = [math.log((1 + len(known)) / (1 + seen[b])) + 1 for b in range(language.BUCKETS)]
+    learnt = {}
+    for d in known:
+        if plain_grams(d.text):
+            learnt.setdefault(d.lang, []).append(plain_vector(d.text, idf))
+    centroids = [(lang, c, floor) for lang, x in sorted(learnt.items()) for c, floor in plain_centroids(x, 3)]
+    got = {r.doc_id: r for r in language.identify(spark.read.parquet(f"{folder}/documents.parquet")).select("row.doc_id", "lang_pred", "score", "rejected", "held_out").collect()}
+    assert len(got) == len(docs)
+    for d in docs:
+        row, v = got[d.doc_id], plain_vector(d.text or "", idf) if plain_grams(d.text or "") else {}
+        assert row.held_out == apart[d.doc_id]
+        if not any(ch.isalpha() for ch in d.text or ""):
+            assert (row.lang_pred, row.score, row.rejected) == ("und", 0.0, True)
+            continue
+        score, lang, floor = max(((plain_cosine(v, c), lang, floor) for lang, c, floor in centroids), key=lambda s: s[0])
+        assert abs(row.score - score) < 1e-3 and row.lang_pred == lang
+        limit = 0.25 * floor
+        assert abs(score - limit) < 1e-3 or row.rejected == (score < limit and sum(plain_grams(d.text).values()) >= 60)
