@@ -17,19 +17,26 @@ BITS, LENGTHS = 13, (2, 3)
 BUCKETS = 1 << BITS
 # Texts turned into vectors at once.
 ROWS = 128
+# Of the labelled rows sampled, one in so many is kept from the centroids to see how far clean text lies from them.
+APART = 4
+# A class of length speaks for itself with this many of them.
+ENOUGH = 8
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(97, 123), *range(128, 256)]] = True
 
 
+# What fitting a language returns: a row for each centroid; class and cosine of the rows kept apart are in the first one.
+FITTED = {"lang": pa.string(), "centroid": pa.list_(pa.float32()), "kinds": pa.list_(pa.int32()), "near": pa.list_(pa.float64())}
+
+
 @dataclass
 class Model:
-    """``idf`` (one number a bucket); a row of ``centroids`` (unit length), its language and the least cosine it
-    accepts from a text with enough n-grams. Its size follows from the buckets, the clusters and the
-    number of languages."""
+    """``idf`` (one number a bucket); a row of ``centroids`` (unit length) and its language; and by class of length the cosine that
+    99% of clean text exceeds. Its size follows from the buckets, the clusters and the number of languages."""
     idf: np.ndarray
     centroids: np.ndarray
     langs: list[str]
-    floors: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    floors: np.ndarray = field(default_factory=lambda: np.zeros(BITS + 2))
 
 
 def counts(texts: list[str]) -> np.ndarray:
@@ -58,6 +65,22 @@ def vectors(found: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / np.where(norm > 0, norm, 1)
 
 
+def length_class(found: np.ndarray) -> np.ndarray:
+    """Rows of counts by their number of different n-grams: 0, 1, 2 to 3, 4 to 7 and so on. Repeating a text leaves its class."""
+    return np.frexp((found > 0).sum(axis=1))[1]
+
+
+def floors_of(kinds: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """By class of length, the cosine that 99% of clean texts of that class exceed. A class with few of them takes those
+    of shorter classes too, whose cosines are lower; 0 while that is few as well."""
+    out = np.zeros(BITS + 2)
+    for k in range(len(out)):
+        own = near[kinds == k]
+        some = own if len(own) >= ENOUGH else near[kinds <= k]
+        out[k] = np.quantile(some, 0.01) if len(some) >= ENOUGH else 0.0
+    return out
+
+
 def clustered(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
     """Spherical k-means from the rows farthest apart: unit centroids and each row's centroid."""
     centre = x.mean(axis=0)
@@ -91,10 +114,10 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, BUCKETS)), pa.array(np.concatenate([[n], df]))], names=["bucket", "n"])
 
 
-def train(rows: DataFrame, per_lang: int = 400, clusters: int = 3) -> Model:
-    """Fit on ``rows`` (id, text, lang). Document frequencies come from all of them; the centroids of a language from
-    about ``per_lang`` of its rows, chosen by a hash of the id, in one task per language. The driver gets one
-    number a bucket and ``clusters`` centroids a language.
+def train(rows: DataFrame, per_lang: int = 600, clusters: int = 3) -> Model:
+    """Fit on ``rows`` (id, text, lang). Document frequencies come from all of them. Of a language, about ``per_lang`` rows and a third
+    as many are sampled by a hash of the id and fitted in one task: those make the centroids, these, which the centroids have
+    not seen, the floors. The driver gets one number a bucket, ``clusters`` centroids a language and one cosine a row kept apart.
 
     Rows without text or language teach nothing; without any rows the model has no centroid."""
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
@@ -103,32 +126,40 @@ def train(rows: DataFrame, per_lang: int = 400, clusters: int = 3) -> Model:
     for bucket, n in totals.collect():
         df[bucket + 1] = n
     idf = np.log((1 + df[0]) / (1 + df[1:])) + 1
-    shares = {r.lang: min(1.0, per_lang / r.n) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    shares = {r.lang: min(1.0, per_lang * APART / (APART - 1) / r.n) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not shares:
         return Model(idf, np.zeros((0, BUCKETS), np.float32), [])
     share = F.element_at(F.create_map(*(F.lit(x) for pair in shares.items() for x in pair)), F.col("lang"))
-    sample = rows.where(F.pmod(F.xxhash64(F.col("id")), F.lit(1_000_000)) < share * 1_000_000)
+    drawn = F.pmod(F.xxhash64(F.col("id")), F.lit(1_000_000))
+    sample = rows.where(drawn < share * 1_000_000).withColumn("apart", drawn % APART == 0)
 
     def fit(table: pa.Table) -> pa.Table:
-        texts = [t.as_py() for t in table.column("text")]
-        x = np.concatenate([vectors(counts(texts[i:i + ROWS]), idf).astype(np.float32) for i in range(0, len(texts), ROWS)])
-        x = x[x.any(axis=1)]
-        c, own = clustered(x, clusters) if len(x) else (np.zeros((0, BUCKETS), np.float32), np.zeros(0, int))
-        near = (x * c[own]).sum(axis=1) if len(x) else np.zeros(0)
-        floor = [float(np.quantile(near[own == j], 0.01)) if (own == j).any() else 0.0 for j in range(len(c))]
-        return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * len(c), pa.string()), "centroid": pa.array(c.astype(np.float32).tolist(), pa.list_(pa.float32())),
-                         "floor": pa.array(floor, pa.float64())})
-
-    found = sample.select("text", "lang").groupBy("lang").applyInArrow(fit, "lang string, centroid array<float>, floor double").collect()
+        texts, apart = [t.as_py() for t in table.column("text")], np.array(table.column("apart").to_pylist(), bool)
+        found = [(vectors(c, idf).astype(np.float32), length_class(c)) for c in (counts(texts[i:i + ROWS]) for i in range(0, len(texts), ROWS))]
+        x, kinds = np.concatenate([v for v, _ in found]), np.concatenate([k for _, k in found])
+        some = x.any(axis=1)
+        x, kinds, apart = x[some], kinds[some], apart[some]
+        if apart.all():
+            apart = ~apart  # too few rows to keep any apart
+        if not len(x):
+            return pa.table({name: pa.array([], kind) for name, kind in FITTED.items()})
+        c, _ = clustered(x[~apart], clusters)
+        near = (x[apart] @ c.T).max(axis=1)
+        none = [[]] * (len(c) - 1)
+        return pa.table([pa.array([table.column("lang")[0].as_py()] * len(c), pa.string()), pa.array(c.astype(np.float32).tolist(), pa.list_(pa.float32())),
+                         pa.array([kinds[apart].tolist(), *none], pa.list_(pa.int32())), pa.array([near.astype(float).tolist(), *none], pa.list_(pa.float64()))], names=list(FITTED))
+
+    found = sample.select("text", "lang", "apart").groupBy("lang").applyInArrow(fit, "lang string, centroid array<float>, kinds array<int>, near array<double>").collect()
     found = sorted(found, key=lambda r: (r.lang, r.centroid))
-    return Model(idf, np.array([r.centroid for r in found], np.float32).reshape(len(found), BUCKETS), [r.lang for r in found], np.array([r.floor for r in found]))
+    kinds, near = (np.array([n for r in found for n in r[name]]) for name in ("kinds", "near"))
+    return Model(idf, np.array([r.centroid for r in found], np.float32).reshape(len(found), BUCKETS), [r.lang for r in found], floors_of(kinds, near))
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", tolerance: float = 0.25, least: int = 60) -> DataFrame:
+def predict(docs: DataFrame, model: Model, text_col: str = "text", tolerance: float = 0.4, least: int = 60) -> DataFrame:
     """``row`` (all columns given, as a struct), ``lang_pred``, ``score`` (cosine with the nearest centroid, 0 to 1)
     and ``rejected``: whether the text is too far from it. Too far means a cosine under ``tolerance`` times
-    the floor of the centroid, which 99% of its own sample exceed; so a text must be far outside what
-    was learnt, as one in another script is. Texts of fewer than ``least`` n-grams say too little to be rejected.
+    the floor of its class of length, which 99% of the clean texts kept apart exceed; so a text must be far outside what
+    was learnt, as one in another script, random letters or base64 are. Texts of fewer than ``least`` n-grams say too little to be rejected.
 
     ``und`` with score 0, and rejected, where the text is null or has no letter, or nothing was learnt. Texts are
     read whole. Repeated rows get equal answers; an empty table gives no rows; names cannot clash."""
@@ -143,7 +174,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", tolerance: fl
                     cosines = vectors(found, idf).astype(np.float32) @ centroids.T
                     best = np.argmax(cosines, axis=1)
                     score = np.clip(cosines[np.arange(len(texts)), best].astype(float), 0, 1)
-                    langs, far = [names[j] for j in best], (score < tolerance * floors[best]) & (found.sum(axis=1) >= least)
+                    langs, far = [names[j] for j in best], (score < tolerance * floors[length_class(found)]) & (found.sum(axis=1) >= least)
                 else:
                     langs, score, far = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(langs, pa.string()), pa.array(score), pa.array(far)],

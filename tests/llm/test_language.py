@@ -97,34 +97,59 @@ def plain_centroids(x, k):
             total = plain_sum(group) if group else chosen[j]
             norm = math.sqrt(sum(n * n for n in total.values()))
             chosen[j] = {b: n / norm for b, n in total.items()}
-    near = [[] for _ in chosen]
-    for v in x:
-        own = max(range(len(chosen)), key=lambda j: plain_cosine(v, chosen[j]))
-        near[own].append(plain_cosine(v, chosen[own]))
-    return [(c, float(np.quantile(n, 0.01)) if n else 0.0) for c, n in zip(chosen, near)]
+    return chosen
 
 
 def test_query_against_a_plain_version(spark):
     folder = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
-    apart = {d.doc_id: zlib.crc32(str(d.doc_id).encode()) % 5 == 0 for d in docs}
-    known = [d for d in docs if not apart[d.doc_id] and d.text is not None and d.lang is not None]
+    frame = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = frame.withColumn("kept_apart", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) % 4 == 0).collect()
+    held_out = {d.doc_id: zlib.crc32(str(d.doc_id).encode()) % 5 == 0 for d in docs}
+    known = [d for d in docs if not held_out[d.doc_id] and d.text is not None and d.lang is not None]
     seen = Counter(b for d in known for b in plain_grams(d.text))
     idf = [math.log((1 + len(known)) / (1 + seen[b])) + 1 for b in range(language.BUCKETS)]
-    learnt = {}
+    learnt, apart = {}, {}
     for d in known:
         if plain_grams(d.text):
-            learnt.setdefault(d.lang, []).append(plain_vector(d.text, idf))
-    centroids = [(lang, c, floor) for lang, x in sorted(learnt.items()) for c, floor in plain_centroids(x, 3)]
-    got = {r.doc_id: r for r in language.identify(spark.read.parquet(f"{folder}/documents.parquet")).select("row.doc_id", "lang_pred", "score", "rejected", "held_out").collect()}
-    assert len(got) == len(docs)
+            (apart if d.kept_apart else learnt).setdefault(d.lang, []).append(d.text)
+    centroids = [(lang, c) for lang, x in sorted(learnt.items()) for c in plain_centroids([plain_vector(t, idf) for t in x], 3)]
+    clean = [(len(plain_grams(t)).bit_length(), max(plain_cosine(plain_vector(t, idf), c) for other, c in centroids if other == lang)) for lang, x in apart.items() for t in x]
+
+    def floor(kind):
+        own = [n for k, n in clean if k == kind]
+        own = own if len(own) >= 8 else [n for k, n in clean if k <= kind]
+        return np.quantile(own, 0.01) if len(own) >= 8 else 0.0
+
+    got = {r.doc_id: r for r in language.identify(frame).select("row.doc_id", "lang_pred", "score", "rejected", "held_out").collect()}
+    assert len(got) == len(docs) and len(centroids) == 12 and len(clean) > 20
     for d in docs:
-        row, v = got[d.doc_id], plain_vector(d.text or "", idf) if plain_grams(d.text or "") else {}
-        assert row.held_out == apart[d.doc_id]
+        row, grams = got[d.doc_id], plain_grams(d.text or "")
+        assert row.held_out == held_out[d.doc_id]
         if not any(ch.isalpha() for ch in d.text or ""):
             assert (row.lang_pred, row.score, row.rejected) == ("und", 0.0, True)
             continue
-        score, lang, floor = max(((plain_cosine(v, c), lang, floor) for lang, c, floor in centroids), key=lambda s: s[0])
+        score, lang = max((plain_cosine(plain_vector(d.text, idf) if grams else {}, c), lang) for lang, c in centroids)
         assert abs(row.score - score) < 1e-3 and row.lang_pred == lang
-        limit = 0.25 * floor
-        assert abs(score - limit) < 1e-3 or row.rejected == (score < limit and sum(plain_grams(d.text).values()) >= 60)
+        limit = 0.4 * floor(len(grams).bit_length())
+        assert abs(score - limit) < 1e-3 or row.rejected == (score < limit and sum(grams.values()) >= 60)
+
+
+def test_junk_is_rejected_and_clean_text_kept(spark):
+    import base64
+    import random
+
+    pick = random.Random(3)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = language.train(docs.where(~language.held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id"), "text", "lang"))
+    letters = lambda n: " ".join("".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=pick.randint(2, 9))) for _ in range(n))
+    junk = [letters(n) for n in (30, 300, 1000, 5000) for _ in range(10)] + [base64.b64encode(pick.randbytes(n)).decode() for n in (200, 2000, 20000) for _ in range(10)]
+    got = language.predict(documents(spark, list(enumerate(junk))), model)
+    assert got.count() == got.where("rejected").count() == len(junk)
+    clean = language.predict(docs.where("lang is not null and text rlike '[a-z]'"), model)
+    assert clean.where("rejected").count() <= 0.001 * clean.count()
+
+
+def test_few_rows_teach_their_language_too(spark):
+    few = spark.createDataFrame([(i, "the cat sat on the mat", "en") for i in range(1)] + [(i, "der Hund lag auf dem Tisch", "de") for i in (7, 8)], "id long, text string, lang string")
+    model = language.train(few)
+    assert set(model.langs) == {"de", "en"} and not model.floors.any()
