@@ -72,13 +72,15 @@ def length_class(found: np.ndarray) -> np.ndarray:
 
 def floors_of(kinds: np.ndarray, near: np.ndarray) -> np.ndarray:
     """By class of length, the cosine that 99% of clean texts of that class exceed. A class with few of them takes those
-    of shorter classes too, whose cosines are lower; 0 while that is few as well."""
+    of shorter classes too, whose cosines are lower. Where these are few as well, half the cosine of the first class that has
+    enough; 0 if none has."""
     out = np.zeros(BITS + 2)
     for k in range(len(out)):
         own = near[kinds == k]
         some = own if len(own) >= ENOUGH else near[kinds <= k]
-        out[k] = np.quantile(some, 0.01) if len(some) >= ENOUGH else 0.0
-    return out
+        out[k] = np.quantile(some, 0.01) if len(some) >= ENOUGH else -1.0
+    known = out[out >= 0]
+    return np.where(out >= 0, out, known[0] / 2 if len(known) else 0.0)
 
 
 def clustered(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
@@ -155,7 +157,7 @@ def train(rows: DataFrame, per_lang: int = 600, clusters: int = 3) -> Model:
     return Model(idf, np.array([r.centroid for r in found], np.float32).reshape(len(found), BUCKETS), [r.lang for r in found], floors_of(kinds, near))
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", tolerance: float = 0.4, least: int = 60) -> DataFrame:
+def predict(docs: DataFrame, model: Model, text_col: str = "text", tolerance: float = 0.4, least: int = 120) -> DataFrame:
     """``row`` (all columns given, as a struct), ``lang_pred``, ``score`` (cosine with the nearest centroid, 0 to 1)
     and ``rejected``: whether the text is too far from it. Too far means a cosine under ``tolerance`` times
     the floor of its class of length, which 99% of the clean texts kept apart exceed; so a text must be far outside what

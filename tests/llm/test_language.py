@@ -115,10 +115,12 @@ def test_query_against_a_plain_version(spark):
     centroids = [(lang, c) for lang, x in sorted(learnt.items()) for c in plain_centroids([plain_vector(t, idf) for t in x], 3)]
     clean = [(len(plain_grams(t)).bit_length(), max(plain_cosine(plain_vector(t, idf), c) for other, c in centroids if other == lang)) for lang, x in apart.items() for t in x]
 
+    shortest = min(k for k in range(20) if sum(other <= k for other, _ in clean) >= 8)
+
     def floor(kind):
         own = [n for k, n in clean if k == kind]
         own = own if len(own) >= 8 else [n for k, n in clean if k <= kind]
-        return np.quantile(own, 0.01) if len(own) >= 8 else 0.0
+        return np.quantile(own, 0.01) if len(own) >= 8 else floor(shortest) / 2
 
     got = {r.doc_id: r for r in language.identify(frame).select("row.doc_id", "lang_pred", "score", "rejected", "held_out").collect()}
     assert len(got) == len(docs) and len(centroids) == 12 and len(clean) > 20
@@ -131,7 +133,7 @@ def test_query_against_a_plain_version(spark):
         score, lang = max((plain_cosine(plain_vector(d.text, idf) if grams else {}, c), lang) for lang, c in centroids)
         assert abs(row.score - score) < 1e-3 and row.lang_pred == lang
         limit = 0.4 * floor(len(grams).bit_length())
-        assert abs(score - limit) < 1e-3 or row.rejected == (score < limit and sum(grams.values()) >= 60)
+        assert abs(score - limit) < 1e-3 or row.rejected == (score < limit and sum(grams.values()) >= 120)
 
 
 def test_junk_is_rejected_and_clean_text_kept(spark):
