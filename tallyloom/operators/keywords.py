@@ -1,26 +1,39 @@
 """Search by words: an inverted index stored by term, BM25, and rankings fused with those of vectors.
 
-The index is three tables under one path: postings (term, hit_id, length, tf), terms (term, df) and totals, the first two in
-folders by a hash of the term and sorted by it, so that a question reads the folders and row groups of its own words. Scores are summed per question
-and chunk, so the postings of a frequent word never meet in one task.
+Chunks are dealt by their id to shards of bounded size, and have a number there that counts upwards with the id. A posting row holds
+all that a shard knows of a term: the numbers of its chunks and how often each has it. The index is four tables: postings (term, shard, places,
+tfs), terms (term, df), shards (shard, hit_ids, lengths, rows) and totals, the first two in folders by a hash of the term and sorted by it, so that
+a question reads the folders and row groups of its own words.
+
+All scores of a chunk are made in its shard, so a search moves the postings of the words asked for once, however many questions share them,
+and each shard gives its best few chunks for a question. A frequent word is spread over all shards.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyloom.functions.text import collapse_whitespace
 from tallyloom.operators.joins import sent_if_few
 from tallyloom.operators.retrieval import TOP_K, batch_hits
+from tallyloom.session import materialize
 
 # The usual parameters of BM25, and the offset of reciprocal rank fusion.
 SATURATION, LENGTH_WEIGHT, RANK_OFFSET = 1.2, 0.75, 60
 WORDS = r"[\p{L}\p{N}]+"
 # Folders of an index; files that the rows of one folder are dealt to; words up to which a search names them to the scan.
 FOLDERS, FILES, NAMED = 64, 8, 2000
+# Chunks of a shard, about; pairs of a question and a word that are sent to the shards at a time.
+SHARD_CHUNKS, SENT_WORDS = 20_000, 500_000
+# The folder of the rows that say which chunks a shard has.
+SHARDS = -1
 # Candidates of each ranking that are fused or reranked, for each hit asked for.
 CANDIDATES = 10
 SCORE_DIGITS = 9
@@ -31,6 +44,7 @@ class KeywordIndex:
     postings: DataFrame
     terms: DataFrame
     totals: DataFrame
+    shards: DataFrame
 
 
 def words(text: Column) -> Column:
@@ -41,22 +55,59 @@ def _folder(term: str) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(FOLDERS)).cast("int")
 
 
+def _new(values: pa.Array) -> np.ndarray:
+    """Where a sorted column has another value than in the row before; nulls are equal."""
+    codes = values.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+    return np.diff(codes, prepend=-1) != 0
+
+
 def write_keyword_index(chunks: DataFrame, path: str, id_column: str = "chunk_id", text: str = "content") -> KeywordIndex:
-    """Index the words of chunks. Chunks without words count, and are never found."""
-    found = chunks.select(F.col(id_column).alias("hit_id"), words(F.coalesce(F.col(text), F.lit(""))).alias("words"))
-    rows = found.select("hit_id", F.size("words").alias("length"), F.explode("words").alias("term"))
-    postings = rows.groupBy("term", "hit_id", "length").agg(F.count(F.lit(1)).alias("tf")).withColumn("folder", _folder("term"))
-    postings.repartition("folder", F.pmod(F.xxhash64("hit_id"), F.lit(FILES))).sortWithinPartitions("folder", "term").write.mode(
-        "overwrite").partitionBy("folder").parquet(f"{path}/postings")
-    stored = chunks.sparkSession.read.parquet(f"{path}/postings")
-    stored.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("folder", _folder("term")).repartition("folder").sortWithinPartitions(
+    """Index the words of chunks. Chunks without words count, and are never found. Rows of one id and length are one place."""
+    spark, number = chunks.sparkSession, max(1, math.ceil(chunks.count() / SHARD_CHUNKS))
+    shard = F.pmod(F.xxhash64(id_column), F.lit(number)).cast("int")
+    # Texts are dealt out as they are, and cut into words where they arrive.
+    dealt = chunks.select(shard.alias("shard"), F.col(id_column).alias("hit_id"), F.col(text).alias("text")).repartition(number, "shard").sortWithinPartitions("shard")
+    found = dealt.select("shard", "hit_id", words(F.coalesce("text", F.lit(""))).alias("words"))
+    id_type = chunks.schema[id_column].dataType.simpleString()
+
+    def build(group: pa.Table) -> pa.Table:
+        at = group["shard"][0].as_py()
+        group = group.append_column("length", pc.list_value_length(group["words"]))
+        group = group.take(pc.sort_indices(group, [("hit_id", "ascending"), ("length", "ascending")], null_placement="at_start")).combine_chunks()
+        ids, length = group["hit_id"].combine_chunks(), group["length"].combine_chunks()
+        first = _new(ids) | _new(length)
+        place, starts = np.cumsum(first) - 1, np.flatnonzero(first)
+        spelled = group["words"].combine_chunks().flatten().dictionary_encode()
+        key = spelled.indices.to_numpy().astype(np.int64) * len(starts) + np.repeat(place, length.to_numpy())
+        key, tf = np.unique(key, return_counts=True)
+        term, where = np.divmod(key, len(starts))
+        begin = np.flatnonzero(np.diff(term, prepend=-1))
+        offsets = pa.array(np.append(begin, len(key)).astype(np.int32))
+        lists = lambda values: pa.ListArray.from_arrays(offsets, pa.array(values.astype(np.int32)))
+        postings = pa.table({"shard": pa.array([at] * len(begin), pa.int32()), "term": spelled.dictionary.take(pa.array(term[begin])), "places": lists(where), "tfs": lists(tf)})
+        one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(starts)], pa.int32()), values)
+        known = pa.table({"shard": pa.array([at], pa.int32()), "hit_ids": one(ids.take(pa.array(starts))), "lengths": one(length.take(pa.array(starts))),
+                          "rows": one(pa.array(np.diff(starts, append=len(ids)).astype(np.int32)))})
+        return pa.concat_tables([postings, known], promote_options="default").select(names)
+
+    schema = f"shard int, term string, places array<int>, tfs array<int>, hit_ids array<{id_type}>, lengths array<int>, rows array<int>"
+    names = [part.split(" ")[0] for part in schema.split(", ")]
+    folder = F.when(F.col("term").isNull(), SHARDS).otherwise(_folder("term"))
+    found.groupBy("shard").applyInArrow(build, schema).withColumn("folder", folder).repartition("folder", F.pmod("shard", F.lit(FILES))).sortWithinPartitions(
+        "folder", "term").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/postings")
+    stored = spark.read.parquet(f"{path}/postings")
+    stored.where(F.col("folder") != SHARDS).groupBy("folder", "term").agg(F.sum(F.size("places")).alias("df")).repartition("folder").sortWithinPartitions(
         "folder", "term").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/terms")
-    found.agg(F.count(F.lit(1)).alias("chunks"), F.avg(F.size("words")).alias("length")).write.mode("overwrite").parquet(f"{path}/totals")
-    return read_keyword_index(chunks.sparkSession, path)
+    sizes = stored.where(F.col("folder") == SHARDS).select(F.inline(F.arrays_zip("lengths", "rows")))
+    sizes.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("chunks"), (F.sum(F.col("lengths").cast("bigint") * F.col("rows")) / F.sum("rows")).alias("length")).write.mode(
+        "overwrite").parquet(f"{path}/totals")
+    return read_keyword_index(spark, path)
 
 
 def read_keyword_index(spark: SparkSession, path: str) -> KeywordIndex:
-    return KeywordIndex(*(spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "totals")))
+    postings, terms, totals, shards = (spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "totals", "postings"))
+    return KeywordIndex(postings.where(F.col("folder") != SHARDS).select("folder", "term", "shard", "places", "tfs"), terms, totals,
+                        shards.where(F.col("folder") == SHARDS).select("shard", "hit_ids", "lengths"))
 
 
 def _named(table: DataFrame, asked: DataFrame) -> DataFrame:
@@ -87,11 +138,62 @@ def keyword_hits(index: KeywordIndex, questions: DataFrame, k: int = TOP_K, quer
     none of whose words is known has no hits."""
     total = index.totals.first()
     df = F.col("df")
-    asked = _asked(index, questions, query_id, text).withColumn("idf", F.log(1 + (total.chunks - df + 0.5) / (df + 0.5)))
-    tf = F.col("tf").cast("double")
-    part = F.col("idf") * tf * (SATURATION + 1) / (tf + SATURATION * (1 - LENGTH_WEIGHT + LENGTH_WEIGHT * F.col("length") / (total.length or 1.0)))
-    hits = _named(index.postings, asked).join(sent_if_few(asked.select("query_id", "folder", "term", "idf")), ["folder", "term"])
-    return best_per_query(hits.groupBy("query_id", "hit_id").agg(F.round(F.sum(part), SCORE_DIGITS).alias("score")), k)
+    asked = materialize(_asked(index, questions, query_id, text).select(
+        "query_id", "folder", "term", F.log(1 + (total.chunks - df + 0.5) / (df + 0.5)).alias("idf")), "asked-words")
+    slices = max(1, math.ceil(asked.count() / SENT_WORDS))
+    own = F.pmod(F.xxhash64("query_id"), F.lit(slices))
+    found = reduce(DataFrame.unionAll, [_best_of_shards(index, asked.where(own == s), k, total.length or 1.0) for s in range(slices)])
+    return best_per_query(found, k)
+
+
+def _best_of_shards(index: KeywordIndex, asked: DataFrame, k: int, mean: float) -> DataFrame:
+    """(query_id, hit_id, score): the k best chunks of each shard for some questions, whose words are sent to all of them."""
+    table = asked.select("query_id", "term", "idf").toArrow().combine_chunks()
+    queries = table["query_id"].combine_chunks().dictionary_encode(null_encoding="encode")
+    order = pc.sort_indices(queries.indices)
+    terms = table["term"].combine_chunks().take(order).dictionary_encode()
+    starts = np.searchsorted(queries.indices.take(order).to_numpy(), np.arange(len(queries.dictionary) + 1))
+    sent = index.postings.sparkSession.sparkContext.broadcast(
+        (queries.dictionary, terms.dictionary, terms.indices.to_numpy(), table["idf"].combine_chunks().take(order).to_numpy(), starts))
+    parts = max(1, index.shards.count())
+    asked_types = asked.schema["query_id"].dataType.simpleString()
+    schema = f"query_id {asked_types}, hit_id {index.shards.schema['hit_ids'].dataType.elementType.simpleString()}, score double"
+
+    def score(postings: pa.Table, shard: pa.Table) -> pa.Table:
+        ids, words_of, term_of, idf, starts = sent.value
+        known = pc.index_in(postings["term"].combine_chunks(), words_of)
+        postings = postings.filter(known.is_valid()).combine_chunks()
+        row_of = np.full(len(words_of), -1)
+        row_of[known.drop_null().to_numpy()] = np.arange(postings.num_rows)
+        hit_ids, length = shard["hit_ids"].combine_chunks().flatten(), shard["lengths"].combine_chunks().flatten().to_numpy()
+        places = postings["places"].combine_chunks().flatten().to_numpy() if postings.num_rows else np.zeros(0, np.int32)
+        tf = (postings["tfs"].combine_chunks().flatten().to_numpy() if postings.num_rows else places).astype(float)
+        part = tf * (SATURATION + 1) / (tf + SATURATION * (1 - LENGTH_WEIGHT + LENGTH_WEIGHT * length[places] / mean))
+        ends = np.cumsum(pc.list_value_length(postings["places"].combine_chunks()).to_numpy()) if postings.num_rows else places
+        firsts = np.flatnonzero(_new(hit_ids))
+        found = []
+        for q in range(len(ids)):
+            scores = np.zeros(len(length))
+            for i in range(starts[q], starts[q + 1]):
+                if (row := row_of[term_of[i]]) >= 0:
+                    span = slice(ends[row - 1] if row else 0, ends[row])
+                    scores[places[span]] += idf[i] * part[span]
+            if len(firsts) < len(scores):  # an id with texts of several lengths
+                scores = np.add.reduceat(scores, firsts)
+            (some,) = np.nonzero(scores)
+            if len(some):
+                rounded = np.round(scores[some], SCORE_DIGITS)
+                floor = np.partition(rounded, len(rounded) - min(k, len(rounded)))[len(rounded) - min(k, len(rounded))]
+                some, rounded = some[rounded >= floor], rounded[rounded >= floor]
+                best = np.argsort(-rounded, kind="stable")[:k]  # places go by id, and so do ties
+                found.append((np.full(len(best), q), firsts[some[best]], rounded[best]))
+        query, place, values = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        return pa.table({"query_id": ids.take(pa.array(query)), "hit_id": hit_ids.take(pa.array(place)), "score": pa.array(values)})
+
+    # Words that are too many to be named are passed over before they move.
+    words_asked = sent_if_few(asked.select("folder", "term").distinct())
+    wanted = _named(index.postings, asked).join(words_asked, ["folder", "term"], "left_semi").select("shard", "term", "places", "tfs")
+    return wanted.repartition(parts, "shard").groupBy("shard").cogroup(index.shards.repartition(parts, "shard").groupBy("shard")).applyInArrow(score, schema)
 
 
 def fused(rankings: dict[str, DataFrame], k: int = TOP_K) -> DataFrame:
@@ -127,10 +229,14 @@ def holding_documents(index: KeywordIndex, questions: DataFrame, chunks: DataFra
     passages = questions.select("query_id", collapse_whitespace(F.col("text")).alias("passage"))
     inside = passages.withColumn("w", words(F.col("passage"))).select("query_id", F.array_join(inner, " ").alias("text"))
     asked = _asked(index, inside, "query_id", "text").groupBy("query_id").agg(F.min_by(F.struct("folder", "term"), F.struct("df", "term")).alias("rare")).select("query_id", "rare.*")
-    likely = _named(index.postings, asked).join(sent_if_few(asked), ["folder", "term"]).select("query_id", F.col("hit_id").alias(id_column)).join(
-        chunks.select(id_column, "source_file"), id_column).select("query_id", "source_file").distinct()
+    asked = materialize(asked, "rare-words")
+    ids = index.shards.select("shard", F.posexplode("hit_ids").alias("place", "hit_id"))
+    places = materialize(_named(index.postings, asked).join(sent_if_few(asked), ["folder", "term"]).select("query_id", "shard", F.explode("places").alias("place")), "rare-places")
+    rare = materialize(sent_if_few(places).join(ids, ["shard", "place"]).select("query_id", F.col("hit_id").alias(id_column)).distinct(), "rare-chunks")
+    likely = materialize(sent_if_few(rare).join(chunks.select(id_column, "source_file"), id_column).select("query_id", "source_file").distinct(), "likely-documents")
     texts = documents.select("source_file", collapse_whitespace(F.col("text")).alias("whole"))
-    return likely.join(passages, "query_id").join(texts, "source_file").where(F.contains("whole", "passage")).select("query_id", "source_file").distinct()
+    # The few likely pairs go to the documents, whose texts stay where they are read.
+    return sent_if_few(likely.join(passages, "query_id")).join(texts, "source_file").where(F.contains("whole", "passage")).select("query_id", "source_file").distinct()
 
 
 def ranking_quality(hits: DataFrame, relevant: DataFrame, k: int, query_id: str = "query_id") -> DataFrame:

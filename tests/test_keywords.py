@@ -42,6 +42,30 @@ def test_keyword_hits(spark, tmp_path, monkeypatch, named):
         assert {tuple(r) for r in keywords.keyword_hits(index, asked, k).collect()} == plain(k)
 
 
+@pytest.mark.parametrize("sent", [1, 10**6])
+def test_postings_are_kept_by_shard(spark, tmp_path, monkeypatch, sent):
+    """A row for each word of a shard, not for each of its chunks; a search gives the best of each shard."""
+    monkeypatch.setattr(keywords, "SHARD_CHUNKS", 2)
+    monkeypatch.setattr(keywords, "SENT_WORDS", sent)
+    held, asked = tables(spark)
+    index = keywords.write_keyword_index(held, str(tmp_path / "index"))
+    assert index.postings.count() == index.postings.select("term", "shard").distinct().count() and index.shards.count() > 1
+    for k in (1, 3):
+        assert {tuple(r) for r in keywords.keyword_hits(index, asked, k).collect()} == plain(k)
+
+
+def test_ids_that_repeat_or_lack(spark, tmp_path):
+    """Rows of one id and length are one, those of other lengths add up, and rows without id are found as one."""
+    held = spark.createDataFrame([("a", "red pears"), ("a", "red pears"), ("a", "red"), ("b", "red plums here"), (None, "red apples"), (None, "red apples")], "chunk_id string, content string")
+    index = keywords.write_keyword_index(held, str(tmp_path / "index"))
+    total, df = index.totals.first(), {r.term: r.df for r in index.terms.collect()}
+    assert total.chunks == 6 and total.length == 2.0 and df == {"red": 4, "pears": 1, "plums": 1, "here": 1, "apples": 1}
+    score = lambda *parts: sum(math.log(1 + 2.5 / 4.5) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / 2)) for tf, n in parts)
+    want = {None: score((2, 2)), "a": score((2, 2), (1, 1)), "b": score((1, 3))}
+    got = {r.hit_id: r.score for r in keywords.keyword_hits(index, spark.createDataFrame([(1, "red")], "query_id int, text string"), 9).collect()}
+    assert got == {name: pytest.approx(x, abs=1e-8) for name, x in want.items()}
+
+
 def test_reads_the_folders_of_its_words(spark, tmp_path):
     held, asked = tables(spark)
     index = keywords.write_keyword_index(held, str(tmp_path / "index"))
