@@ -212,12 +212,12 @@ def fused(rankings: dict[str, DataFrame], k: int = TOP_K) -> DataFrame:
 def hybrid_hits(vectors: DataFrame, index: KeywordIndex, questions: DataFrame, k: int = TOP_K, candidates: int | None = None,
                 min_score: float | None = None, id_column: str = "chunk_id") -> DataFrame:
     """The k best chunks for each question (query_id, text, embedding) by vectors and words together. ``min_score`` is the cosine that
-    a chunk must reach to count as found by its vector; words may still find it."""
+    a chunk must reach to count as found by its vector; words may still find it. The search is made here and now, so its hits may be read many times."""
     wide = candidates or CANDIDATES * k
     near = batch_hits(vectors, questions, wide, id_column=id_column)
     if min_score is not None:
         near = near.where(F.col("score") >= min_score)
-    return fused({"vector": near, "keyword": keyword_hits(index, questions, wide)}, k)
+    return materialize(fused({"vector": near, "keyword": keyword_hits(index, questions, wide)}, k), "hybrid-hits")
 
 
 def holding_documents(index: KeywordIndex, questions: DataFrame, chunks: DataFrame, documents: DataFrame, id_column: str = "chunk_id") -> DataFrame:

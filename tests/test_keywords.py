@@ -66,6 +66,15 @@ def test_ids_that_repeat_or_lack(spark, tmp_path):
     assert got == {name: pytest.approx(x, abs=1e-8) for name, x in want.items()}
 
 
+def test_hybrid_hits_are_searched_once(spark, tmp_path):
+    held, asked = tables(spark)
+    held = held.withColumn("embedding", models.embed(F.col("content")))
+    index = keywords.write_keyword_index(held, str(tmp_path / "index"))
+    hits = keywords.hybrid_hits(held, index, asked.withColumn("embedding", models.embed(F.col("text"))), 2)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert hits.count() > 0 and "Exchange" not in plan and "Window" not in plan
+
+
 def test_reads_the_folders_of_its_words(spark, tmp_path):
     held, asked = tables(spark)
     index = keywords.write_keyword_index(held, str(tmp_path / "index"))
