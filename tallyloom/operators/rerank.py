@@ -14,6 +14,7 @@ from tallyloom.functions.models import WORD
 from tallyloom.functions.vectors import SCORE_DIGITS
 from tallyloom.operators.joins import sent_if_few
 from tallyloom.operators.retrieval import TOP_K
+from tallyloom.session import materialize
 
 # Words whose vectors a task remembers.
 REMEMBERED = 200_000
@@ -32,6 +33,7 @@ def expanded(hits: DataFrame, chunks: DataFrame, before: int = 1, after: int = 1
     islands = places.withColumn("apart", apart.cast("int")).withColumn("island", F.sum("apart").over(along)).groupBy(*page, "island").agg(
         F.min("rank").alias("best"), F.greatest(F.min("chunk_index") - before, F.lit(0)).alias("low"), (F.max("chunk_index") + after).alias("high"))
     wanted = islands.select(*page, "island", "best", F.explode(F.sequence("low", "high")).alias("chunk_index"))
+    wanted = materialize(wanted, "stretches")
     parts = sent_if_few(wanted).join(chunks.select("source_file", "page_number", "chunk_index", "start", "stop", "content"), ["source_file", "page_number", "chunk_index"])
     row = F.array_sort(F.collect_list(F.struct("chunk_index", "start", "stop", "content")))
 
