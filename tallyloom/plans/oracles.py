@@ -588,25 +588,31 @@ def _planes(width: int = 64) -> str:
     return ", ".join(f"({i}, {plane.tolist()}::DOUBLE[])" for i, plane in enumerate(retrieval._planes(width, retrieval.PLANES, 0)))
 
 
-# On which side of the planes vectors lie, and which buckets each question reads.
-READ = f"""side AS (SELECT vec_id, i, list_dot_product(v, w) AS s FROM vecs, (VALUES {_planes()}) AS p(i, w)),
+def _read(asked: str = f"side.vec_id % 50 = 0 OR side.vec_id = {catalogue.QUERY_VECTOR}") -> str:
+    """On which side of the planes vectors lie, and which buckets each question reads."""
+    return f"""side AS (SELECT vec_id, i, list_dot_product(v, w) AS s FROM vecs, (VALUES {_planes()}) AS p(i, w)),
 home AS (SELECT vec_id, CAST(SUM(CASE WHEN s >= 0 THEN 1 << i ELSE 0 END) AS INTEGER) AS bucket FROM side GROUP BY 1),
 nearest AS (
   SELECT vec_id AS query_id, b AS bucket FROM (
     SELECT side.vec_id, CAST(r.b AS INTEGER) AS b, SUM(CASE WHEN (xor(CAST(r.b AS INTEGER), home.bucket) >> i) & 1 = 1 THEN s * s ELSE 0 END) AS cost
-    FROM side JOIN home USING (vec_id), range(1 << {retrieval.PLANES}) r(b) WHERE side.vec_id % 50 = 0 OR side.vec_id = {catalogue.QUERY_VECTOR} GROUP BY 1, 2)
+    FROM side JOIN home USING (vec_id), range(1 << {retrieval.PLANES}) r(b) WHERE {asked} GROUP BY 1, 2)
   QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY cost, b) <= {retrieval.PROBES})"""
+
+
+READ = _read()
 ANN_TOPK = f"""WITH {VECTORS}, {READ}
 SELECT a.vec_id, a.label, {_score('a.v', 'b.v')} AS score
 FROM vecs a JOIN home USING (vec_id) JOIN nearest n ON n.query_id = {catalogue.QUERY_VECTOR} AND n.bucket = home.bucket JOIN vecs b ON b.vec_id = n.query_id
 ORDER BY score DESC, a.vec_id LIMIT 4"""
-ANN_RECALL = f"""WITH {VECTORS}, {READ},
+ANN_RECALL = f"""WITH {VECTORS}, {FIRSTS}, {_read("side.vec_id % 50 = 0 OR side.vec_id IN (SELECT query_id FROM firsts)")},
 ranked AS (
   SELECT q.vec_id AS query_id, a.vec_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY {_score('a.v', 'q.v')} DESC, a.vec_id) AS rank
-  FROM vecs q, vecs a WHERE q.vec_id % 50 = 0)
-SELECT k, "right", hits, "right" >= 0.9 * hits AS recall_holds FROM (
+  FROM vecs q, vecs a WHERE q.vec_id % 50 = 0),
+searched AS (SELECT query_id, least(4, COUNT(*)) AS n FROM firsts JOIN nearest USING (query_id) JOIN home USING (bucket) GROUP BY 1)
+SELECT k, "right", hits, "right" >= 0.9 * hits AS recall_holds, questions, returned FROM (
   SELECT k, COUNT(n.bucket) AS "right", COUNT(*) AS hits
-  FROM (VALUES (4), (10)) AS x(k) JOIN ranked ON rank <= k JOIN home USING (vec_id) LEFT JOIN nearest n ON n.query_id = ranked.query_id AND n.bucket = home.bucket GROUP BY k)"""
+  FROM (VALUES (4), (10)) AS x(k) JOIN ranked ON rank <= k JOIN home USING (vec_id) LEFT JOIN nearest n ON n.query_id = ranked.query_id AND n.bucket = home.bucket GROUP BY k),
+  (SELECT COUNT(*) AS questions, CAST(SUM(n) AS BIGINT) AS returned FROM searched)"""
 
 CODED = f"""WITH {VECTORS}
 SELECT q.vec_id AS query_id, a.vec_id AS hit_id, {_score('a.v', 'q.v')} AS score,

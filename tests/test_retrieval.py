@@ -184,3 +184,14 @@ def test_recall_of_the_given_vectors(spark):
         vector = [float(x) for x in q.embedding]
         right += len({x.vec_id for x in top_hits(df, vector, 10).collect()} & {x.vec_id for x in approximate_hits(df, vector, 10).collect()})
     assert recall(df, two, width, 10).first().right == right
+
+
+def test_ann_recall_runs_the_search_of_each_label(spark, tmp_path):
+    """Each label's question goes through the approximate search, beside the measure of recall."""
+    from tallyloom.plans import catalogue
+
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in row], i % 3) for i, row in enumerate(rng.normal(size=(200, 64)))]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = catalogue.ann_recall(spark, str(tmp_path)).orderBy("k").collect()
+    assert [(r.k, r.hits, r.questions, r.returned) for r in got] == [(4, 16, 3, 12), (10, 40, 3, 12)]
