@@ -1,7 +1,9 @@
 import hashlib
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from tallyloom.functions.text import cut_spans
 from tallyloom.operators import chunks as ops
@@ -74,3 +76,24 @@ def test_histogram(spark):
     assert [tuple(r) for r in length_histogram(df, 4).collect()] == [(0, 1, 5, 3), (1, 10, 10, 1), (3, 21, 21, 1)]
     assert [tuple(r) for r in length_histogram(df.where("length(content) = 1")).collect()] == [(0, 1, 1, 2)]
     assert tuple(source_count(df).first()) == (5, 1)
+
+
+def test_few_pages_and_texts_are_held_at_a_time(spark, monkeypatch):
+    from tallyloom.functions import models
+    from tallyloom.functions.batches import few_rows
+
+    assert [len(b) for b in few_rows([pa.array(range(5)), pa.array([], pa.int64())], 2)] == [2, 2, 1]
+    pages = spark.createDataFrame([(f"f{i}", 1, f"Some words here, number {i}. " * (i % 7 * 20)) for i in range(300)], "source_file string, page_number int, text string").coalesce(1)
+    whole = sorted(map(tuple, chunk_pages(pages).collect()))
+    monkeypatch.setattr(ops, "HELD_PAGES", 1)
+    assert sorted(map(tuple, chunk_pages(pages).collect())) == whole
+
+    class Counting(models.HashingEncoder):
+        def encode(self, texts):
+            assert len(texts) <= 256, "too many texts at a time"
+            return super().encode(texts)
+
+    texts = spark.range(1000).coalesce(1).select(F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    got = [list(r.v) for r in texts.orderBy("text").select(models.embed(F.col("text"), Counting).alias("v")).collect()]
+    want = models.HashingEncoder().encode([r.text for r in texts.orderBy("text").collect()])
+    assert got == [[float(x) for x in row] for row in want]
