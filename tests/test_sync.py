@@ -154,3 +154,19 @@ def test_buckets_by_document(spark, tmp_path):
     assert current(spark, str(tmp_path / "packed")) == got
     merge_batch(str(tmp_path / "packed"), spark.createDataFrame([("p-0", "p", "newest", False)], schema), 0, buckets=2)
     assert current(spark, str(tmp_path / "packed")) == {**got, "p-0": "newest"}
+
+
+def test_kept_rows_stay_where_they_are_read(spark, tmp_path, monkeypatch):
+    """The keys that go are sent a few buckets at a time; no vector is joined by a shuffle, and texts are dealt without theirs."""
+    monkeypatch.setattr(sync, "SENT_KEYS", 5)
+    index, written = str(tmp_path / "index"), []
+    writer = type(rows(spark, ("a", "x", False)).write)
+    monkeypatch.setattr(writer, "partitionBy", lambda self, *names, f=writer.partitionBy: written.append(self._df) or f(self, *names))
+    merge_batch(index, rows(spark, *((f"k{i}", "old", False) for i in range(40))), 0, buckets=4)
+    merge_batch(index, rows(spark, *((f"k{i}", "new", False) for i in range(0, 40, 2))), 1, buckets=4)
+    assert current(spark, index) == {f"k{i}": "old" if i % 2 else "new" for i in range(40)} and read_index(spark, index).count() == 40
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in written]
+    assert len(plans) > 3 and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)
+    for plan in plans:
+        if "Exchange hashpartitioning(sync_bucket" in plan:
+            assert plan.index("ArrowEvalPython") < plan.index("Exchange hashpartitioning(sync_bucket")
