@@ -29,7 +29,7 @@ STEPS, SLACK = 127, 1e-8
 # Rows per page of a stored index, and rows up to which they are looked up by id in place of a join.
 PAGE_ROWS, NAMED = 1024, 200
 # Scores that a task holds at a time.
-HELD_SCORES = 4_000_000
+HELD_SCORES = 500_000
 
 
 def _rows(vectors: pa.Array) -> np.ndarray:

@@ -95,3 +95,8 @@ def test_other_types(spark, data, tmp_path):
     write_index(named, str(tmp_path / "named"), "v", "key")
     got = coded_hits(spark.read.parquet(str(tmp_path / "named")), named.where("key = 'id 004'").withColumnRenamed("key", "query_id"), 1, "v", "key").first()
     assert (got.hit_id, got.score) == ("id 004", 1.0)
+
+
+def test_a_task_holds_few_scores():
+    """About eight matrices of scores are held side by side, so a worker needs tens of MB for them."""
+    assert 8 * 8 * codes.HELD_SCORES <= 64_000_000
