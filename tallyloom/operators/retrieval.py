@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tallyloom.functions.batches import few_rows
 from tallyloom.functions.models import Encoder, HashingEncoder
 from tallyloom.functions.scalars import preview
 from tallyloom.functions.vectors import NORM_GUARD, SCORE_DIGITS, comparable, cosine, dot, norm, unit
@@ -33,22 +34,47 @@ TOP_K = 4
 # Questions are sent to every task in slices of about this many numbers (64 MB as doubles).
 SENT_NUMBERS = 8_000_000
 # Scores that a task holds at a time.
-HELD_SCORES = 4_000_000
+HELD_SCORES = 1_000_000
+# Vectors that a task turns into numbers at a time.
+HELD_ROWS = 2048
 # Hits up to which they are sent to the rows they point at.
 SENT_HITS = 250_000
 UNEQUAL = "vectors and questions differ in length"
 # Random planes that divide an index into 2**PLANES buckets, and how many of these a question reads.
 PLANES, PROBES = 4, 13
-# Rows per block when vectors meet in a task.
-BLOCK_ROWS = 2048
+# Rows per block when vectors meet in a task, at least and at most, and blocks that these should make.
+BLOCK_ROWS, MOST_BLOCK_ROWS, BLOCKS = 2048, 32_768, 24
 
 
 def top_hits(vectors: DataFrame, query: list[float], k: int = TOP_K, vector: str = "embedding",
              tie: str = "vec_id") -> DataFrame:
     """The k rows closest to one vector, with ``score``. A sort that keeps k rows per task."""
-    score = F.round(cosine(F.col(vector), F.array(*[F.lit(float(x)) for x in query])), SCORE_DIGITS)
-    checked = F.when(F.size(vector) == len(query), score).otherwise(F.raise_error(F.lit(UNEQUAL)).cast("double"))
-    return vectors.where(comparable(F.col(vector))).withColumn("score", checked).orderBy(F.desc("score"), tie).limit(k)
+    @F.arrow_udf("double")
+    def score(rows: pa.Array) -> pa.Array:
+        return pa.concat_arrays([_scores(few, query) for few in few_rows([rows], HELD_ROWS)] or [pa.array([], pa.float64())])
+
+    return vectors.withColumn("score", score(F.col(vector))).where("score IS NOT NULL").orderBy(F.desc("score"), tie).limit(k)
+
+
+def _scores(rows: pa.Array, query: list[float]) -> pa.Array:
+    """The cosine of each row and a query, null where it cannot be scored."""
+    at = np.flatnonzero(_comparable(rows))
+    units = _unit_rows(rows.take(pa.array(at)), len(query))
+    asked = np.asarray(query, float)
+    out, known = np.zeros(len(rows)), np.zeros(len(rows), bool)
+    out[at], known[at] = np.round(units @ (asked / (np.linalg.norm(asked) + NORM_GUARD)), SCORE_DIGITS), True
+    return pa.array(out, mask=~known)
+
+
+def _comparable(rows: pa.Array) -> np.ndarray:
+    """Which vectors can be scored, as ``comparable`` says of a column."""
+    whole = np.ones(len(rows), bool) if not rows.null_count else rows.is_valid().to_numpy(zero_copy_only=False)
+    flat = rows.flatten()
+    odd = ~np.isfinite(flat.to_numpy(zero_copy_only=False))  # a null becomes NaN
+    if odd.any():
+        length = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+        whole[np.repeat(np.arange(len(rows)), length)[odd]] = False
+    return whole
 
 
 def similarity_search(index: DataFrame, columns: list[str], text: str | None = None, vector: list[float] | None = None,
@@ -95,7 +121,7 @@ def batch_hits(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, vector: s
     """(query_id, rank, hit_id, score): the exact k best rows for every query vector. Each
     query id occurs once. With ``page``, columns that say where a row belongs, only the best
     row of each page counts, so k hits come from k pages."""
-    index = vectors.where(comparable(F.col(vector))).select(
+    index = vectors.select(
         F.col(id_column).alias("hit_id"), F.col(vector).alias("v"), *([F.to_json(F.struct(*page)).alias("page")] if page else []))
     asked = queries.where(comparable(F.col(vector))).select(F.col(query_id).alias("query_id"), F.col(vector).alias("q"))
     types = {f.name: f.dataType.simpleString() for f in (*index.schema, *asked.schema)}
@@ -128,11 +154,15 @@ def _send_queries(index: DataFrame, asked: DataFrame, width: int, k: int, schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = sent.value
-        step = max(k, HELD_SCORES // max(1, len(ids)))
+        step = min(max(k, HELD_SCORES // max(1, len(ids))), max(k, HELD_ROWS))
         held = None
         for batch in batches:
             for start in range(0, batch.num_rows if len(ids) else 0, step):
                 part = batch.slice(start, step)
+                if not (known := _comparable(part["v"])).all():
+                    part = part.filter(pa.array(known))
+                if not part.num_rows:
+                    continue
                 scores = np.round(_unit_rows(part["v"], width) @ matrix.T, SCORE_DIGITS)
                 pages = pd.Index(part["page"].to_pandas()) if "page" in part.schema.names else None
                 hits = _best(scores, pd.Index(part["hit_id"].to_pandas()), pages, ids, k)
@@ -178,7 +208,7 @@ def score_pairs(pairs: DataFrame, vectors: DataFrame, vector: str = "embedding",
 
 
 def similar_pairs(vectors: DataFrame, min_score: float, vector: str = "embedding", id_column: str = "vec_id",
-                  block_rows: int = BLOCK_ROWS) -> DataFrame:
+                  block_rows: int | None = None) -> DataFrame:
     """(left_id, right_id, score, left_copies, right_copies): all pairs of distinct vectors
     that score at least ``min_score``, exactly. Equal vectors are one row under their
     smallest id, with the number of copies, so a large group of copies stays one row. A
@@ -187,7 +217,8 @@ def similar_pairs(vectors: DataFrame, min_score: float, vector: str = "embedding
     Unit vectors scoring s are sqrt(2 - 2s) apart, and a projection never lies further
     apart than the vectors themselves. So with cells that wide along one axis, a pair lies
     in the same or in adjacent cells. Cells are cut into blocks of ``block_rows`` rows,
-    and each pair of blocks that may hold a pair is one small group."""
+    and each pair of blocks that may hold a pair is one small group. A row goes to all blocks it meets, so blocks grow with
+    the table up to ``MOST_BLOCK_ROWS`` rows, and their number stays the same until then; scores are held a strip at a time."""
     # A little wider than needed, since scores are rounded before they are compared.
     reach = math.sqrt(max(2 - 2 * min_score, 0.0)) + 1e-4
     copies = vectors.where(comparable(F.col(vector))).groupBy(F.col(vector).alias("v")).agg(
@@ -202,7 +233,9 @@ def similar_pairs(vectors: DataFrame, min_score: float, vector: str = "embedding
     selves = rows.where("copies > 1").select(F.col("id").alias("left_id"), F.col("id").alias("right_id"), alike.alias("score"),
                                              F.col("copies").alias("left_copies"), F.col("copies").alias("right_copies")).where(F.col("score") >= min_score)
     # Projections lie in [-1, 1], so there are at most 2 / reach + 2 cells.
-    blocks = {r.cell: math.ceil(r.n / block_rows) for r in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    held = {r.cell: r.n for r in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    block_rows = block_rows or min(max(BLOCK_ROWS, math.ceil(sum(held.values()) / BLOCKS)), MOST_BLOCK_ROWS)
+    blocks = {cell: math.ceil(n / block_rows) for cell, n in held.items()}
     if not blocks:
         return selves
     known = F.create_map(*[F.lit(x) for cell, n in sorted(blocks.items()) for x in (cell, n)])
@@ -228,9 +261,12 @@ def similar_pairs(vectors: DataFrame, min_score: float, vector: str = "embedding
     met = placed.select("id", "copies", "v", F.inline(meetings))
     id_type = rows.schema["id"].dataType.simpleString()
 
-    def compare(group: pa.Table) -> pa.Table:
+    schema = f"left_id {id_type}, right_id {id_type}, score double, left_copies bigint, right_copies bigint"
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pa.Table.from_batches(batches)
         is_left = group["is_left"].combine_chunks()
-        left, right = group.filter(is_left), group.filter(pc.invert(is_left))
+        left, right = group.filter(is_left).combine_chunks(), group.filter(pc.invert(is_left)).combine_chunks()
         alone = not right.num_rows and group["c1"][0] == group["c2"][0] and group["b1"][0] == group["b2"][0]
         right = left if alone else right
 
@@ -238,23 +274,25 @@ def similar_pairs(vectors: DataFrame, min_score: float, vector: str = "embedding
             flat = side["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
             return flat.reshape(side.num_rows, -1)
 
-        scores = np.round(matrix(left) @ matrix(right).T, SCORE_DIGITS) if left.num_rows and right.num_rows \
-            else np.zeros((left.num_rows, right.num_rows))
-        i, j = np.nonzero(scores >= min_score)
-        if alone:
-            i, j = i[i < j], j[i < j]
-        a, b = left.take(i), right.take(j)
-        swap = pc.greater(a["id"], b["id"])
-
-        def pick(name: str, when_swapped: pa.Table, otherwise: pa.Table):
-            return pc.if_else(swap, when_swapped[name], otherwise[name])
-
-        return pa.table({
-            "left_id": pick("id", b, a), "right_id": pick("id", a, b), "score": pa.array(scores[i, j]),
-            "left_copies": pick("copies", b, a), "right_copies": pick("copies", a, b)})
-
-    return met.groupBy("c1", "b1", "c2", "b2").applyInArrow(
-        compare, f"left_id {id_type}, right_id {id_type}, score double, left_copies bigint, right_copies bigint").unionByName(selves)
+        step = max(1, HELD_SCORES // max(1, right.num_rows))
+        rows, columns = (matrix(left), matrix(right).T) if left.num_rows and right.num_rows else (None, None)
+        for start in range(0, left.num_rows if rows is not None else 0, step):
+            scores = np.round(rows[start:start + step] @ columns, SCORE_DIGITS)
+            i, j = np.nonzero(scores >= min_score)
+            found, i = scores[i, j], i + start
+            if alone:
+                found, i, j = found[i < j], i[i < j], j[i < j]
+            a, b = left.select(["id", "copies"]).take(i), right.select(["id", "copies"]).take(j)
+            swap = pc.greater(a["id"], b["id"])
+
+            def pick(name: str, when_swapped: pa.Table, otherwise: pa.Table):
+                return pc.if_else(swap, when_swapped[name], otherwise[name])
+
+            yield from pa.table({
+                "left_id": pick("id", b, a), "right_id": pick("id", a, b), "score": pa.array(found),
+                "left_copies": pick("copies", b, a), "right_copies": pick("copies", a, b)}).to_batches()
+
+    return met.groupBy("c1", "b1", "c2", "b2").applyInArrow(compare, schema).unionByName(selves)
 
 
 def _planes(width: int, planes: int, seed: int) -> np.ndarray:

@@ -195,3 +195,23 @@ def test_ann_recall_runs_the_search_of_each_label(spark, tmp_path):
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "embeddings.parquet"))
     got = catalogue.ann_recall(spark, str(tmp_path)).orderBy("k").collect()
     assert [(r.k, r.hits, r.questions, r.returned) for r in got] == [(4, 16, 3, 12), (10, 40, 3, 12)]
+
+
+def test_one_question_is_scored_in_batches(spark, clustered):
+    """Not number by number in the JVM; odd vectors of a slice are passed over."""
+    nan = float("nan")
+    odd = spark.createDataFrame([(1000, [nan] * 8, 0), (1001, None, 0), (1002, [1.0] * 7 + [None], 0), (1003, [float("inf")] + [1.0] * 7, 0)], SCHEMA)
+    hits = top_hits(vectors(spark, clustered).unionAll(odd).repartition(1), [float(x) for x in clustered[9]], 600)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "zip_with" not in plan
+    assert {(0, i + 1, r.vec_id) for i, r in enumerate(hits.collect())} == best(cosines(clustered[9:10], clustered), 600)
+
+
+def test_blocks_grow_with_the_table_and_meet_in_strips(spark, clustered, monkeypatch):
+    for name, value in (("BLOCK_ROWS", 4), ("BLOCKS", 3), ("MOST_BLOCK_ROWS", 64), ("HELD_SCORES", 50)):
+        monkeypatch.setattr(retrieval, name, value)
+    data = clustered[::3]
+    scores = cosines(data, data)
+    want = {(i, j) for i in range(len(data)) for j in range(i + 1, len(data)) if scores[i, j] >= -0.5}
+    rows = similar_pairs(vectors(spark, data), -0.5).collect()
+    assert len(rows) == len(want) and {(r.left_id, r.right_id) for r in rows} == want
