@@ -1,9 +1,10 @@
 """Search by words: an inverted index stored by term, BM25, and rankings fused with those of vectors.
 
-Chunks are dealt by their id to shards of bounded size, and have a number there that counts upwards with the id. A posting row holds
-all that a shard knows of a term: the numbers of its chunks and how often each has it. The index is four tables: postings (term, shard, places,
-tfs), terms (term, df), shards (shard, hit_ids, lengths, rows) and totals, the first two in folders by a hash of the term and sorted by it, so that
-a question reads the folders and row groups of its own words.
+Chunks lie in shards of bounded size, those read together; only chunks whose id may repeat are moved, dealt by it. A chunk has a number in its shard
+that counts upwards with the id. A posting row holds all that a shard knows of a term: the numbers of its chunks, as steps from one to the next, and
+how often each has it, both packed into few bytes. The index is four tables: postings (term, shard, n, places, tfs), terms (term, df), shards (shard,
+hit_ids, lengths, rows) and totals, the first two in folders by a hash of the term and sorted by it, so that a question reads the folders and row
+groups of its own words. A shard's rows are written by the task that made them: texts and postings cross no shuffle.
 
 All scores of a chunk are made in its shard, so a search moves the postings of the words asked for once, however many questions share them,
 and each shard gives its best few chunks for a question. A frequent word is spread over all shards.
@@ -12,14 +13,17 @@ and each shard gives its best few chunks for a question. A frequent word is spre
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tallyloom.functions.batches import few_rows
 from tallyloom.functions.text import collapse_whitespace
 from tallyloom.operators.joins import sent_if_few
 from tallyloom.operators.retrieval import TOP_K, batch_hits
@@ -28,8 +32,8 @@ from tallyloom.session import materialize
 # The usual parameters of BM25, and the offset of reciprocal rank fusion.
 SATURATION, LENGTH_WEIGHT, RANK_OFFSET = 1.2, 0.75, 60
 WORDS = r"[\p{L}\p{N}]+"
-# Folders of an index; files that the rows of one folder are dealt to; words up to which a search names them to the scan.
-FOLDERS, FILES, NAMED = 64, 8, 2000
+# Folders of an index; words up to which a search names them to the scan.
+FOLDERS, NAMED = 64, 2000
 # Chunks of a shard, about; pairs of a question and a word that are sent to the shards at a time.
 SHARD_CHUNKS, SENT_WORDS = 20_000, 500_000
 # The folder of the rows that say which chunks a shard has.
@@ -61,17 +65,40 @@ def _new(values: pa.Array) -> np.ndarray:
     return np.diff(codes, prepend=-1) != 0
 
 
+def _packed(values: np.ndarray, begin: np.ndarray) -> pa.Array:
+    """Lists of whole numbers as bytes: one, two or four a number, as the largest of the list needs."""
+    sizes = np.diff(begin, append=len(values))
+    most = np.maximum.reduceat(values, begin) if len(begin) else values
+    width = np.where(most < 1 << 8, 1, np.where(most < 1 << 16, 2, 4))
+    kept = values.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < np.repeat(width, sizes)[:, None]]
+    ends = np.append(0, np.cumsum(width * sizes)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(kept)])
+
+
+def _unpacked(lists: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all lists, one list after the other."""
+    width = pc.binary_length(lists).to_numpy(zero_copy_only=False) // np.maximum(sizes, 1)
+    whole = np.zeros((sizes.sum(), 4), np.uint8)
+    whole[np.arange(4) < np.repeat(width, sizes)[:, None]] = np.frombuffer(b"".join(lists.to_pylist()), np.uint8)
+    return whole.view("<u4").ravel().astype(np.int64)
+
+
+def _places(steps: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    """The places of all lists, from the steps between them."""
+    step = _unpacked(steps, sizes)
+    reached, begin = np.cumsum(step), np.cumsum(sizes) - sizes
+    return reached - np.repeat(reached[begin] - step[begin], sizes)
+
+
 def write_keyword_index(chunks: DataFrame, path: str, id_column: str = "chunk_id", text: str = "content") -> KeywordIndex:
     """Index the words of chunks. Chunks without words count, and are never found. Rows of one id and length are one place."""
-    spark, number = chunks.sparkSession, max(1, math.ceil(chunks.count() / SHARD_CHUNKS))
-    shard = F.pmod(F.xxhash64(id_column), F.lit(number)).cast("int")
-    # Texts are dealt out as they are, and cut into words where they arrive.
-    dealt = chunks.select(shard.alias("shard"), F.col(id_column).alias("hit_id"), F.col(text).alias("text")).repartition(number, "shard").sortWithinPartitions("shard")
-    found = dealt.select("shard", "hit_id", words(F.coalesce("text", F.lit(""))).alias("words"))
+    spark, size, key = chunks.sparkSession, SHARD_CHUNKS, F.xxhash64(id_column)
+    # Rows of one id must meet in a shard. A hash may also say of different ids that they repeat, which moves them and no more.
+    again = materialize(chunks.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-ids")
+    repeated = again.agg(F.sum("n")).first()[0] or 0
     id_type = chunks.schema[id_column].dataType.simpleString()
 
-    def build(group: pa.Table) -> pa.Table:
-        at = group["shard"][0].as_py()
+    def build(at: int, group: pa.Table) -> pa.Table:
         group = group.append_column("length", pc.list_value_length(group["words"]))
         group = group.take(pc.sort_indices(group, [("hit_id", "ascending"), ("length", "ascending")], null_placement="at_start")).combine_chunks()
         ids, length = group["hit_id"].combine_chunks(), group["length"].combine_chunks()
@@ -82,21 +109,42 @@ def write_keyword_index(chunks: DataFrame, path: str, id_column: str = "chunk_id
         key, tf = np.unique(key, return_counts=True)
         term, where = np.divmod(key, len(starts))
         begin = np.flatnonzero(np.diff(term, prepend=-1))
-        offsets = pa.array(np.append(begin, len(key)).astype(np.int32))
-        lists = lambda values: pa.ListArray.from_arrays(offsets, pa.array(values.astype(np.int32)))
-        postings = pa.table({"shard": pa.array([at] * len(begin), pa.int32()), "term": spelled.dictionary.take(pa.array(term[begin])), "places": lists(where), "tfs": lists(tf)})
+        steps = np.diff(where, prepend=0)
+        steps[begin] = where[begin]
+        postings = pa.table({"shard": pa.array([at] * len(begin), pa.int64()), "term": spelled.dictionary.take(pa.array(term[begin])),
+                             "n": pa.array(np.diff(begin, append=len(key)).astype(np.int32)), "places": _packed(steps, begin), "tfs": _packed(tf, begin)})
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(starts)], pa.int32()), values)
-        known = pa.table({"shard": pa.array([at], pa.int32()), "hit_ids": one(ids.take(pa.array(starts))), "lengths": one(length.take(pa.array(starts))),
+        known = pa.table({"shard": pa.array([at], pa.int64()), "hit_ids": one(ids.take(pa.array(starts))), "lengths": one(length.take(pa.array(starts))),
                           "rows": one(pa.array(np.diff(starts, append=len(ids)).astype(np.int32)))})
         return pa.concat_tables([postings, known], promote_options="default").select(names)
 
-    schema = f"shard int, term string, places array<int>, tfs array<int>, hit_ids array<{id_type}>, lengths array<int>, rows array<int>"
+    def build_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, rows = TaskContext.get().partitionId() << 32, [], 0
+        for batch in few_rows(batches, size):
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= size:
+                yield from build(at, pa.Table.from_batches(held)).to_batches()
+                at, held, rows = at + 1, [], 0
+        if rows:
+            yield from build(at, pa.Table.from_batches(held)).to_batches()
+
+    schema = f"shard bigint, term string, n int, places binary, tfs binary, hit_ids array<{id_type}>, lengths array<int>, rows array<int>"
     names = [part.split(" ")[0] for part in schema.split(", ")]
+    cut = words(F.coalesce("text", F.lit(""))).alias("words")
+    rows = chunks.select(key.alias("key"), F.col(id_column).alias("hit_id"), F.col(text).alias("text"))
+    if not repeated:
+        built = rows.select("hit_id", cut).mapInArrow(build_here, schema)
+    else:
+        moved, number = sent_if_few(again.select("key")), math.ceil(repeated / size)
+        built = rows.join(moved, "key", "left_anti").select("hit_id", cut).mapInArrow(build_here, schema)
+        # Texts are dealt out as they are, and cut into words where they arrive. Their shards count downwards from -1.
+        dealt = rows.join(moved, "key", "left_semi").select((-1 - F.pmod("key", F.lit(number))).alias("shard"), "hit_id", "text").repartition(number, "shard").sortWithinPartitions("shard")
+        built = built.unionAll(dealt.select("shard", "hit_id", cut).groupBy("shard").applyInArrow(lambda group: build(group["shard"][0].as_py(), group), schema))
     folder = F.when(F.col("term").isNull(), SHARDS).otherwise(_folder("term"))
-    found.groupBy("shard").applyInArrow(build, schema).withColumn("folder", folder).repartition("folder", F.pmod("shard", F.lit(FILES))).sortWithinPartitions(
-        "folder", "term").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/postings")
+    built.withColumn("folder", folder).sortWithinPartitions("folder", "term").write.mode("overwrite").option("compression", "zstd").partitionBy("folder").parquet(f"{path}/postings")
     stored = spark.read.parquet(f"{path}/postings")
-    stored.where(F.col("folder") != SHARDS).groupBy("folder", "term").agg(F.sum(F.size("places")).alias("df")).repartition("folder").sortWithinPartitions(
+    stored.where(F.col("folder") != SHARDS).groupBy("folder", "term").agg(F.sum("n").alias("df")).repartition("folder").sortWithinPartitions(
         "folder", "term").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/terms")
     sizes = stored.where(F.col("folder") == SHARDS).select(F.inline(F.arrays_zip("lengths", "rows")))
     sizes.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("chunks"), (F.sum(F.col("lengths").cast("bigint") * F.col("rows")) / F.sum("rows")).alias("length")).write.mode(
@@ -106,7 +154,7 @@ def write_keyword_index(chunks: DataFrame, path: str, id_column: str = "chunk_id
 
 def read_keyword_index(spark: SparkSession, path: str) -> KeywordIndex:
     postings, terms, totals, shards = (spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "totals", "postings"))
-    return KeywordIndex(postings.where(F.col("folder") != SHARDS).select("folder", "term", "shard", "places", "tfs"), terms, totals,
+    return KeywordIndex(postings.where(F.col("folder") != SHARDS).select("folder", "term", "shard", "n", "places", "tfs"), terms, totals,
                         shards.where(F.col("folder") == SHARDS).select("shard", "hit_ids", "lengths"))
 
 
@@ -166,10 +214,10 @@ def _best_of_shards(index: KeywordIndex, asked: DataFrame, k: int, mean: float)
         row_of = np.full(len(words_of), -1)
         row_of[known.drop_null().to_numpy()] = np.arange(postings.num_rows)
         hit_ids, length = shard["hit_ids"].combine_chunks().flatten(), shard["lengths"].combine_chunks().flatten().to_numpy()
-        places = postings["places"].combine_chunks().flatten().to_numpy() if postings.num_rows else np.zeros(0, np.int32)
-        tf = (postings["tfs"].combine_chunks().flatten().to_numpy() if postings.num_rows else places).astype(float)
+        held = postings["n"].to_numpy()
+        places, tf = (read(postings[name].combine_chunks(), held) if len(held) else np.zeros(0, np.int64) for read, name in ((_places, "places"), (_unpacked, "tfs")))
         part = tf * (SATURATION + 1) / (tf + SATURATION * (1 - LENGTH_WEIGHT + LENGTH_WEIGHT * length[places] / mean))
-        ends = np.cumsum(pc.list_value_length(postings["places"].combine_chunks()).to_numpy()) if postings.num_rows else places
+        ends = np.cumsum(held)
         firsts = np.flatnonzero(_new(hit_ids))
         found = []
         for q in range(len(ids)):
@@ -192,7 +240,7 @@ def _best_of_shards(index: KeywordIndex, asked: DataFrame, k: int, mean: float)
 
     # Words that are too many to be named are passed over before they move.
     words_asked = sent_if_few(asked.select("folder", "term").distinct())
-    wanted = _named(index.postings, asked).join(words_asked, ["folder", "term"], "left_semi").select("shard", "term", "places", "tfs")
+    wanted = _named(index.postings, asked).join(words_asked, ["folder", "term"], "left_semi").select("shard", "term", "n", "places", "tfs")
     return wanted.repartition(parts, "shard").groupBy("shard").cogroup(index.shards.repartition(parts, "shard").groupBy("shard")).applyInArrow(score, schema)
 
 
@@ -230,8 +278,14 @@ def holding_documents(index: KeywordIndex, questions: DataFrame, chunks: DataFra
     inside = passages.withColumn("w", words(F.col("passage"))).select("query_id", F.array_join(inner, " ").alias("text"))
     asked = _asked(index, inside, "query_id", "text").groupBy("query_id").agg(F.min_by(F.struct("folder", "term"), F.struct("df", "term")).alias("rare")).select("query_id", "rare.*")
     asked = materialize(asked, "rare-words")
+
+    @F.arrow_udf("array<int>")
+    def each_place(steps: pa.Array, sizes: pa.Array) -> pa.Array:
+        held = sizes.to_numpy().astype(np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(held)).astype(np.int32)), pa.array(_places(steps, held).astype(np.int32)))
+
     ids = index.shards.select("shard", F.posexplode("hit_ids").alias("place", "hit_id"))
-    places = materialize(_named(index.postings, asked).join(sent_if_few(asked), ["folder", "term"]).select("query_id", "shard", F.explode("places").alias("place")), "rare-places")
+    places = materialize(_named(index.postings, asked).join(sent_if_few(asked), ["folder", "term"]).select("query_id", "shard", F.explode(each_place("places", "n")).alias("place")), "rare-places")
     rare = materialize(sent_if_few(places).join(ids, ["shard", "place"]).select("query_id", F.col("hit_id").alias(id_column)).distinct(), "rare-chunks")
     likely = materialize(sent_if_few(rare).join(chunks.select(id_column, "source_file"), id_column).select("query_id", "source_file").distinct(), "likely-documents")
     texts = documents.select("source_file", collapse_whitespace(F.col("text")).alias("whole"))

@@ -145,3 +145,42 @@ def test_minimum_score(spark, tmp_path):
     rows = keywords.hybrid_hits(held, index, asked, 9, min_score=0.5).collect()
     assert {r.hit_id for r in rows if r.vector_rank} == {"c6"} or all(r.vector_rank <= 2 for r in rows if r.vector_rank)
     assert {r.hit_id for r in rows if r.keyword_rank} == {"c0", "c2", "c6"}
+
+
+def test_texts_and_postings_stay_where_they_are_read(spark, tmp_path):
+    """Only rows whose id repeats are moved; lists of numbers are as wide as they need, and what is stored are their bytes."""
+    asked, moved = tables(spark)[1], []
+    held = spark.createDataFrame([(f"c{i:05}", f"w{i % 3} common {'often ' * (300 if i == 7 else 1)}") for i in range(3000)], "chunk_id string, content string").coalesce(1)
+    frame, deal = type(held), type(held).repartition
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(frame, "repartition", lambda df, *how: moved.append(df.columns) or deal(df, *how))
+        index = keywords.write_keyword_index(held, str(tmp_path / "index"))
+    assert moved == [["folder", "term", "df"]]
+    assert index.shards.count() == 1 and dict(index.postings.dtypes)["places"] == "binary"
+    size = {r.term: (r.n, len(r.places), len(r.tfs)) for r in index.postings.collect()}
+    assert size["common"] == (3000, 3000, 3000) and size["w0"] == (1000, 1000, 1000) and size["often"] == (3000, 3000, 6000)
+    assert {r.term: r.df for r in index.terms.collect()} == {"common": 3000, "often": 3000, "w0": 1000, "w1": 1000, "w2": 1000}
+    got = keywords.keyword_hits(index, spark.createDataFrame([(1, "often w2 unknown")], "query_id int, text string"), 2).collect()
+    assert [r.hit_id for r in got] == ["c00002", "c00005"]
+    assert keywords.keyword_hits(index, asked, 2).count() == 0
+
+
+def test_packed_numbers():
+    lists = [[0], [255, 1], [256, 0, 3], [70_000, 1, 65_536], [65_535]]
+    sizes = keywords.np.array([len(x) for x in lists])
+    packed = keywords._packed(keywords.np.concatenate(lists), keywords.np.cumsum(sizes) - sizes)
+    assert [len(x) for x in packed.to_pylist()] == [1, 2, 6, 12, 2]
+    assert keywords._unpacked(packed, sizes).tolist() == sum(lists, [])
+    assert keywords._places(packed.slice(1, 2), sizes[1:3]).tolist() == [255, 256, 256, 256, 259]
+
+
+def test_some_ids_repeat(spark, tmp_path, monkeypatch):
+    """Rows that repeat an id lie in other shards than the rest, and all are found."""
+    monkeypatch.setattr(keywords, "SHARD_CHUNKS", 3)
+    rows = [(f"c{i}", f"red {'plum ' * (i % 4)}") for i in range(20)] + [("c3", "red"), ("c4", "red plum"), (None, "red"), (None, "red fig")]
+    index = keywords.write_keyword_index(spark.createDataFrame(rows, "chunk_id string, content string"), str(tmp_path / "index"))
+    assert index.totals.first().chunks == 24 and {r.term: r.df for r in index.terms.collect()} == {"red": 24, "plum": 16, "fig": 1}
+    got = keywords.keyword_hits(index, spark.createDataFrame([(1, "red")], "query_id int, text string"), 30).collect()
+    assert len(got) == 21 and {r.hit_id for r in got[:3]} == {None, "c3", "c4"}
+    shards = [(r.shard, r.hit_ids) for r in index.shards.collect()]
+    assert {x for s, ids in shards if s < 0 for x in ids} == {None, "c3", "c4"} and len({s for s, _ in shards}) == len(shards)
