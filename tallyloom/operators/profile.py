@@ -5,7 +5,8 @@ A table is looked at ahead, and then counted:
 1. The look ahead counts rows, sketches how many distinct words each text column has, and
    brackets each median from a sample. One row per column comes to the driver.
 2. The columns, grouped by storage type, are turned into (column, value) rows and counted
-   per distinct value. Each column is read once. The counting combines on the map side, so
+   per distinct value. Each column is read once; the columns of a large table that is stored
+   by column are counted one by one, which takes half the time. The counting combines on the map side, so
    a value held by a third of all rows crosses the shuffle once per task. Counts, extremes,
    mean, spread, median and top values are all folded from this one frequency table, in
    one chain of aggregates.
@@ -47,6 +48,8 @@ SAMPLE_ERRORS = 6
 # Rows around a median that one task may rank, and the bins that narrow a bracket down to so many.
 MAX_RANKED = 200_000
 BINS = 512
+# Rows from which the columns of a table stored by column are counted apart. Below, the stages cost more than they save.
+APART_ROWS = 1_000_000
 # Text columns with up to so many times the words of a category, by estimate, may turn out to be one.
 MAYBE_CATEGORY = 2
 
@@ -161,23 +164,34 @@ def _brackets(df: DataFrame, columns: list[ProfiledColumn], row_count: int, whol
     return known | _brackets(df, sparse, row_count, whole=True)
 
 
-def _narrowed(df: DataFrame, columns: list[ProfiledColumn], brackets: Brackets) -> Brackets:
+def _counted(df: DataFrame, cells: dict[int, Column], apart: bool) -> DataFrame:
+    """(ordinal, value, n): how often each column, given by its ordinal, holds each value that is not null. In one scan of all the columns, or, where
+    reading one of them costs no more than that, ``apart``: then the values alone are the keys of the counting, in generated code."""
+    count = F.count(F.lit(1)).alias("n")
+    if apart:
+        return reduce(DataFrame.unionAll, [
+            df.select(cell.alias("value")).where(F.col("value").isNotNull()).groupBy("value").agg(count).select(F.lit(i).alias("ordinal"), "value", "n")
+            for i, cell in cells.items()])
+    rows = df.select(*[cell.alias(str(i)) for i, cell in cells.items()]).unpivot([], [str(i) for i in cells], "column", "value")
+    return rows.where(F.col("value").isNotNull()).groupBy("column", "value").agg(count).select(F.col("column").cast("int").alias("ordinal"), "value", "n")
+
+
+def _narrowed(df: DataFrame, columns: list[ProfiledColumn], brackets: Brackets, apart: bool = False) -> Brackets:
     """Brackets that hold at most MAX_RANKED rows each, or a single value. A round counts the rows of every
     bracket in equal bins, which combine on the map side, and goes on in the bin that holds the
     median. A median outside its bracket leaves that as it is; the counts tell later."""
     brackets = dict(brackets)
     wide = {c.ordinal: c for c in columns if c.ordinal in brackets and all(map(math.isfinite, brackets[c.ordinal]))}
     while wide:
-        binned = []
+        binned = {}
         for i, c in wide.items():
             low, high = brackets[i]
             x = c.ref.cast("double")
             at = F.floor((x - low) / (high - low) * BINS) if high > low else F.lit(0).cast("bigint")
-            binned.append(F.when(x < low, -1).when(x > high, BINS).when(x.isNotNull(), F.least(at, F.lit(BINS - 1))).cast("int").alias(str(i)))
-        cells = df.select(*binned).unpivot([], [str(i) for i in wide], "column", "bin").where("bin IS NOT NULL")
+            binned[i] = F.when(x < low, -1).when(x > high, BINS).when(x.isNotNull(), F.least(at, F.lit(BINS - 1))).cast("int")
         counted: dict[int, dict[int, int]] = {}
-        for column, place, n in cells.groupBy("column", "bin").agg(F.count(F.lit(1))).collect():
-            counted.setdefault(int(column), {})[place] = n
+        for column, place, n in _counted(df, binned, apart).collect():
+            counted.setdefault(column, {})[place] = n
         for i in list(wide):
             low, high = brackets[i]
             total, reached, middle = sum(counted.get(i, {}).values()), 0, None
@@ -198,22 +212,19 @@ def _narrowed(df: DataFrame, columns: list[ProfiledColumn], brackets: Brackets)
     return brackets
 
 
-def _frequencies(df: DataFrame, columns: list[ProfiledColumn], lane: str, listed: set[int]) -> DataFrame:
+def _frequencies(df: DataFrame, columns: list[ProfiledColumn], lane: str, listed: set[int], apart: bool) -> DataFrame:
     """(ordinal, value, n) for the columns of one lane. Each lane scans its own columns only,
     and the narrow typed keys keep the counting in generated code."""
-    cells = [(c.text if c.ordinal in listed else c.key).alias(str(c.ordinal)) for c in columns]
-    rows = df.select(*cells).unpivot([], [str(c.ordinal) for c in columns], "column", "value")
-    freq = rows.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    freq = _counted(df, {c.ordinal: c.text if c.ordinal in listed else c.key for c in columns}, apart)
     return freq.select(
-        F.col("column").cast("int").alias("ordinal"), "n",
-        *[(F.col("value") if name == lane else F.lit(None).cast(dtype)).alias(name) for name, dtype in LANES.items()])
+        "ordinal", "n", *[(F.col("value") if name == lane else F.lit(None).cast(dtype)).alias(name) for name, dtype in LANES.items()])
 
 
-def _count_values(df: DataFrame, columns: list[ProfiledColumn], brackets: Brackets, listed: set[int], values: int) -> DataFrame:
+def _count_values(df: DataFrame, columns: list[ProfiledColumn], brackets: Brackets, listed: set[int], values: int, apart: bool = False) -> DataFrame:
     """One row per column, folded from the frequencies of its values. Medians are ranked
     within ``brackets``, and the words of the ``listed`` columns are kept."""
     of_lane = {lane: [c for c in columns if c.lane == lane] for lane in LANES}
-    freq = reduce(DataFrame.union, [_frequencies(df, cs, lane, listed) for lane, cs in of_lane.items() if cs])
+    freq = reduce(DataFrame.union, [_frequencies(df, cs, lane, listed, apart) for lane, cs in of_lane.items() if cs])
 
     def per_column(values: dict[int, object], dtype: str) -> Column:
         slots = [F.lit(values.get(i)).cast(dtype) for i in range(max(c.ordinal for c in columns) + 1)]
@@ -279,23 +290,24 @@ def _time_text(columns: list[ProfiledColumn], end: str) -> Column:
     return F.coalesce(out, F.col(f"{end}_moment").cast("string"))
 
 
-def _count_exactly(df: DataFrame, columns: list[ProfiledColumn], row_count: int, limits: Limits) -> list[Row]:
+def _count_exactly(df: DataFrame, columns: list[ProfiledColumn], row_count: int, limits: Limits, columnar: bool) -> list[Row]:
     """The statistics per column, one row each."""
+    apart = columnar and row_count >= APART_ROWS
     words = [c for c in columns if c.kind == "categorical"]
     listed = _maybe_categories(words, _sketches(df, words, distinct=True), limits) if words else set()
     brackets = _brackets(df, columns, row_count)
     # Brackets from a sample hold some hundredths of the rows.
-    brackets = _narrowed(df, columns, brackets) if row_count > 25 * MAX_RANKED else brackets
-    rows = {r.ordinal: r for r in _count_values(df, columns, brackets, listed, limits.values).collect()}
+    brackets = _narrowed(df, columns, brackets, apart) if row_count > 25 * MAX_RANKED else brackets
+    rows = {r.ordinal: r for r in _count_values(df, columns, brackets, listed, limits.values, apart).collect()}
     # The estimate said many words, the count says few: their values are still to be listed.
     unlisted = [c for c in words if c.ordinal not in listed and c.ordinal in rows and rows[c.ordinal].distinct_count <= limits.category]
     if unlisted:
-        rows |= {r.ordinal: r for r in _count_values(df, unlisted, {}, {c.ordinal for c in unlisted}, limits.values).collect()}
+        rows |= {r.ordinal: r for r in _count_values(df, unlisted, {}, {c.ordinal for c in unlisted}, limits.values, apart).collect()}
     missed = [c for c in columns if c.kind == "numerical" and c.ordinal in rows and rows[c.ordinal].median is None]
     if missed:
         brackets = _brackets(df, missed, row_count, whole=True)
-        brackets = _narrowed(df, missed, brackets) if row_count > 25 * MAX_RANKED else brackets
-        again = _count_values(df, missed, brackets, set(), limits.values)
+        brackets = _narrowed(df, missed, brackets, apart) if row_count > 25 * MAX_RANKED else brackets
+        again = _count_values(df, missed, brackets, set(), limits.values, apart)
         rows |= {r.ordinal: r for r in again.collect()}
     return list(rows.values())
 
@@ -343,7 +355,7 @@ COLLECTED = ("table_name STRING, ordinal INT, column_name STRING, data_type STRI
              "column_count INT," + STATISTICS)
 
 
-def _collected(df: DataFrame, table: str, exact: bool, limits: Limits) -> list[tuple]:
+def _collected(df: DataFrame, table: str, exact: bool, limits: Limits, columnar: bool = False) -> list[tuple]:
     """What is known of each column of a table, one row per column. A column without a single
     value has no statistics."""
     columns = profiled_columns(df)
@@ -351,7 +363,7 @@ def _collected(df: DataFrame, table: str, exact: bool, limits: Limits) -> list[t
     found = {}
     for batch in _batches(columns):
         if exact:
-            rows = _count_exactly(df, batch, count, limits)
+            rows = _count_exactly(df, batch, count, limits, columnar)
         else:
             count, rows = _estimate(df, batch, limits)
         found |= {r.ordinal: tuple(r)[1:] for r in rows}
@@ -360,18 +372,19 @@ def _collected(df: DataFrame, table: str, exact: bool, limits: Limits) -> list[t
         for c in columns]
 
 
-def profile_table(df: DataFrame, table: str, exact: bool = True, limits: Limits = Limits()) -> DataFrame:
+def profile_table(df: DataFrame, table: str, exact: bool = True, limits: Limits = Limits(), columnar: bool = False) -> DataFrame:
     """The profile of one table. It is computed here and now, and what is returned holds a
     row per column, so it may be used many times over. ``exact=False`` estimates distinct
     counts and medians, so that no value is shuffled except those of columns with few."""
-    return profile_tables({table: df}, exact, limits)
+    return profile_tables({table: df}, exact, limits, columnar)
 
 
-def profile_tables(tables: dict[str, DataFrame], exact: bool = True, limits: Limits = Limits()) -> DataFrame:
-    """The profiles of several tables, taken side by side."""
+def profile_tables(tables: dict[str, DataFrame], exact: bool = True, limits: Limits = Limits(), columnar: bool = False) -> DataFrame:
+    """The profiles of several tables, taken side by side. ``columnar`` says that they are read as they are stored, in a format by
+    column: the columns of large ones are then counted apart, each in a scan of its own."""
     named = sorted(tables.items())
     spark = named[0][1].sparkSession
-    rows = [row for part in at_once(spark, lambda item: _collected(item[1], item[0], exact, limits), named) for row in part]
+    rows = [row for part in at_once(spark, lambda item: _collected(item[1], item[0], exact, limits, columnar), named) for row in part]
     categorical, distinct = F.col("kind") == "categorical", F.col("distinct_count")
     nulls = F.col("row_count") - F.col("held")
     many = categorical & (distinct > limits.category)

@@ -171,3 +171,24 @@ def test_declared_keys(spark):
     got = columns(with_declared_keys(p, {"orders": ["order_id"]}, {"orders": {"customer_id": "customers.customer_id"}}))
     assert (got["order_id"].is_primary_key, got["order_id"].is_foreign_key) == (True, False)
     assert got["customer_id"].is_foreign_key and got["customer_id"].references == "customers.customer_id"
+
+
+def test_columns_of_large_stored_tables_are_counted_apart(spark, tmp_path, monkeypatch):
+    """The same profile from a scan of each column, where no row is made for a cell."""
+    monkeypatch.setattr(profiles, "MAX_RANKED", 40)
+    rng = random.Random(5)
+    rows = [(i, rng.choice([3, 3, 9, None, rng.randrange(500)]), rng.choice([0.0, -0.0, float("nan"), rng.random(), None]), f"w{i % 7}" if i % 5 else None,
+             "x" * 300 + str(i), dt.date(2024, 1, 1 + i % 28), Decimal(i % 9) / 4, None) for i in range(2000)]
+    spark.createDataFrame(rows, "i BIGINT, hot INT, part DOUBLE, word STRING, long STRING, day DATE, price DECIMAL(9,2), nothing INT").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    before = columns(profile_table(df, "t", columnar=True))
+    plans, plain = [], type(df).collect
+    monkeypatch.setattr(profiles, "APART_ROWS", 2000)
+    monkeypatch.setattr(type(df), "collect", lambda f: plans.append(f._jdf.queryExecution().executedPlan().toString()) or plain(f))
+    apart = profile_table(df, "t", columnar=True)
+    assert plans and not any("Expand" in p for p in plans)
+    plans.clear()
+    profile_table(df, "t")
+    assert any("Expand" in p for p in plans)
+    monkeypatch.undo()
+    assert {k: str(v) for k, v in columns(apart).items()} == {k: str(v) for k, v in before.items()}
